@@ -1,0 +1,365 @@
+from datetime import date, datetime
+from decimal import Decimal
+
+import pytest
+from pyspark.sql import functions as F
+
+from conftest import plan_of, rows
+from lutrin.functions.privacy import pseudonymize
+from lutrin.operators import aggregates as A
+from lutrin.operators import filters, gates as G, links, lookups, merge
+from lutrin.plans.loans import collapse_outside
+from lutrin.plans.lookup_tables import build_disciplines, with_missing_factors
+from lutrin.schemas import conform, empty_table
+
+
+def frame(spark, schema, *data):
+    return spark.createDataFrame(list(data), schema)
+
+
+# ---- filters
+
+
+def test_deletes_keep_missing_values(spark):
+    df = frame(spark, "x string", ("Salle Tests",), ("tests",), (None,), ("",))
+    assert rows(filters.drop_containing(df, "x", "Tests")) == rows(
+        frame(spark, "x string", ("tests",), (None,), ("",))
+    )
+    assert rows(filters.drop_containing_any_case(df, "x", "Test")) == [("",), (None,)]
+    assert rows(filters.drop_listed(df, "x", ["tests", ""])) == [(None,), ("Salle Tests",)]
+    assert rows(filters.drop_where(df, F.col("x") == "")) == rows(
+        frame(spark, "x string", ("Salle Tests",), ("tests",), (None,))
+    )
+    assert rows(filters.drop_blank(df, "x")) == [("Salle Tests",), ("tests",)]
+
+
+def test_drop_retired(spark):
+    df = frame(spark, "Statut string", ("Q",), ("X",), ("P",), (None,))
+    assert rows(filters.drop_retired(df)) == [(None,), ("P",)]
+
+
+def test_drop_flagged_keeps_unlisted(spark):
+    df = frame(spark, "status string", ("a",), ("b",), ("c",), (None,))
+    flags = frame(spark, "nom string, conserver boolean", ("a", True), ("b", False))
+    assert rows(filters.drop_flagged(df, "status", flags)) == [(None,), ("a",), ("c",)]
+
+
+def test_without_keeps_missing_keys(spark):
+    df = frame(spark, "k string", ("a",), (None,))
+    assert rows(filters.without(df, frame(spark, "k string", ("a",), (None,)), ["k"])) == [(None,)]
+
+
+def test_between_days_includes_both_ends(spark):
+    df = frame(
+        spark, "t timestamp_ntz",
+        (datetime(2024, 1, 1, 23, 59, 59),), (datetime(2024, 1, 2),), (datetime(2024, 1, 3, 23, 59, 59),),
+        (datetime(2024, 1, 4),),
+    )
+    assert len(rows(filters.between_days(df, "t", "2024-01-02", "2024-01-03"))) == 2
+
+
+# ---- lookups
+
+
+def test_normalize_only_its_domain(spark):
+    names = frame(
+        spark, "domaine string, rejeter string, accepter string",
+        ("A", "x", "X"), ("B", "y", "Y"), ("A", "X", "Z"),
+    )
+    df = frame(spark, "n int, a string, b string", (1, "x", "y"), (2, None, "x"), (3, "X", ""))
+    got = rows(lookups.normalize(df, ["a", "b"], names, "A"))
+    assert got == [(1, "X", "y"), (2, None, "X"), (3, "Z", "")]
+
+
+def test_lookup_never_multiplies(spark):
+    table = frame(spark, "k string, v string", ("a", "2"), ("a", "1"), ("b", None))
+    df = frame(spark, "n int, c string", (1, "a"), (2, "b"), (3, None), (4, "z"))
+    got = rows(lookups.lookup(df, table, {"c": "k"}, "v"))
+    assert got == [(1, "a", "1"), (2, "b", None), (3, None, None), (4, "z", None)]
+
+
+def test_lookup_chain_first_found_wins(spark):
+    one = frame(spark, "k string, v string", ("a", "one"), ("b", None))
+    two = frame(spark, "k string, v string", ("a", "two"), ("b", "two"))
+    three = frame(spark, "k string, m string, v string", ("c", "m", "three"), ("a", "m", "three"))
+    df = frame(spark, "c string, n string", ("a", "m"), ("b", "m"), ("c", "m"), ("c", "x"), (None, "m"))
+    steps = [(one, [("c", "k")], "v"), (two, [("c", "k")], "v"), (three, [("c", "k"), ("n", "m")], "v")]
+    got = rows(lookups.lookup_chain(df, steps, "d"))
+    assert got == [
+        (None, "m", None), ("a", "m", "one"), ("b", "m", "two"), ("c", "m", "three"), ("c", "x", None),
+    ]
+
+
+def test_collapse_outside(spark):
+    df = frame(
+        spark, "institution_doc string, bibliotheque_pret string, bibliotheque_document string",
+        ("Université exemple (centre)", "a", "b"), ("Ailleurs", "a", "b"), ("", "a", "b"), (None, "a", "b"),
+    )
+    out = "Bibliothèque extérieure"
+    assert rows(collapse_outside(df, "Université exemple")) == rows(
+        frame(
+            spark, "a string, b string, c string",
+            ("Université exemple (centre)", "a", "b"), ("Ailleurs", out, out), ("", out, out), (None, "a", "b"),
+        )
+    )
+
+
+# ---- links
+
+
+def persons(spark, salts, *data):
+    df = frame(spark, "journee string, usager string, mail string, discipline string", *data)
+    return df.withColumn("journee", F.col("journee").cast("date")).withColumn(
+        "courriel", pseudonymize(F.col("mail"), salts)
+    )
+
+
+def test_unique_persons_latest_then_smallest(spark, salts):
+    people = persons(
+        spark, salts,
+        ("2024-01-01", "u1", "m", "old"), ("2024-01-02", "u3", "m", "c"), ("2024-01-02", "u2", "m", "b"),
+        ("2024-01-09", "u4", "", "blank"), ("2024-01-09", "u5", None, "missing"),
+    )
+    got = rows(links.unique_persons(people, "courriel", salts).select("usager", "discipline"))
+    assert got == [("u2", "b")]
+
+
+@pytest.mark.parametrize("share", [2.0, 0.001], ids=["all rows shuffled", "all keys hot"])
+@pytest.mark.parametrize("how", ["left", "inner"])
+def test_link_same_with_and_without_hot_keys(spark, salts, share, how):
+    people = links.unique_persons(
+        persons(spark, salts, ("2024-01-01", "u1", "m1", "D1"), ("2024-01-01", "u2", "m2", None)),
+        "courriel", salts,
+    )
+    facts = frame(
+        spark, "n int, email string, discipline string",
+        *[(i, "m1", "x") for i in range(50)], *[(i, "guest", "x") for i in range(50, 90)],
+        (100, "m2", "x"), (101, "", "x"), (102, None, "x"),
+    )
+    linked = links.link(
+        facts, people, "email", "courriel", {"usager": "usager", "discipline": "discipline"},
+        how=how, encode=lambda c: pseudonymize(c, salts), share=share,
+    )
+    got = {r.n: (r.usager, r.discipline) for r in linked.collect()}
+    expected = {i: ("u1", "D1") for i in range(50)} | {100: ("u2", None)}
+    if how == "left":
+        expected |= {i: (None, None) for i in [*range(50, 90), 101, 102]}
+    assert got == expected
+    assert linked.columns == ["n", "email", "usager", "discipline"]
+
+
+def test_hot_keys_are_few(spark):
+    df = spark.range(10000).select(
+        F.when(F.col("id") < 4000, "hot").otherwise(F.col("id").cast("string")).alias("k")
+    )
+    assert rows(links.hot_keys(df, "k")) == [("hot",)]
+
+
+def test_hot_rows_do_not_meet_in_one_task(spark, salts):
+    """Hot and blank rows, copies included, end up spread over the join's partitions."""
+    facts = spark.range(0, 80000, 1, 8).select(
+        F.when(F.col("id") % 3 == 0, "guest").when(F.col("id") % 3 == 1, "").otherwise(
+            F.col("id").cast("string")
+        ).alias("login")
+    )
+    people = facts.filter("login <> ''").distinct().select(F.col("login").alias("usager"), F.lit(1).alias("x"))
+    settings = {
+        "spark.sql.adaptive.enabled": "false",
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+    }
+    before = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        linked = links.link(facts, people, "login", "usager", {"x": "x"})
+        sizes = [r["count"] for r in linked.groupBy(F.spark_partition_id()).count().collect()]
+        assert linked.filter("login <> '' AND x IS NULL").count() == 0
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert sum(sizes) == 80000 and max(sizes) < 2 * 80000 / 8
+
+
+def test_enrich_missing_replaces_on_match_only(spark, salts):
+    people = persons(spark, salts, ("2024-01-01", "u1", "m1", None), ("2024-01-01", "u2", "m2", "D2"))
+    facts = frame(
+        spark, "n int, email string, usager string, discipline string",
+        (1, "m1", None, "old"), (2, "m2", "kept", "old"), (3, "m3", None, "old"), (4, "", None, "old"),
+    )
+    got = rows(
+        links.enrich_missing(
+            facts, links.unique_persons(people, "courriel", salts), "email", "courriel",
+            {"usager": "usager", "discipline": "discipline"}, missing=["usager"],
+            encode=lambda c: pseudonymize(c, salts),
+        ).drop("email")
+    )
+    assert got == [(1, "u1", None), (2, "kept", "old"), (3, None, "old"), (4, None, "old")]
+
+
+# ---- merges
+
+TARGET = "k int, a string, b string, c string, d string"
+
+
+def merged_once(spark, target, source):
+    return merge.upsert(target, source, ["k"], update=["a"], reset=["b"], fill=["c"])
+
+
+def test_upsert_columns(spark):
+    target = frame(spark, TARGET, (1, "a1", "b1", "c1", "d1"), (2, "a2", "b2", "c2", "d2"), (4, "a", "b", "c", "d"))
+    source = frame(spark, TARGET, (2, None, "x", None, "x"), (3, "a3", None, "c3", "d3"), (4, "n", "x", "cc", "x"))
+    got = rows(merged_once(spark, target, source))
+    assert got == [
+        (1, "a1", "b1", "c1", "d1"), (2, None, None, "c2", "d2"), (3, "a3", None, "c3", "d3"),
+        (4, "n", None, "cc", "d"),
+    ]
+
+
+def test_upsert_twice_is_upsert_once(spark):
+    target = frame(spark, TARGET, (1, "a1", "b1", "c1", "d1"), (2, "a2", "b2", "c2", "d2"))
+    source = frame(spark, TARGET, (2, "n", "x", None, "x"), (3, "a3", None, "c3", "d3"))
+    once = merged_once(spark, target, source)
+    assert rows(merged_once(spark, once, source)) == rows(once)
+
+
+def test_insert_new_first_wins(spark):
+    target = frame(spark, "k int, v string", (1, "old"))
+    source = frame(spark, "k int, v string", (1, "new"), (2, "b"), (2, "a"))
+    got = merge.insert_new(target, source, ["k"], [F.asc("v")])
+    assert rows(got) == [(1, "old"), (2, "a")]
+    assert rows(merge.insert_new(got, source, ["k"], [F.asc("v")])) == rows(got)
+
+
+def test_replace_days(spark):
+    target = frame(spark, "journee string, v int", ("a", 1), ("b", 2), (None, 3))
+    source = frame(spark, "journee string, v int", ("b", 4), ("c", 5))
+    assert rows(merge.replace_days(target, source)) == [(None, 3), ("a", 1), ("b", 4), ("c", 5)]
+
+
+def test_latest_by_ranks_before_the_shuffle(spark):
+    df = frame(spark, "u string, d int", ("a", 1), ("a", 3), ("b", 2), ("a", 2))
+    latest = merge.latest_by(df, ["u"], [F.desc("d")])
+    assert rows(latest) == [("a", 3), ("b", 2)]
+    plan = plan_of(latest)
+    assert "WindowGroupLimit" in plan and "Partial" in plan
+
+
+# ---- aggregates
+
+
+def test_hours_truncate_towards_zero(spark):
+    day = datetime(2024, 1, 1)
+    df = frame(spark, "t timestamp_ntz, s string, v int", *[(day, "a", v) for v in (3, 4, 0, -14)], (day, "b", 7))
+    got = rows(A.daily_hours(df, "t", ["s"], "v", "h").drop("journee"))
+    assert got == [("a", -1), ("b", 1)]
+
+
+def test_daily_sum_splits_at_midnight(spark):
+    df = frame(
+        spark, "t timestamp_ntz, s string, v int",
+        (datetime(2024, 1, 1, 23, 59, 59), "a", 1), (datetime(2024, 1, 2), "a", 2), (datetime(2024, 1, 2, 1), "a", None),
+    )
+    got = rows(A.daily_sum(df, "t", ["s"], "v", "n"))
+    assert got == [(date(2024, 1, 1), "a", 1), (date(2024, 1, 2), "a", 2)]
+
+
+def test_left_count_ignores_missing_and_keeps_zero(spark):
+    parents = frame(spark, "id string", ("a",), ("b",))
+    children = frame(spark, "event_id string, email string", ("a", "x"), ("a", None), ("c", "y"))
+    assert rows(A.left_count(parents, children, "id", "event_id", "email", "n")) == [("a", 1), ("b", 0)]
+
+
+def disciplines(spark):
+    listed = frame(
+        spark, "discipline string, bibliothecaire string, bibliotheque string",
+        ("D1", "Lib A", "B1"), ("D1", "Lib B", "B1"), ("D2", "Lib C", "B2"), ("D3", "Lib D", "B9"),
+    )
+    sectors = frame(spark, "bibliotheque string, secteur string", ("B1", "S1"), ("B2", "S2"))
+    return build_disciplines(listed, sectors)
+
+
+def test_disciplines_get_sector_and_share(spark):
+    got = rows(disciplines(spark))
+    half, whole = Decimal("0.5"), Decimal(1)
+    assert [(r[0], r[1], r[3], r[4]) for r in got] == [
+        ("D1", "Lib A", "S1", half), ("D1", "Lib B", "S1", half), ("D2", "Lib C", "S2", whole), ("D3", "Lib D", None, whole),
+    ]
+
+
+def test_share_of_three_has_twenty_decimals(spark):
+    df = frame(spark, "discipline string, n int", ("D", 1), ("D", 2), ("D", 3))
+    assert {r.facteur for r in A.split_factor(df).collect()} == {Decimal("0.33333333333333333333")}
+
+
+def test_only_missing_factors_are_filled(spark):
+    kept = conform(
+        frame(
+            spark, "discipline string, bibliothecaire string, facteur string", ("D", "a", "0.9"), ("D", "b", None)
+        ),
+        "disciplines",
+    )
+    got = {r.bibliothecaire: r.facteur for r in with_missing_factors(kept).collect()}
+    assert got == {"a": Decimal("0.9"), "b": Decimal("0.5")}
+
+
+def test_weighted_population(spark):
+    people = frame(
+        spark, "usager string, discipline string, fonction string, niveau string, session string",
+        *[(f"u{i}", "D1", "Étudiant", "n", "t") for i in range(3)],
+        ("e", "D1", "Personnel", None, "t"), ("x", "D1", None, "n", "t"), ("y", "D2", "Professeur", "m", "t"),
+    )
+    stats = A.weighted_population(people, disciplines(spark), "Personnel")
+    got = {(r.bibliothecaire, r.fonction): r.nb_personnes for r in stats.collect()}
+    assert got == {
+        ("Lib A", "Étudiant"): Decimal("1.5"), ("Lib B", "Étudiant"): Decimal("1.5"), ("Lib C", "Professeur"): Decimal(1),
+    }
+
+
+# ---- gates
+
+
+def test_unlisted_ignores_missing(spark):
+    df = frame(spark, "s string", ("a",), ("b",), ("b",), (None,))
+    assert rows(G.unlisted(df, "s", frame(spark, "nom string", ("a",)))) == [("b",)]
+
+
+def test_unmatched_reports_missing(spark):
+    df = frame(spark, "d string", ("a",), ("b",), (None,), (None,))
+    assert rows(G.unmatched(df, "d", frame(spark, "d string", ("a",)))) == [(None,), ("b",)]
+
+
+def test_unknown_cycles_report_rows(spark):
+    df = frame(
+        spark, "codeCycle string, codeProgramme string, programme string",
+        ("1A", "p", "n"), ("9A", "p", "n"), ("9A", "p", "n"), ("", "p", "n"), (None, "p", "n"),
+    )
+    got = rows(G.unknown_cycles(df, frame(spark, "cycle string", ("1",), ("10",))))
+    assert got == [("", "p", "n"), ("9A", "p", "n"), ("9A", "p", "n")]
+
+
+def test_unmapped_names_accept_both_forms(spark):
+    names = frame(spark, "domaine string, rejeter string, accepter string", ("E", "a", "A"), ("O", "b", "B"))
+    df = frame(spark, "p string, d string", ("a", "A"), ("b", "c"), (None, "c"))
+    assert rows(G.unmapped_names(df, ["p", "d"], names, "E")) == [("b",), ("c",)]
+
+
+def test_broken_keys_and_lengths(spark):
+    df = frame(spark, "k string, j int", ("a", 1), ("a", 1), ("b", 1), (None, 1), ("long text", 2))
+    assert rows(G.broken_keys(df, ["k", "j"])) == [(None, 1, 1), ("a", 1, 2)]
+    assert rows(G.too_long(df, {"k": 4})) == [("k", 4, 9, "long text")]
+
+
+def test_contract_gates(spark):
+    rows_ = frame(spark, "cycle string", ("1",), ("1",), ("x" * 300,))
+    found = {r.name: r.count for r in G.check_gates(G.contract_gates(rows_, "_verif_cycles"))}
+    assert found == {"_verif_cycles: key": 1, "_verif_cycles: text length": 1}
+
+
+def test_gates_stop_or_warn(spark):
+    bad, none = frame(spark, "a string, b int", ("x", None)), empty_table(spark, "unites")
+    warned = G.run_gates([G.Gate("w", bad, G.WARN), G.Gate("fine", none)])
+    assert [(r.name, r.count) for r in warned] == [("w", 1), ("fine", 0)]
+    assert warned[0].preview == "a\tb\nx\tNone"
+    with pytest.raises(G.GateFailure) as failure:
+        G.run_gates([G.Gate("s", bad), G.Gate("fine", none)])
+    assert "s: 1 violation" in str(failure.value) and "x\tNone" in str(failure.value)

@@ -1,0 +1,230 @@
+import gzip
+import json
+from datetime import date, datetime, timezone
+
+import pytest
+
+from conftest import rows
+from lutrin.operators.gates import GateFailure, run_gates
+from lutrin.sources import daily_files, date_range, delimited, fixed_width, json_pages
+
+
+def student_line(barcode="", cycle="", code="", programme="", mail="", login=""):
+    line = [" "] * 600
+    for (start, end), text in zip(
+        [(11, 25), (423, 428), (458, 464), (468, 498), (498, 567), (568, 598)],
+        [barcode, cycle, code, programme, mail, login],
+    ):
+        assert len(text) <= end - start
+        line[start : start + len(text)] = text
+    return "".join(line)
+
+
+STUDENTS = [
+    student_line("123", "1ABCD", "100000", "Études \xe0 la carte", "p1@example.org", "login1"),
+    student_line("124", "2ABCD", "100000", "\xa0Droit\xa0", "", " \xa0 "),
+    student_line("", "3ABCD", "", "", "p3@example.org", "\xa0login3 "),
+    "short line",
+]
+EXPECTED = [
+    ("", "3ABCD", "", "", "p3@example.org", "login3"),
+    ("123", "1ABCD", "100000", "Études à la carte", "p1@example.org", "login1"),
+]
+
+
+@pytest.mark.parametrize("packed", [False, True])
+def test_fixed_width_students(spark, tmp_path, packed):
+    text = "\n".join(STUDENTS).encode("ISO-8859-1")
+    path = tmp_path / ("s.txt.gz" if packed else "s.txt")
+    path.write_bytes(gzip.compress(text) if packed else text)
+    df = fixed_width.read_students(spark, str(path), partitions=3)
+    assert df.columns[2:] == ["codebarres", "codeCycle", "codeProgramme", "programme", "courriel", "login"]
+    assert rows(df.drop("fichier", "id")) == EXPECTED
+
+
+def test_rows_keep_their_file_order_over_blocks(spark, tmp_path):
+    path = tmp_path / "many.txt"
+    path.write_text("\n".join(f"{i:06d}" for i in range(20000)))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+    try:
+        df = fixed_width.read_fixed_width(spark, str(path), {"n": (0, 6)}, "n")
+        assert df.rdd.getNumPartitions() > 4
+        got = [r.n for r in df.repartition(7).orderBy("id").collect()]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert got == [f"{i:06d}" for i in range(20000)]
+
+
+def test_delimited_by_position_with_quotes(spark, tmp_path):
+    path = tmp_path / "x.csv"
+    path.write_bytes(
+        '﻿other;names;here\n"a;b";"say ""hi""";""\n"two\nlines";;é\n'.encode("utf8")
+    )
+    df = delimited.read_delimited(spark, str(path), ["x", "y", "z"])
+    assert rows(df) == [("a;b", 'say "hi"', ""), ("two\nlines", "", "é")]
+
+
+def test_blank_number_stops_or_is_missing(spark, tmp_path):
+    path = tmp_path / "x.csv"
+    path.write_text("Enregistrement,Secteur,Date,Entrees\n1,a,2024-01-02 03:04:05,\n")
+    with pytest.raises(Exception, match="Entrees: not a int"):
+        delimited.read_table(spark, "_tmp_frequentation", str(path)).collect()
+    loose = delimited.read_table(spark, "_tmp_frequentation", str(path), strict=False)
+    assert rows(loose) == [(1, "a", datetime(2024, 1, 2, 3, 4, 5), None)]
+
+
+def test_lookups_follow_their_contract(spark, tmp_path):
+    (tmp_path / "p.csv").write_text("﻿code;nom;discipline\nAAAA;;D1\nBBBB;Nom;\n", encoding="utf8")
+    (tmp_path / "s.tsv").write_text("domaine\trejeter\taccepter\nRéservations\tx\ty\n", encoding="utf8")
+    (tmp_path / "v.csv").write_text("nom,conserver\nConfirmed,1\nTentative,0\n")
+    assert rows(delimited.load_lookup(spark, "programmes", str(tmp_path / "p.csv"))) == [
+        ("AAAA", None, "D1"), ("BBBB", "Nom", ""),
+    ]
+    assert rows(delimited.load_lookup(spark, "_synonymes", str(tmp_path / "s.tsv"))) == [("Réservations", "x", "y")]
+    assert rows(delimited.load_lookup(spark, "_verif_statuts_reservations", str(tmp_path / "v.csv"))) == [
+        ("Confirmed", True), ("Tentative", False),
+    ]
+
+
+def test_staging_gets_its_day_and_order(spark, tmp_path):
+    path = tmp_path / "staff.csv"
+    path.write_text("h,h,h,h,h,h,h\n" + "".join(f"u,d,P,m,b,f,login{i}\n" for i in range(5)))
+    df = delimited.load_staging(spark, "_tmp_personnel", str(path), "2024-01-01")
+    assert [r.Login for r in df.orderBy("id").collect()] == [f"login{i}" for i in range(5)]
+    assert {r.journee for r in df.collect()} == {date(2024, 1, 1)}
+
+
+def test_loans_are_renamed_and_dated(spark, tmp_path):
+    path = tmp_path / "loans.tsv"
+    header = ["a", "b", "c", "d", "Date/heure de l'évènement", "f", "g", "h"]
+    path.write_text(
+        "\t".join(header) + "\n1\tc\tx\tu\t2/1/2024 3:04:05\td\ti\tj\n2\tc\tx\tu\tn/a\td\ti\tj\n", encoding="utf8"
+    )
+    extracted = delimited.extract_loans(spark, str(path))
+    assert extracted.columns == ["a", "b", "c", "d", "date", "f", "g", "h"]
+    assert [r.date for r in extracted.orderBy("a").collect()] == ["2024-01-02 03:04:05", None]
+    loaded = delimited.read_loans(spark, str(path))
+    assert [r.date for r in loaded.orderBy("cb_document").collect()] == ["2024-01-02 03:04:05", None]
+
+
+@pytest.mark.parametrize("sep", [",", "\t"])
+def test_written_text_reads_back(spark, tmp_path, sep):
+    data = [('a"b', "x,y", ""), ("tab\there", "two\nlines", "é")]
+    out = str(tmp_path / "out")
+    delimited.write_delimited(spark.createDataFrame(data, "x string, y string, z string"), out, sep)
+    assert rows(delimited.read_delimited(spark, out, ["x", "y", "z"], sep=sep)) == sorted(data)
+
+
+# ---- JSON
+
+
+def land(folder, name, value):
+    folder.mkdir(exist_ok=True)
+    (folder / name).write_text(json.dumps(value, ensure_ascii=False), encoding="utf8")
+
+
+def booking(n, **changes):
+    base = {
+        "fromDate": "2024-01-15T10:00:00-05:00", "email": f"p{n}@example.org", "status": "Confirmed",
+        "location_name": "L", "category_name": "Salles", "item_name": f"A-{n}", "extra": 1,
+    }
+    return {k: v for k, v in (base | changes).items() if v != "absent"}
+
+
+def test_booking_pages(spark, tmp_path):
+    land(tmp_path / "b", "page-1.json", [booking(1), booking(2, email=None)])
+    land(tmp_path / "b", "page-2.json", [booking(3, email="absent")])
+    df, complete = json_pages.read_bookings(spark, str(tmp_path / "b"), page_size=2)
+    assert sorted((r.item_name, r.email) for r in df.collect()) == [
+        ("A-1", "p1@example.org"), ("A-2", ""), ("A-3", ""),
+    ]
+    run_gates([complete])
+    typed = delimited.to_table_types(df, "_tmp_reservations")
+    assert {r.fromDate for r in typed.collect()} == {datetime(2024, 1, 15, 10)}
+
+
+def test_lost_page_is_found(spark, tmp_path):
+    land(tmp_path / "b", "page-1.json", [booking(1)])
+    land(tmp_path / "b", "page-2.json", [booking(2), booking(3)])
+    land(tmp_path / "b", "page-10.json", [booking(4)])
+    _, complete = json_pages.read_bookings(spark, str(tmp_path / "b"), page_size=2)
+    assert rows(complete.violations) == [(1, 1)]
+    with pytest.raises(GateFailure):
+        run_gates([complete])
+
+
+def test_events_wrapped_or_bare(spark, tmp_path):
+    event = {"id": 7, "title": "T", "start": "2024-01-15T10:00:00-05:00", "end": "2024-01-15T11:00:00-05:00"}
+    land(tmp_path / "e", "1.json", {"events": [event | {"owner": {"id": 1, "name": "O"}, "presenter": "P"}]})
+    land(tmp_path / "e", "2.json", [event | {"id": 8, "owner": None, "presenter": None}])
+    df = json_pages.read_events(spark, str(tmp_path / "e"))
+    assert df.columns == ["id", "title", "start", "finish", "owner", "presenter"]
+    assert sorted((r.id, r.owner, r.presenter) for r in df.collect()) == [("7", "O", "P"), ("8", "", "")]
+
+
+def test_registrations_carry_their_event(spark, tmp_path):
+    land(tmp_path / "r", "event-7.json", [{"registrants": [
+        {"booking_id": 1, "registration_type": "online", "email": "a@example.org"}, {"booking_id": 2, "email": None},
+    ]}])
+    land(tmp_path / "r", "event-8.json", [{"registrants": []}])
+    land(tmp_path / "r", "event-9.json", [{"event_id": 90, "registrants": [{"booking_id": 3}]}])
+    assert rows(json_pages.read_registrations(spark, str(tmp_path / "r"))) == [
+        ("7", "1", "online", "a@example.org"), ("7", "2", "", ""), ("90", "3", "", ""),
+    ]
+
+
+def test_desk_transactions(spark, tmp_path):
+    def field(label, answer):
+        return {"field_id": 1, "field_label": label, "field_answer": answer}
+
+    land(tmp_path / "d", "1.json", {"transactions": [
+        {"transaction_id": 1, "created": "2024", "owner": "o", "custom_fields": [
+            field("Unités", "a"), field("Modalité", "x"), field("Unités", "b"), field("Localisation", None)]},
+        {"transaction_id": 2, "created": "2024"},
+        {"transaction_id": 3, "owner": "o", "custom_fields": [field("Autre", "a")]},
+    ]})
+    df, labels = json_pages.read_transactions(spark, str(tmp_path / "d"))
+    assert df.columns == [
+        "transaction_id", "created", "owner", "Unités", "Localisation", "Type d'intervention", "Modalité",
+    ]
+    assert rows(df) == [("1", "2024", "o", "b", "", "", "x"), ("2", "2024", "", "", "", "", ""), ("3", "", "o", "", "", "", "")]
+    assert rows(labels.violations) == [(3, "Autre")]
+
+
+# ---- ranges and directories
+
+
+def test_day_predicates_are_half_open():
+    assert date_range.day_predicates("Date", "2024-02-28", "2024-03-01") == [
+        "Date >= '2024-02-28' AND Date < '2024-02-29'",
+        "Date >= '2024-02-29' AND Date < '2024-03-01'",
+        "Date >= '2024-03-01' AND Date < '2024-03-02'",
+    ]
+
+
+def test_landed_range_is_pushed_to_the_scan(spark, sf_dir):
+    df = date_range.read_days(spark, f"{sf_dir}/events.parquet", "ts", "2024-01-05", "2024-01-06")
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(ts,2024-01-05T00:00)" in plan
+    assert {r[0] for r in df.selectExpr("cast(ts as date)").distinct().collect()} == {
+        date(2024, 1, 5), date(2024, 1, 6),
+    }
+
+
+def test_directory_of_daily_files(spark, tmp_path):
+    line = student_line("1", "1ABCD", "1", "p", "m", "login").encode("ISO-8859-1")
+    for name in ["synchro_ac.TXT.20240102", "synchro_ac.TXT.20240301.gz", "synchro_ac.TXT", "other.20240102"]:
+        (tmp_path / name).write_bytes(gzip.compress(line) if name.endswith(".gz") else line)
+    df = daily_files.read_student_directory(spark, str(tmp_path))
+    assert rows(df.select("journee")) == [(date(2024, 1, 1),), (date(2024, 2, 29),)]
+    staff = spark.createDataFrame([(date(2024, 1, 1),)], "journee date")
+    assert rows(daily_files.unpaired_days(df, staff)) == [(date(2024, 2, 29),)]
+
+
+def test_stale_files(spark, tmp_path):
+    path = tmp_path / "x.txt"
+    path.write_text("x")
+    today = datetime.now(timezone.utc).date()
+    assert rows(daily_files.stale_files(spark, [str(path)], today)) == []
+    assert len(rows(daily_files.stale_files(spark, [str(path)], date(2000, 1, 1)))) == 1
