@@ -5,8 +5,8 @@ blank that stands for no identifier at all. Neither may end up in one task:
 
 * a blank identifier never links, and its rows are spread over all tasks;
 * identifiers above a share of the rows are matched against a broadcast copy of
-  just their own person rows. There are at most 1/share of them, whatever the size
-  of the data, and the person side has one row per identifier, so that copy is
+  just their own person rows. There are about 1/share of them at most, whatever the
+  size of the data, and the person side has one row per identifier, so that copy is
   bounded. Their rows are spread as well;
 * all other rows take the ordinary equi-join.
 """
@@ -19,14 +19,41 @@ from pyspark.sql import functions as F
 from lutrin.functions.privacy import blank_pseudonym
 from lutrin.operators.merge import latest_by
 
+# A key with more than this share of the rows is hot.
 HOT_SHARE = 0.001
+# Starts the join keys of rows that match nobody; no identifier starts like this.
+SPREAD = "\u0000"
+# Keys a sketch tracks: enough to notice any key of half that share for certain.
+TRACKED = 8000
+# Sketches of single tasks are first merged into this many, then into one.
+SKETCH_GROUPS = 256
 
 
 def hot_keys(df, column, share=HOT_SHARE):
-    """Values of `column` that hold more than `share` of the rows: at most 1/share values."""
-    counts = df.groupBy(column).agg(F.count(F.lit(1)).alias("_rows"))
-    total = counts.agg(F.sum("_rows").alias("_total"))
-    return counts.filter(F.col("_rows") > total.scalar() * F.lit(float(share))).select(column)
+    """Values of `column` that hold more than `share` of the rows: about 1/share values at most.
+
+    Found with frequent-item sketches, in one pass that shuffles a sketch of bounded
+    size per task and no keys. The list only decides which way a row takes to
+    meet its person: a key just around the share may be judged either way, and the
+    joined rows are the same.
+    """
+    sketches = df.groupBy((F.spark_partition_id() % SKETCH_GROUPS).alias("_group")).agg(
+        F.expr(f"approx_top_k_accumulate(`{column}`, {TRACKED})").alias("_sketch"),
+        F.count(F.lit(1)).alias("_rows"),
+    )
+    # Grouped by a constant: a global aggregate cannot serialise the empty state that
+    # a task without rows would leave.
+    merged = sketches.groupBy(F.lit(0).alias("_all")).agg(
+        F.expr(f"approx_top_k_combine(_sketch, {TRACKED})").alias("_sketch"),
+        F.sum("_rows").alias("_total"),
+    )
+    most = max(1, round(1 / share))
+    top = F.expr(f"approx_top_k_estimate(_sketch, {min(most, TRACKED)})")
+    return (
+        merged.select("_total", F.inline(top))
+        .filter(F.col("count") > F.col("_total") * F.lit(float(share)))
+        .select(F.col("item").alias(column))
+    )
 
 
 def unique_persons(persons, key, salts=None):
@@ -41,13 +68,17 @@ def unique_persons(persons, key, salts=None):
     return latest_by(known, [key], [F.desc("journee"), F.asc("usager")])
 
 
-def link(df, persons, on, person_key, columns, how="left", encode=None, share=HOT_SHARE):
+def link(df, persons, on, person_key, columns, how="left", encode=None, hot=None):
     """Join facts to persons (one row per `person_key`) and add person columns.
 
     `on` is the raw identifier column of the facts and `encode` turns it into the
-    person key. Counting the raw values spares a hash per row. `columns` maps
-    person columns to the names they get; existing columns of that name are
-    replaced. Unmatched rows get NULLs (`left`) or are dropped (`inner`).
+    person key. `columns` maps person columns to the names they get; existing
+    columns of that name are replaced. Unmatched rows get NULLs (`left`) or are
+    dropped (`inner`).
+
+    `hot` lists the raw identifiers to keep out of the shuffle. By default they
+    are counted in `df`; a caller whose `df` is costly passes those counted in the
+    tables it was made from.
     """
     encode = encode or (lambda c: c.cast("string"))
     names = list(columns.items())
@@ -57,19 +88,24 @@ def link(df, persons, on, person_key, columns, how="left", encode=None, share=HO
         *[F.col(theirs).alias(f"_p{i}") for i, (theirs, _) in enumerate(names)],
     )
     usable = F.col(on).isNotNull() & (F.col(on).cast("string") != "")
-
+    if hot is None:
+        hot = hot_keys(df.filter(usable).select(on), on)
     if how == "inner":
         df = df.filter(usable)
-    hot = hot_keys(df.filter(usable).select(on), on, share).select(
-        encode(F.col(on)).alias("_key")
-    )
+    return _attach(df, side, F.when(usable, encode(F.col(on))), names, how, hot.select(
+        encode(F.col(hot.columns[0])).alias("_key")
+    ))
+
+
+def _attach(df, side, key, names, how, hot):
+    """Left or inner join on `key` (NULL: never matches), `hot` keys kept out of the shuffle."""
     hot_found = side.join(F.broadcast(hot), "_key", "left_semi")
     hot_rows = hot.join(F.broadcast(hot_found), "_key", "left").select(
         F.col("_key").alias("_hot_key"),
         F.col("_found").alias("_hot_found"),
         *[F.col(f"_p{i}").alias(f"_h{i}") for i in range(len(names))],
     )
-    with_hot = df.withColumn("_key", F.when(usable, encode(F.col(on)))).join(
+    with_hot = df.withColumn("_key", key).join(
         F.broadcast(hot_rows), F.col("_key") == F.col("_hot_key"), "left"
     )
 
@@ -78,7 +114,7 @@ def link(df, persons, on, person_key, columns, how="left", encode=None, share=HO
     # and from content to content.
     settled = F.col("_hot_key").isNotNull() | F.col("_key").isNull()
     spread = F.concat(
-        F.lit("-"), F.spark_partition_id().cast("string"), F.lit("-"), F.xxhash64(*df.columns)
+        F.lit(SPREAD), F.spark_partition_id().cast("string"), F.lit("-"), F.xxhash64(*df.columns)
     )
     spread_out = with_hot.withColumn(
         "_key", F.when(settled, spread).otherwise(F.col("_key"))
@@ -91,21 +127,36 @@ def link(df, persons, on, person_key, columns, how="left", encode=None, share=HO
     return joined.select(*kept, *[value.alias(ours) for ours, value in added.items()])
 
 
-def enrich_missing(df, persons, on, person_key, columns, missing, encode=None, share=HOT_SHARE):
+def enrich_missing(df, persons, on, person_key, columns, missing, encode=None, hot=None):
     """Refresh rows that lack any of `missing` from the persons now known.
 
-    Complete rows are never joined. On a match all `columns` are replaced, also
-    by NULL; without one the row stays as it is.
+    On a match all `columns` are replaced, also by NULL; without one the row stays
+    as it is. Complete rows carry no join key, so they match nobody; splitting them
+    off instead would compute `df` once more.
     """
+    encode = encode or (lambda c: c.cast("string"))
     lacking = reduce(or_, [F.col(c).isNull() for c in missing])
-    renamed = {theirs: f"_new_{ours}" for theirs, ours in columns.items()}
-    side = persons.withColumn("_known", F.lit(True))
-    linked = link(
-        df.filter(lacking), side, on, person_key, {**renamed, "_known": "_known"},
-        encode=encode, share=share,
+    usable = lacking & F.col(on).isNotNull() & (F.col(on).cast("string") != "")
+    if hot is None:
+        hot = hot_keys(df.filter(usable).select(on), on)
+    names = [(theirs, f"_new_{ours}") for theirs, ours in columns.items()]
+    names.append(("_found", "_known"))
+    side = persons.select(
+        F.col(person_key).alias("_key"),
+        F.lit(True).alias("_found"),
+        *[F.col(theirs).alias(f"_p{i}") for i, (theirs, _) in enumerate(names[:-1])],
+        F.lit(True).alias(f"_p{len(names) - 1}"),
+    )
+    linked = _attach(
+        df,
+        side,
+        F.when(usable, encode(F.col(on))),
+        names,
+        "left",
+        hot.select(encode(F.col(hot.columns[0])).alias("_key")),
     )
     replaced = set(columns.values())
-    refreshed = linked.select(
+    return linked.select(
         *[
             (
                 F.when(F.col("_known"), F.col(f"_new_{c}")).otherwise(F.col(c)).alias(c)
@@ -115,4 +166,3 @@ def enrich_missing(df, persons, on, person_key, columns, missing, encode=None, s
             for c in df.columns
         ]
     )
-    return df.filter(~lacking).unionByName(refreshed)

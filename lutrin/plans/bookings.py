@@ -30,17 +30,16 @@ def booking_gates(staging, lookups):
 def build_bookings(staging, persons, lookups, salts):
     """Bookings with person and discipline. Without a person the discipline is unknown;
     a person without a discipline leaves it missing."""
-    kept = kept_bookings(staging, lookups.statuts)
-    named = normalize(kept, ["location_name"], lookups.synonymes, V.BOOKINGS)
     linked = link(
-        named,
+        kept_bookings(staging, lookups.statuts),
         unique_persons(persons, "courriel", salts),
         "email",
         "courriel",
         {"usager": "usager", "discipline": "discipline"},
         encode=lambda c: pseudonymize(c, salts),
     )
-    rows = linked.select(
+    named = normalize(linked, ["location_name"], lookups.synonymes, V.BOOKINGS)
+    rows = named.select(
         "usager",
         pseudonymize(F.col("email"), salts).alias("courriel"),
         F.when(F.col("usager").isNull(), V.UNKNOWN_DISCIPLINE)

@@ -7,7 +7,7 @@ from lutrin.functions.dates import day_of, term_start
 from lutrin.functions.privacy import pseudonymize
 from lutrin.operators import gates as G
 from lutrin.operators.filters import drop_containing
-from lutrin.operators.links import enrich_missing, unique_persons
+from lutrin.operators.links import HOT_SHARE, enrich_missing, hot_keys, unique_persons
 from lutrin.operators.lookups import normalize
 from lutrin.operators.merge import upsert
 from lutrin.schemas import conform
@@ -37,7 +37,7 @@ def computer_gates(staging, synonyms, salts):
     ]
 
 
-def refresh_sessions(sessions, persons, synonyms, salts):
+def refresh_sessions(sessions, persons, synonyms, salts, hot=None):
     """Names, person columns, unknown discipline and term of all given sessions."""
     named = normalize(sessions, ["lieu"], synonyms, V.COMPUTERS)
     known = unique_persons(persons, "usager", salts)
@@ -48,6 +48,7 @@ def refresh_sessions(sessions, persons, synonyms, salts):
         "usager",
         {c: c for c in PERSON_COLUMNS},
         missing=PERSON_COLUMNS,
+        hot=hot,
     )
     filled = linked.withColumn(
         "discipline", F.coalesce("discipline", F.lit(V.UNKNOWN_DISCIPLINE))
@@ -65,8 +66,17 @@ def build_computer_sessions(staging, persons, synonyms, current, salts):
         update=("journee", "lieu", "duree"),
         reset=("session", *PERSON_COLUMNS),
     )
+    # Hot accounts are counted in both tables rather than in their merger; half the
+    # share in one of them is reached by any account that has the share in the whole.
+    hot = (
+        hot_keys(staging, "Utilisateur_Login", HOT_SHARE / 2)
+        .select(pseudonymize(F.col("Utilisateur_Login"), salts).alias("usager"))
+        .union(hot_keys(current, "usager", HOT_SHARE / 2))
+        .distinct()
+    )
     return G.Build(
-        refresh_sessions(merged, persons, synonyms, salts), computer_gates(staging, synonyms, salts)
+        refresh_sessions(merged, persons, synonyms, salts, hot),
+        computer_gates(staging, synonyms, salts),
     )
 
 

@@ -31,49 +31,48 @@ def collapse_outside(loans, home):
     )
 
 
-def dated_loans(staging, synonyms, home):
-    """Loans with a date, institutions named and outside libraries collapsed."""
+def dated_loans(loans, synonyms, home):
+    """Loans with their institutions named and outside libraries collapsed."""
     named = normalize(
-        drop_blank(staging, "date"),
-        ["bibliotheque_pret", "institution_doc", "institution_usager"],
-        synonyms,
-        V.LOANS,
+        loans, ["bibliotheque_pret", "institution_doc", "institution_usager"], synonyms, V.LOANS
     )
     return collapse_outside(named, home)
 
 
 def loan_gates(staging, synonyms, home):
-    loans = dated_loans(staging, synonyms, home)
-    dates = drop_blank(staging, "date")
+    dated = drop_blank(staging, "date")
+    loans = dated_loans(dated, synonyms, home)
     libraries = ["bibliotheque_pret", "bibliotheque_document"]
     return [
         G.Gate("loans: unknown libraries", G.unmapped_names(loans, libraries, synonyms, V.LOANS)),
-        G.Gate(
-            "loans: impossible dates", dates.filter(parse_instant(F.col("date")).isNull())
-        ),
-        G.Gate("loans: odd dates", G.malformed_dates(dates), G.WARN),
+        G.Gate("loans: impossible dates", dated.filter(parse_instant(F.col("date")).isNull())),
+        G.Gate("loans: odd dates", G.malformed_dates(dated), G.WARN),
     ]
 
 
 def loan_source(staging, persons, synonyms, home, salts):
-    """Loans of known persons in the shape of the table."""
-    named = normalize(
-        dated_loans(staging, synonyms, home),
-        ["bibliotheque_pret", "bibliotheque_document"],
-        synonyms,
-        V.LOANS,
-    )
+    """Loans of known persons in the shape of the table.
+
+    Persons are linked first: hot borrowers are then counted on the bare staging
+    column, and names are only looked up for the loans that stay.
+    """
     linked = link(
-        named,
+        drop_blank(staging, "date"),
         unique_persons(persons, "codebarres", salts),
         "cb_usager",
         "codebarres",
-        {"usager": "usager", "courriel": "courriel", "discipline": "discipline"},
+        {"usager": "usager", "courriel": "courriel", "discipline": "discipline", "codebarres": "_cb"},
         how="inner",
         encode=lambda c: pseudonymize(c, salts),
     )
+    named = normalize(
+        dated_loans(linked, synonyms, home),
+        ["bibliotheque_pret", "bibliotheque_document"],
+        synonyms,
+        V.LOANS,
+    )
     instant = parse_instant(F.col("date"))
-    rows = linked.withColumn("cb_usager", pseudonymize(F.col("cb_usager"), salts)).select(
+    rows = named.withColumn("cb_usager", F.col("_cb")).select(
         "*",
         instant.alias("dateheure"),
         day_of(instant).alias("journee"),
@@ -82,10 +81,20 @@ def loan_source(staging, persons, synonyms, home, salts):
     return conform(rows, "emprunts")
 
 
+# What may differ between loans of equal key: the rest follows from borrower and time.
+OWN_COLUMNS = (
+    "cote",
+    "bibliotheque_pret",
+    "bibliotheque_document",
+    "institution_doc",
+    "institution_usager",
+)
+
+
 def build_loans(staging, persons, synonyms, current, home, salts):
     """Current loans plus the new ones; of equal loans in a batch the first by content stays."""
     source = loan_source(staging, persons, synonyms, home, salts)
-    order = [F.asc_nulls_first(c) for c in source.columns if c not in KEY]
+    order = [F.asc_nulls_first(c) for c in OWN_COLUMNS]
     filled = current.withColumn("session", F.coalesce("session", term_start(F.col("journee"))))
     rows = insert_new(filled, source, KEY, order)
     return G.Build(conform(rows, "emprunts"), loan_gates(staging, synonyms, home))

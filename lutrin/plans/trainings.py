@@ -9,7 +9,7 @@ from lutrin.functions.text import blank_to_null
 from lutrin.operators import gates as G
 from lutrin.operators.aggregates import left_count
 from lutrin.operators.filters import drop_containing_any_case
-from lutrin.operators.links import enrich_missing, unique_persons
+from lutrin.operators.links import HOT_SHARE, enrich_missing, hot_keys, unique_persons
 from lutrin.operators.merge import upsert
 from lutrin.schemas import conform
 
@@ -55,7 +55,15 @@ def build_registrations(staging, persons, current, salts):
     merged = upsert(
         current, source, ["id", "evenement_id"], update=("courriel",), reset=("usager",)
     )
-    # The blank pseudonym has no person row, so it stays unlinked; as a hot key it is spread.
+    # The blank pseudonym has no person row, so it stays unlinked; being hot, it is spread.
+    # Hot keys are counted in both tables rather than in their merger; half the share
+    # in one of them is reached by any key that has the share in the whole.
+    hot = (
+        hot_keys(staging, "email", HOT_SHARE / 2)
+        .select(pseudonymize(F.col("email"), salts).alias("courriel"))
+        .union(hot_keys(current.filter(F.col("usager").isNull()), "courriel", HOT_SHARE / 2))
+        .distinct()
+    )
     rows = enrich_missing(
         merged,
         unique_persons(persons, "courriel", salts),
@@ -63,6 +71,7 @@ def build_registrations(staging, persons, current, salts):
         "courriel",
         {"usager": "usager", "discipline": "discipline"},
         missing=["usager"],
+        hot=hot,
     )
     return G.Build(
         conform(rows, "inscriptions"),

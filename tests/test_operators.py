@@ -138,7 +138,7 @@ def test_link_same_with_and_without_hot_keys(spark, salts, share, how):
     )
     linked = links.link(
         facts, people, "email", "courriel", {"usager": "usager", "discipline": "discipline"},
-        how=how, encode=lambda c: pseudonymize(c, salts), share=share,
+        how=how, encode=lambda c: pseudonymize(c, salts), hot=links.hot_keys(facts, "email", share),
     )
     got = {r.n: (r.usager, r.discipline) for r in linked.collect()}
     expected = {i: ("u1", "D1") for i in range(50)} | {100: ("u2", None)}
@@ -153,6 +153,8 @@ def test_hot_keys_are_few(spark):
         F.when(F.col("id") < 4000, "hot").otherwise(F.col("id").cast("string")).alias("k")
     )
     assert rows(links.hot_keys(df, "k")) == [("hot",)]
+    assert rows(links.hot_keys(df.filter("k = 'none'"), "k")) == []
+    assert rows(links.hot_keys(df.filter("k = 'hot'").limit(1), "k")) == [("hot",)]
 
 
 def test_hot_rows_do_not_meet_in_one_task(spark, salts):
