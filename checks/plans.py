@@ -472,7 +472,7 @@ STUDENT_SQL = f"""
 """
 
 
-def student_staging(t, day=None):
+def student_staging(t):
     return t("customer").select(
         F.expr("'b' || c_custkey").alias("codebarres"),
         F.expr(f"{CYCLE} || c_mktsegment").alias("codeCycle"),
@@ -480,7 +480,7 @@ def student_staging(t, day=None):
         F.expr("'N' || c_nationkey").alias("programme"),
         F.expr("'u' || c_custkey").alias("courriel"),
         F.col("c_name").alias("login"),
-        (day if day is not None else F.lit("2024-01-10").cast("date")).alias("journee"),
+        F.lit("2024-01-10").cast("date").alias("journee"),
     )
 
 
@@ -689,15 +689,28 @@ def weighted_stats(spark, t):
     return stats.withColumn("nb_personnes", F.round("nb_personnes", 6).cast("double"))
 
 
+BACKFILL_PROGRAMMES = [
+    ("F", None, "NATION_1"),
+    ("O", None, "NATION_2"),
+    ("P", "5-LOW", "NATION_3"),
+    ("P", "4-NOT SPECIFIED", "NATION_4"),
+    ("P", "3-MEDIUM", "NATION_5"),
+    ("P", "2-HIGH", "NATION_6"),
+    ("P", "1-URGENT", "NATION_7"),
+]
+BACKFILL_CYCLE = "translate(substr(o_orderpriority, 1, 1), '5', 'C')"
+
+
 @check(
     f"""
-    WITH {STUDENT_SQL},
-    st AS (SELECT CAST(o_orderdate AS DATE) AS journee, s.* FROM orders JOIN student s ON o_custkey = c_custkey),
+    WITH st AS (SELECT CAST(o_orderdate AS DATE) AS journee, 'u' || o_custkey AS login,
+        CASE WHEN o_orderstatus = 'F' THEN 'NATION_1' WHEN o_orderstatus = 'O' THEN 'NATION_2'
+             ELSE 'NATION_' || (8 - CAST(substr(o_orderpriority, 1, 1) AS INTEGER)) END AS discipline FROM orders),
     sf AS (SELECT DISTINCT CAST(l_shipdate AS DATE) AS journee, l_suppkey FROM lineitem),
-    bad AS (SELECT DISTINCT journee FROM st GROUP BY journee, c_name HAVING count(*) > 1),
+    bad AS (SELECT journee FROM st GROUP BY journee, login HAVING count(*) > 1),
     good AS (SELECT DISTINCT journee FROM st WHERE journee IN (SELECT journee FROM sf)
              AND journee NOT IN (SELECT journee FROM bad)),
-    every AS (SELECT journee, c_name AS login, 'Étudiant' AS fonction, discipline FROM st
+    every AS (SELECT journee, login, 'Étudiant' AS fonction, discipline FROM st
               UNION ALL SELECT journee, s_name, 'Personnel', n_name FROM sf
                 JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON n_nationkey = s_nationkey),
     last AS (SELECT *, row_number() OVER (PARTITION BY login ORDER BY journee DESC) AS r FROM every
@@ -708,10 +721,16 @@ def weighted_stats(spark, t):
     """
 )
 def people_backfill(spark, t):
-    """Orders date the student files and shipments the staff files, over all days at once."""
-    days = t("orders").select(F.col("o_custkey").alias("c_custkey"), "o_orderdate")
-    customers = t("customer").join(days, "c_custkey")
-    student_rows = student_staging(lambda _: customers, F.col("o_orderdate").cast("date"))
+    """Orders stand for the student files of their days, shipments for the staff files."""
+    student_rows = t("orders").select(
+        F.expr("'b' || o_custkey").alias("codebarres"),
+        F.expr(f"{BACKFILL_CYCLE} || o_orderstatus").alias("codeCycle"),
+        F.lit("").alias("codeProgramme"),
+        F.col("o_orderpriority").alias("programme"),
+        F.expr("'u' || o_custkey").alias("courriel"),
+        F.expr("'u' || o_custkey").alias("login"),
+        F.col("o_orderdate").cast("date").alias("journee"),
+    )
     shipments = (
         t("lineitem")
         .select(F.col("l_shipdate").cast("date").alias("journee"), F.col("l_suppkey").alias("s_suppkey"))
@@ -732,8 +751,9 @@ def people_backfill(spark, t):
     units = t("nation").select(
         F.expr("'Brand#' || n_nationkey").alias("code"), F.col("n_name").alias("discipline")
     )
+    programmes = values(spark, BACKFILL_PROGRAMMES, ["code", "nom", "discipline"])
     tables = lookup_tables.Lookups(
-        base.programmes, base.programmes_laval, base.disciplines, units, None, base.cycles, None
+        programmes, base.programmes_laval, base.disciplines, units, None, base.cycles, None
     )
     nobody = conform(t("customer").filter("false"), "_clientele_cumul")
     result = backfill.build_backfill(student_rows, staff_rows, tables, SALTS, nobody)

@@ -47,6 +47,12 @@ def report(violations, sep="\t"):
     return violations.select(report_line(violations.columns, sep).alias("value"))
 
 
+def write_report(violations, path, sep="\t"):
+    """All violations as delimited text with a header, one file per task."""
+    text = [F.coalesce(F.col(c).cast("string"), F.lit("None")).alias(c) for c in violations.columns]
+    violations.select(*text).write.mode("overwrite").option("sep", sep).option("header", True).csv(path)
+
+
 def preview(violations, rows=PREVIEW, sep="\t"):
     """Header and the first lines, for a message. The whole report is `report`."""
     lines = [r.value for r in report(violations, sep).take(rows)]
@@ -172,11 +178,11 @@ def too_long(df, lengths):
     return df.filter(any_over).select(F.inline(over))
 
 
-def contract_gates(df, name):
+def contract_gates(df, name, key=True):
     """Key and length gates of a table, for the columns that `df` has."""
     spec = TABLES[name]
     gates = []
-    if spec.key and set(spec.key) <= set(df.columns):
+    if key and spec.key and set(spec.key) <= set(df.columns):
         gates.append(Gate(f"{name}: key", broken_keys(df, spec.key)))
     lengths = {
         f.name: f.metadata[MAX_LENGTH]

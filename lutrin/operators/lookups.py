@@ -22,16 +22,15 @@ def synonyms_of(synonyms, domain):
 def normalize(df, columns, synonyms, domain):
     """Replace rejected names by accepted ones in each column; other names stay."""
     names = synonyms_of(synonyms, domain)
-    for column in columns:
+    joined = df
+    accepted = {}
+    for i, column in enumerate(columns):
         renamed = names.select(
-            F.col("rejeter").alias(column), F.col("accepter").alias("_accepted")
+            F.col("rejeter").alias(f"_rejected{i}"), F.col("accepter").alias(f"_accepted{i}")
         )
-        df = (
-            df.join(renamed, column, "left")
-            .withColumn(column, F.coalesce("_accepted", column))
-            .select(*df.columns)
-        )
-    return df
+        joined = joined.join(renamed, F.col(column) == F.col(f"_rejected{i}"), "left")
+        accepted[column] = F.coalesce(f"_accepted{i}", column).alias(column)
+    return joined.select(*[accepted.get(c, F.col(c)) for c in df.columns])
 
 
 def lookup(df, table, on, value, into=None):

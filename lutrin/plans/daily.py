@@ -6,17 +6,21 @@ from datetime import date, timedelta
 from pyspark.sql import functions as F
 
 from lutrin.functions.dates import day_of, parse_instant
-from lutrin.operators.gates import Gate, GateFailure, run_gates
+from lutrin.operators.gates import Gate, GateFailure, contract_gates, run_gates
 from lutrin.plans.bookings import build_bookings
-from lutrin.plans.computers import build_computer_sessions, computer_source, days_to_refresh
+from lutrin.plans.computers import (
+    build_computer_sessions,
+    computer_gates,
+    computer_source,
+    days_to_refresh,
+)
 from lutrin.plans.loans import build_loans, loan_gates
 from lutrin.plans.people import (
+    add_day,
     build_snapshot,
     build_staff,
     build_students,
     discipline_stats,
-    latest_people,
-    merge_people,
 )
 from lutrin.plans.lookup_tables import with_missing_factors
 from lutrin.plans.traffic import build_traffic
@@ -72,15 +76,19 @@ def run_people(run):
     )
     student_build = build_students(students, run.lookups, run.salts)
     staff_build = build_staff(staff, students, run.lookups, run.salts)
-    checks += run_gates(student_build.gates + staff_build.gates)
+    checks += run_gates(
+        student_build.gates
+        + contract_gates(students, "_tmp_etudiants", key=False)
+        + contract_gates(staff, "_tmp_personnel", key=False)
+    )
     before = run.warehouse.read_state(PEOPLE, run.day, inclusive=False)
-    merged = merge_people(before, student_build.rows, staff_build.rows)
+    today, dim = add_day(before, student_build.rows, staff_build.rows, run.day)
     if run.snapshot:
-        run.warehouse.write_days("clientele", build_snapshot(merged, run.day))
+        run.warehouse.write_days("clientele", build_snapshot(today, run.day))
         disciplines = with_missing_factors(run.lookups.disciplines)
         stats = discipline_stats(run.warehouse.read("clientele"), disciplines)
         run.warehouse.overwrite("disciplines_stats", stats)
-    run.warehouse.write_state(PEOPLE, latest_people(merged), run.day)
+    run.warehouse.write_state(PEOPLE, dim, run.day)
     return checks
 
 
@@ -91,7 +99,7 @@ def run_bookings(run):
         "_tmp_reservations", to_table_types(pages, "_tmp_reservations")
     )
     build = build_bookings(staging, run.persons(), run.lookups, run.salts)
-    checks += run_gates(build.gates)
+    checks += run_gates(build.gates + contract_gates(staging, "_tmp_reservations"))
     run.warehouse.write_days("reservations", build.rows)
     return checks
 
@@ -104,7 +112,7 @@ def run_events(run):
     registrations = read_registrations(run.spark, run.inputs["registrations"])
     before = run.warehouse.read_state("evenements", run.day, inclusive=False)
     build = build_events(events, registrations, before)
-    checks = run_gates(build.gates)
+    checks = run_gates(build.gates + contract_gates(events, "_tmp_evenements", key=False))
     run.warehouse.write_state("evenements", build.rows, run.day)
     return checks
 
@@ -115,7 +123,7 @@ def run_registrations(run):
     )
     before = run.warehouse.read_state("inscriptions", run.day, inclusive=False)
     build = build_registrations(staging, run.persons(), before, run.salts)
-    checks = run_gates(build.gates)
+    checks = run_gates(build.gates + contract_gates(staging, "_tmp_inscriptions", key=False))
     run.warehouse.write_state("inscriptions", build.rows, run.day)
     return checks
 
@@ -128,7 +136,11 @@ def run_traffic(run):
     days = days_in(entries.select(F.col("Date").cast("date").alias("journee")))
     current = run.warehouse.read_days("frequentation", days)
     build = build_traffic(entries, occupancy, run.lookups.synonymes, current)
-    checks = run_gates(build.gates)
+    checks = run_gates(
+        build.gates
+        + contract_gates(entries, "_tmp_frequentation")
+        + contract_gates(occupancy, "_tmp_occupation")
+    )
     run.warehouse.write_days("frequentation", build.rows)
     return checks
 
@@ -138,15 +150,16 @@ def run_computers(run):
         "_tmp_sessions_ordinateurs",
         load_staging(run.spark, "_tmp_sessions_ordinateurs", run.inputs["computers"]),
     )
-    persons = run.persons()
+    persons, synonyms = run.persons(), run.lookups.synonymes
+    checks = run_gates(
+        computer_gates(staging, synonyms, run.salts)
+        + contract_gates(staging, "_tmp_sessions_ordinateurs")
+    )
     current = run.warehouse.read("sessions_ordinateurs")
     days = set(days_in(computer_source(staging, run.salts)))
     days |= set(days_in(days_to_refresh(current, persons, run.salts)))
     touched = run.warehouse.read_days("sessions_ordinateurs", sorted(days))
-    build = build_computer_sessions(
-        staging, persons, run.lookups.synonymes, touched, run.salts
-    )
-    checks = run_gates(build.gates)
+    build = build_computer_sessions(staging, persons, synonyms, touched, run.salts)
     run.warehouse.write_days("sessions_ordinateurs", build.rows)
     return checks
 
@@ -154,7 +167,9 @@ def run_computers(run):
 def run_loans(run):
     staging = run.warehouse.stage("_tmp_emprunts", read_loans(run.spark, run.inputs["loans"]))
     persons, synonyms = run.persons(), run.lookups.synonymes
-    checks = run_gates(loan_gates(staging, synonyms, run.home))
+    checks = run_gates(
+        loan_gates(staging, synonyms, run.home) + contract_gates(staging, "_tmp_emprunts")
+    )
     days = days_in(staging.select(day_of(parse_instant(F.col("date"))).alias("journee")))
     touched = run.warehouse.read_days("emprunts", days)
     build = build_loans(staging, persons, synonyms, touched, run.home, run.salts)

@@ -142,6 +142,18 @@ def update_person_dim(current, students, staff):
     return latest_people(merge_people(current, students, staff))
 
 
+def add_day(current, students, staff, day):
+    """The person table before and after older rows are dropped, for people of one day.
+
+    Returns the merged rows of the day and the whole new table. Only rows of that
+    day can meet the day's people, so only they go through the merge; the rest of
+    the table is shuffled once, by person.
+    """
+    same_day = F.col("journee") == F.lit(str(day)).cast("date")
+    today = merge_people(current.filter(same_day), students, staff)
+    return today, latest_people(current.filter(~same_day).unionByName(today))
+
+
 def build_snapshot(people, day=None):
     """The audience of a day, or of every day present."""
     rows = people.filter(F.col("clientele"))

@@ -126,6 +126,19 @@ def test_same_day_reload_keeps_what_it_does_not_list(spark):
     assert (row.code_unite, row.unite, row.discipline, row.session, row.code_programme) == ("U", "N", None, "kept", "P")
 
 
+def test_adding_a_day_equals_the_whole_merge(spark, tmp_path, lookups, salts):
+    students, staff = stage(spark, tmp_path)
+    new = (
+        people.build_students(students, lookups, salts).rows,
+        people.build_staff(staff, students, lookups, salts).rows,
+    )
+    older = people.update_person_dim(empty_table(spark, "_clientele_cumul"), *new)
+    shifted = older.withColumn("journee", F.expr(f"CASE WHEN fonction = 'Personnel' THEN date'{DAY}' ELSE date'2023-09-05' END"))
+    current = spark.createDataFrame(shifted.collect(), older.schema)
+    _, dim = people.add_day(current, *new, DAY)
+    assert rows(dim) == rows(people.update_person_dim(current, *new))
+
+
 # ---- the daily run
 
 
