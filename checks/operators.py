@@ -12,7 +12,14 @@ from checks.registry import (
     values,
     values_sql,
 )
-from lutrin.functions.dates import date_chunks, day_in_name, day_of, normalize_date, term_start
+from lutrin.functions.dates import (
+    date_chunks,
+    day_in_name,
+    day_of,
+    normalize_date,
+    parse_instant,
+    term_start,
+)
 from lutrin.functions.people import (
     staff_audience,
     staff_function,
@@ -25,14 +32,12 @@ from lutrin.operators import aggregates as A
 from lutrin.operators import filters
 from lutrin.operators import gates as G
 from lutrin.operators import links, lookups, merge
+from lutrin.plans.computers import days_to_refresh
 from lutrin.plans.loans import collapse_outside
+from lutrin.sources.daily_files import unpaired_days as unpaired
 from lutrin.sources.fixed_width import slice_fields
-from lutrin.sources.json_pages import (
-    explode_children as children_of,
-    pivot_fields,
-    project,
-    unexpected_labels,
-)
+from lutrin.sources.json_pages import explode_children as children_of
+from lutrin.sources.json_pages import pivot_fields, project, short_pages, unexpected_labels
 
 # ---- scalar expressions -------------------------------------------------------
 
@@ -266,6 +271,25 @@ def date_range_scan(spark, t):
     )
 
 
+@check(
+    """
+    SELECT o_orderkey, x AS date FROM (SELECT o_orderkey, CASE o_orderpriority WHEN '5-LOW' THEN ''
+      WHEN '1-URGENT' THEN NULL ELSE o_orderpriority END AS x FROM orders) WHERE x <> ''
+    """
+)
+def drop_blank(spark, t):
+    text = F.expr(
+        "CASE o_orderpriority WHEN '5-LOW' THEN '' WHEN '1-URGENT' THEN NULL ELSE o_orderpriority END"
+    )
+    return filters.drop_blank(t("orders").select("o_orderkey", text.alias("date")), "date")
+
+
+@check(f"SELECT p_partkey FROM part WHERE {STAFF_STATUS} NOT IN ('Q', 'X')")
+def drop_retired(spark, t):
+    rows = t("part").select("p_partkey", F.expr(STAFF_STATUS).alias("Statut"))
+    return filters.drop_retired(rows).drop("Statut")
+
+
 # ---- lookups ------------------------------------------------------------------
 
 NATION_NAMES_SQL = """
@@ -590,6 +614,32 @@ def fallback_unknown(spark, t):
     )
 
 
+@check(
+    """
+    WITH persons AS (SELECT c_custkey, c_mktsegment FROM customer WHERE c_acctbal >= 0)
+    SELECT DISTINCT CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS journee FROM orders
+    JOIN persons ON o_custkey = c_custkey WHERE o_orderstatus = 'P' AND o_totalprice > 400000
+    """
+)
+def sessions_to_refresh(spark, t):
+    known = "o_orderstatus <> 'P' OR o_totalprice <= 400000"
+    sessions = t("orders").select(
+        F.col("o_custkey").cast("string").alias("usager"),
+        F.col("o_orderdate").cast("date").alias("journee"),
+        F.expr(f"CASE WHEN {known} THEN 'c' END").alias("courriel"),
+        F.expr(f"CASE WHEN {known} THEN 'd' ELSE 'Inconnue' END").alias("discipline"),
+        F.expr(f"CASE WHEN {known} THEN 'b' END").alias("bibliotheque"),
+    )
+    persons = t("customer").filter("c_acctbal >= 0").select(
+        F.lit("2024-01-01").cast("date").alias("journee"),
+        F.col("c_custkey").cast("string").alias("usager"),
+        F.col("c_name").alias("courriel"),
+        F.col("c_mktsegment").alias("discipline"),
+        F.col("c_name").alias("bibliotheque"),
+    )
+    return days_to_refresh(sessions, persons, SALTS).select(F.col("journee").cast("string"))
+
+
 # ---- aggregates ---------------------------------------------------------------
 
 
@@ -747,6 +797,24 @@ def upsert_reset(spark, t):
     )
 
 
+@check(
+    f"""
+    WITH {OVERLAP_SQL}
+    SELECT coalesce(c.o_orderkey, n.o_orderkey) AS o_orderkey,
+           coalesce(n.o_custkey, c.o_custkey) AS o_custkey,
+           coalesce(c.o_orderstatus, n.o_orderstatus) AS o_orderstatus,
+           coalesce(nullif(n.o_orderpriority, '5-LOW'), c.o_orderpriority) AS o_orderpriority
+    FROM cur c FULL JOIN new n ON c.o_orderkey = n.o_orderkey
+    """
+)
+def upsert_fill(spark, t):
+    current, new = overlapping_orders(t)
+    partial = new.withColumn("o_orderpriority", F.expr("nullif(o_orderpriority, '5-LOW')"))
+    return merge.upsert(
+        current, partial, ["o_orderkey"], update=["o_custkey"], fill=["o_orderpriority"]
+    )
+
+
 @check(
     """
     WITH cur AS (SELECT o_custkey, o_orderdate, o_orderkey FROM orders
@@ -914,6 +982,42 @@ def report_lines(spark, t):
     return G.report(rows)
 
 
+@check(
+    f"""
+    SELECT o_orderkey, date FROM (SELECT o_orderkey, {RENDERED_DATE} AS date FROM orders)
+    WHERE try_strptime(substr(date, 1, 19), '%Y-%m-%d %H:%M:%S') IS NULL
+    """
+)
+def impossible_dates(spark, t):
+    rows = rendered_orders(t).select("o_orderkey", "date")
+    return rows.filter(parse_instant(F.col("date")).isNull())
+
+
+@check(
+    """
+    WITH numbered AS (SELECT conv_id AS page, count(*) AS nb FROM conversations GROUP BY 1)
+    SELECT page, nb FROM numbered WHERE nb < 6 AND page <> (SELECT max(page) FROM numbered)
+    """
+)
+def short_page_gate(spark, t):
+    name = F.concat(F.lit("page-"), F.col("conv_id").cast("string"), F.lit(".json"))
+    return short_pages(t("conversations").select(name.alias("fichier")), 6)
+
+
+@check(
+    """
+    SELECT DISTINCT CAST(CAST(l_shipdate AS DATE) AS VARCHAR) AS journee FROM lineitem
+    WHERE CAST(l_shipdate AS DATE) NOT IN (SELECT CAST(o_orderdate AS DATE) FROM orders)
+    """
+)
+def unpaired_days(spark, t):
+    days = unpaired(
+        t("lineitem").select(F.col("l_shipdate").cast("date").alias("journee")),
+        t("orders").select(F.col("o_orderdate").cast("date").alias("journee")),
+    )
+    return days.select(F.col("journee").cast("string"))
+
+
 # ---- record shapes ------------------------------------------------------------
 
 

@@ -725,7 +725,7 @@ def people_backfill(spark, t):
     student_rows = t("orders").select(
         F.expr("'b' || o_custkey").alias("codebarres"),
         F.expr(f"{BACKFILL_CYCLE} || o_orderstatus").alias("codeCycle"),
-        F.lit("").alias("codeProgramme"),
+        F.col("o_orderstatus").alias("codeProgramme"),
         F.col("o_orderpriority").alias("programme"),
         F.expr("'u' || o_custkey").alias("courriel"),
         F.expr("'u' || o_custkey").alias("login"),

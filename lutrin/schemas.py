@@ -7,6 +7,7 @@ of staff rows, is made by the scan (`sources.fixed_width`).
 
 from dataclasses import dataclass
 
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 MAX_LENGTH = "max_length"
@@ -227,8 +228,8 @@ DOMAINS = {
     "evenements": ("_tmp_evenements", "evenements"),
     "ordinateurs": ("_tmp_sessions_ordinateurs", "sessions_ordinateurs"),
     "frequentation": ("_tmp_frequentation", "_tmp_occupation", "frequentation"),
-    "synchro": ("_tmp_etudiants", "_tmp_personnel", "_clientele_cumul", "clientele"),
-    "usagers_stats": ("disciplines_stats",),
+    "people": ("_tmp_etudiants", "_tmp_personnel", "_clientele_cumul", "clientele"),
+    "statistics": ("disciplines_stats",),
     "emprunts": ("_tmp_emprunts", "emprunts"),
 }
 
@@ -243,8 +244,6 @@ def empty_table(spark, name):
 
 def conform(df, name):
     """Select the columns of a table in their order and types; missing ones are NULL."""
-    from pyspark.sql import functions as F
-
     have = {c.lower(): c for c in df.columns}
     return df.select(
         *[
