@@ -44,7 +44,12 @@ class Result:
 
 @dataclass(frozen=True)
 class Run:
-    """What the domains of one run share. `inputs` maps input names to paths."""
+    """What the domains of one run share.
+
+    `inputs` maps input names to paths. `multiline` may be switched off when no text
+    in the delimited files holds a line break: large files are then split. People
+    files not changed on the day `fresh_on` stop their domain.
+    """
 
     warehouse: object
     inputs: dict
@@ -54,6 +59,7 @@ class Run:
     home: str = ""
     snapshot: bool = False
     fresh_on: str = ""
+    multiline: bool = True
 
     @property
     def spark(self):
@@ -63,6 +69,11 @@ class Run:
         return self.warehouse.read_state(PEOPLE, self.day)
 
 
+def _load(run, name, source):
+    rows = load_staging(run.spark, name, run.inputs[source], multiline=run.multiline)
+    return run.warehouse.stage(name, rows)
+
+
 def run_people(run):
     files = [run.inputs["students"], run.inputs["staff"]]
     checks = []
@@ -84,7 +95,7 @@ def run_people(run):
     before = run.warehouse.read_state(PEOPLE, run.day, inclusive=False)
     today, dim = add_day(before, student_build.rows, staff_build.rows, run.day)
     if run.snapshot:
-        run.warehouse.write_days("clientele", build_snapshot(today, run.day))
+        run.warehouse.write_day("clientele", build_snapshot(today, run.day), run.day)
         disciplines = with_missing_factors(run.lookups.disciplines)
         stats = discipline_stats(run.warehouse.read("clientele"), disciplines)
         run.warehouse.overwrite("disciplines_stats", stats)
@@ -129,10 +140,8 @@ def run_registrations(run):
 
 
 def run_traffic(run):
-    entries = load_staging(run.spark, "_tmp_frequentation", run.inputs["entries"])
-    occupancy = load_staging(run.spark, "_tmp_occupation", run.inputs["occupancy"])
-    entries = run.warehouse.stage("_tmp_frequentation", entries)
-    occupancy = run.warehouse.stage("_tmp_occupation", occupancy)
+    entries = _load(run, "_tmp_frequentation", "entries")
+    occupancy = _load(run, "_tmp_occupation", "occupancy")
     days = days_in(entries.select(F.col("Date").cast("date").alias("journee")))
     current = run.warehouse.read_days("frequentation", days)
     build = build_traffic(entries, occupancy, run.lookups.synonymes, current)
@@ -146,10 +155,7 @@ def run_traffic(run):
 
 
 def run_computers(run):
-    staging = run.warehouse.stage(
-        "_tmp_sessions_ordinateurs",
-        load_staging(run.spark, "_tmp_sessions_ordinateurs", run.inputs["computers"]),
-    )
+    staging = _load(run, "_tmp_sessions_ordinateurs", "computers")
     persons, synonyms = run.persons(), run.lookups.synonymes
     checks = run_gates(
         computer_gates(staging, synonyms, run.salts)
@@ -165,7 +171,8 @@ def run_computers(run):
 
 
 def run_loans(run):
-    staging = run.warehouse.stage("_tmp_emprunts", read_loans(run.spark, run.inputs["loans"]))
+    loans = read_loans(run.spark, run.inputs["loans"], multiline=run.multiline)
+    staging = run.warehouse.stage("_tmp_emprunts", loans)
     persons, synonyms = run.persons(), run.lookups.synonymes
     checks = run_gates(
         loan_gates(staging, synonyms, run.home) + contract_gates(staging, "_tmp_emprunts")

@@ -54,6 +54,13 @@ class Warehouse:
             .parquet(self.path(name))
         )
 
+    def write_day(self, name, rows, day):
+        """Replace one day, also by nothing. `rows` must not read that day of the table."""
+        path = f"{self.path(name)}/{DAY}={day}"
+        rows.filter(F.col(DAY) == F.lit(str(day)).cast("date")).drop(DAY).write.mode(
+            "overwrite"
+        ).parquet(path)
+
     def overwrite(self, name, rows):
         """Replace a whole table that `rows` does not read."""
         rows.write.mode("overwrite").parquet(self.path(name))

@@ -293,6 +293,39 @@ def test_later_run_refreshes_older_sessions(spark, tmp_path, lookups, salts, nam
     }
 
 
+def test_empty_snapshot_clears_its_day(spark, tmp_path):
+    warehouse = Warehouse(spark, str(tmp_path))
+    row = conform(spark.sql("SELECT 'u' AS usager, date'2024-01-10' AS journee, true AS clientele"), "_clientele_cumul")
+    for day in ("2024-01-10", "2024-01-11"):
+        other = row.withColumn("journee", F.lit(day).cast("date"))
+        warehouse.write_day("clientele", people.build_snapshot(other, day), day)
+    warehouse.write_day("clientele", people.build_snapshot(row.filter("false"), "2024-01-10"), "2024-01-10")
+    assert [str(r.journee) for r in warehouse.read("clientele").collect()] == ["2024-01-11"]
+
+
+def test_only_touched_days_are_read_and_written(spark, tmp_path):
+    warehouse = Warehouse(spark, str(tmp_path))
+    rows_ = conform(
+        spark.sql("SELECT explode(sequence(date'2024-01-01', date'2024-01-09')) AS journee, 'B' AS bibliotheque"),
+        "frequentation",
+    )
+    warehouse.write_days("frequentation", rows_)
+    some = warehouse.read_days("frequentation", [date(2024, 1, 3), date(2024, 1, 4)])
+    assert "PartitionFilters: [journee" in some._jdf.queryExecution().executedPlan().toString()
+    # The days being replaced are read by the job that replaces them.
+    warehouse.write_days("frequentation", some.withColumn("frequentation", F.lit(5).cast("bigint")))
+    got = {r.journee.day: r.frequentation for r in warehouse.read("frequentation").collect()}
+    assert got == {d: (5 if d in (3, 4) else None) for d in range(1, 10)}
+
+
+def test_split_files_give_the_same_run(daily, spark, tmp_path):
+    run, _ = daily
+    other = replace(run, warehouse=Warehouse(spark, str(tmp_path)), multiline=False, snapshot=False)
+    assert all(r.done for r in run_daily(other, ["people", "traffic", "computers", "loans"]).values())
+    for name in ("frequentation", "sessions_ordinateurs", "emprunts"):
+        assert content(other.warehouse, name) == content(run.warehouse, name)
+
+
 def test_stale_files_stop_people(spark, tmp_path, lookups, salts):
     inputs = landing.land_day(tmp_path / "one")
     run = Run(Warehouse(spark, str(tmp_path / "w")), inputs, lookups, salts, DAY, fresh_on="2000-01-01")

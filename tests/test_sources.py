@@ -197,10 +197,28 @@ def test_desk_transactions(spark, tmp_path):
 
 def test_day_predicates_are_half_open():
     assert date_range.day_predicates("Date", "2024-02-28", "2024-03-01") == [
-        "Date >= '2024-02-28' AND Date < '2024-02-29'",
-        "Date >= '2024-02-29' AND Date < '2024-03-01'",
-        "Date >= '2024-03-01' AND Date < '2024-03-02'",
+        "Date >= '2024-02-28 00:00:00' AND Date < '2024-02-29 00:00:00'",
+        "Date >= '2024-02-29 00:00:00' AND Date < '2024-03-01 00:00:00'",
+        "Date >= '2024-03-01 00:00:00' AND Date < '2024-03-02 00:00:00'",
     ]
+    assert date_range.day_predicates("d", "2024-02-28", "2024-02-28", slices=2) == [
+        "d >= '2024-02-28 00:00:00' AND d < '2024-02-28 12:00:00'",
+        "d >= '2024-02-28 12:00:00' AND d < '2024-02-29 00:00:00'",
+    ]
+
+
+def test_predicates_take_every_row_once(spark, sf_dir):
+    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    total = 0
+    for slices in (1, 3):
+        parts = date_range.day_predicates("ts", "2024-01-03", "2024-01-09", slices)
+        assert len(parts) == 7 * slices
+        matched = events.selectExpr(*[f"cast({p} as int) as c{i}" for i, p in enumerate(parts)])
+        sums = matched.selectExpr(" + ".join(matched.columns) + " as n").groupBy("n").count().collect()
+        counts = {r["n"]: r["count"] for r in sums}
+        assert set(counts) <= {0, 1}
+        assert total in (0, counts[1])
+        total = counts[1]
 
 
 def test_landed_range_is_pushed_to_the_scan(spark, sf_dir):
