@@ -157,7 +157,8 @@ def rendered_orders(t):
       CASE WHEN regexp_matches(date, '^\\d{{4}}-\\d{{2}}-\\d{{2}} \\d{{2}}:\\d{{2}}:\\d{{2}}') THEN date
            ELSE strftime(try_strptime(date, '%d/%m/%Y %H:%M:%S'), '%Y-%m-%d %H:%M:%S') END AS date
     FROM (SELECT o_orderkey, {RENDERED_DATE} AS date FROM orders)
-    """
+    """,
+    name="normalize_date",
 )
 def normalize_dates(spark, t):
     return rendered_orders(t).select("o_orderkey", normalize_date(F.col("date")).alias("date"))
@@ -181,7 +182,8 @@ def date_gate(spark, t):
     SELECT event_type, CAST(CAST(d AS DATE) AS VARCHAR) AS debut,
            CAST(least(CAST(d AS DATE) + 9, b) AS VARCHAR) AS fin
     FROM w
-    """
+    """,
+    name="date_chunks",
 )
 def windows_of_days(spark, t):
     day = day_of(F.col("ts"))
@@ -466,7 +468,8 @@ def fill_missing(spark, t):
 
 @check(
     "SELECT o_orderkey, nullif(CASE WHEN o_orderstatus = 'P' THEN '' ELSE o_orderpriority END, '')"
-    " AS presentateur FROM orders"
+    " AS presentateur FROM orders",
+    name="blank_to_null",
 )
 def blank_as_missing(spark, t):
     text = F.when(F.col("o_orderstatus") == "P", "").otherwise(F.col("o_orderpriority"))

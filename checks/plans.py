@@ -771,10 +771,10 @@ PARAMETERS = {"page": "Unités", "ref": "Localisation", "utm_source": "Modalité
     """
     WITH q AS (SELECT page_id, url, string_split(regexp_extract(url, '\\?([^#]*)', 1), '&') AS l FROM pages)
     SELECT CAST(page_id AS VARCHAR) AS transaction_id, url AS created, '' AS owner,
-      coalesce(regexp_extract(list_filter(l, lambda x: starts_with(x, 'page='))[-1], '=(.*)$', 1), '') AS "Unités",
-      coalesce(regexp_extract(list_filter(l, lambda x: starts_with(x, 'ref='))[-1], '=(.*)$', 1), '') AS "Localisation",
-      '' AS "Type d'intervention",
-      coalesce(regexp_extract(list_filter(l, lambda x: starts_with(x, 'utm_source='))[-1], '=(.*)$', 1), '') AS "Modalité"
+      coalesce(regexp_extract(list_filter(l, lambda x: starts_with(x, 'page='))[-1], '=(.*)$', 1), '') AS unites,
+      coalesce(regexp_extract(list_filter(l, lambda x: starts_with(x, 'ref='))[-1], '=(.*)$', 1), '') AS localisation,
+      '' AS intervention,
+      coalesce(regexp_extract(list_filter(l, lambda x: starts_with(x, 'utm_source='))[-1], '=(.*)$', 1), '') AS modalite
     FROM q
     """
 )
@@ -794,7 +794,7 @@ def desk_transactions(spark, t):
             label(x).alias("field_label"), F.regexp_extract(x, "=(.*)$", 1).alias("field_answer")
         ),
     )
-    return flatten_transactions(
+    flat = flatten_transactions(
         t("pages").select(
             F.col("page_id").alias("transaction_id"),
             F.col("url").alias("created"),
@@ -802,3 +802,6 @@ def desk_transactions(spark, t):
             fields.alias("custom_fields"),
         )
     )
+    return flat.toDF(
+        "transaction_id", "created", "owner", "unites", "localisation", "intervention", "modalite"
+    )

@@ -11,16 +11,18 @@ SQL = {}
 SALTS = Salts("p-", "-s")
 
 
-def check(sql=None):
-    """Register a function (spark, table reader) -> DataFrame under its own name."""
+def check(sql=None, name=None):
+    """Register a function (spark, table reader) -> DataFrame, under its own name or `name`."""
 
     def add(build):
+        known = name or build.__name__
+
         def query(spark, sf_dir):
             return build(spark, lambda name: spark.read.parquet(f"{sf_dir}/{name}.parquet"))
 
-        QUERIES[build.__name__] = query
+        QUERIES[known] = query
         if sql:
-            SQL[build.__name__] = sql
+            SQL[known] = sql
         return build
 
     return add

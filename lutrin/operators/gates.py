@@ -160,6 +160,11 @@ def broken_keys(df, keys):
     )
 
 
+def missing_values(df, columns):
+    """Rows that lack a value of a key column."""
+    return df.filter(reduce(lambda a, b: a | b, [F.col(c).isNull() for c in columns]))
+
+
 def too_long(df, lengths):
     """One row per overlong value: column, its limit, its length, the value. One pass."""
     checks = F.array(

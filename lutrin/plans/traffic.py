@@ -49,5 +49,6 @@ def build_traffic(entries, occupancy, synonyms, current):
         [
             G.Gate("traffic: unknown libraries", G.unlisted(entries, "Secteur", names)),
             G.Gate("occupancy: unknown libraries", G.unlisted(occupancy, "Secteur", names)),
+            G.Gate("traffic: key", G.missing_values(entries, ["Date", "Secteur"])),
         ],
     )

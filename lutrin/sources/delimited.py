@@ -28,8 +28,9 @@ def read_delimited(
 ):
     """Columns bound by position; the header is skipped, not read.
 
-    Blank text stays blank. A blank or malformed number, date or instant stops
-    the job when `strict`, and is NULL otherwise. `multiline` allows line breaks
+    Blank text stays blank. A blank or malformed number, date or instant, and a
+    row with too few or too many fields, stop the job when `strict`; otherwise they
+    become NULL, missing fields blank. `multiline` allows line breaks
     in quoted text but makes every file one task; switch it off for large files
     without them, which are then split. `order` names a column for the order of
     the rows in their file.
@@ -44,6 +45,7 @@ def read_delimited(
         .option("quote", '"')
         .option("escape", '"')
         .option("multiLine", multiline)
+        .option("mode", "FAILFAST" if strict else "PERMISSIVE")
         .csv(path)
     )
     extra = [file_order().alias(order)] if order else []

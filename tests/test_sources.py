@@ -74,6 +74,14 @@ def test_blank_number_stops_or_is_missing(spark, tmp_path):
     assert rows(loose) == [(1, "a", datetime(2024, 1, 2, 3, 4, 5), None)]
 
 
+@pytest.mark.parametrize("row", ["1,a,2024-01-02 03:04:05", "1,a,2024-01-02 03:04:05,4,5"])
+def test_wrong_number_of_fields_stops(spark, tmp_path, row):
+    path = tmp_path / "x.csv"
+    path.write_text("Enregistrement,Secteur,Date,Entrees\n1,a,2024-01-02 03:04:05,4\n" + row + "\n")
+    with pytest.raises(Exception, match="MALFORMED"):
+        delimited.read_table(spark, "_tmp_frequentation", str(path)).collect()
+
+
 def test_lookups_follow_their_contract(spark, tmp_path):
     (tmp_path / "p.csv").write_text("﻿code;nom;discipline\nAAAA;;D1\nBBBB;Nom;\n", encoding="utf8")
     (tmp_path / "s.tsv").write_text("domaine\trejeter\taccepter\nRéservations\tx\ty\n", encoding="utf8")
