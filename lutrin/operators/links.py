@@ -80,44 +80,41 @@ def link(df, persons, on, person_key, columns, how="left", encode=None, hot=None
     are counted in `df`; a caller whose `df` is costly passes those counted in the
     tables it was made from.
     """
-    encode = encode or (lambda c: c.cast("string"))
     names = list(columns.items())
-    side = persons.select(
-        F.col(person_key).alias("_key"),
-        F.lit(True).alias("_found"),
-        *[F.col(theirs).alias(f"_p{i}") for i, (theirs, _) in enumerate(names)],
-    )
     usable = F.col(on).isNotNull() & (F.col(on).cast("string") != "")
     if hot is None:
         hot = hot_keys(df.filter(usable).select(on), on)
     if how == "inner":
         df = df.filter(usable)
-    return _attach(df, side, F.when(usable, encode(F.col(on))), names, how, hot.select(
-        encode(F.col(hot.columns[0])).alias("_key")
-    ))
+    return _attach(df, persons, on, usable, person_key, names, how, encode, hot)
 
 
-def _attach(df, side, key, names, how, hot):
-    """Left or inner join on `key` (NULL: never matches), `hot` keys kept out of the shuffle."""
-    hot_found = side.join(F.broadcast(hot), "_key", "left_semi")
+def _attach(df, persons, on, usable, person_key, names, how, encode, hot):
+    """Join on the encoded `on` column where `usable`; `hot` values stay out of the shuffle."""
+    encode = encode or (lambda c: c.cast("string"))
+    side = persons.select(
+        F.col(person_key).alias("_key"),
+        F.lit(True).alias("_found"),
+        *[F.col(theirs).alias(f"_p{i}") for i, (theirs, _) in enumerate(names)],
+    )
+    hot = hot.select(F.col(hot.columns[0]).alias("_hot")).withColumn("_key", encode(F.col("_hot")))
+    hot_found = side.join(F.broadcast(hot.select("_key")), "_key", "left_semi")
     hot_rows = hot.join(F.broadcast(hot_found), "_key", "left").select(
-        F.col("_key").alias("_hot_key"),
+        "_hot",
         F.col("_found").alias("_hot_found"),
         *[F.col(f"_p{i}").alias(f"_h{i}") for i in range(len(names))],
     )
-    with_hot = df.withColumn("_key", key).join(
-        F.broadcast(hot_rows), F.col("_key") == F.col("_hot_key"), "left"
-    )
+    with_hot = df.join(F.broadcast(hot_rows), usable & (F.col(on) == F.col("_hot")), "left")
 
     # Rows of hot identifiers, matched or known to have no person, and rows without
     # an identifier get a join key that no person has, different from task to task
     # and from content to content.
-    settled = F.col("_hot_key").isNotNull() | F.col("_key").isNull()
+    settled = F.col("_hot").isNotNull() | ~usable
     spread = F.concat(
         F.lit(SPREAD), F.spark_partition_id().cast("string"), F.lit("-"), F.xxhash64(*df.columns)
     )
     spread_out = with_hot.withColumn(
-        "_key", F.when(settled, spread).otherwise(F.col("_key"))
+        "_key", F.when(settled, spread).otherwise(encode(F.col(on)))
     )
     joined = spread_out.join(side, "_key", "left")
     if how == "inner":
@@ -134,27 +131,14 @@ def enrich_missing(df, persons, on, person_key, columns, missing, encode=None, h
     as it is. Complete rows carry no join key, so they match nobody; splitting them
     off instead would compute `df` once more.
     """
-    encode = encode or (lambda c: c.cast("string"))
     lacking = reduce(or_, [F.col(c).isNull() for c in missing])
     usable = lacking & F.col(on).isNotNull() & (F.col(on).cast("string") != "")
     if hot is None:
         hot = hot_keys(df.filter(usable).select(on), on)
     names = [(theirs, f"_new_{ours}") for theirs, ours in columns.items()]
-    names.append(("_found", "_known"))
-    side = persons.select(
-        F.col(person_key).alias("_key"),
-        F.lit(True).alias("_found"),
-        *[F.col(theirs).alias(f"_p{i}") for i, (theirs, _) in enumerate(names[:-1])],
-        F.lit(True).alias(f"_p{len(names) - 1}"),
-    )
-    linked = _attach(
-        df,
-        side,
-        F.when(usable, encode(F.col(on))),
-        names,
-        "left",
-        hot.select(encode(F.col(hot.columns[0])).alias("_key")),
-    )
+    known = persons.withColumn("_here", F.lit(True))
+    names.append(("_here", "_known"))
+    linked = _attach(df, known, on, usable, person_key, names, "left", encode, hot)
     replaced = set(columns.values())
     return linked.select(
         *[
