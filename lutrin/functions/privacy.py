@@ -4,8 +4,9 @@ from dataclasses import dataclass
 
 from pyspark.sql import functions as F
 
-PREFIX_CONF = "spark.lutrin.salt.prefix"
-SUFFIX_CONF = "spark.lutrin.salt.suffix"
+# Spark leaves the values of settings named `secret` out of its logs.
+PREFIX_CONF = "spark.lutrin.secret.prefix"
+SUFFIX_CONF = "spark.lutrin.secret.suffix"
 
 
 @dataclass(frozen=True)

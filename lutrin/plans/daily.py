@@ -3,6 +3,7 @@
 from dataclasses import dataclass, field
 from datetime import date, timedelta
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lutrin.functions.dates import day_of, parse_instant
@@ -25,8 +26,14 @@ from lutrin.plans.people import (
 from lutrin.plans.lookup_tables import with_missing_factors
 from lutrin.plans.traffic import build_traffic
 from lutrin.plans.trainings import build_events, build_registrations
+from lutrin.schemas import TABLES
 from lutrin.sources.daily_files import stale_files
-from lutrin.sources.delimited import load_staging, read_loans, stamp_day, to_table_types
+from lutrin.sources.delimited import (
+    load_staging,
+    normalize_loan_dates,
+    stamp_day,
+    to_table_types,
+)
 from lutrin.sources.fixed_width import read_staff, read_students
 from lutrin.sources.json_pages import read_bookings, read_events, read_registrations
 from lutrin.warehouse import days_in
@@ -46,7 +53,8 @@ class Result:
 class Run:
     """What the domains of one run share.
 
-    `inputs` maps input names to paths. `multiline` may be switched off when no text
+    `inputs` maps input names to paths or, for counters, computers and loans, to
+    DataFrames. `multiline` may be switched off when no text
     in the delimited files holds a line break: large files are then split. People
     files not changed on the day `fresh_on` stop their domain.
     """
@@ -70,7 +78,14 @@ class Run:
 
 
 def _load(run, name, source):
-    rows = load_staging(run.spark, name, run.inputs[source], multiline=run.multiline)
+    """Staging rows of a file, or of a DataFrame with the columns of such a file in order."""
+    given = run.inputs[source]
+    if isinstance(given, DataFrame):
+        rows = to_table_types(given.toDF(*TABLES[name].loaded), name)
+    else:
+        rows = load_staging(run.spark, name, given, multiline=run.multiline)
+    if name == "_tmp_emprunts":
+        rows = normalize_loan_dates(rows)
     return run.warehouse.stage(name, rows)
 
 
@@ -171,8 +186,7 @@ def run_computers(run):
 
 
 def run_loans(run):
-    loans = read_loans(run.spark, run.inputs["loans"], multiline=run.multiline)
-    staging = run.warehouse.stage("_tmp_emprunts", loans)
+    staging = _load(run, "_tmp_emprunts", "loans")
     persons, synonyms = run.persons(), run.lookups.synonymes
     checks = run_gates(
         loan_gates(staging, synonyms, run.home) + contract_gates(staging, "_tmp_emprunts")

@@ -11,7 +11,7 @@ from lutrin.sources.fixed_width import file_order
 
 
 def _typed(name, kind, strict):
-    text = F.coalesce(F.col(name), F.lit(""))
+    text = F.coalesce(F.col(name).cast("string"), F.lit(""))
     if isinstance(kind, T.StringType):
         return text.alias(name)
     value = text.try_cast(kind)
@@ -75,7 +75,7 @@ BLANK_MEANS_MISSING = {
 
 
 def to_table_types(rows, name, strict=True):
-    """Text columns in the types of their table; see `read_delimited` for blanks."""
+    """Columns in the types of their table; see `read_delimited` for blanks."""
     kinds = {f.name: f.dataType for f in TABLES[name].schema.fields}
     return rows.select(*[_typed(c, kinds[c], strict) for c in rows.columns])
 

@@ -1,6 +1,7 @@
 import hashlib
 from datetime import date, datetime
 
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import rows
@@ -39,8 +40,15 @@ def test_pseudonym_of_missing_equals_blank(spark):
     assert [g[0] for g in got] == expected
 
 
-def test_salts_do_not_show():
-    assert "secret" not in repr(Salts("secret", "secret"))
+def test_salts_come_from_the_session_and_do_not_show(spark):
+    with pytest.raises(Exception):
+        Salts.from_session(spark)
+    spark.conf.set("spark.lutrin.secret.prefix", "before")
+    spark.conf.set("spark.lutrin.secret.suffix", "after")
+    salts = Salts.from_session(spark)
+    assert (salts.prefix, salts.suffix) == ("before", "after")
+    assert "before" not in repr(salts)
+    spark.conf.unset("spark.lutrin.secret.prefix")
 
 
 def test_normalize_date(spark):

@@ -13,7 +13,7 @@ from lutrin.plans import backfill, people
 from lutrin.plans.daily import Run, run_daily
 from lutrin.plans.lookup_tables import load_lookups
 from lutrin.schemas import TABLES, DOMAINS, conform, empty_table
-from lutrin.sources.delimited import stamp_day
+from lutrin.sources.delimited import extract_loans, load_staging, stamp_day
 from lutrin.sources.fixed_width import read_staff, read_students
 from lutrin.warehouse import Warehouse
 
@@ -326,6 +326,18 @@ def test_split_files_give_the_same_run(daily, spark, tmp_path):
         assert content(other.warehouse, name) == content(run.warehouse, name)
 
 
+def test_frames_as_inputs_give_the_same_run(daily, spark, tmp_path):
+    run, _ = daily
+    names = {"entries": "_tmp_frequentation", "occupancy": "_tmp_occupation", "computers": "_tmp_sessions_ordinateurs"}
+    frames = {k: load_staging(spark, n, run.inputs[k]).toDF(*[f"c{i}" for i in range(len(TABLES[n].loaded))]) for k, n in names.items()}
+    frames["loans"] = extract_loans(spark, run.inputs["loans"])
+    other = replace(run, warehouse=Warehouse(spark, str(tmp_path)), inputs=run.inputs | frames, snapshot=False)
+    results = run_daily(other, ["people", "traffic", "computers", "loans"])
+    assert {k: r.error for k, r in results.items() if not r.done} == {}
+    for name in ("frequentation", "sessions_ordinateurs", "emprunts"):
+        assert content(other.warehouse, name) == content(run.warehouse, name)
+
+
 def test_stale_files_stop_people(spark, tmp_path, lookups, salts):
     inputs = landing.land_day(tmp_path / "one")
     run = Run(Warehouse(spark, str(tmp_path / "w")), inputs, lookups, salts, DAY, fresh_on="2000-01-01")
