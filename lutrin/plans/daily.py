@@ -1,5 +1,6 @@
 """The daily run: every domain for one day, each on its own."""
 
+import logging
 from dataclasses import dataclass, field
 from datetime import date, timedelta
 
@@ -41,6 +42,13 @@ from lutrin.warehouse import days_in
 PEOPLE = "_clientele_cumul"
 
 
+log = logging.getLogger(__name__)
+
+
+def yesterday():
+    return (date.today() - timedelta(days=1)).isoformat()
+
+
 @dataclass
 class Result:
     domain: str
@@ -63,7 +71,7 @@ class Run:
     inputs: dict
     lookups: object
     salts: object
-    day: str
+    day: str = field(default_factory=yesterday)
     home: str = ""
     snapshot: bool = False
     fresh_on: str = ""
@@ -220,11 +228,9 @@ def run_daily(run, domains=None):
         try:
             results[name] = Result(name, True, step(run))
         except GateFailure as failure:
+            log.error("%s stopped by its gates: %s", name, failure)
             results[name] = Result(name, False, failure.results, str(failure))
         except Exception as error:  # a broken source must not stop the other domains
+            log.error("%s failed: %s", name, error)
             results[name] = Result(name, False, [], str(error))
     return results
-
-
-def yesterday():
-    return (date.today() - timedelta(days=1)).isoformat()
