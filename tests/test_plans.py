@@ -9,12 +9,13 @@ import landing
 from conftest import rows
 from lutrin.functions.privacy import pseudonymize
 from lutrin.operators.gates import GateFailure, run_gates
-from lutrin.plans import backfill, people
+from lutrin.plans import backfill, bookings, computers, loans, people, traffic, trainings
 from lutrin.plans.daily import Run, run_daily
 from lutrin.plans.lookup_tables import load_lookups
 from lutrin.schemas import TABLES, DOMAINS, conform, empty_table
-from lutrin.sources.delimited import extract_loans, load_staging, stamp_day
+from lutrin.sources.delimited import extract_loans, load_staging, stamp_day, to_table_types
 from lutrin.sources.fixed_width import read_staff, read_students
+from lutrin.sources.json_pages import read_bookings
 from lutrin.warehouse import Warehouse
 
 DAY = "2024-01-10"
@@ -345,6 +346,75 @@ def test_stale_files_stop_people(spark, tmp_path, lookups, salts):
     assert not result.done and result.gates[0].count == 2
 
 
+# ---- nothing delivered
+
+
+def test_empty_deliveries_leave_everything_as_it_is(spark, lookups, salts, daily):
+    warehouse = daily[0].warehouse
+    persons = warehouse.read_state("_clientele_cumul", DAY)
+    nobody = empty_table(spark, "_clientele_cumul")
+
+    def staged(name):
+        return empty_table(spark, name)
+
+    def same(build, name):
+        run_gates(build.gates)
+        assert rows(build.rows) == content(warehouse, name)
+
+    for known in (persons, nobody):
+        assert rows(bookings.build_bookings(staged("_tmp_reservations"), known, lookups, salts).checked()) == []
+        same(
+            loans.build_loans(
+                staged("_tmp_emprunts"), known, lookups.synonymes, warehouse.read("emprunts"), "exemple", salts
+            ),
+            "emprunts",
+        )
+        same(
+            trainings.build_registrations(
+                staged("_tmp_inscriptions"), known, warehouse.read_state("inscriptions", DAY), salts
+            ),
+            "inscriptions",
+        )
+        same(
+            computers.build_computer_sessions(
+                staged("_tmp_sessions_ordinateurs"), known, lookups.synonymes,
+                warehouse.read("sessions_ordinateurs"), salts,
+            ),
+            "sessions_ordinateurs",
+        )
+    same(
+        trainings.build_events(
+            staged("_tmp_evenements"), staged("_tmp_inscriptions"), warehouse.read_state("evenements", DAY)
+        ),
+        "evenements",
+    )
+    same(
+        traffic.build_traffic(
+            staged("_tmp_frequentation"), staged("_tmp_occupation"), lookups.synonymes, warehouse.read("frequentation")
+        ),
+        "frequentation",
+    )
+    students, staff = staged("_tmp_etudiants"), staged("_tmp_personnel")
+    _, dim = people.add_day(
+        persons,
+        people.build_students(students, lookups, salts).checked(),
+        people.build_staff(staff, students, lookups, salts).checked(),
+        "2024-02-01",
+    )
+    assert rows(dim) == rows(persons)
+
+
+def test_facts_without_any_person(spark, lookups, salts, daily, names):
+    """First run, before people are loaded: nobody is known, nothing is lost but loans."""
+    nobody = empty_table(spark, "_clientele_cumul")
+    pages, _ = read_bookings(spark, daily[0].inputs["bookings"])
+    staging = to_table_types(pages, "_tmp_reservations")
+    built = bookings.build_bookings(staging, nobody, lookups, salts).checked()
+    assert {(r.salle, r.usager, r.discipline) for r in built.collect()} == {
+        (f"A-{n}", None, "Inconnue") for n in (1, 2, 3, 4)
+    }
+
+
 # ---- backfill
 
 DIRECTORY = {
