@@ -10,12 +10,14 @@ def read_lines(spark, path, encoding):
     """Lines of text in any encoding; `.gz` files are unpacked by their extension.
 
     The CSV reader is used because the text reader ignores `encoding`. The
-    separator is a control character that the files do not hold.
+    separator is a control character that the files do not hold; a line that holds
+    it stops the job rather than lose its end.
     """
     return (
         spark.read.schema("value string")
         .option("sep", "\u0001")
         .option("quote", "")
+        .option("mode", "FAILFAST")
         .option("encoding", encoding)
         .csv(path)
     )

@@ -1,5 +1,8 @@
 """Landed JSON answers: pages, wrapped arrays, nested children, label/answer lists."""
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -11,7 +14,8 @@ def read_pages(spark, path, record, wrapper=None):
     """Records of all landed files, with the name of their file as `fichier`.
 
     A file is an array of records, or an object that holds that array under
-    `wrapper`. `record` is the schema of one record.
+    `wrapper`. `record` is the schema of one record; identifiers are best read as
+    text, which takes numbers too. A file that does not parse stops the job.
     """
     record = T.StructType.fromDDL(record) if isinstance(record, str) else record
     fields = list(record.fields)
@@ -20,12 +24,15 @@ def read_pages(spark, path, record, wrapper=None):
     pages = (
         spark.read.schema(T.StructType(fields))
         .option("multiLine", True)
+        .option("mode", "FAILFAST")
         .json(path)
         .select("*", F.col("_metadata.file_name").alias("fichier"))
     )
     if not wrapper:
         return pages
-    bare = F.array(F.struct(*[F.col(f.name) for f in record.fields]))
+    # An object without the array is no record either.
+    is_record = reduce(or_, [F.col(f.name).isNotNull() for f in record.fields])
+    bare = F.when(is_record, F.array(F.struct(*[F.col(f.name) for f in record.fields])))
     return pages.select("fichier", F.inline(F.coalesce(F.col(wrapper), bare)))
 
 
@@ -79,17 +86,17 @@ def unexpected_labels(df, fields, label, labels, keep=()):
 
 BOOKING_RECORD = ", ".join(f"{f} string" for f in V.BOOKING_FIELDS)
 EVENT_RECORD = (
-    "id bigint, title string, start string, end string,"
-    " owner struct<id: bigint, name: string>, presenter string"
+    "id string, title string, start string, end string,"
+    " owner struct<id: string, name: string>, presenter string"
 )
 REGISTRATION_RECORD = (
-    "event_id bigint, registrants"
-    " array<struct<booking_id: bigint, registration_type: string, email: string>>"
+    "event_id string, registrants"
+    " array<struct<booking_id: string, registration_type: string, email: string>>"
 )
 DESK_RECORD = (
-    "transaction_id bigint, dataset_id bigint, created string, question string, details string,"
+    "transaction_id string, dataset_id string, created string, question string, details string,"
     " answer string, internal_note string, owner string, custom_fields"
-    " array<struct<field_id: bigint, field_label: string, field_answer: string>>"
+    " array<struct<field_id: string, field_label: string, field_answer: string>>"
 )
 
 
@@ -115,7 +122,7 @@ def read_registrations(spark, path):
     """
     pages = read_pages(spark, path, REGISTRATION_RECORD)
     in_name = F.regexp_extract("fichier", r"(\d+)", 1)
-    tagged = pages.withColumn("_event", F.coalesce(F.col("event_id").cast("string"), in_name))
+    tagged = pages.withColumn("_event", F.coalesce(F.col("event_id"), in_name))
     return project(explode_children(tagged, "_event", "registrants", "event_id"), V.REGISTRATION_FIELDS)
 
 

@@ -42,6 +42,13 @@ def test_fixed_width_students(spark, tmp_path, packed):
     assert rows(df.drop("fichier", "id")) == EXPECTED
 
 
+def test_fixed_width_line_is_never_cut(spark, tmp_path):
+    path = tmp_path / "s.txt"
+    path.write_text(student_line("1", "1A", "1", "p", "m", "login") + "\n" + "x\x01y" * 300)
+    with pytest.raises(Exception, match="MALFORMED"):
+        fixed_width.read_students(spark, str(path)).collect()
+
+
 def test_rows_keep_their_file_order_over_blocks(spark, tmp_path):
     path = tmp_path / "many.txt"
     path.write_text("\n".join(f"{i:06d}" for i in range(20000)))
@@ -166,19 +173,29 @@ def test_events_wrapped_or_bare(spark, tmp_path):
     event = {"id": 7, "title": "T", "start": "2024-01-15T10:00:00-05:00", "end": "2024-01-15T11:00:00-05:00"}
     land(tmp_path / "e", "1.json", {"events": [event | {"owner": {"id": 1, "name": "O"}, "presenter": "P"}]})
     land(tmp_path / "e", "2.json", [event | {"id": 8, "owner": None, "presenter": None}])
+    land(tmp_path / "e", "3.json", {"events": []})
+    land(tmp_path / "e", "4.json", {"events": None})
     df = json_pages.read_events(spark, str(tmp_path / "e"))
     assert df.columns == ["id", "title", "start", "finish", "owner", "presenter"]
     assert sorted((r.id, r.owner, r.presenter) for r in df.collect()) == [("7", "O", "P"), ("8", "", "")]
 
 
+def test_broken_page_stops(spark, tmp_path):
+    land(tmp_path / "b", "page-1.json", [booking(1)])
+    (tmp_path / "b" / "page-2.json").write_text('[{"email": "cut off')
+    df, _ = json_pages.read_bookings(spark, str(tmp_path / "b"))
+    with pytest.raises(Exception, match="MALFORMED"):
+        df.collect()
+
+
 def test_registrations_carry_their_event(spark, tmp_path):
     land(tmp_path / "r", "event-7.json", [{"registrants": [
-        {"booking_id": 1, "registration_type": "online", "email": "a@example.org"}, {"booking_id": 2, "email": None},
+        {"booking_id": "cs_1", "registration_type": "online", "email": "a@example.org"}, {"booking_id": 2, "email": None},
     ]}])
     land(tmp_path / "r", "event-8.json", [{"registrants": []}])
     land(tmp_path / "r", "event-9.json", [{"event_id": 90, "registrants": [{"booking_id": 3}]}])
     assert rows(json_pages.read_registrations(spark, str(tmp_path / "r"))) == [
-        ("7", "1", "online", "a@example.org"), ("7", "2", "", ""), ("90", "3", "", ""),
+        ("7", "2", "", ""), ("7", "cs_1", "online", "a@example.org"), ("90", "3", "", ""),
     ]
 
 
@@ -197,7 +214,7 @@ def test_desk_transactions(spark, tmp_path):
         "transaction_id", "created", "owner", "Unités", "Localisation", "Type d'intervention", "Modalité",
     ]
     assert rows(df) == [("1", "2024", "o", "b", "", "", "x"), ("2", "2024", "", "", "", "", ""), ("3", "", "o", "", "", "", "")]
-    assert rows(labels.violations) == [(3, "Autre")]
+    assert rows(labels.violations) == [("3", "Autre")]
 
 
 # ---- ranges and directories
