@@ -48,8 +48,13 @@ def drop_flagged(df, column, flags, name="nom", keep="conserver"):
 
 
 def without(df, others, keys):
-    """Rows whose keys do not occur in `others`; a NULL key never occurs."""
-    return df.join(others.select(*keys), list(keys), "left_anti").select(*df.columns)
+    """Rows whose keys do not occur in `others`; a NULL key never occurs.
+
+    Keys are made distinct before the shuffle: the other side of an anti join is
+    not split when one key fills it.
+    """
+    listed = others.select(*keys).distinct()
+    return df.join(listed, list(keys), "left_anti").select(*df.columns)
 
 
 def between_days(df, column, first, last):

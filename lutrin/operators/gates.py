@@ -103,12 +103,12 @@ class Build:
 def unlisted(df, column, allowed, by=()):
     """Distinct values of a column that are not listed. NULL never counts.
 
-    The values are made distinct first: equal values are merged before the
+    Values and list are made distinct first: equal ones are merged before the
     shuffle, so the anti join only sees a handful of rows, without any need to
     broadcast the list.
     """
     values = df.filter(F.col(column).isNotNull()).select(*by, column).distinct()
-    listed = allowed.select(F.col(allowed.columns[0]).alias(column))
+    listed = allowed.select(F.col(allowed.columns[0]).alias(column)).distinct()
     return values.join(listed, column, "left_anti").select(*by, column)
 
 
@@ -131,7 +131,7 @@ def unresolved(df, column, group):
 def unmatched(df, column, table, by=()):
     """Distinct values without a row in `table`; NULL counts as unmatched."""
     values = df.select(*by, column).distinct()
-    return values.join(table.select(column), column, "left_anti").select(*by, column)
+    return values.join(table.select(column).distinct(), column, "left_anti").select(*by, column)
 
 
 def unmapped_names(df, columns, synonyms, domain):
@@ -142,7 +142,7 @@ def unmapped_names(df, columns, synonyms, domain):
         .distinct()
     )
     pairs = synonyms.filter(F.col("domaine") == domain)
-    known = pairs.select(F.explode(F.array("rejeter", "accepter")).alias("succursale"))
+    known = pairs.select(F.explode(F.array("rejeter", "accepter")).alias("succursale")).distinct()
     return names.join(known, "succursale", "left_anti")
 
 

@@ -1,13 +1,26 @@
 """Lookups: synonyms, prioritised chains, single-value tables.
 
-Nothing here is broadcast by hint. The planner broadcasts a lookup when its size
-is under `spark.sql.autoBroadcastJoinThreshold` and sorts and merges it, with
-adaptive splitting of hot values, when it is not.
+A lookup is broadcast by hint only after its rows were counted (`broadcast_if_small`,
+when the lookup files are loaded). Any other is broadcast when the planner finds it
+under `spark.sql.autoBroadcastJoinThreshold`; else it is sorted and merged, with adaptive
+splitting of hot values.
 """
 
 from pyspark.sql import functions as F
 
 
+# Rows of at most five columns of 255 characters: some 60 MB at the very most.
+BROADCAST_ROWS = 50_000
+
+
+def broadcast_if_small(table, rows=BROADCAST_ROWS):
+    """The table with a broadcast hint if it has at most `rows` rows, which one small job checks.
+
+    The hint stays with what is derived from the table by filters and grouping.
+    """
+    return F.broadcast(table) if table.limit(rows + 1).count() <= rows else table
+
+
 def one_per_key(lookup, keys, value):
     """A lookup with one row per key. Of several values the smallest is kept."""
     return lookup.groupBy(*keys).agg(F.min(value).alias(value))

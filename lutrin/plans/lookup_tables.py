@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lutrin.operators.aggregates import split_factor
-from lutrin.operators.lookups import lookup
+from lutrin.operators.lookups import broadcast_if_small, lookup
 from lutrin.schemas import conform
 from lutrin.sources.delimited import load_lookup
 
@@ -37,15 +37,15 @@ def with_missing_factors(disciplines):
 
 
 def load_lookups(spark, files):
-    """Read all lookups; `files` maps table names to paths."""
+    """Read all lookups; `files` maps table names to paths. Small ones get a broadcast hint."""
 
     def read(name):
-        return load_lookup(spark, name, files[name])
+        return broadcast_if_small(load_lookup(spark, name, files[name]))
 
     return Lookups(
         programmes=read("programmes"),
         programmes_laval=read("programmes_laval"),
-        disciplines=build_disciplines(read("disciplines"), read("secteurs")),
+        disciplines=broadcast_if_small(build_disciplines(read("disciplines"), read("secteurs"))),
         unites=read("unites"),
         synonymes=read("_synonymes"),
         cycles=read("_verif_cycles"),

@@ -5,11 +5,12 @@ from pyspark.sql import SparkSession
 # Adaptive execution picks join strategies from measured sizes, splits skewed
 # join partitions and rebalances skewed writes. Joining on a hot key right under
 # an aggregation on the same key would otherwise switch the splitting off, hence
-# the last setting.
+# the forced setting; partitions count as skewed from the size that tasks aim at.
 SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64m",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.session.timeZone": "UTC",

@@ -90,6 +90,20 @@ def test_lookup_chain_first_found_wins(spark):
     ]
 
 
+def test_only_counted_lookups_are_hinted(spark):
+    table = spark.range(100).selectExpr("'d' AS domaine", "'r' || id AS rejeter", "'a' || id AS accepter")
+    facts = spark.range(1000).selectExpr("'r' || id AS n")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        small = lookups.normalize(facts, ["n"], lookups.broadcast_if_small(table, 100), "d")
+        large = lookups.normalize(facts, ["n"], lookups.broadcast_if_small(table, 99), "d")
+        assert "BroadcastHashJoin" in plan_of(small) and "SortMergeJoin" in plan_of(large)
+        assert rows(small) == rows(large)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
 def test_collapse_outside(spark):
     df = frame(
         spark, "institution_doc string, bibliotheque_pret string, bibliotheque_document string",
