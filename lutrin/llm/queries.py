@@ -4,7 +4,10 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from lutrin.llm.decontamination import decontaminate
+from lutrin.llm.language import identify
+from lutrin.llm.near_duplicates import near_duplicates
 from lutrin.llm.packing import pack
+from lutrin.llm.secrets import BASE, spans
 
 TOKENIZER = "byte_bpe_50k.json"
 
@@ -29,5 +32,41 @@ def op2_benchmark_decontamination(spark, sf_dir):
     )
 
 
-QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op2_benchmark_decontamination)}
+def op4_language_id(spark, sf_dir):
+    found = identify(table(spark, sf_dir, "documents"), "doc_id", "text", "lang", "source")
+    return found.withColumnRenamed("id", "doc_id")
+
+
+def op6_secret_scan(spark, sf_dir):
+    found = spans(table(spark, sf_dir, "documents"))
+
+    def listed(column):
+        return F.array_join(F.transform(column, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+    def count(kind):
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long")
+
+    base = F.filter("spans", lambda s: s["kind"].isin(*BASE))
+    return found.select(
+        "doc_id",
+        *(count(kind).alias(f"n_{kind}") for kind in BASE),
+        F.sha2(listed(base), 256).alias("base_sha256"),
+        listed(F.col("spans")).alias("spans"),
+    )
+
+
+def op8_minhash_near_dedup(spark, sf_dir):
+    return near_duplicates(table(spark, sf_dir, "documents"), words=2, percent=80)
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_best_fit_packing,
+        op2_benchmark_decontamination,
+        op4_language_id,
+        op6_secret_scan,
+        op8_minhash_near_dedup,
+    )
+}
 SQL = {}
