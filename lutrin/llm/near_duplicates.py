@@ -6,9 +6,10 @@ sets form a class, and only classes are compared. Classes that agree on a band o
 meet in a bucket. Within buckets a joint likelihood of the registers drops pairs that are far
 below the threshold; the others are confirmed on the full sets.
 
-Buckets do not list all their pairs. The first round compares every class with one leader;
-later rounds compare only classes that are still in different components, the likeliest
-partners first, until no untested pair between components is left.
+Buckets do not list all their pairs. A first round compares every class with one leader of its
+bucket. What is then still in different components is related, class by class, to the larger
+components of its buckets in which a partner is plausible, and each class is confirmed
+against all members of these at once, so that no link between components is left untested.
 """
 
 import hashlib
@@ -25,11 +26,12 @@ REGISTERS = 128
 BAND = 4
 #: Base of the register scale, and the scale of its largest step (registers of one element stay positive).
 BASE, SCALE = 1.02, 20.0
-#: A pair is dropped only where the likelihood of the threshold is this far below the best: six standard deviations.
-DOUBT = 36.0
-#: Rows of a bucket, or pairs of a text, that one task compares; larger ones are split.
+#: A pair is dropped only where the threshold is so many standard deviations less likely than the best estimate.
+DEVIATIONS = 5.0
+#: Rows of a bucket that are compared at a time; larger buckets are split into pairs of blocks.
 BLOCK = 4096
-SALT_PAIRS = 512
+#: Members of a group, and their shingles, that are held at a time; related texts that meet them in one part.
+BLOCK_MEMBERS, BLOCK_SHINGLES, SALT_TEXTS = 2048, 2_000_000, 4096
 
 _FACTORS = bw.mix(np.arange(1, REGISTERS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
 _MASKS = bw.mix(np.arange(1, REGISTERS + 1, dtype=np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F))
@@ -145,7 +147,7 @@ def plausible(sketch, size, i, j, threshold):
     ok = small >= threshold * large - 1e-9
     for part in np.array_split(np.flatnonzero(ok), len(i) // 65536 + 1):
         equal[part] = (sketch[i[part]] == sketch[j[part]]).sum(1)
-    floor = threshold * REGISTERS - 6 * np.sqrt(threshold * (1 - threshold) * REGISTERS)
+    floor = threshold * REGISTERS - DEVIATIONS * np.sqrt(threshold * (1 - threshold) * REGISTERS)
     ok &= equal >= floor
     at = np.flatnonzero(ok)
     if len(at):
@@ -162,25 +164,22 @@ def plausible(sketch, size, i, j, threshold):
             estimate = np.where(now > best, top * step, estimate)
             best = np.maximum(best, now)
         there = log_likelihood(np.minimum(threshold, top), u, v, more, less, e)
-        ok[at] = (estimate >= threshold) | (2 * (best - there) <= DOUBT)
+        ok[at] = (estimate >= threshold) | (2 * (best - there) <= DEVIATIONS**2)
     return ok, equal
 
 
 def leaders(sketch, first, last):
     """Of the rows first..last the one that agrees most with the most common registers."""
     own = np.sort(sketch[first:last], axis=0)
-    n = last - first
-    # the middle value lies in any majority
-    middle = own[n // 2]
+    middle = own[(last - first) // 2]  # lies in any majority
     return first + int(np.argmax((sketch[first:last] == middle).sum(1)))
 
 
-def candidates(threshold, most):
-    """Pairs (a, b) of nodes to confirm; `more` marks buckets where pairs were left for later.
+def propose(threshold, star):
+    """Relations (c, x): texts x that may be linked to the group c. Input sorted by bucket and block.
 
-    Input sorted by bucket, with block columns of split buckets. Without `most`: every row
-    with its leader. With `most`: each row with its likeliest `most` partners in every larger
-    component of its bucket.
+    With `star` the group is the leader of the bucket, otherwise a component: each row is
+    related to the larger components of which its bucket has a plausible partner.
     """
 
     def run(batches):
@@ -188,93 +187,95 @@ def candidates(threshold, most):
             node = batch.column("node")
             sketch = fixed_binary(batch.column("sketch"), np.int16, REGISTERS)
             size = batch.column("n_shingles").to_numpy()
-            component = batch.column("component").dictionary_encode().indices.to_numpy()
+            labels = batch.column("component").dictionary_encode()
+            component, weight = labels.indices.to_numpy(), batch.column("weight").to_numpy()
             first = changes(batch, ["bucket", "block"])
             last = np.append(first[1:], batch.num_rows)
-            pairs, omitted = [], False
-            two = first[last - first == 2]
-            pairs.append((two, two + 1))
+            pairs = []
             for a, b in zip(first, last):
-                if b - a <= 2:
-                    continue
-                if most is None:
-                    lead = leaders(sketch, a, b)
+                if star:
+                    lead = a if b - a == 2 else leaders(sketch, a, b)
                     rest = np.delete(np.arange(a, b), lead - a)
                     pairs.append((np.full(len(rest), lead), rest))
-                    continue
-                found, left = between(sketch, size, component, a, b, threshold, most)
-                omitted |= left
-                pairs.append(found)
-            i, j = np.concatenate([p[0] for p in pairs]), np.concatenate([p[1] for p in pairs])
-            apart = component[i] != component[j]
-            i, j = i[apart], j[apart]
-            ok, _ = plausible(sketch, size, i, j, threshold)
-            i, j = i[ok], j[ok]
-            left, right = node.take(pa.array(i)), node.take(pa.array(j))
-            names = ["a", "b", "more"]
-            yield pa.RecordBatch.from_arrays([left, right, pa.array(np.zeros(len(i), bool))], names)
-            if omitted:
-                yield pa.RecordBatch.from_arrays([pa.array([None], pa.binary()), pa.array([None], pa.binary()), pa.array([True])], names)
+                else:
+                    pairs += between(sketch, size, component, weight, a, b, threshold)
+            c, x = (np.concatenate([p[k] for p in pairs]) if pairs else np.zeros(0, np.int64) for k in (0, 1))
+            if star:
+                ok, _ = plausible(sketch, size, c, x, threshold)
+                group = node.take(pa.array(c[ok]))
+                x = x[ok]
+            else:
+                c, x = np.unique(np.stack([component[c], x]), axis=1) if len(c) else (c, x)
+                group = labels.dictionary.take(pa.array(c))
+            yield pa.RecordBatch.from_arrays([group, node.take(pa.array(x))], ["c", "x"])
 
     return run
 
 
-def between(sketch, size, component, a, b, threshold, most):
-    """Likeliest pairs between components among the rows a..b, and whether any were left out."""
-    labels, own, counts = np.unique(component[a:b], return_inverse=True, return_counts=True)
+def between(sketch, size, component, weight, a, b, threshold):
+    """Pairs (row of a larger component, row) of the rows a..b, one for each row and plausible component."""
+    labels, own = np.unique(component[a:b], return_inverse=True)
     if len(labels) == 1:
-        return (np.zeros(0, np.int64), np.zeros(0, np.int64)), False
+        return []
+    heavy = np.zeros(len(labels), np.int64)
+    heavy[own] = weight[a:b]
     rank = np.empty(len(labels), np.int64)
-    rank[np.argsort(counts, kind="stable")] = np.arange(len(labels))
+    rank[np.lexsort((labels, heavy))] = np.arange(len(labels))
     rank = rank[own]
-    order = np.argsort(rank, kind="stable")  # smaller components first
+    order = np.argsort(rank, kind="stable")  # lighter components first
     rank = rank[order]
-    left, right, omitted = [], [], False
+    out = []
     for at in range(len(order)):
         begin = int(np.searchsorted(rank, rank[at], side="right"))
-        others = order[begin:] + a
-        if not len(others):
+        if begin == len(order):
             break
+        others = order[begin:] + a
         me = np.full(len(others), order[at] + a)
-        ok, equal = plausible(sketch, size, me, others, threshold)
-        others, equal, of = others[ok], equal[ok], rank[begin:][ok]
-        if not len(others):
-            continue
-        by = np.lexsort((others, -equal, of))
-        place = np.arange(len(by)) - np.searchsorted(of[by], of[by])
-        keep = by[place < most]
-        omitted |= len(keep) < len(by)
-        left.append(np.full(len(keep), order[at] + a))
-        right.append(others[keep])
-    if not left:
-        return (np.zeros(0, np.int64), np.zeros(0, np.int64)), omitted
-    return (np.concatenate(left), np.concatenate(right)), omitted
+        ok, _ = plausible(sketch, size, me, others, threshold)
+        _, one = np.unique(rank[begin:][ok], return_index=True)
+        found = others[ok][one]
+        out.append((found, me[: len(found)]))
+    return out
 
 
 def confirm(words, percent):
-    """(a, b, linked) from texts sorted by (a, salt), that of a first; decided on full sets."""
+    """(a, b): links of texts x to a member of their group, decided on full sets.
+
+    Input sorted by group, block and salt, with the members first; these are held as one
+    sorted list of (shingle, member), the others pass by.
+    """
 
     def run(batches):
-        center, center_key = None, None
+        key, members, flat, owner = None, [], None, None
         with np.errstate(over="ignore"):
             for batch in batches:
-                a, b = batch.column("a"), batch.column("b")
-                keys = list(zip(a.to_pylist(), batch.column("salt").to_pylist()))
-                partner = b.to_pylist()
-                out = [], [], []
+                keys = list(zip(*(batch.column(k).to_pylist() for k in ("c", "block", "salt"))))
+                node, member = batch.column("node").to_pylist(), batch.column("member").to_pylist()
+                out = [], []
                 for row, own in enumerate(shingle_sets(batch.column("text"), words)):
-                    if partner[row] == keys[row][0]:
-                        center, center_key = own, keys[row]
+                    if keys[row] != key:
+                        key, members, flat = keys[row], [], None
+                    if member[row]:
+                        members.append((node[row], own))
+                        continue
+                    if not members:
                         continue
-                    assert center_key == keys[row], "the text of a class representative is missing"
-                    both = len(np.intersect1d(center, own, assume_unique=True))
-                    union = len(center) + len(own) - both
-                    out[0].append(keys[row][0])
-                    out[1].append(partner[row])
-                    out[2].append(100 * both >= percent * union)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(out[0], pa.binary()), pa.array(out[1], pa.binary()), pa.array(out[2], pa.bool_())], ["a", "b", "linked"]
-                )
+                    if flat is None:
+                        sizes = np.array([len(s) for _, s in members])
+                        flat = np.concatenate([s for _, s in members])
+                        owner = np.repeat(np.arange(len(members)), sizes)
+                        order = np.argsort(flat, kind="stable")
+                        flat, owner = flat[order], owner[order]
+                    low = np.searchsorted(flat, own, side="left")
+                    n = np.searchsorted(flat, own, side="right") - low
+                    at = np.repeat(low - (np.cumsum(n) - n), n) + np.arange(n.sum())
+                    both = np.bincount(owner[at], minlength=len(members))
+                    linked = np.flatnonzero(100 * both >= percent * (sizes + len(own) - both))
+                    linked = [k for k in linked[:2] if members[k][0] != node[row]]
+                    if linked:  # one link joins the text to the group
+                        out[0].append(members[linked[0]][0])
+                        out[1].append(node[row])
+                yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.binary()), pa.array(out[1], pa.binary())], ["a", "b"])
 
     return run
 
@@ -347,40 +348,51 @@ def _edges(scratch, docs, classes, members, words, percent):
     if texts.count() > needed.count():  # rows that are repeated as a whole
         texts = scratch.save(texts.dropDuplicates(["node"]), "texts", compression="zstd")
     sketched = classes.select("node", "n_shingles", "sketch")
-    tested, most = None, None
-    found = None  # components so far
-    while True:
-        rows = members
-        if found is not None:
-            rows = members.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
-            open_buckets = rows.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-            rows = rows.join(open_buckets.where("low <> high").select("bucket"), "bucket")
-        else:
-            rows = rows.withColumn("component", F.col("node"))
+
+    def proposals(rows, star):
         rows = split_large(scratch.save(rows, "open")).join(sketched, "node")
         rows = rows.repartition("bucket", "block").sortWithinPartitions("bucket", "block", "node")
-        rows = rows.select("bucket", "block", "node", "component", "n_shingles", "sketch")
-        proposed = scratch.save(rows.mapInArrow(candidates(percent / 100, most), "a binary, b binary, more boolean"), "proposed")
-        more = most is None or not is_empty(proposed.where("more"))
-        pairs = proposed.where("a IS NOT NULL").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = scratch.save(pairs, "pairs")
-        done = _confirmed(scratch, pairs, texts, words, percent)
-        tested = done if tested is None else scratch.save(tested.union(done), "tested")
-        if not more:
-            return tested.where("linked").select("a", "b")
-        found = components(scratch, tested.where("linked"))
-        most = 1 if most is None else most * 4
-
-
-def _confirmed(scratch, pairs, texts, words, percent):
-    """Pairs with `linked`: the text of a meets the texts of its partners, in salted groups."""
-    counts = pairs.groupBy("a").agg(F.ceil(F.count("*") / SALT_PAIRS).alias("salts"))
-    salted = pairs.join(counts, "a").withColumn("salt", F.pmod(F.xxhash64("b"), F.col("salts"))).drop("salts")
-    salted = scratch.save(salted, "salted")
-    partners = salted.join(texts.withColumnRenamed("node", "b"), "b").select("a", "salt", "b", "text")
-    centers = salted.select("a", "salt").distinct().join(texts.withColumnRenamed("node", "a"), "a")
-    centers = centers.select("a", "salt", F.col("a").alias("b"), "text")
-    rows = partners.union(centers).repartition("a", "salt").sortWithinPartitions("a", "salt", F.col("a") != F.col("b"))
-    return scratch.save(rows.mapInArrow(confirm(words, percent), "a binary, b binary, linked boolean"), "confirmed")
+        rows = rows.select("bucket", "block", "node", "component", "weight", "n_shingles", "sketch")
+        return scratch.save(rows.mapInArrow(propose(percent / 100, star), "c binary, x binary").distinct(), "relations")
+
+    single = members.withColumn("component", F.col("node")).withColumn("weight", F.lit(1).cast("long"))
+    stars = proposals(single, True)
+    groups = stars.select("c").distinct().withColumn("node", F.col("c"))
+    links = _confirmed(scratch, stars, groups, classes, texts, words, percent)
+
+    found = components(scratch, links)
+    weights = scratch.save(found.groupBy("component").agg(F.count("*").alias("weight")), "weights")
+    found = found.join(weights, "component")
+    rows = members.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    rows = rows.withColumn("weight", F.coalesce("weight", F.lit(1).cast("long")))
+    several = rows.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+    rows = rows.join(several.where("low <> high").select("bucket"), "bucket")
+    relations = proposals(rows, False)
+    groups = relations.select("c").distinct().join(found.select(F.col("component").alias("c"), "node"), "c", "left")
+    groups = groups.withColumn("node", F.coalesce("node", "c"))
+    return links.union(_confirmed(scratch, relations, groups, classes, texts, words, percent))
+
+
+def _confirmed(scratch, relations, groups, classes, texts, words, percent):
+    """Links (a, b) between a group's members and the texts that are related to it.
+
+    The members of a group come in blocks of bounded size, the texts of a block in salted
+    parts, so that neither a large group nor one with many related texts meets in one task.
+    """
+    groups = groups.join(classes.select("node", "n_shingles"), "node")
+    shape = groups.groupBy("c").agg(F.count("*").alias("n"), F.sum("n_shingles").alias("size"))
+    blocks = F.greatest(F.ceil(F.col("n") / BLOCK_MEMBERS), F.ceil(F.col("size") / BLOCK_SHINGLES)).cast("long")
+    shape = shape.select("c", blocks.alias("blocks"))
+    shape = shape.join(relations.groupBy("c").agg(F.ceil(F.count("*") / SALT_TEXTS).cast("long").alias("salts")), "c")
+    shape = scratch.save(shape, "shape")
+
+    def numbers(n):
+        return F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
+
+    members = groups.join(shape, "c").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks"))).withColumn("salt", numbers("salts"))
+    related = relations.join(shape, "c").withColumn("salt", F.pmod(F.xxhash64("x"), F.col("salts"))).withColumn("block", numbers("blocks"))
+    members = members.select("c", "block", "salt", "node", F.lit(True).alias("member"))
+    related = related.select("c", "block", "salt", F.col("x").alias("node"), F.lit(False).alias("member"))
+    rows = scratch.save(members.union(related), "placed").join(texts, "node").select("c", "block", "salt", "member", "node", "text")
+    rows = rows.repartition("c", "block", "salt").sortWithinPartitions("c", "block", "salt", F.desc("member"))
+    return scratch.save(rows.mapInArrow(confirm(words, percent), "a binary, b binary"), "links")
