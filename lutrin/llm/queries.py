@@ -3,11 +3,17 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
+from lutrin.llm.boilerplate import main_text
+from lutrin.llm.common import Scratch
 from lutrin.llm.decontamination import decontaminate
 from lutrin.llm.language import identify
+from lutrin.llm.licences import find_licences
+from lutrin.llm.long_repeats import remove_repeats
 from lutrin.llm.near_duplicates import near_duplicates
 from lutrin.llm.packing import pack
+from lutrin.llm.reputation import judge, split_url
 from lutrin.llm.secrets import BASE, spans
+from lutrin.llm.vector_graph import link_vectors
 
 TOKENIZER = "byte_bpe_50k.json"
 
@@ -32,11 +38,26 @@ def op2_benchmark_decontamination(spark, sf_dir):
     )
 
 
+def op3_embedding_near_dedup(spark, sf_dir):
+    return link_vectors(table(spark, sf_dir, "embeddings"), threshold=0.95)
+
+
 def op4_language_id(spark, sf_dir):
     found = identify(table(spark, sf_dir, "documents"), "doc_id", "text", "lang", "source")
     return found.withColumnRenamed("id", "doc_id")
 
 
+def op5_suffix_array_dedup(spark, sf_dir):
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    columns = [
+        F.col("n_bytes"),
+        removed.alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    ]
+    return remove_repeats(table(spark, sf_dir, "documents"), columns=columns)
+
+
 def op6_secret_scan(spark, sf_dir):
     found = spans(table(spark, sf_dir, "documents"))
 
@@ -55,18 +76,66 @@ def op6_secret_scan(spark, sf_dir):
     )
 
 
+def op7_html_extraction(spark, sf_dir):
+    return main_text(table(spark, sf_dir, "pages"))
+
+
 def op8_minhash_near_dedup(spark, sf_dir):
     return near_duplicates(table(spark, sf_dir, "documents"), words=2, percent=80)
 
 
+def op9_license_scan(spark, sf_dir):
+    found = find_licences(table(spark, sf_dir, "documents"))
+    confirmed = F.filter("licences", lambda x: x["confirmed"])
+    return found.select(
+        "doc_id",
+        "n_paragraphs",
+        F.size("licences").cast("long").alias("n_licences"),
+        F.size(confirmed).cast("long").alias("n_confirmed"),
+        F.array_join(F.transform(confirmed, lambda x: F.concat_ws(":", x["place"], x["family"])), ",").alias("licences"),
+    )
+
+
+#: Rules on addresses: verdict, host, path. Fixed values.
+RULES = (("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/"))
+
+
+def outcomes_of(spark, sf_dir):
+    """(host, good) of pages whose article, after its title, is the text of a labelled document.
+
+    Texts are compared with white space as single blanks. A text that is labelled more than
+    once is good only if all its labels are: of quality and not toxic.
+    """
+
+    def digest(text):
+        return F.md5(F.trim(F.regexp_replace(text, r"\s+", " ")))
+
+    labels = table(spark, sf_dir, "labels").groupBy("doc_id").agg(F.min(((F.col("quality") == 1) & (F.col("toxic") == 0)).cast("int")).alias("good"))
+    texts = table(spark, sf_dir, "documents").where(F.length("text") > 0).select("doc_id", digest(F.col("text")).alias("digest"))
+    texts = texts.join(labels, "doc_id").groupBy("digest").agg(F.min("good").alias("good"))
+    pages = main_text(table(spark, sf_dir, "pages"))
+    body = F.substring("text", F.instr("text", "\n") + 1, F.length("text"))
+    pages = pages.where(F.instr("text", "\n") > 0).select(split_url(F.col("url"))[0].alias("host"), digest(body).alias("digest"))
+    return Scratch(spark, "outcomes").save(pages.join(texts, "digest").select("host", "good"), "outcomes")
+
+
+def op10_url_filter(spark, sf_dir):
+    return judge(table(spark, sf_dir, "pages"), outcomes_of(spark, sf_dir), RULES)
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_best_fit_packing,
         op2_benchmark_decontamination,
+        op3_embedding_near_dedup,
         op4_language_id,
+        op5_suffix_array_dedup,
         op6_secret_scan,
+        op7_html_extraction,
         op8_minhash_near_dedup,
+        op9_license_scan,
+        op10_url_filter,
     )
 }
 SQL = {}
