@@ -19,7 +19,7 @@ from lutrin.llm.runs import fixed_binary, whole_runs
 #: Vectors per pivot, and the bound on pivots, which are sent to all tasks.
 PER_PIVOT, MAX_PIVOTS = 800, 20_000
 #: Shards that a vector belongs to, neighbours kept, beam of the search.
-OVERLAP, DEGREE, BEAM = 3, 24, 24
+OVERLAP, DEGREE, BEAM = 4, 24, 24
 #: Near and random candidates of a list before it is pruned, and how much nearer a neighbour must be to hide another.
 NEAR, RANDOM, ALPHA = 40, 12, 1.2
 #: Vectors of a shard that one task holds, and searches at a time; larger shards are split.
@@ -133,15 +133,22 @@ def unique_rows(lists):
 
 
 def backward(lists, n):
-    """For each number up to DEGREE rows that list it."""
+    """For each number up to DEGREE rows that list it, those that have it nearest first.
+
+    Rows with the same nearest number form a chain in the last column, so that all of them
+    are reached from it, however many they are.
+    """
     row, slot = np.nonzero(lists >= 0)
     target = lists[row, slot]
-    order = np.argsort(target, kind="stable")
-    target, row = target[order], row[order]
+    order = np.lexsort((row, slot, target))
+    target, row, slot = target[order], row[order], slot[order]
     place = np.arange(len(target)) - np.searchsorted(target, target)
     keep = place < DEGREE
-    out = np.full((n, DEGREE), -1, np.int64)
+    out = np.full((n, DEGREE + 1), -1, np.int64)
     out[target[keep], place[keep]] = row[keep]
+    target, row = target[slot == 0], row[slot == 0]
+    same = target[1:] == target[:-1]
+    out[row[:-1][same], DEGREE] = row[1:][same]
     return out
 
 
