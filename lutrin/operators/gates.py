@@ -1,5 +1,10 @@
-"""Quality gates: queries for violations, judged before anything is written."""
+"""Quality gates: queries for violations, judged before anything is written.
 
+A failing gate writes all its violations to the report folder, if one is given. What
+leaves a run otherwise, in messages and logs, is only names, counts and paths.
+"""
+
+import re
 from dataclasses import dataclass, field
 from functools import reduce
 
@@ -13,6 +18,7 @@ from lutrin.schemas import MAX_LENGTH, TABLES
 
 STOP = "stop"
 WARN = "warn"
+# Lines of a preview. The report of a gate is always whole.
 PREVIEW = 20
 
 
@@ -28,7 +34,9 @@ class GateResult:
     name: str
     severity: str
     count: int
-    preview: str = ""
+    # First lines, with personal data: for a person at a screen, neither logged nor part of a message.
+    preview: str = field(default="", repr=False)
+    report: str = ""
 
 
 class GateFailure(Exception):
@@ -36,9 +44,10 @@ class GateFailure(Exception):
         self.results = results
         failed = [r for r in results if r.severity == STOP and r.count]
         super().__init__(
-            "; ".join(f"{r.name}: {r.count} violation(s)" for r in failed)
-            + "\n"
-            + "\n".join(r.preview for r in failed)
+            "; ".join(
+                f"{r.name}: {r.count} violation(s)" + (f", report in {r.report}" if r.report else "")
+                for r in failed
+            )
         )
 
 
@@ -59,8 +68,16 @@ def preview(violations, rows=PREVIEW, sep="\t"):
     return "\n".join([sep.join(violations.columns), *lines])
 
 
-def check_gates(gates):
-    """Count all violations in one job and return a result per gate."""
+def report_name(gate):
+    """A folder name made of the name of a gate."""
+    return re.sub(r"[^a-z0-9]+", "-", gate.lower()).strip("-")
+
+
+def check_gates(gates, reports=None):
+    """Count all violations in one job and return a result per gate.
+
+    With a folder for `reports` the whole report of each failing gate is written there.
+    """
     if not gates:
         return []
     counts = reduce(
@@ -71,15 +88,21 @@ def check_gates(gates):
         ],
     )
     found = {r.gate: r.n for r in counts.collect()}  # one row per gate
-    return [
-        GateResult(g.name, g.severity, found[i], preview(g.violations) if found[i] else "")
-        for i, g in enumerate(gates)
-    ]
+
+    def result(gate, count):
+        if not count:
+            return GateResult(gate.name, gate.severity, 0)
+        path = f"{reports}/{report_name(gate.name)}" if reports else ""
+        if path:
+            write_report(gate.violations, path)
+        return GateResult(gate.name, gate.severity, count, preview(gate.violations), path)
+
+    return [result(g, found[i]) for i, g in enumerate(gates)]
 
 
-def run_gates(gates):
+def run_gates(gates, reports=None):
     """Results of all gates; raises when a stopping one has violations."""
-    results = check_gates(gates)
+    results = check_gates(gates, reports)
     if any(r.severity == STOP and r.count for r in results):
         raise GateFailure(results)
     return results

@@ -66,6 +66,14 @@ def insert_new(target, source, keys, order):
     return target.unionByName(absent)
 
 
+def replace_keys(target, source, keys):
+    """Target with all rows of the source's keys exchanged for the source rows; other rows stay."""
+    delivered = source.select(*keys).distinct()
+    return target.join(delivered, list(keys), "left_anti").select(*target.columns).unionByName(
+        source.select(*target.columns)
+    )
+
+
 def replace_days(target, source, day="journee"):
     """Target with all rows of the source's days exchanged for the source rows."""
     # At most one row per calendar day: bounded by the calendar, not by the data.

@@ -1,5 +1,11 @@
-"""Room bookings."""
+"""Room bookings.
 
+The table has no key of its own: two bookings of a person in a room on one day may look
+alike. A technical column keeps the source key of every row, so that a booking that is
+delivered again replaces itself, and bookings that a delivery does not list stay.
+"""
+
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from lutrin import values as V
@@ -9,7 +15,13 @@ from lutrin.operators import gates as G
 from lutrin.operators.filters import drop_flagged, drop_listed
 from lutrin.operators.links import link, unique_persons
 from lutrin.operators.lookups import normalize
-from lutrin.schemas import conform
+from lutrin.operators.merge import replace_keys
+from lutrin.schemas import TABLES, conform
+
+# The technical column of the table's files.
+SOURCE_KEY = "cle_source"
+SOURCE_KEY_DDL = f"{SOURCE_KEY} string"
+_KEY_FIELDS = ("fromDate", "location_name", "item_name", "email")
 
 
 def kept_bookings(staging, statuts):
@@ -27,11 +39,26 @@ def booking_gates(staging, lookups):
     ]
 
 
-def build_bookings(staging, persons, lookups, salts):
+def with_source_key(staging, salts):
+    """Time, place, room and address as a salted hash, and a number for rows that share them."""
+    text = F.concat_ws("\u0001", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in _KEY_FIELDS])
+    hashed = staging.withColumn("_key", pseudonymize(text, salts))
+    same = Window.partitionBy("_key").orderBy("status", "category_name")
+    numbered = F.concat(F.col("_key"), F.lit("-"), F.row_number().over(same).cast("string"))
+    return hashed.withColumn(SOURCE_KEY, numbered).drop("_key")
+
+
+def merge_bookings(current, delivered):
+    """Current rows, with their source keys, and those of a delivery in place of their equals."""
+    return replace_keys(current, delivered, [SOURCE_KEY])
+
+
+def build_bookings(staging, persons, lookups, salts, keyed=False):
     """Bookings with person and discipline. Without a person the discipline is unknown;
-    a person without a discipline leaves it missing."""
+    a person without a discipline leaves it missing. `keyed` adds the source key."""
+    kept = kept_bookings(staging, lookups.statuts)
     linked = link(
-        kept_bookings(staging, lookups.statuts),
+        with_source_key(kept, salts) if keyed else kept,
         unique_persons(persons, "courriel", salts),
         "email",
         "courriel",
@@ -50,5 +77,12 @@ def build_bookings(staging, persons, lookups, salts):
         F.col("location_name").alias("bibliotheque"),
         F.col("category_name").alias("categorie"),
         F.col("item_name").alias("salle"),
+        *([SOURCE_KEY] if keyed else []),
     )
-    return G.Build(conform(rows, "reservations"), booking_gates(staging, lookups))
+    if keyed:
+        rows = rows.select(
+            *[F.col(f.name).cast(f.dataType) for f in TABLES["reservations"].schema.fields], SOURCE_KEY
+        )
+    else:
+        rows = conform(rows, "reservations")
+    return G.Build(rows, booking_gates(staging, lookups))

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from lutrin.functions.dates import day_of, parse_instant
 from lutrin.operators.gates import Gate, GateFailure, contract_gates, run_gates
-from lutrin.plans.bookings import build_bookings
+from lutrin.plans.bookings import SOURCE_KEY_DDL, build_bookings, merge_bookings
 from lutrin.plans.computers import (
     build_computer_sessions,
     computer_gates,
@@ -62,9 +62,8 @@ class Run:
     """What the domains of one run share.
 
     `inputs` maps input names to paths or, for counters, computers and loans, to
-    DataFrames. `multiline` may be switched off when no text
-    in the delimited files holds a line break: large files are then split. People
-    files not changed on the day `fresh_on` stop their domain.
+    DataFrames. `multiline` allows line breaks in the text of delimited files, which
+    are then not split. People files not changed on the day `fresh_on` stop their domain.
     """
 
     warehouse: object
@@ -75,14 +74,17 @@ class Run:
     home: str = ""
     snapshot: bool = False
     fresh_on: str = ""
-    multiline: bool = True
+    multiline: bool = False
 
     @property
     def spark(self):
         return self.warehouse.spark
 
     def persons(self):
-        return self.warehouse.read_state(PEOPLE, self.day)
+        return self.warehouse.read_state(PEOPLE)
+
+    def check(self, gates):
+        return run_gates(gates, self.warehouse.reports_path())
 
 
 def _load(run, name, source):
@@ -101,7 +103,7 @@ def run_people(run):
     files = [run.inputs["students"], run.inputs["staff"]]
     checks = []
     if run.fresh_on:
-        checks = run_gates([Gate("people: stale files", stale_files(run.spark, files, run.fresh_on))])
+        checks = run.check([Gate("people: stale files", stale_files(run.spark, files, run.fresh_on))])
     students = run.warehouse.stage(
         "_tmp_etudiants", stamp_day(read_students(run.spark, files[0]), run.day)
     )
@@ -110,55 +112,58 @@ def run_people(run):
     )
     student_build = build_students(students, run.lookups, run.salts)
     staff_build = build_staff(staff, students, run.lookups, run.salts)
-    checks += run_gates(
+    checks += run.check(
         student_build.gates
         + contract_gates(students, "_tmp_etudiants", key=False)
         + contract_gates(staff, "_tmp_personnel", key=False)
     )
-    before = run.warehouse.read_state(PEOPLE, run.day, inclusive=False)
+    before = run.warehouse.read_state(PEOPLE)
     today, dim = add_day(before, student_build.rows, staff_build.rows, run.day)
     if run.snapshot:
         run.warehouse.write_day("clientele", build_snapshot(today, run.day), run.day)
         disciplines = with_missing_factors(run.lookups.disciplines)
         stats = discipline_stats(run.warehouse.read("clientele"), disciplines)
         run.warehouse.overwrite("disciplines_stats", stats)
-    run.warehouse.write_state(PEOPLE, dim, run.day)
+    checks += run.warehouse.write_state(PEOPLE, dim)
     return checks
 
 
 def run_bookings(run):
     pages, complete = read_bookings(run.spark, run.inputs["bookings"])
-    checks = run_gates([complete])
+    checks = run.check([complete])
     staging = run.warehouse.stage(
         "_tmp_reservations", to_table_types(pages, "_tmp_reservations")
     )
-    build = build_bookings(staging, run.persons(), run.lookups, run.salts)
-    checks += run_gates(build.gates + contract_gates(staging, "_tmp_reservations"))
-    run.warehouse.write_days("reservations", build.rows)
+    build = build_bookings(staging, run.persons(), run.lookups, run.salts, keyed=True)
+    checks += run.check(build.gates + contract_gates(staging, "_tmp_reservations"))
+    days = days_in(staging.select(day_of(F.col("fromDate")).alias("journee")))
+    current = run.warehouse.read_days("reservations", days, SOURCE_KEY_DDL)
+    run.warehouse.write_days("reservations", merge_bookings(current, build.rows))
     return checks
 
 
 def run_events(run):
-    events = run.warehouse.stage(
-        "_tmp_evenements",
-        to_table_types(read_events(run.spark, run.inputs["events"]), "_tmp_evenements"),
-    )
-    registrations = read_registrations(run.spark, run.inputs["registrations"])
-    before = run.warehouse.read_state("evenements", run.day, inclusive=False)
+    answers, whole = read_events(run.spark, run.inputs["events"])
+    events = run.warehouse.stage("_tmp_evenements", to_table_types(answers, "_tmp_evenements"))
+    registrations, tagged = read_registrations(run.spark, run.inputs["registrations"])
+    before = run.warehouse.read_state("evenements")
     build = build_events(events, registrations, before)
-    checks = run_gates(build.gates + contract_gates(events, "_tmp_evenements", key=False))
-    run.warehouse.write_state("evenements", build.rows, run.day)
+    checks = run.check(
+        [whole, tagged] + build.gates + contract_gates(events, "_tmp_evenements", key=False)
+    )
+    checks += run.warehouse.write_state("evenements", build.rows)
     return checks
 
 
 def run_registrations(run):
-    staging = run.warehouse.stage(
-        "_tmp_inscriptions", read_registrations(run.spark, run.inputs["registrations"])
-    )
-    before = run.warehouse.read_state("inscriptions", run.day, inclusive=False)
+    rows, tagged = read_registrations(run.spark, run.inputs["registrations"])
+    staging = run.warehouse.stage("_tmp_inscriptions", rows)
+    before = run.warehouse.read_state("inscriptions")
     build = build_registrations(staging, run.persons(), before, run.salts)
-    checks = run_gates(build.gates + contract_gates(staging, "_tmp_inscriptions", key=False))
-    run.warehouse.write_state("inscriptions", build.rows, run.day)
+    checks = run.check(
+        [tagged] + build.gates + contract_gates(staging, "_tmp_inscriptions", key=False)
+    )
+    checks += run.warehouse.write_state("inscriptions", build.rows)
     return checks
 
 
@@ -168,7 +173,7 @@ def run_traffic(run):
     days = days_in(entries.select(F.col("Date").cast("date").alias("journee")))
     current = run.warehouse.read_days("frequentation", days)
     build = build_traffic(entries, occupancy, run.lookups.synonymes, current)
-    checks = run_gates(
+    checks = run.check(
         build.gates
         + contract_gates(entries, "_tmp_frequentation")
         + contract_gates(occupancy, "_tmp_occupation")
@@ -180,7 +185,7 @@ def run_traffic(run):
 def run_computers(run):
     staging = _load(run, "_tmp_sessions_ordinateurs", "computers")
     persons, synonyms = run.persons(), run.lookups.synonymes
-    checks = run_gates(
+    checks = run.check(
         computer_gates(staging, synonyms, run.salts)
         + contract_gates(staging, "_tmp_sessions_ordinateurs")
     )
@@ -196,7 +201,7 @@ def run_computers(run):
 def run_loans(run):
     staging = _load(run, "_tmp_emprunts", "loans")
     persons, synonyms = run.persons(), run.lookups.synonymes
-    checks = run_gates(
+    checks = run.check(
         loan_gates(staging, synonyms, run.home) + contract_gates(staging, "_tmp_emprunts")
     )
     days = days_in(staging.select(day_of(parse_instant(F.col("date"))).alias("journee")))
@@ -219,15 +224,32 @@ DOMAINS = {
 }
 
 
+STAGED = {
+    "people": ("_tmp_etudiants", "_tmp_personnel"),
+    "bookings": ("_tmp_reservations",),
+    "events": ("_tmp_evenements",),
+    "registrations": ("_tmp_inscriptions",),
+    "traffic": ("_tmp_frequentation", "_tmp_occupation"),
+    "computers": ("_tmp_sessions_ordinateurs",),
+    "loans": ("_tmp_emprunts",),
+}
+
+
 def run_daily(run, domains=None):
-    """Run the domains whose inputs are given. A domain that fails does not stop the others."""
+    """Run the domains whose inputs are given. A domain that fails does not stop the others.
+
+    A domain merges into what earlier runs left, whatever their day, so deliveries of a day
+    add up, a repeated one changes nothing, and a late one does not undo later days. Staging
+    of a domain is removed once it has succeeded.
+    """
     results = {}
     for name, (needed, step) in DOMAINS.items():
         if (domains and name not in domains) or not set(needed) <= set(run.inputs):
             continue
         try:
             results[name] = Result(name, True, step(run))
-        except GateFailure as failure:
+            run.warehouse.clear_staging(*STAGED[name])
+        except GateFailure as failure:  # names, counts and report paths; no violating row
             log.error("%s stopped by its gates: %s", name, failure)
             results[name] = Result(name, False, failure.results, str(failure))
         except Exception as error:  # a broken source must not stop the other domains

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lutrin.operators.aggregates import split_factor
+from lutrin.operators.gates import contract_gates, run_gates
 from lutrin.operators.lookups import broadcast_if_small, lookup
 from lutrin.schemas import conform
 from lutrin.sources.delimited import load_lookup
@@ -36,11 +37,16 @@ def with_missing_factors(disciplines):
     )
 
 
-def load_lookups(spark, files):
-    """Read all lookups; `files` maps table names to paths. Small ones get a broadcast hint."""
+def load_lookups(spark, files, reports=None):
+    """Read all lookups; `files` maps table names to paths. Small ones get a broadcast hint.
+
+    A lookup with a repeated key or an overlong text stops here, before anything is loaded.
+    """
+    tables = {name: load_lookup(spark, name, path) for name, path in files.items()}
+    run_gates([gate for name, rows in tables.items() for gate in contract_gates(rows, name)], reports)
 
     def read(name):
-        return broadcast_if_small(load_lookup(spark, name, files[name]))
+        return broadcast_if_small(tables[name])
 
     return Lookups(
         programmes=read("programmes"),

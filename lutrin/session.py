@@ -2,6 +2,8 @@
 
 from pyspark.sql import SparkSession
 
+from lutrin.functions.privacy import PREFIX_CONF, SUFFIX_CONF
+
 # Adaptive execution picks join strategies from measured sizes, splits skewed
 # join partitions and rebalances skewed writes. Joining on a hot key right under
 # an aggregation on the same key would otherwise switch the splitting off, hence
@@ -19,7 +21,14 @@ SETTINGS = {
 
 
 def build_session(app="lutrin", master=None, **extra):
-    """A session with `SETTINGS`; keyword values in `extra` win over them."""
+    """A session with `SETTINGS`; keyword values in `extra` win over them.
+
+    Salts given as settings are kept out of printed plans, and so out of event logs.
+    """
+    salts = [extra[k] for k in (PREFIX_CONF, SUFFIX_CONF) if extra.get(k)]
+    if salts:
+        quoted = "|".join("\\Q" + s.replace("\\E", "\\E\\\\E\\Q") + "\\E" for s in salts)
+        extra.setdefault("spark.sql.redaction.string.regex", quoted)
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)

@@ -4,30 +4,69 @@ Three kinds of tables:
 
 * facts, partitioned by `journee`: a run replaces whole days (dynamic partition
   overwrite stages the new files and swaps them in when the job commits, so the
-  days being replaced may be read by that same job);
-* states without a stable day (people, events, registrations): each run writes its
-  own `run=` partition from an earlier one, and never touches what it reads;
-* staging and statistics: replaced as a whole, never read by the job that writes them.
+  days being replaced may be read by that same job). The swap is a rename, which is
+  atomic on HDFS and local files but not on object stores: there, keep facts on a
+  file system or table format that commits atomically;
+* states without a stable day (people, events, registrations): each run merges into
+  the latest version and writes the next one beside it. A version counts once its
+  gates have passed and its marker is written; readers find it in the folder
+  listing, so that no earlier version is opened. All but the last two are removed;
+* staging and reports: a folder per run. Staging is removed once the run has succeeded.
 """
 
+import re
+import uuid
+from datetime import datetime, timezone
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lutrin.operators.gates import contract_gates, run_gates
 from lutrin.schemas import TABLES, conform, empty_table
 
 DAY = "journee"
-RUN = "run"
+VERSION = "version"
+# Written last into the folder of a version that may be read.
+MARKER = "_PUBLISHED"
+KEPT_VERSIONS = 2
+
+
+def latest_version(folders):
+    """The highest number among the (name, published) folders of a table, or None."""
+    numbers = [
+        int(name.removeprefix(f"{VERSION}="))
+        for name, published in folders
+        if published and re.fullmatch(rf"{VERSION}=\d+", name)
+    ]
+    return max(numbers, default=None)
 
 
 class Warehouse:
-    def __init__(self, spark, root):
+    def __init__(self, spark, root, run_id=None):
         self.spark = spark
         self.root = root.rstrip("/")
+        now = datetime.now(timezone.utc)
+        self.run_id = run_id or f"{now:%Y%m%dT%H%M%S}-{uuid.uuid4().hex[:8]}"
 
     def path(self, name):
         return f"{self.root}/{name}"
 
+    def staging_path(self, name):
+        return f"{self.root}/_staging/{self.run_id}/{name}"
+
+    def reports_path(self):
+        """Folder of this run's gate reports. They name people: restrict access to `_reports`."""
+        return f"{self.root}/_reports/{self.run_id}"
+
+    def _files(self, path):
+        place = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        return place.getFileSystem(self.spark._jsc.hadoopConfiguration()), place
+
+    def _delete(self, path):
+        files, place = self._files(path)
+        files.delete(place, True)
+
     def _existing(self, path, schema):
         try:
             return self.spark.read.schema(schema).parquet(path)
@@ -36,13 +75,22 @@ class Warehouse:
                 raise
             return None
 
-    def read(self, name):
-        found = self._existing(self.path(name), TABLES[name].schema)
-        return empty_table(self.spark, name) if found is None else conform(found, name)
-
-    def read_days(self, name, days):
+    def read(self, name, extra=""):
+        """A table as in its contract. `extra` adds technical columns that its files hold, as DDL."""
+        more = T.StructType.fromDDL(extra).fields if extra else []
+        schema = T.StructType([*TABLES[name].schema.fields, *more])
+        found = self._existing(self.path(name), schema)
+        if found is None:
+            found = empty_table(self.spark, name).select(
+                "*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in more]
+            )
+        if not more:
+            return conform(found, name)
+        return found.select(*TABLES[name].schema.names, *[f.name for f in more])
+
+    def read_days(self, name, days, extra=""):
         """Only the partitions of some days; `days` is a list of dates."""
-        return self.read(name).filter(F.col(DAY).isin(*days) if days else F.lit(False))
+        return self.read(name, extra).filter(F.col(DAY).isin(*days) if days else F.lit(False))
 
     def write_days(self, name, rows):
         """Replace the days that occur in `rows`. Large days are split over several files."""
@@ -67,28 +115,49 @@ class Warehouse:
 
     def stage(self, name, rows):
         """Write staging rows once, so that gates and plans do not parse the source again."""
-        path = self.path(name)
+        path = self.staging_path(name)
         rows.write.mode("overwrite").parquet(path)
         return self.spark.read.schema(rows.schema).parquet(path)
 
-    def _runs(self, name):
-        schema = T.StructType([*TABLES[name].schema.fields, T.StructField(RUN, T.DateType())])
-        return self._existing(self.path(name), schema)
-
-    def read_state(self, name, up_to, inclusive=True):
-        """A state as the latest run left it, up to a day, that day included or not."""
-        runs = self._runs(name)
-        if runs is None:
-            return empty_table(self.spark, name)
-        limit = F.lit(str(up_to)).cast("date")
-        earlier = runs.filter(F.col(RUN) <= limit if inclusive else F.col(RUN) < limit)
-        last = earlier.agg(F.max(RUN).alias(RUN)).first()[RUN]
+    def clear_staging(self, *names):
+        """Remove staging of this run, raw identifiers with it: some tables, or all."""
+        for path in [self.staging_path(n) for n in names] or [f"{self.root}/_staging/{self.run_id}"]:
+            self._delete(path)
+
+    def versions(self, name):
+        """(folder name, published) of every version of a state: a listing, no file is opened."""
+        files, place = self._files(self.path(name))
+        if not files.exists(place):
+            return []
+        marker = self.spark._jvm.org.apache.hadoop.fs.Path
+        return [
+            (s.getPath().getName(), files.exists(marker(s.getPath(), MARKER)))
+            for s in files.listStatus(place)
+            if s.isDirectory()
+        ]
+
+    def read_state(self, name):
+        """A state as the latest run left it."""
+        last = latest_version(self.versions(name))
         if last is None:
             return empty_table(self.spark, name)
-        return conform(runs.filter(F.col(RUN) == F.lit(last)), name)
+        path = f"{self.path(name)}/{VERSION}={last}"
+        return conform(self.spark.read.schema(TABLES[name].schema).parquet(path), name)
 
-    def write_state(self, name, rows, day):
-        rows.write.mode("overwrite").parquet(f"{self.path(name)}/{RUN}={day}")
+    def write_state(self, name, rows):
+        """Write the next version; it is only published if the gates of its table pass."""
+        last = latest_version(self.versions(name)) or 0
+        path = f"{self.path(name)}/{VERSION}={last + 1}"
+        rows.write.mode("overwrite").parquet(path)
+        written = self.spark.read.schema(TABLES[name].schema).parquet(path)
+        checks = run_gates(contract_gates(written, name), self.reports_path())
+        files, place = self._files(f"{path}/{MARKER}")
+        files.create(place).close()
+        for folder, _ in self.versions(name):
+            number = folder.removeprefix(f"{VERSION}=")
+            if number.isdigit() and int(number) <= last + 1 - KEPT_VERSIONS:
+                self._delete(f"{self.path(name)}/{folder}")
+        return checks
 
 
 def days_in(rows, day=DAY):
