@@ -11,60 +11,85 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lutrin.operators.gates import contract_gates, run_gates, write_report
+from lutrin.plans.lookup_tables import with_missing_factors
 from lutrin.plans.people import (
     build_snapshot,
     build_staff,
     build_students,
+    discipline_stats,
     latest_people,
     merge_people,
 )
-from lutrin.sources.daily_files import read_staff_directory, read_student_directory, unpaired_days
+from lutrin.sources.daily_files import one_sided_days, read_staff_directory, read_student_directory
+
+FAILED = "contrôles"
 
 
 @dataclass(frozen=True)
 class Backfill:
     people: DataFrame
     snapshots: DataFrame
-    failed_days: DataFrame
-    unpaired: DataFrame
 
 
-def build_backfill(students, staff, lookups, salts, current):
-    """People and snapshots of all days that pass their gates and have both files.
+def days_left_out(students, staff, lookups, salts):
+    """Days that fail a gate or lack one of the two files: (journee, raison).
 
-    The two lists of days to leave out hold at most one row per calendar day.
+    At most three rows per calendar day.
     """
     gated = build_students(students, lookups, salts, by=["journee"])
     failed = reduce(
         DataFrame.unionByName, [g.violations.select("journee") for g in gated.gates]
     ).distinct()
-    unpaired = unpaired_days(students, staff)
-    left_out = F.broadcast(failed.union(unpaired).distinct())
+    return failed.withColumn("raison", F.lit(FAILED)).union(one_sided_days(students, staff))
+
+
+def build_backfill(students, staff, lookups, salts, current, left_out=()):
+    """People and snapshots of all days but those left out, a list of dates.
+
+    The list is no longer than the calendar; as a filter it reaches the scan of staged rows.
+    """
 
     def kept(rows):
-        return rows.join(left_out, "journee", "left_anti").select(*rows.columns)
+        return rows.filter(~F.col("journee").isin(*left_out)) if left_out else rows
 
-    # Staff of a day without students is not loaded either.
-    student_days = F.broadcast(students.select("journee").distinct())
-    staff_rows = build_staff(staff, students, lookups, salts).rows
-    paired_staff = staff_rows.join(student_days, "journee", "left_semi").select(
-        *staff_rows.columns
+    students, staff = kept(students), kept(staff)
+    merged = merge_people(
+        current,
+        build_students(students, lookups, salts).rows,
+        build_staff(staff, students, lookups, salts).rows,
     )
-    merged = merge_people(current, kept(gated.rows), kept(paired_staff))
-    new_days = kept(student_days)
-    snapshots = build_snapshot(merged.join(F.broadcast(new_days), "journee", "left_semi"))
-    return Backfill(latest_people(merged), snapshots, failed, unpaired)
+    # Snapshots are those of the days that were loaded, not of people known before.
+    new_days = F.broadcast(students.select("journee").distinct())
+    snapshots = build_snapshot(merged.join(new_days, "journee", "left_semi"))
+    return Backfill(latest_people(merged), snapshots)
+
 
+def backfill_people(warehouse, directory, lookups, salts, snapshot=False):
+    """Read, build and write; returns the days left out, as (journee, raison) rows.
 
-def backfill_people(warehouse, directory, lookups, salts, run_day, snapshot=False):
-    """Read, build and write. Parsed files are staged once and reused by every step."""
-    students = warehouse.stage(
-        "_tmp_etudiants", read_student_directory(warehouse.spark, directory)
+    Parsed files are staged once, the days to leave out are found and written once. With
+    `snapshot` the term statistics are computed anew. People join the latest state, so days
+    before it only add persons that it lacks.
+    """
+    spark = warehouse.spark
+    students = warehouse.stage("_tmp_etudiants", read_student_directory(spark, directory))
+    staff = warehouse.stage("_tmp_personnel", read_staff_directory(spark, directory))
+    run_gates(
+        contract_gates(students, "_tmp_etudiants", key=False)
+        + contract_gates(staff, "_tmp_personnel", key=False),
+        warehouse.reports_path(),
     )
-    staff = warehouse.stage("_tmp_personnel", read_staff_directory(warehouse.spark, directory))
-    before = warehouse.read_state("_clientele_cumul", run_day, inclusive=False)
-    result = build_backfill(students, staff, lookups, salts, before)
+    left_out = warehouse.stage("_jours_exclus", days_left_out(students, staff, lookups, salts).coalesce(1))
+    write_report(left_out, f"{warehouse.reports_path()}/backfill-left-out")
+    listed = [tuple(r) for r in left_out.collect()]  # bounded by the calendar
+    before = warehouse.read_state("_clientele_cumul")
+    result = build_backfill(students, staff, lookups, salts, before, sorted({day for day, _ in listed}))
     if snapshot:
         warehouse.write_days("clientele", result.snapshots)
-    warehouse.write_state("_clientele_cumul", result.people, run_day)
-    return result
+        disciplines = with_missing_factors(lookups.disciplines)
+        stats = discipline_stats(warehouse.read("clientele"), disciplines)
+        warehouse.overwrite("disciplines_stats", stats)
+    warehouse.write_state("_clientele_cumul", result.people)
+    warehouse.clear_staging()
+    return sorted(listed)

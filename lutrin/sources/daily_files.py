@@ -33,6 +33,18 @@ def unpaired_days(students, staff):
     )
 
 
+NO_STAFF, NO_STUDENTS = "sans personnel", "sans étudiants"
+
+
+def one_sided_days(students, staff):
+    """Days that lack one of the two files, and which: (journee, raison)."""
+    return (
+        unpaired_days(students, staff)
+        .withColumn("raison", F.lit(NO_STAFF))
+        .union(unpaired_days(staff, students).withColumn("raison", F.lit(NO_STUDENTS)))
+    )
+
+
 def stale_files(spark, paths, expected_day):
     """Files not last changed on the expected day. Only file listings are read."""
     files = (

@@ -24,15 +24,15 @@ def _typed(name, kind, strict):
 
 
 def read_delimited(
-    spark, path, columns, types=None, sep=";", header=True, multiline=True, strict=True, order=None
+    spark, path, columns, types=None, sep=";", header=True, multiline=False, strict=True, order=None
 ):
     """Columns bound by position; the header is skipped, not read.
 
     Blank text stays blank. A blank or malformed number, date or instant, and a
     row with too few or too many fields, stop the job when `strict`; otherwise they
-    become NULL, missing fields blank. `multiline` allows line breaks
-    in quoted text but makes every file one task; switch it off for large files
-    without them, which are then split. `order` names a column for the order of
+    become NULL, missing fields blank. Large files are split over tasks; a quoted
+    line break then cuts a row and stops a strict read. `multiline` allows such
+    breaks but makes every file one task. `order` names a column for the order of
     the rows in their file.
     """
     types = types or {}
@@ -87,7 +87,8 @@ def blanks_to_missing(df, name):
 
 
 def load_lookup(spark, name, path, **options):
-    """A lookup table, as in its contract."""
+    """A lookup table, as in its contract. These files are small, so line breaks are allowed."""
+    options.setdefault("multiline", True)
     return conform(blanks_to_missing(read_table(spark, name, path, **options), name), name)
 
 
@@ -105,20 +106,20 @@ def normalize_loan_dates(rows):
     return renamed.withColumn(V.LOAN_DATE, normalize_date(F.col(V.LOAN_DATE)))
 
 
-def extract_loans(spark, path):
+def extract_loans(spark, path, multiline=False):
     """A loan export as it is delivered: named columns, order kept, dates normalised."""
     rows = (
         spark.read.option("sep", "\t")
         .option("header", True)
         .option("quote", '"')
         .option("escape", '"')
-        .option("multiLine", True)
+        .option("multiLine", multiline)
         .csv(path)
     )
     return normalize_loan_dates(rows)
 
 
-def read_loans(spark, path, multiline=True):
+def read_loans(spark, path, multiline=False):
     """A loan export bound by position and made ready to load."""
     rows = read_table(spark, "_tmp_emprunts", path, multiline=multiline)
     return normalize_loan_dates(rows)

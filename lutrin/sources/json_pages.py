@@ -3,6 +3,7 @@
 from functools import reduce
 from operator import or_
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -26,17 +27,75 @@ def read_pages(spark, path, record, wrapper=None):
         .option("multiLine", True)
         .option("mode", "FAILFAST")
         .json(path)
-        .select("*", F.col("_metadata.file_name").alias("fichier"))
+        .select("*", F.col("_metadata.file_name").alias("fichier"), _folder(F.col("_metadata.file_path")).alias("dossier"))
     )
     if not wrapper:
         return pages
     # An object without the array is no record either.
     is_record = reduce(or_, [F.col(f.name).isNotNull() for f in record.fields])
     bare = F.when(is_record, F.array(F.struct(*[F.col(f.name) for f in record.fields])))
-    return pages.select("fichier", F.inline(F.coalesce(F.col(wrapper), bare)))
+    return pages.select("fichier", "dossier", F.inline(F.coalesce(F.col(wrapper), bare)))
 
 
-def short_pages(rows, page_size, page_pattern=r"(\d+)\D*$"):
+def _folder(path):
+    """The folder of a file, without the scheme that listing and reading spell differently."""
+    return F.regexp_replace(F.regexp_replace(path, r"/[^/]*$", ""), r"^[A-Za-z][A-Za-z0-9+.-]*:/+", "/")
+
+
+def list_pages(spark, path):
+    """Folder and name of all landed files, also of those without a record. No file is read."""
+    files = spark.read.format("binaryFile").load(path).select("path")
+    return files.select(_folder(F.col("path")).alias("dossier"), F.regexp_extract("path", r"[^/]*$", 0).alias("fichier"))
+
+
+PAGE_PATTERN = r"(\d+)\D*$"
+
+
+def count_pages(listing, rows, page_pattern=PAGE_PATTERN):
+    """Rows of every landed page: dossier, page, nb; nb is 0 for a page without records."""
+    found = rows.groupBy("dossier", "fichier").agg(F.count(F.lit(1)).alias("nb"))
+    number = F.regexp_extract("fichier", page_pattern, 1).try_cast("bigint")
+    return listing.join(found, ["dossier", "fichier"], "left").select(
+        "dossier", number.alias("page"), F.coalesce("nb", F.lit(0)).alias("nb")
+    )
+
+
+SHORT, MISSING, REPEATED = "incomplète", "manquante", "répétée"
+
+
+def incomplete_pages(counts, page_size):
+    """Signs that pages of a folder were lost: (dossier, page, jusqua, nb, probleme).
+
+    A page below the page size that is not the last one; numbers that are missing between 1
+    and the last one, as ranges; a number that occurs more than once. Each folder is one
+    delivery. Files without a number are only judged by their rows.
+    """
+    by_folder = Window.partitionBy("dossier")
+    ordered = by_folder.orderBy("page")
+    pages = counts.select(
+        "*",
+        F.max("page").over(by_folder).alias("_last"),
+        F.coalesce(F.lag("page").over(ordered), F.lit(0)).alias("_before"),
+    )
+    numbered = F.col("page").isNotNull()
+    short = (F.col("nb") < page_size) & ~F.coalesce(F.col("page") == F.col("_last"), F.col("_last").isNull())
+    gap = numbered & (F.col("page") > F.col("_before") + 1)
+    again = numbered & (F.col("page") == F.col("_before"))
+
+    def problem(rows, name, first, last, nb):
+        return rows.select(
+            "dossier", first.alias("page"), last.alias("jusqua"), nb.cast("bigint").alias("nb"), F.lit(name).alias("probleme")
+        )
+
+    page = F.col("page")
+    return (
+        problem(pages.filter(short), SHORT, page, page, F.col("nb"))
+        .union(problem(pages.filter(gap), MISSING, F.col("_before") + 1, page - 1, F.lit(None)))
+        .union(problem(pages.filter(again), REPEATED, page, page, F.col("nb")))
+    )
+
+
+def short_pages(rows, page_size, page_pattern=PAGE_PATTERN):
     """Pages below the page size that are not the last one: signs of a lost page."""
     number = F.regexp_extract("fichier", page_pattern, 1).try_cast("bigint")
     counts = rows.groupBy(number.alias("page")).agg(F.count(F.lit(1)).alias("nb"))
@@ -103,27 +162,43 @@ DESK_RECORD = (
 def read_bookings(spark, path, page_size=V.BOOKING_PAGE):
     """Landed booking pages as staging text, and the gate on lost pages."""
     pages = read_pages(spark, path, BOOKING_RECORD)
+    counts = count_pages(list_pages(spark, path), pages)
     return project(pages, V.BOOKING_FIELDS), Gate(
-        "bookings: short pages", short_pages(pages, page_size)
+        "bookings: lost pages", incomplete_pages(counts, page_size)
     )
 
 
-def read_events(spark, path):
-    """Landed training events as staging text."""
+def full_answers(rows, most):
+    """Files with as many records as one answer may hold: the rest was cut off."""
+    counts = rows.groupBy("dossier", "fichier").agg(F.count(F.lit(1)).alias("nb"))
+    return counts.filter(F.col("nb") >= most)
+
+
+def read_events(spark, path, most=V.EVENT_ANSWER):
+    """Landed training events as staging text, and the gate on answers that were cut off."""
     events = read_pages(spark, path, EVENT_RECORD, wrapper="events")
-    return project(events, V.EVENT_FIELDS, names={"end": "finish", "owner.name": "owner"})
+    staged = project(events, V.EVENT_FIELDS, names={"end": "finish", "owner.name": "owner"})
+    return staged, Gate("events: cut answers", full_answers(events, most))
 
 
-def read_registrations(spark, path):
-    """Landed registrations, one row per registrant.
+# A number that is the whole name of a file, or follows the word `event`.
+EVENT_IN_NAME = r"(?i)(?:^|event[-_]?)(\d+)\.[^.\d]+$"
 
-    The event comes from the answer, or from the digits in the name of its file
-    where the answer does not repeat it.
-    """
-    pages = read_pages(spark, path, REGISTRATION_RECORD)
-    in_name = F.regexp_extract("fichier", r"(\d+)", 1)
-    tagged = pages.withColumn("_event", F.coalesce(F.col("event_id"), in_name))
-    return project(explode_children(tagged, "_event", "registrants", "event_id"), V.REGISTRATION_FIELDS)
+
+def tag_event(pages, event_pattern=EVENT_IN_NAME):
+    """Registrations with their event as `_event`: from the answer, else from the name of its file."""
+    in_name = F.regexp_extract("fichier", event_pattern, 1)
+    return pages.withColumn(
+        "_event", F.coalesce(F.col("event_id"), F.when(in_name != "", in_name))
+    )
+
+
+def read_registrations(spark, path, event_pattern=EVENT_IN_NAME):
+    """Landed registrations, one row per registrant, and the gate on files of no known event."""
+    tagged = tag_event(read_pages(spark, path, REGISTRATION_RECORD), event_pattern)
+    nobody = tagged.filter(F.col("_event").isNull()).select("dossier", "fichier").distinct()
+    rows = explode_children(tagged, "_event", "registrants", "event_id")
+    return project(rows, V.REGISTRATION_FIELDS), Gate("registrations: files without event", nobody)
 
 
 def flatten_transactions(transactions):

@@ -83,4 +83,5 @@ DESK_LABELS = ("Unités", "Localisation", "Type d'intervention", "Modalité")
 
 # Rows per page of the booking interface, days per event request.
 BOOKING_PAGE = 100
+EVENT_ANSWER = 500
 EVENT_CHUNK_DAYS = 10
