@@ -135,6 +135,12 @@ PERSONS_SQL = f"""
     """
 )
 def room_bookings(spark, t):
+    staging, tables = booking_staging(spark, t)
+    built = bookings.build_bookings(staging, customer_persons(t), tables, SALTS)
+    return dates_as_text(built.rows, "journee", "session")
+
+
+def booking_staging(spark, t):
     staging = t("orders").select(
         F.col("o_orderdate").alias("fromDate"),
         F.expr(
@@ -150,8 +156,7 @@ def room_bookings(spark, t):
     tables = lookup_tables.Lookups(
         None, None, None, None, synonyms(spark, ROOMS), None, values(spark, STATUSES, ["nom", "conserver"])
     )
-    built = bookings.build_bookings(staging, customer_persons(t), tables, SALTS)
-    return dates_as_text(built.rows, "journee", "session")
+    return staging, tables
 
 
 # ---- training events and registrations ----------------------------------------
@@ -699,28 +704,31 @@ BACKFILL_PROGRAMMES = [
     ("P", "1-URGENT", "NATION_7"),
 ]
 BACKFILL_CYCLE = "translate(substr(o_orderpriority, 1, 1), '5', 'C')"
-
-
-@check(
-    f"""
-    WITH st AS (SELECT CAST(o_orderdate AS DATE) AS journee, 'u' || o_custkey AS login,
+BACKFILL_SQL = f"""
+    st AS (SELECT CAST(o_orderdate AS DATE) AS journee, o_custkey, o_orderstatus, o_orderpriority,
+        {BACKFILL_CYCLE} AS cycle,
         CASE WHEN o_orderstatus = 'F' THEN 'NATION_1' WHEN o_orderstatus = 'O' THEN 'NATION_2'
              ELSE 'NATION_' || (8 - CAST(substr(o_orderpriority, 1, 1) AS INTEGER)) END AS discipline FROM orders),
     sf AS (SELECT DISTINCT CAST(l_shipdate AS DATE) AS journee, l_suppkey FROM lineitem),
-    bad AS (SELECT journee FROM st GROUP BY journee, login HAVING count(*) > 1),
+    bad AS (SELECT DISTINCT journee FROM (SELECT journee FROM st GROUP BY journee, o_custkey HAVING count(*) > 1)),
     good AS (SELECT DISTINCT journee FROM st WHERE journee IN (SELECT journee FROM sf)
              AND journee NOT IN (SELECT journee FROM bad)),
-    every AS (SELECT journee, login, 'Étudiant' AS fonction, discipline FROM st
-              UNION ALL SELECT journee, s_name, 'Personnel', n_name FROM sf
-                JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON n_nationkey = s_nationkey),
-    last AS (SELECT *, row_number() OVER (PARTITION BY login ORDER BY journee DESC) AS r FROM every
-             WHERE journee IN (SELECT journee FROM good))
-    SELECT {pseudonym_sql("login")} AS usager, CAST(journee AS VARCHAR) AS journee, fonction, discipline,
-           CAST({term_sql("journee")} AS VARCHAR) AS session
-    FROM last WHERE r = 1
-    """
-)
-def people_backfill(spark, t):
+    every AS (SELECT journee, 'u' || o_custkey AS login, 'u' || o_custkey AS courriel, 'b' || o_custkey AS cb,
+                 'Étudiant' AS fonction,
+                 CASE cycle WHEN '1' THEN 'Étudiant - 1er cycle' WHEN '2' THEN 'Étudiant - 2e cycle'
+                   WHEN '3' THEN 'Étudiant - 3e cycle' WHEN '4' THEN 'Postdoctorat'
+                   WHEN 'C' THEN 'Étudiant - Certificat' END AS niveau,
+                 o_orderstatus AS code_programme, o_orderpriority AS programme,
+                 NULL AS code_unite, NULL AS unite, discipline, true AS clientele FROM st
+              UNION ALL SELECT journee, s_name, s_name, s_name, 'Personnel', NULL, NULL, NULL,
+                 'Brand#' || s_nationkey, '', n_name, false
+              FROM sf JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON n_nationkey = s_nationkey),
+    kept AS (SELECT *, {term_sql("journee")} AS session FROM every WHERE journee IN (SELECT journee FROM good)),
+    last AS (SELECT *, row_number() OVER (PARTITION BY login ORDER BY journee DESC) AS r FROM kept)
+"""
+
+
+def backfill_staging(spark, t):
     """Orders stand for the student files of their days, shipments for the staff files."""
     student_rows = t("orders").select(
         F.expr("'b' || o_custkey").alias("codebarres"),
@@ -755,11 +763,59 @@ def people_backfill(spark, t):
     tables = lookup_tables.Lookups(
         programmes, base.programmes_laval, base.disciplines, units, None, base.cycles, None
     )
+    return student_rows, staff_rows, tables
+
+
+def backfilled(spark, t):
+    """The plan as a run calls it: the days to leave out are found first."""
+    students_, staff_, tables = backfill_staging(spark, t)
+    listed = backfill.days_left_out(students_, staff_, tables, SALTS).collect()  # bounded by the calendar
     nobody = conform(t("customer").filter("false"), "_clientele_cumul")
-    result = backfill.build_backfill(student_rows, staff_rows, tables, SALTS, nobody)
-    return result.people.select(
-        "usager", F.col("journee").cast("string"), "fonction", "discipline", "session"
-    )
+    days = sorted({r.journee for r in listed})
+    return backfill.build_backfill(students_, staff_, tables, SALTS, nobody, days)
+
+
+@check(
+    f"""
+    WITH {BACKFILL_SQL}
+    SELECT CAST(journee AS VARCHAR) AS journee, {pseudonym_sql("login")} AS usager,
+           {pseudonym_sql("courriel")} AS courriel, {pseudonym_sql("cb")} AS codebarres, fonction, niveau,
+           CAST(session AS VARCHAR) AS session, code_programme, programme, code_unite, unite,
+           last.discipline, r_name AS bibliotheque, CAST(clientele AS VARCHAR) AS clientele
+    FROM last JOIN nation ON n_name = last.discipline JOIN region ON n_regionkey = r_regionkey WHERE r = 1
+    """
+)
+def people_backfill(spark, t):
+    return dates_as_text(backfilled(spark, t).people, "journee", "clientele")
+
+
+@check(
+    f"""
+    WITH {BACKFILL_SQL}
+    SELECT CAST(journee AS VARCHAR) AS journee, 'contrôles' AS raison FROM bad
+    UNION ALL SELECT DISTINCT CAST(journee AS VARCHAR), 'sans personnel' FROM st
+      WHERE journee NOT IN (SELECT journee FROM sf)
+    UNION ALL SELECT DISTINCT CAST(journee AS VARCHAR), 'sans étudiants' FROM sf
+      WHERE journee NOT IN (SELECT journee FROM st)
+    """
+)
+def backfill_left_out(spark, t):
+    students_, staff_, tables = backfill_staging(spark, t)
+    return dates_as_text(backfill.days_left_out(students_, staff_, tables, SALTS), "journee")
+
+
+@check(
+    f"""
+    WITH {BACKFILL_SQL}, {DISCIPLINES_SQL}
+    SELECT d.discipline, bibliothecaire, bibliotheque, secteur, fonction, niveau,
+           CAST(k.session AS VARCHAR) AS session,
+           CAST(round(count(*) * max(facteur), 6) AS DOUBLE) AS nb_personnes
+    FROM d JOIN kept k ON k.discipline = d.discipline WHERE clientele GROUP BY ALL
+    """
+)
+def backfill_stats(spark, t):
+    stats = people.discipline_stats(backfilled(spark, t).snapshots, librarians(t))
+    return stats.withColumn("nb_personnes", F.round("nb_personnes", 6).cast("double"))
 
 
 # ---- desk transactions --------------------------------------------------------

@@ -4,8 +4,12 @@ import pytest
 
 import __spark_entry__ as entry
 from checks.compare import compare
+from checks.registry import QUERIES, SQL
 
-QUERIES, SQL = entry.queries(), entry.oracle_sql()
+
+def test_every_query_is_registered_with_its_sql():
+    assert set(QUERIES) == set(SQL)
+    assert QUERIES.items() <= entry.queries().items() and SQL.items() <= entry.oracle_sql().items()
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))

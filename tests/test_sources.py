@@ -68,8 +68,10 @@ def test_delimited_by_position_with_quotes(spark, tmp_path):
     path.write_bytes(
         '﻿other;names;here\n"a;b";"say ""hi""";""\n"two\nlines";;é\n'.encode("utf8")
     )
-    df = delimited.read_delimited(spark, str(path), ["x", "y", "z"])
+    df = delimited.read_delimited(spark, str(path), ["x", "y", "z"], multiline=True)
     assert rows(df) == [("a;b", 'say "hi"', ""), ("two\nlines", "", "é")]
+    with pytest.raises(Exception, match="MALFORMED"):  # a row cut by its line break stops the read
+        delimited.read_delimited(spark, str(path), ["x", "y", "z"]).collect()
 
 
 def test_blank_number_stops_or_is_missing(spark, tmp_path):
@@ -128,14 +130,14 @@ def test_written_text_reads_back(spark, tmp_path, sep):
     data = [('a"b', "x,y", ""), ("tab\there", "two\nlines", "é")]
     out = str(tmp_path / "out")
     delimited.write_delimited(spark.createDataFrame(data, "x string, y string, z string"), out, sep)
-    assert rows(delimited.read_delimited(spark, out, ["x", "y", "z"], sep=sep)) == sorted(data)
+    assert rows(delimited.read_delimited(spark, out, ["x", "y", "z"], sep=sep, multiline=True)) == sorted(data)
 
 
 # ---- JSON
 
 
 def land(folder, name, value):
-    folder.mkdir(exist_ok=True)
+    folder.mkdir(exist_ok=True, parents=True)
     (folder / name).write_text(json.dumps(value, ensure_ascii=False), encoding="utf8")
 
 
@@ -164,7 +166,8 @@ def test_lost_page_is_found(spark, tmp_path):
     land(tmp_path / "b", "page-2.json", [booking(2), booking(3)])
     land(tmp_path / "b", "page-10.json", [booking(4)])
     _, complete = json_pages.read_bookings(spark, str(tmp_path / "b"), page_size=2)
-    assert rows(complete.violations) == [(1, 1)]
+    folder = str(tmp_path / "b")
+    assert rows(complete.violations) == [(folder, 1, 1, 1, "incomplète"), (folder, 3, 9, None, "manquante")]
     with pytest.raises(GateFailure):
         run_gates([complete])
 
@@ -175,7 +178,10 @@ def test_events_wrapped_or_bare(spark, tmp_path):
     land(tmp_path / "e", "2.json", [event | {"id": 8, "owner": None, "presenter": None}])
     land(tmp_path / "e", "3.json", {"events": []})
     land(tmp_path / "e", "4.json", {"events": None})
-    df = json_pages.read_events(spark, str(tmp_path / "e"))
+    df, whole = json_pages.read_events(spark, str(tmp_path / "e"))
+    run_gates([whole])
+    _, cut = json_pages.read_events(spark, str(tmp_path / "e"), most=1)
+    assert sorted(r.fichier for r in cut.violations.collect()) == ["1.json", "2.json"]
     assert df.columns == ["id", "title", "start", "finish", "owner", "presenter"]
     assert sorted((r.id, r.owner, r.presenter) for r in df.collect()) == [("7", "O", "P"), ("8", "", "")]
 
@@ -194,9 +200,41 @@ def test_registrations_carry_their_event(spark, tmp_path):
     ]}])
     land(tmp_path / "r", "event-8.json", [{"registrants": []}])
     land(tmp_path / "r", "event-9.json", [{"event_id": 90, "registrants": [{"booking_id": 3}]}])
-    assert rows(json_pages.read_registrations(spark, str(tmp_path / "r"))) == [
-        ("7", "2", "", ""), ("7", "cs_1", "online", "a@example.org"), ("90", "3", "", ""),
-    ]
+    found, tagged = json_pages.read_registrations(spark, str(tmp_path / "r"))
+    assert rows(found) == [("7", "2", "", ""), ("7", "cs_1", "online", "a@example.org"), ("90", "3", "", "")]
+    run_gates([tagged])
+
+
+def test_events_of_dated_files(spark, tmp_path):
+    one = [{"registrants": [{"booking_id": 1}]}]
+    for name in ("2024-01-10-event-7.json", "2024-01-10_EVENT_8.json", "9.json", "2024-01-10.json"):
+        land(tmp_path / "r", name, one)
+    found, tagged = json_pages.read_registrations(spark, str(tmp_path / "r"))
+    assert sorted(r.event_id for r in found.collect()) == ["", "7", "8", "9"]
+    assert [r.fichier for r in tagged.violations.collect()] == ["2024-01-10.json"]
+    other, named = json_pages.read_registrations(spark, str(tmp_path / "r"), event_pattern=r"-(\d+)\D*$")
+    assert {r.event_id for r in other.collect()} >= {"7", "10"} and named.violations.count() == 2
+
+
+@pytest.mark.parametrize(
+    "pages, problems",
+    [
+        ({"a/page-1": 2, "a/page-2": 2, "a/page-4": 1}, [("a", 3, 3, "manquante")]),
+        ({"a/page-1": 2, "a/page-2": 0, "a/page-3": 1}, [("a", 2, 2, "incomplète")]),
+        ({"a/page-2": 1}, [("a", 1, 1, "manquante")]),
+        ({"a/page-1": 2, "a/page-2": 0}, []),
+        ({"a/page-1": 1, "b/page-1": 2, "b/page-2": 1}, []),
+        ({"a/page-1": 1, "a/page-2": 1, "b/page-1": 1, "b/page-2": 1}, [("a", 1, 1, "incomplète"), ("b", 1, 1, "incomplète")]),
+        ({"a/page-1": 2, "a/x-page-1": 2, "a/page-2": 1}, [("a", 1, 1, "répétée")]),
+    ],
+)
+def test_lost_pages(spark, tmp_path, pages, problems):
+    for name, n in pages.items():
+        folder, file = name.split("/")
+        land(tmp_path / "in" / folder, f"{file}.json", [booking(i) for i in range(n)])
+    _, complete = json_pages.read_bookings(spark, f"{tmp_path}/in/*", page_size=2)
+    found = [(r.dossier.rsplit("/", 1)[1], r.page, r.jusqua, r.probleme) for r in complete.violations.collect()]
+    assert sorted(found) == problems
 
 
 def test_desk_transactions(spark, tmp_path):
@@ -263,6 +301,10 @@ def test_directory_of_daily_files(spark, tmp_path):
     assert rows(df.select("journee")) == [(date(2024, 1, 1),), (date(2024, 2, 29),)]
     staff = spark.createDataFrame([(date(2024, 1, 1),)], "journee date")
     assert rows(daily_files.unpaired_days(df, staff)) == [(date(2024, 2, 29),)]
+    more = spark.createDataFrame([(date(2024, 1, 1),), (date(2024, 5, 5),)], "journee date")
+    assert rows(daily_files.one_sided_days(df, more)) == [
+        (date(2024, 2, 29), "sans personnel"), (date(2024, 5, 5), "sans étudiants"),
+    ]
 
 
 def test_stale_files(spark, tmp_path):
