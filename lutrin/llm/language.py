@@ -99,10 +99,10 @@ def score(model):
             for row, data, offsets in bw.chunks(texts):
                 n = len(offsets) - 1
                 code, text = trigrams(data, offsets)
-                sums = np.stack([np.bincount(text, table[code, k], n) for k in range(len(languages))], 1)
+                sums = np.stack([np.bincount(text, table[code, k], n) for k in range(len(languages))], 1).astype(np.float64)
                 count = np.bincount(text, minlength=n)
                 weight = np.minimum(1.0, EFFECTIVE / np.maximum(count, 1))
-                sums = (sums - sums.max(1, keepdims=True, initial=-np.inf)) * weight[:, None]
+                sums = (sums - sums.max(1, keepdims=True)) * weight[:, None]
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).slice(row, n),

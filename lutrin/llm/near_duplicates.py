@@ -304,7 +304,7 @@ def near_duplicates(docs, doc_id="doc_id", text="text", words=5, percent=80):
     """Link documents whose shingle sets have 100 * intersection >= percent * union.
 
     One row per row of `docs`: doc_id, n_shingles, component_id (the smallest doc_id that
-    links reach, itself included), kept (doc_id = component_id). Words are runs without
+    links reach, itself included), kept (doc_id = component_id), text_md5 (binary). Words are runs without
     blanks, A-Z lower-cased; a text with fewer than `words` words is one shingle. Null, empty
     and blank texts have no shingles and link with nothing. Rows that repeat a doc_id share a
     component only by their texts and ids; a row with a null doc_id links with nothing, has a
@@ -335,6 +335,7 @@ def near_duplicates(docs, doc_id="doc_id", text="text", words=5, percent=80):
         "n_shingles",
         F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id"),
         F.coalesce(F.col("doc_id") == F.coalesce("component_id", "doc_id"), F.lit(True)).alias("kept"),
+        "text_md5",
     )
 
 

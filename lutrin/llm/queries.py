@@ -81,7 +81,7 @@ def op7_html_extraction(spark, sf_dir):
 
 
 def op8_minhash_near_dedup(spark, sf_dir):
-    return near_duplicates(table(spark, sf_dir, "documents"), words=2, percent=80)
+    return near_duplicates(table(spark, sf_dir, "documents"), words=2, percent=80).drop("text_md5")
 
 
 def op9_license_scan(spark, sf_dir):

@@ -1,0 +1,94 @@
+import random
+
+from lutrin.llm import language
+from lutrin.llm.language import identify, page_evidence
+
+from helpers import docs_of
+
+PROSE = {
+    "en": "the and of that with this from have they which there were their would about other into".split(),
+    "fr": "le la les des une est dans pour que qui avec sur pas nous vous mais être après".split(),
+    "de": "der die das und ist nicht mit von auf für eine auch werden sich über nach können".split(),
+}
+
+
+def sample(seed, n=240, hosts=None):
+    rng = random.Random(seed)
+    langs = [rng.choice(list(PROSE)) for _ in range(n)]
+    texts = [" ".join(rng.choice(PROSE[x]) for _ in range(rng.randint(5, 60))) for x in langs]
+    return texts, langs
+
+
+def by_id(df):
+    return {r.id: r for r in df.collect()}
+
+
+def test_held_out_accuracy(spark):
+    """The labels of a fifth are hidden, their declarations wrong."""
+    texts, langs = sample(1)
+    labels = [None if i % 5 == 0 else x for i, x in enumerate(langs)]
+    docs = docs_of(spark, texts, labels)
+    rows = by_id(identify(docs))
+    hidden = [i for i in range(len(texts)) if i % 5 == 0]
+    assert sum(rows[i].language == langs[i] for i in hidden) >= 0.97 * len(hidden)
+    assert all(r.accepted for r in rows.values())
+
+
+def test_evidence_decides_what_the_text_leaves_open(spark):
+    texts, langs = sample(2)
+    sources = [f"www.{x}.example.{x}" for x in langs]
+    texts += ["xyz", "xyz", "", None, "123 !!"]
+    langs_ = langs + [None, None, "fr", None, "de"]
+    sources += ["other.de.example.de", "new.fr", "www.fr.example.fr", None, "www.de.example.de"]
+    rows = by_id(identify(docs_of(spark, texts, langs_, sources)))
+    n = len(langs)
+    assert rows[n].language == "de" and rows[n + 1].language == "fr"  # by domain, by suffix
+    assert [rows[n + k].accepted for k in (2, 3, 4)] == [False] * 3
+    assert rows[n + 2].language == "fr" and rows[n + 4].language == "de"
+
+
+def test_unknown_language_is_rejected(spark):
+    texts, langs = sample(3)
+    texts += ["これは日本語の文章です。とても長い文章です。" * 5]
+    rows = by_id(identify(docs_of(spark, texts, langs + [None], ["src0"] * len(langs) + [None])))
+    assert rows[len(langs)].language == "und" and not rows[len(langs)].accepted
+
+
+def test_a_wrong_declaration_does_not_win_over_a_long_text(spark):
+    texts, langs = sample(4)
+    texts += [" ".join(PROSE["de"] * 5)]
+    rows = by_id(identify(docs_of(spark, texts, langs + ["fr"])))
+    assert rows[len(langs)].language == "de"
+
+
+def test_ids_columns_and_empty_table(spark):
+    texts, langs = sample(5, 60)
+    docs = docs_of(spark, [*((7, t) for t in texts), (None, "the and of that")], [*langs, "en"], clashes=True)
+    rows = identify(docs).collect()
+    assert len(rows) == 61 and sum(r.id is None for r in rows) == 1
+    assert identify(docs.where("false")).count() == 0
+
+
+def test_no_labels_at_all(spark):
+    rows = identify(docs_of(spark, ["a b c", None], [None, None])).collect()
+    assert [(r.language, r.accepted) for r in rows] == [("und", False)] * 2
+
+
+def test_sample_bound_is_a_parameter(spark):
+    texts, langs = sample(6)
+    languages, table = language.fit(docs_of(spark, texts, langs).selectExpr("lang AS label", "text"), sample_rows=60)
+    whole = language.fit(docs_of(spark, texts, langs).selectExpr("lang AS label", "text"))
+    assert languages == whole[0] == ["de", "en", "fr", "und"] and table.shape == whole[1].shape
+    rows = by_id(identify(docs_of(spark, texts, langs), sample_rows=60))
+    assert sum(rows[i].text_language == langs[i] for i in rows) >= 0.95 * len(langs)
+
+
+def test_pages(spark):
+    texts, langs = sample(7, 90)
+    rows = [
+        (i, f"https://www.{x}.example.{x}/p?q=1" if i % 3 else None, f'<html lang="{x}"><script>var the = 1;</script><p>{t}</p></html>')
+        for i, (t, x) in enumerate(zip(texts, langs))
+    ]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = by_id(identify(page_evidence(pages), "id", "text", "declared", "address"))
+    assert all(got[i].language == x and got[i].declared == x for i, x in enumerate(langs))
