@@ -50,8 +50,8 @@ def near_dedup(spark, docs, sf_dir):
     """Keep the document with the smallest id of each group of near copies (five words, 0.8)."""
     scratch = Scratch(spark, "pipeline")
     found = near_duplicates(docs, words=5, percent=80)
-    dropped = scratch.save(found.where("NOT kept").select("doc_id").distinct(), "dropped")
-    kept = without(docs, dropped, {"doc_id": F.col("doc_id")})
+    dropped = found.where("NOT kept").select("doc_id", F.lower(F.hex("text_md5")).alias("k")).distinct()
+    kept = without(docs, scratch.save(dropped, "dropped"), {"doc_id": F.col("doc_id"), "k": text_key()})
     repeated = kept.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select("doc_id")
     repeated = scratch.save(repeated, "repeated")
     if repeated.take(1):  # rows that are repeated as a whole
