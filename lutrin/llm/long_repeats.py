@@ -23,12 +23,14 @@ import zstandard
 from pyspark.sql import functions as F
 
 from lutrin.llm import byte_words as bw
-from lutrin.llm.common import Scratch
+from lutrin.llm.common import Scratch, is_empty
 from lutrin.llm.runs import changes, whole_runs
 
 LENGTH, GRAM = 400, 96
 #: Windows that are described at a time; a longer text is taken in slices.
 SLICE = 1 << 21
+#: Blocks of one gram that are compared in one task, and windows that are sorted at a time.
+BLOCKS, WINDOWS = 1 << 14, 1 << 21
 _LOW = np.uint64((1 << 22) - 1)
 
 
@@ -213,83 +215,78 @@ def fetch(length):
 
 
 def compare(length):
-    """(text, first, last, high, low): stretches of repeated windows of blocks with one gram.
-
-    Windows of a gram at the ends of the partition are not decided here: they leave with
-    both halves of their hash, one row for each, to be counted by Spark.
-    """
+    """(text, first, last): stretches of repeated windows among the blocks of one gram; input sorted by gram."""
 
     def run(batches):
         with np.errstate(over="ignore"):
-            opening, held = True, None
             for batch in whole_runs(batches, ["gram"]):
-                if held is not None:
-                    yield from compared(held, opening, False)
-                    opening = False
-                held = batch
-            if held is not None:
-                yield from compared(held, opening, True)
-
-    def compared(batch, opening, closing):
-        gram_first = changes(batch, ["gram"])
-        gram_of = np.repeat(np.arange(len(gram_first)), np.diff(np.append(gram_first, batch.num_rows)))
-        content = batch.column("content")
-        first, before, windows = (batch.column(k).to_numpy() for k in ("first", "before", "windows"))
-        cuts = np.searchsorted(np.cumsum(windows), np.arange(1 << 21, windows.sum() + (1 << 21), 1 << 21)) + 1
-        gram_last = np.append(gram_first[1:], batch.num_rows)
-        begin = 0
-        for cut in cuts:  # some million windows at a time, whole grams
-            end = gram_last[min(np.searchsorted(gram_last, min(cut, batch.num_rows)), len(gram_last) - 1)]
-            if end <= begin:
-                continue
-            at = np.arange(begin, end)
-            halves = [hashes(content[i].as_buffer(), length, int(windows[i])) for i in at]
-            owner = np.repeat(at, windows[at])
-            place = np.arange(len(owner)) - np.repeat(np.cumsum(windows[at]) - windows[at], windows[at])
-            high, low = (np.concatenate([h[k] for h in halves]) for k in (0, 1))
-            low = bw.mix(low ^ (before[owner] - place).astype(np.uint64))  # where the anchor stands in the window
-            pending = np.zeros(len(gram_first), bool)
-            if opening:
-                pending[0] = True
-            if closing:
-                pending[-1] = True
-            waits = pending[gram_of[owner]]
-            order = np.lexsort((low, high, gram_of[owner]))
-            same = (high[order][1:] == high[order][:-1]) & (low[order][1:] == low[order][:-1]) & (gram_of[owner][order][1:] == gram_of[owner][order][:-1])
-            twice = np.zeros(len(order), bool)
-            twice[1:] |= same
-            twice[:-1] |= same
-            repeated = np.zeros(len(owner), bool)
-            repeated[order[twice]] = True
-            repeated &= ~waits
-            hit = np.flatnonzero(repeated)
-            if len(hit):
-                new = np.concatenate([[True], (hit[1:] != hit[:-1] + 1) | (owner[hit][1:] != owner[hit][:-1])])
-                a = hit[new]
-                b = hit[np.append(np.flatnonzero(new)[1:], len(hit)) - 1]
-                yield stretch(batch, owner[a], first[owner[a]] + place[a], first[owner[a]] + place[b], None, None)
-            left = np.flatnonzero(waits)
-            if len(left):
-                spot = first[owner[left]] + place[left]
-                yield stretch(batch, owner[left], spot, spot, high[left].view(np.int64), low[left].view(np.int64))
-            begin = end
-
-    def stretch(batch, owner, a, b, high, low):
-        nothing = pa.nulls(len(owner), pa.int64())
+                windows = batch.column("windows").to_numpy()
+                last = np.append(changes(batch, ["gram"])[1:], batch.num_rows)
+                total = np.cumsum(windows)[last - 1]
+                begin = 0
+                while begin < batch.num_rows:  # some million windows at a time, whole grams
+                    i = int(np.searchsorted(last, begin, side="right"))
+                    done = total[i - 1] if i else 0
+                    j = max(i, int(np.searchsorted(total, done + WINDOWS, side="right")) - 1)
+                    end = int(last[j])
+                    yield compared(batch.slice(begin, end - begin))
+                    begin = end
+
+    def compared(batch):
+        owner, place, high, low = windows_of(batch, length)
+        gram = batch.column("gram").to_numpy()[owner]
+        order = np.lexsort((low, high, gram))
+        one, two = order[1:], order[:-1]
+        same = (high[one] == high[two]) & (low[one] == low[two]) & (gram[one] == gram[two])
+        repeated = np.zeros(len(owner), bool)
+        repeated[one[same]] = True
+        repeated[two[same]] = True
+        hit = np.flatnonzero(repeated)
+        new = np.concatenate([[True], (hit[1:] != hit[:-1] + 1) | (owner[hit][1:] != owner[hit][:-1])]) if len(hit) else np.zeros(0, bool)
+        a = hit[new]
+        b = hit[np.append(np.flatnonzero(new)[1:], len(hit)) - 1] if len(hit) else hit
+        first = batch.column("first").to_numpy()
         return pa.RecordBatch.from_arrays(
-            [
-                batch.column("text").take(pa.array(owner)),
-                pa.array(a, pa.int64()),
-                pa.array(b, pa.int64()),
-                nothing if high is None else pa.array(high),
-                nothing if low is None else pa.array(low),
-            ],
-            ["text", "first", "last", "high", "low"],
+            [batch.column("text").take(pa.array(owner[a])), pa.array(first[owner[a]] + place[a]), pa.array(first[owner[b]] + place[b])],
+            ["text", "first", "last"],
         )
 
     return run
 
 
+def windows_of(batch, length):
+    """Block, place in the block and two hashes of every window; the second knows the place of the anchor."""
+    windows, before = (batch.column(k).to_numpy() for k in ("windows", "before"))
+    content = batch.column("content")
+    halves = [hashes(content[i].as_buffer(), length, int(n)) for i, n in enumerate(windows)]
+    owner = np.repeat(np.arange(len(windows)), windows)
+    place = np.arange(len(owner)) - np.repeat(np.cumsum(windows) - windows, windows)
+    high, low = (np.concatenate([h[k] for h in halves]) for k in (0, 1))
+    return owner, place, high, bw.mix(low ^ (before[owner] - place).astype(np.uint64))
+
+
+def list_windows(length):
+    """(text, first, high, low) of every window, for grams with too many blocks to meet in one task."""
+
+    def run(batches):
+        with np.errstate(over="ignore"):
+            for whole in batches:
+                for begin in range(0, whole.num_rows, 512):
+                    batch = whole.slice(begin, 512)
+                    owner, place, high, low = windows_of(batch, length)
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            batch.column("text").take(pa.array(owner)),
+                            pa.array(batch.column("first").to_numpy()[owner] + place),
+                            pa.array(high.view(np.int64)),
+                            pa.array(low.view(np.int64)),
+                        ],
+                        ["text", "first", "high", "low"],
+                    )
+
+    return run
+
+
 def hashes(content, length, windows):
     """Two hashes of every window of a block."""
     data = np.frombuffer(content, np.uint8)
@@ -361,16 +358,18 @@ def remove_repeats(docs, doc_id="doc_id", text="text", length=LENGTH, gram=GRAM,
     fetched = packed_texts(rows).join(places, "text").select("text", "packed", "places")
     fetched = fetched.mapInArrow(fetch(length), "gram long, text binary, first long, before int, windows int, content binary")
     fetched = scratch.save(fetched, "compared", compression="zstd")
-    sorted_again = fetched.repartitionByRange(parts, "gram", "text", "first").sortWithinPartitions("gram", "text", "first")
-    stretches = scratch.save(sorted_again.mapInArrow(compare(length), "text binary, first long, last long, high long, low long"), "stretches")
-    waiting = stretches.where("high IS NOT NULL")
-    twice = waiting.groupBy("high", "low").agg(F.count("*").alias("n")).where("n > 1").select("high", "low")
-    covered = (
-        decided.where("repeated")
-        .select("text", "first", (F.col("first") + F.col("windows") - 1).alias("last"))
-        .union(stretches.where("high IS NULL").select("text", "first", "last"))
-        .union(waiting.join(twice, ["high", "low"]).select("text", "first", "last"))
-    )
+    large = scratch.save(decided.where("NOT repeated").groupBy("gram").agg(F.count("*").alias("n")).where(F.col("n") > BLOCKS).select("gram"), "large")
+    covered = decided.where("repeated").select("text", "first", (F.col("first") + F.col("windows") - 1).alias("last"))
+    usual = fetched
+    if not is_empty(large):  # a gram in very many contents: its windows are dealt out one by one
+        usual = fetched.join(large, "gram", "left_anti")
+        each = fetched.join(large, "gram", "left_semi").select("text", "first", "before", "windows", "content")
+        each = scratch.save(each.mapInArrow(list_windows(length), "text binary, first long, high long, low long"), "windows")
+        twice = each.groupBy("high", "low").agg(F.count("*").alias("n")).where("n > 1").select("high", "low")
+        covered = covered.union(each.join(twice, ["high", "low"]).select("text", "first", F.col("first").alias("last")))
+    usual = usual.select("gram", "text", "first", "before", "windows", "content")
+    usual = usual.repartition("gram").sortWithinPartitions("gram", "text", "first")
+    covered = covered.union(usual.mapInArrow(compare(length), "text binary, first long, last long"))
     covered = covered.distinct().groupBy("text").agg(F.collect_list(F.struct("first", "last")).alias("covered"))
     cleaned = packed_texts(rows).join(covered, "text", "left").select("text", "packed", "covered")
     cleaned = cleaned.mapInArrow(cut(length), "text binary, n_bytes long, spans array<struct<start:long,end:long>>, kept binary")
