@@ -39,7 +39,7 @@ def op2_benchmark_decontamination(spark, sf_dir):
 
 
 def op3_embedding_near_dedup(spark, sf_dir):
-    return link_vectors(table(spark, sf_dir, "embeddings"), threshold=0.95)
+    return link_vectors(table(spark, sf_dir, "embeddings"), threshold=0.95).drop("recall")
 
 
 def op4_language_id(spark, sf_dir):
@@ -138,4 +138,61 @@ QUERIES = {
         op10_url_filter,
     )
 }
-SQL = {}
+
+
+def lowered(column):
+    upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    return f"translate(coalesce({column}, ''), '{upper}', '{upper.lower()}')"
+
+
+OP2_WORDS = f"regexp_extract_all({lowered('text')}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+OP8_WORDS = f"regexp_extract_all({lowered('text')}, '[^\\x20\\x09-\\x0D]+')"
+
+#: The smallest identifier that links reach; `l` holds links both ways, `v` all identifiers.
+REACH = """
+    reach(id, other) AS (SELECT id, id FROM v UNION SELECT r.id, l.b FROM reach r JOIN l ON r.other = l.a)
+"""
+
+SQL = {
+    "op2_benchmark_decontamination": f"""
+        WITH s AS (SELECT item_id, {OP2_WORDS} AS w FROM benchmark),
+        k AS (SELECT DISTINCT item_id, least(10, len(w)) AS n, array_to_string(list_slice(w, i, i + least(10, len(w)) - 1), ' ') AS key
+              FROM s, unnest(range(1, greatest(len(w) - 9, 1) + 1)) t(i) WHERE len(w) > 0),
+        d AS (SELECT row_number() OVER () AS r, doc_id, {OP2_WORDS} AS w FROM documents),
+        sizes AS (SELECT DISTINCT n FROM k),
+        x AS (SELECT r, n, i, array_to_string(list_slice(w, i, i + n - 1), ' ') AS key
+              FROM d, sizes, unnest(range(1, len(w) - n + 2)) t(i)),
+        hit AS (SELECT DISTINCT r, x.n, i, item_id FROM x JOIN k ON x.n = k.n AND x.key = k.key),
+        places AS (SELECT r, count(DISTINCT p) AS n_hit FROM hit, unnest(range(i, i + n)) u(p) GROUP BY r),
+        found AS (SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+                  FROM (SELECT DISTINCT r, CAST(item_id AS VARCHAR) AS item FROM hit) GROUP BY r)
+        SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+               sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+        FROM d LEFT JOIN places USING (r) LEFT JOIN found USING (r)
+    """,
+    "op3_embedding_near_dedup": f"""
+        WITH RECURSIVE e AS (SELECT vec_id AS id, CAST(embedding AS DOUBLE[]) AS x FROM embeddings),
+        v AS (SELECT id FROM e),
+        l AS (SELECT p.id AS a, q.id AS b FROM e p, e q WHERE p.id <> q.id AND list_cosine_similarity(p.x, q.x) >= 0.95),
+        {REACH}
+        SELECT id AS vec_id, (SELECT count(*) FROM l WHERE a = id) AS n_links, min(other) AS component_id,
+               min(other) = id AS kept
+        FROM reach GROUP BY id
+    """,
+    "op8_minhash_near_dedup": f"""
+        WITH RECURSIVE d AS (SELECT doc_id AS id, {OP8_WORDS} AS w FROM documents),
+        v AS (SELECT id FROM d),
+        s AS (SELECT DISTINCT id, CASE WHEN len(w) = 1 THEN w[1] ELSE w[i] || ' ' || w[i + 1] END AS shingle
+              FROM d, unnest(range(1, greatest(len(w), 2))) t(i) WHERE len(w) > 0),
+        n AS (SELECT id, count(*) AS n FROM s GROUP BY id),
+        t AS (SELECT * FROM s JOIN n USING (id)),
+        pairs AS (SELECT p.id AS a, q.id AS b, p.n + q.n AS total, count(*) AS shared FROM t p JOIN t q
+                   ON p.shingle = q.shingle AND p.id < q.id AND 100 * least(p.n, q.n) >= 80 * greatest(p.n, q.n)
+                 GROUP BY ALL),
+        near AS (SELECT a, b FROM pairs WHERE 100 * shared >= 80 * (total - shared)),
+        l AS (SELECT a, b FROM near UNION ALL SELECT b, a FROM near),
+        {REACH}
+        SELECT id AS doc_id, coalesce(n, 0) AS n_shingles, min(other) AS component_id, min(other) = id AS kept
+        FROM reach LEFT JOIN n USING (id) GROUP BY id, n
+    """,
+}
