@@ -7,7 +7,7 @@ treat all non-ASCII characters alike can be decided byte by byte.
 import numpy as np
 import pyarrow as pa
 
-CHUNK_BYTES = 1 << 22
+CHUNK_BYTES = 1 << 20
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from lutrin.llm import byte_words as bw
 from lutrin.llm.common import Scratch
 
-SEGMENT_BYTES = 1 << 24
+SEGMENT_BYTES = 1 << 23
 #: Bytes of test items that are searched at a time.
 BLOCK_BYTES = 1 << 23
 #: Candidates of one step of an intersection.
@@ -164,7 +164,7 @@ def search_segments(block, slop):
             for i in range(batch.num_rows):
                 row = {name: batch.column(name)[i] for name in batch.schema.names}
                 n_words = np.array(row["n_words"].values.to_numpy(zero_copy_only=False), np.int64)
-                read = lambda name, kind: np.frombuffer(row[name].as_py(), kind)
+                read = lambda name, kind: np.frombuffer(row[name].as_buffer(), kind)
                 start, window = find(
                     own, slop, read("terms", "<u8"), read("term_first", "<u4").astype(np.int64),
                     read("positions", "<u4").astype(np.int64), n_words,
