@@ -23,6 +23,10 @@ EFFECTIVE = 60.0
 #: Rows of its parent that a host, domain or suffix prior is smoothed with.
 STRENGTH = 10.0
 UNKNOWN = "und"
+#: Share of a text's trigrams that may be names, keys or noise in any language.
+NOISE = 0.25
+#: A row is rejected as unknown only from this posterior on.
+CERTAIN = 0.99
 
 # Letters, blanks as one class, everything else dropped from the trigrams.
 _CLASS = np.zeros(256, np.uint32)
@@ -30,8 +34,14 @@ _CLASS[97:123] = np.arange(97, 123)
 _CLASS[128:] = np.arange(128, 256)
 
 
+def letters_of(data, offsets):
+    """Letters (a to z, and non-ASCII bytes) of each text."""
+    sums = np.concatenate([[0], np.cumsum(_CLASS[bw.lower(data)] > 0)])
+    return sums[offsets[1:]] - sums[offsets[:-1]]
+
+
 def trigrams(data, offsets):
-    """Bucket of each letter trigram, and the text it belongs to; words are padded with one blank."""
+    """Bucket of each letter trigram, and the text it belongs to; a word ends with one blank."""
     c = _CLASS[bw.lower(data)]
     text = np.repeat(np.arange(len(offsets) - 1, dtype=np.int32), np.diff(offsets))
     keep = c > 0
@@ -67,7 +77,7 @@ def count_trigrams(languages):
 
 
 def fit(rows, label="label", text="text", sample_rows=SAMPLE_ROWS):
-    """A trigram model from at most about `sample_rows` labelled rows, picked by a hash of label and text.
+    """A trigram model from at most about `sample_rows` labelled rows, picked by a hash.
 
     Returns (languages, log-probabilities by bucket and language). The last column is the
     unknown language, which finds every bucket alike.
@@ -80,11 +90,12 @@ def fit(rows, label="label", text="text", sample_rows=SAMPLE_ROWS):
     counts = np.zeros((len(languages), BUCKETS))
     if languages:
         share = min(1.0, sample_rows / total)
-        picked = rows.where((F.pmod(F.xxhash64(label, text), F.lit(1_000_000)) < share * 1_000_000))
+        picked = rows.where((F.pmod(F.xxhash64(text, F.monotonically_increasing_id()), F.lit(1_000_000)) < share * 1_000_000))
         picked = picked.select(label, text).mapInArrow(count_trigrams(languages), "language int, bucket int, n long")
         for r in picked.groupBy("language", "bucket").agg(F.sum("n").alias("n")).toLocalIterator():  # languages * BUCKETS rows at most
             counts[r.language, r.bucket] = r.n
     p = (counts + 0.5) / (counts.sum(1, keepdims=True) + 0.5 * BUCKETS)
+    p = (1 - NOISE) * p + NOISE / BUCKETS
     table = np.concatenate([np.log(p), np.full((1, BUCKETS), -np.log(BUCKETS))])
     return [*languages, UNKNOWN], np.ascontiguousarray(table.T.astype(np.float32))
 
@@ -110,8 +121,9 @@ def score(model):
                         batch.column(2).slice(row, n),
                         pa.array(list(sums), pa.list_(pa.float64())),
                         pa.array(count, pa.int64()),
+                        pa.array(letters_of(data, offsets), pa.int64()),
                     ],
-                    ["id", "declared", "host", "likelihoods", "trigrams"],
+                    ["id", "declared", "host", "likelihoods", "trigrams", "letters"],
                 )
 
     return run
@@ -143,7 +155,7 @@ def priors(scored, languages):
     return hosts.select("host", vector([F.col(f"n{i}") for i in range(size)]).alias("host_counts"), "domain_counts", "suffix_counts")
 
 
-def fuse(model, corpus, declared, accept):
+def fuse(model, corpus, declared, certain):
     """Posterior of each row from its own likelihoods and the counts of the corpus without it."""
 
     def run(batches):
@@ -178,7 +190,7 @@ def fuse(model, corpus, declared, accept):
                     pa.array([languages[k] for k in read]),
                     batch.column("declared"),
                     pa.array(count, pa.int64()),
-                    pa.array((count > 0) & (best != n - 1) & (top >= accept)),
+                    pa.array((batch.column("letters").to_numpy() > 0) & (posterior[:, n - 1] < certain)),
                 ],
                 ["id", "language", "posterior", "text_language", "declared", "trigrams", "accepted"],
             )
@@ -186,14 +198,15 @@ def fuse(model, corpus, declared, accept):
     return run
 
 
-def identify(docs, doc_id="doc_id", text="text", declared="lang", address="source", label=None, accept=0.5, sample_rows=SAMPLE_ROWS):
+def identify(docs, doc_id="doc_id", text="text", declared="lang", address="source", label=None, certain=CERTAIN, sample_rows=SAMPLE_ROWS):
     """The language of every row of `docs`.
 
     One row per row: id, language, posterior, text_language (by the text alone), declared,
     trigrams, accepted. `label` (by default the declared language) trains the trigram model.
-    Accepted are rows with letters whose likeliest language is a known one with a posterior
-    of `accept` or more. A null or empty text, or one without letters, has no evidence of its
-    own: its language is that of its other evidence, and it is not accepted. A null or
+    Rejected are rows without letters, and those that are in an unknown language with a
+    posterior of `certain` or more; doubt between known languages rejects nothing. A null or
+    empty text, or one without letters, has no evidence of its own: its language is that of
+    its other evidence. A null or
     unmodelled declaration, and a null address, count as no evidence. Equal posteriors go to
     the language that sorts first; null and repeated ids are carried as they are; further
     columns are ignored; an empty table gives no rows. Texts are read whole.
@@ -207,7 +220,7 @@ def identify(docs, doc_id="doc_id", text="text", declared="lang", address="sourc
     model = fit(docs.select(F.col(label or declared).cast("string").alias("label"), whole.alias("text")), sample_rows=sample_rows)
     languages = model[0]
     key = rows.schema["id"].dataType.simpleString()
-    schema = f"id {key}, declared string, host string, likelihoods array<double>, trigrams long"
+    schema = f"id {key}, declared string, host string, likelihoods array<double>, trigrams long, letters long"
     scored = scratch.save(rows.mapInArrow(score(spark.sparkContext.broadcast(model)), schema), "scored")  # BUCKETS * languages floats
     hosts = scratch.save(priors(scored, languages), "hosts")
     n = len(languages)
@@ -224,7 +237,7 @@ def identify(docs, doc_id="doc_id", text="text", declared="lang", address="sourc
     for level in ("host_counts", "domain_counts", "suffix_counts"):
         joined = joined.withColumn(level, F.coalesce(level, zero))
     schema = f"id {key}, language string, posterior double, text_language string, declared string, trigrams long, accepted boolean"
-    return joined.mapInArrow(fuse(languages, corpus, confusion, accept), schema)
+    return joined.mapInArrow(fuse(languages, corpus, confusion, certain), schema)
 
 
 def page_evidence(pages, page_id="page_id", url="url", html="html"):
