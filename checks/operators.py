@@ -32,7 +32,7 @@ from lutrin.operators import aggregates as A
 from lutrin.operators import filters
 from lutrin.operators import gates as G
 from lutrin.operators import links, lookups, merge
-from lutrin.plans.computers import days_to_refresh
+from lutrin.plans.computers import changed_persons, days_to_refresh, waiting_pairs
 from lutrin.plans.loans import collapse_outside
 from lutrin.sources.daily_files import unpaired_days as unpaired
 from lutrin.sources.fixed_width import slice_fields
@@ -640,7 +640,27 @@ def sessions_to_refresh(spark, t):
         F.col("c_mktsegment").alias("discipline"),
         F.col("c_name").alias("bibliotheque"),
     )
-    return days_to_refresh(sessions, persons, SALTS).select(F.col("journee").cast("string"))
+    days = days_to_refresh(waiting_pairs(sessions), persons, SALTS)
+    return days.select(F.col("journee").cast("string"))
+
+
+@check(
+    """
+    SELECT CAST(c_custkey AS VARCHAR) AS usager FROM customer
+    WHERE c_acctbal >= 0 AND (c_mktsegment = 'BUILDING' OR c_nationkey < 5)
+    """
+)
+def persons_changed(spark, t):
+    """Persons against an earlier version that lacks one segment and knew other libraries in some nations."""
+    persons = t("customer").filter("c_acctbal >= 0").select(
+        F.col("c_custkey").cast("string").alias("usager"),
+        F.expr("CASE WHEN c_mktsegment <> 'FURNITURE' THEN c_name END").alias("courriel"),
+        F.col("c_mktsegment").alias("discipline"),
+        F.col("c_nationkey").cast("string").alias("bibliotheque"),
+    )
+    library = F.expr("CASE WHEN bibliotheque < 5 THEN NULL ELSE bibliotheque END")
+    seen = persons.filter("discipline <> 'BUILDING'").withColumn("bibliotheque", library)
+    return changed_persons(persons, seen).select("usager")
 
 
 # ---- aggregates ---------------------------------------------------------------

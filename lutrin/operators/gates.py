@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 from lutrin.functions.dates import is_iso_instant
 from lutrin.functions.people import cycle_of
 from lutrin.functions.text import report_line
-from lutrin.schemas import MAX_LENGTH, TABLES
+from lutrin.schemas import MAX_LENGTH
+from lutrin.schemas import spec as spec_of
 
 STOP = "stop"
 WARN = "warn"
@@ -208,7 +209,7 @@ def too_long(df, lengths):
 
 def contract_gates(df, name, key=True):
     """Key and length gates of a table, for the columns that `df` has."""
-    spec = TABLES[name]
+    spec = spec_of(name)
     gates = []
     if key and spec.key and set(spec.key) <= set(df.columns):
         gates.append(Gate(f"{name}: key", broken_keys(df, spec.key)))

@@ -1,5 +1,8 @@
 """Sessions on public computers."""
 
+from functools import reduce
+from operator import and_, or_
+
 from pyspark.sql import functions as F
 
 from lutrin import values as V
@@ -80,31 +83,26 @@ def build_computer_sessions(staging, persons, synonyms, current, salts):
     )
 
 
-def days_to_refresh(current, persons, salts):
-    """Days with a session that the persons now known would change.
+def waiting_pairs(sessions):
+    """Accounts and days of sessions that lack a person column: (usager, journee)."""
+    lacking = reduce(or_, [F.col(c).isNull() for c in PERSON_COLUMNS])
+    return sessions.filter(lacking & F.col("usager").isNotNull()).select("usager", "journee").distinct()
+
+
+def changed_persons(persons, seen):
+    """Persons that are new, or have other columns than in an earlier version of the table."""
+    names = ["usager", *PERSON_COLUMNS]
+    before = seen.select(*[F.col(c).alias(f"_old_{c}") for c in names])
+    same = [F.col(c).eqNullSafe(F.col(f"_old_{c}")) for c in PERSON_COLUMNS]
+    match = reduce(and_, same, F.col("usager") == F.col("_old_usager"))
+    return persons.join(before, match, "left_anti")
+
 
-    The pairs to compare are an equi-join on the pseudonym; of the result only
-    distinct days leave the tasks.
+def days_to_refresh(waiting, persons, salts):
+    """Days with a session that waits for one of these persons.
+
+    Both sides are small against the sessions: an account has one pair a day, however many
+    sessions, and persons are only those that have changed.
     """
-    known = unique_persons(persons, "usager", salts)
-    lacking = current.filter(
-        F.col("courriel").isNull() | F.col("discipline").isNull() | F.col("bibliotheque").isNull()
-    )
-    refreshed = enrich_missing(
-        lacking.select(
-            "usager", "journee", *PERSON_COLUMNS, *[F.col(c).alias(f"_old_{c}") for c in PERSON_COLUMNS]
-        ),
-        known,
-        "usager",
-        "usager",
-        {c: c for c in PERSON_COLUMNS},
-        missing=PERSON_COLUMNS,
-    )
-    filled = refreshed.withColumn(
-        "discipline", F.coalesce("discipline", F.lit(V.UNKNOWN_DISCIPLINE))
-    )
-    changed = None
-    for c in PERSON_COLUMNS:
-        term = ~F.col(c).eqNullSafe(F.col(f"_old_{c}"))
-        changed = term if changed is None else changed | term
-    return filled.filter(changed).select("journee").distinct()
+    known = unique_persons(persons, "usager", salts).select("usager")
+    return waiting.join(known, "usager", "left_semi").select("journee").distinct()

@@ -12,9 +12,11 @@ from lutrin.operators.gates import Gate, GateFailure, contract_gates, run_gates
 from lutrin.plans.bookings import SOURCE_KEY_DDL, build_bookings, merge_bookings
 from lutrin.plans.computers import (
     build_computer_sessions,
+    changed_persons,
     computer_gates,
     computer_source,
     days_to_refresh,
+    waiting_pairs,
 )
 from lutrin.plans.loans import build_loans, loan_gates
 from lutrin.plans.people import (
@@ -27,7 +29,7 @@ from lutrin.plans.people import (
 from lutrin.plans.lookup_tables import with_missing_factors
 from lutrin.plans.traffic import build_traffic
 from lutrin.plans.trainings import build_events, build_registrations
-from lutrin.schemas import TABLES
+from lutrin.schemas import TABLES, WAITING
 from lutrin.sources.daily_files import stale_files
 from lutrin.sources.delimited import (
     load_staging,
@@ -189,12 +191,24 @@ def run_computers(run):
         computer_gates(staging, synonyms, run.salts)
         + contract_gates(staging, "_tmp_sessions_ordinateurs")
     )
-    current = run.warehouse.read("sessions_ordinateurs")
+    # What waits for a person is kept beside the sessions, and only persons that changed since
+    # this domain last ran can end the wait: the history is read once, on the first run.
+    warehouse = run.warehouse
+    if warehouse.has_state(WAITING):
+        waiting = warehouse.read_state(WAITING)
+    else:
+        waiting = waiting_pairs(warehouse.read("sessions_ordinateurs"))
+    seen = warehouse.read_pinned(PEOPLE, "computers")
+    changed = persons if seen is None else changed_persons(persons, seen)
     days = set(days_in(computer_source(staging, run.salts)))
-    days |= set(days_in(days_to_refresh(current, persons, run.salts)))
-    touched = run.warehouse.read_days("sessions_ordinateurs", sorted(days))
+    days = sorted(days | set(days_in(days_to_refresh(waiting, changed, run.salts))))
+    touched = warehouse.read_days("sessions_ordinateurs", days)
     build = build_computer_sessions(staging, persons, synonyms, touched, run.salts)
-    run.warehouse.write_days("sessions_ordinateurs", build.rows)
+    warehouse.write_days("sessions_ordinateurs", build.rows)
+    left = waiting.filter(~F.col("journee").isin(*days)) if days else waiting
+    now = waiting_pairs(warehouse.read_days("sessions_ordinateurs", days))
+    checks += warehouse.write_state(WAITING, left.union(now))
+    warehouse.pin(PEOPLE, "computers")
     return checks
 
 

@@ -214,6 +214,12 @@ _ALL = [
 
 TABLES = {t.name: t for t in _ALL}
 
+# Side tables of this library, beside the contract: days on which an account's sessions lack a person.
+SIDE_TABLES = {
+    t.name: t for t in [_table("_sessions_en_attente", "usager:255 journee:date", key="usager journee")]
+}
+WAITING = "_sessions_en_attente"
+
 # Tables that belong to each domain, to create or check one domain at a time.
 DOMAINS = {
     "programmes": ("programmes",),
@@ -238,8 +244,13 @@ def table(name):
     return TABLES[name]
 
 
+def spec(name):
+    """A table of the contract or a side table."""
+    return SIDE_TABLES.get(name) or TABLES[name]
+
+
 def empty_table(spark, name):
-    return spark.createDataFrame([], TABLES[name].schema)
+    return spark.createDataFrame([], spec(name).schema)
 
 
 def conform(df, name):
@@ -250,6 +261,6 @@ def conform(df, name):
             (
                 F.col(have[f.name.lower()]) if f.name.lower() in have else F.lit(None)
             ).cast(f.dataType).alias(f.name, metadata=f.metadata)
-            for f in TABLES[name].schema.fields
+            for f in spec(name).schema.fields
         ]
     )

@@ -10,7 +10,8 @@ Three kinds of tables:
 * states without a stable day (people, events, registrations): each run merges into
   the latest version and writes the next one beside it. A version counts once its
   gates have passed and its marker is written; readers find it in the folder
-  listing, so that no earlier version is opened. All but the last two are removed;
+  listing, so that no earlier version is opened. All but the last two are removed,
+  and those that a domain has pinned to tell later what has changed since;
 * staging and reports: a folder per run. Staging is removed once the run has succeeded.
 """
 
@@ -23,13 +24,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lutrin.operators.gates import contract_gates, run_gates
-from lutrin.schemas import TABLES, conform, empty_table
+from lutrin.schemas import TABLES, conform, empty_table, spec
 
 DAY = "journee"
 VERSION = "version"
 # Written last into the folder of a version that may be read.
 MARKER = "_PUBLISHED"
 KEPT_VERSIONS = 2
+# A domain that has used a version leaves a file of this name and its own in it.
+PIN = "_PINNED-"
 
 
 def latest_version(folders):
@@ -136,27 +139,55 @@ class Warehouse:
             if s.isDirectory()
         ]
 
+    def _version(self, name, number):
+        path = f"{self.path(name)}/{VERSION}={number}"
+        return conform(self.spark.read.schema(spec(name).schema).parquet(path), name)
+
     def read_state(self, name):
         """A state as the latest run left it."""
         last = latest_version(self.versions(name))
+        return empty_table(self.spark, name) if last is None else self._version(name, last)
+
+    def has_state(self, name):
+        return latest_version(self.versions(name)) is not None
+
+    def _pins(self, name, domain):
+        numbers = [int(f.removeprefix(f"{VERSION}=")) for f, published in self.versions(name) if published]
+        marked = [(n, *self._files(f"{self.path(name)}/{VERSION}={n}/{PIN}{domain}")) for n in numbers]
+        return [n for n, files, place in marked if files.exists(place)]
+
+    def read_pinned(self, name, domain):
+        """The version that a domain has used last, or None."""
+        pinned = self._pins(name, domain)
+        return self._version(name, max(pinned)) if pinned else None
+
+    def pin(self, name, domain):
+        """Note that a domain has used the latest version, and keep that until the next pin."""
+        last = latest_version(self.versions(name))
         if last is None:
-            return empty_table(self.spark, name)
-        path = f"{self.path(name)}/{VERSION}={last}"
-        return conform(self.spark.read.schema(TABLES[name].schema).parquet(path), name)
+            return
+        for number in {last, *self._pins(name, domain)}:
+            files, place = self._files(f"{self.path(name)}/{VERSION}={number}/{PIN}{domain}")
+            if number != last:
+                files.delete(place, False)
+            elif not files.exists(place):
+                files.create(place).close()
 
     def write_state(self, name, rows):
         """Write the next version; it is only published if the gates of its table pass."""
         last = latest_version(self.versions(name)) or 0
         path = f"{self.path(name)}/{VERSION}={last + 1}"
         rows.write.mode("overwrite").parquet(path)
-        written = self.spark.read.schema(TABLES[name].schema).parquet(path)
+        written = self.spark.read.schema(spec(name).schema).parquet(path)
         checks = run_gates(contract_gates(written, name), self.reports_path())
         files, place = self._files(f"{path}/{MARKER}")
         files.create(place).close()
         for folder, _ in self.versions(name):
             number = folder.removeprefix(f"{VERSION}=")
             if number.isdigit() and int(number) <= last + 1 - KEPT_VERSIONS:
-                self._delete(f"{self.path(name)}/{folder}")
+                files, place = self._files(f"{self.path(name)}/{folder}")
+                if not any(s.getPath().getName().startswith(PIN) for s in files.listStatus(place)):
+                    files.delete(place, True)
         return checks
 
 

@@ -434,6 +434,49 @@ def test_later_run_refreshes_older_sessions(spark, tmp_path, lookups, salts, nam
     }
 
 
+def test_refresh_reads_waiting_accounts_and_changed_persons(spark, tmp_path, lookups, salts, names, monkeypatch):
+    """After the first run the history is not scanned; persons missed by a failed run still count."""
+    inputs = landing.land_day(tmp_path / "one")
+    run = Run(Warehouse(spark, str(tmp_path / "w")), inputs, lookups, salts, DAY)
+    assert all(r.done for r in run_daily(run, ["people", "computers"]).values())
+    warehouse = run.warehouse
+    waiting = {(names[r.usager], str(r.journee)) for r in warehouse.read_state("_sessions_en_attente").collect()}
+    assert waiting == {("invite", DAY), ("pers1", DAY)}
+    assert warehouse.read_pinned("_clientele_cumul", "computers").count() == 10
+
+    invited = ("b9", "1DROI", "1", "x", "p9@example.org", "invite")
+    people_of = lambda day: {
+        "students": landing.write_students(tmp_path / day / "ac.txt", landing.STUDENTS + [invited]), "staff": inputs["staff"],
+    }
+    assert run_daily(replace(run, inputs=people_of("11"), day="2024-01-11"), ["people"])["people"].done
+    assert run_daily(replace(run, inputs=people_of("12"), day="2024-01-12"), ["people"])["people"].done
+    assert run_daily(replace(run, inputs=people_of("13"), day="2024-01-13"), ["people"])["people"].done
+    assert warehouse.read_pinned("_clientele_cumul", "computers").count() == 10  # kept until the next run
+
+    real = Warehouse.read
+    monkeypatch.setattr(Warehouse, "read", lambda self, name, extra="": (_ for _ in ()).throw(AssertionError("history")) if name == "sessions_ordinateurs" and not self.allowed else real(self, name, extra), raising=True)
+    days_only = Warehouse.read_days
+
+    def read_days(self, name, days, extra=""):
+        self.allowed = True
+        try:
+            return days_only(self, name, days, extra)
+        finally:
+            self.allowed = False
+
+    monkeypatch.setattr(Warehouse, "read_days", read_days)
+    warehouse.allowed = False
+    later = {"computers": landing.write_text(
+        tmp_path / "13" / "c.csv", "ID,S,P,L,D,F,T\n1,Salle B1,PC9,etu2,2024-01-13 08:00:00,2024-01-13 09:00:00,5\n"
+    )}
+    result = run_daily(replace(run, inputs=later, day="2024-01-13"), ["computers"])["computers"]
+    assert result.done, result.error
+    monkeypatch.undo()
+    got = {names[r.usager]: names[r.courriel] for r in warehouse.read("sessions_ordinateurs").collect()}
+    assert got["invite"] == "p9@example.org"
+    assert {names[r.usager] for r in warehouse.read_state("_sessions_en_attente").collect()} == {"pers1"}
+
+
 def test_empty_snapshot_clears_its_day(spark, tmp_path):
     warehouse = Warehouse(spark, str(tmp_path))
     row = conform(spark.sql("SELECT 'u' AS usager, date'2024-01-10' AS journee, true AS clientele"), "_clientele_cumul")
