@@ -61,8 +61,12 @@ def upsert(target, source, keys, update, reset=(), fill=()):
 
 def insert_new(target, source, keys, order):
     """Target plus the source rows whose key it lacks; the first in `order` wins in the source."""
-    first = latest_by(source.select(*target.columns), keys, order)
-    absent = first.join(target.select(*keys), list(keys), "left_anti")
+    return insert_absent(target, latest_by(source.select(*target.columns), keys, order), keys)
+
+
+def insert_absent(target, source, keys):
+    """Target plus the source rows, one per key already, whose key it lacks."""
+    absent = source.select(*target.columns).join(target.select(*keys), list(keys), "left_anti")
     return target.unionByName(absent)
 
 

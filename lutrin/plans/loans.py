@@ -7,9 +7,9 @@ from lutrin.functions.dates import day_of, parse_instant, term_start
 from lutrin.functions.privacy import pseudonymize
 from lutrin.operators import gates as G
 from lutrin.operators.filters import drop_blank
-from lutrin.operators.links import link, unique_persons
+from lutrin.operators.links import hot_keys, link, unique_persons
 from lutrin.operators.lookups import normalize
-from lutrin.operators.merge import insert_new
+from lutrin.operators.merge import insert_absent, latest_by
 from lutrin.schemas import conform
 
 KEY = ["cb_document", "cb_usager", "dateheure"]
@@ -51,32 +51,33 @@ def loan_gates(staging, synonyms, home):
 
 
 def loan_source(staging, persons, synonyms, home, salts):
-    """Loans of known persons in the shape of the table.
+    """Loans of known persons in the shape of the table, one per key.
 
-    Persons are linked first: hot borrowers are then counted on the bare staging
-    column, and names are only looked up for the loans that stay.
+    Of equal loans the first by content stays. They are ranked by the short raw barcode,
+    before it becomes a pseudonym; hot borrowers are counted on the bare staging column.
     """
+    dated = drop_blank(staging, "date")
+    named = normalize(
+        dated_loans(dated, synonyms, home),
+        ["bibliotheque_pret", "bibliotheque_document"],
+        synonyms,
+        V.LOANS,
+    ).withColumn("dateheure", parse_instant(F.col("date")))
+    single = latest_by(named, KEY, [F.asc_nulls_first(c) for c in OWN_COLUMNS])
+    known = dated.filter(F.col("cb_usager").isNotNull() & (F.col("cb_usager") != ""))
     linked = link(
-        drop_blank(staging, "date"),
+        single,
         unique_persons(persons, "codebarres", salts),
         "cb_usager",
         "codebarres",
         {"usager": "usager", "courriel": "courriel", "discipline": "discipline", "codebarres": "_cb"},
         how="inner",
         encode=lambda c: pseudonymize(c, salts),
+        hot=hot_keys(known.select("cb_usager"), "cb_usager"),
     )
-    named = normalize(
-        dated_loans(linked, synonyms, home),
-        ["bibliotheque_pret", "bibliotheque_document"],
-        synonyms,
-        V.LOANS,
-    )
-    instant = parse_instant(F.col("date"))
-    rows = named.withColumn("cb_usager", F.col("_cb")).select(
-        "*",
-        instant.alias("dateheure"),
-        day_of(instant).alias("journee"),
-        term_start(day_of(instant)).alias("session"),
+    day = day_of(F.col("dateheure"))
+    rows = linked.withColumn("cb_usager", F.col("_cb")).select(
+        "*", day.alias("journee"), term_start(day).alias("session")
     )
     return conform(rows, "emprunts")
 
@@ -94,7 +95,6 @@ OWN_COLUMNS = (
 def build_loans(staging, persons, synonyms, current, home, salts):
     """Current loans plus the new ones; of equal loans in a batch the first by content stays."""
     source = loan_source(staging, persons, synonyms, home, salts)
-    order = [F.asc_nulls_first(c) for c in OWN_COLUMNS]
     filled = current.withColumn("session", F.coalesce("session", term_start(F.col("journee"))))
-    rows = insert_new(filled, source, KEY, order)
+    rows = insert_absent(filled, source, KEY)
     return G.Build(conform(rows, "emprunts"), loan_gates(staging, synonyms, home))
