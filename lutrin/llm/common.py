@@ -1,6 +1,9 @@
 """Written intermediate tables and connected components."""
 
+import atexit
 import os
+import re
+import shutil
 import tempfile
 import uuid
 import zipfile
@@ -27,18 +30,31 @@ def ship_code(spark):
     context._lutrin_shipped = True
 
 
+def own_folder(spark):
+    """A folder for sessions that name none."""
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+        return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
+    if not _local:
+        _local.append(tempfile.mkdtemp(prefix="lutrin-scratch-"))
+        atexit.register(shutil.rmtree, _local[0], ignore_errors=True)
+    return _local[0]
+
+
+_local = []
+
+
 class Scratch:
     """Parquet tables in the folder that driver and executors share.
 
-    The folder is the one in `spark.checkpoint.dir`; where that is unset, as in tests, one
-    below the warehouse. Tables replace checkpoints: they cut lineage, survive lost
+    The folder is the one in `spark.checkpoint.dir`. Where that is unset it is one below the
+    warehouse, or in a local session, where all tasks run in this process, a temporary one
+    that goes with the process. Tables replace checkpoints: they cut lineage, survive lost
     executors, and are columnar. A result may still read them, so they stay until
     `clear_scratch`; tables that are superseded are dropped at once.
     """
 
     def __init__(self, spark, name):
-        root = spark.conf.get("spark.checkpoint.dir", None)
-        root = root or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
+        root = spark.conf.get("spark.checkpoint.dir", None) or own_folder(spark)
         self.spark = spark
         self.root = f"{root.rstrip('/')}/lutrin-{spark.sparkContext.applicationId}"
         self.path = f"{self.root}/{name}-{uuid.uuid4().hex[:12]}"
