@@ -142,10 +142,11 @@ def redact(docs, doc_id="doc_id", text="text", mark="[secret]", scope=SCOPE):
     """`docs` with every reported span replaced by `mark`; overlapping spans become one.
 
     Spans depend on the text alone, so each text that has any is joined once by its hash;
-    other texts, null ones among them, stay as they are.
+    other texts, null ones among them, stay as they are, and so do all other columns, save
+    any of the names _text_md5 and _spans.
     """
     found = spans(docs, doc_id, text, scope).where(F.size("spans") > 0)
-    found = found.groupBy("text_md5").agg(F.first("spans").alias("_spans"))
+    found = found.groupBy(F.col("text_md5").alias("_text_md5")).agg(F.first("spans").alias("_spans"))
     empty = F.expr("named_struct('text', '', 'done', 0)")
 
     def step(state, span):
@@ -158,8 +159,8 @@ def redact(docs, doc_id="doc_id", text="text", mark="[secret]", scope=SCOPE):
 
     cleaned = F.aggregate("_spans", empty, step, finish)
     return (
-        docs.withColumn("text_md5", F.md5(F.encode(F.coalesce(F.col(text), F.lit("")), "UTF-8")))
-        .join(found, "text_md5", "left")
+        docs.withColumn("_text_md5", F.md5(F.encode(F.coalesce(F.col(text), F.lit("")), "UTF-8")))
+        .join(found, "_text_md5", "left")
         .withColumn(text, F.when(F.col("_spans").isNotNull(), cleaned).otherwise(F.col(text)))
         .select(*docs.columns)
     )
