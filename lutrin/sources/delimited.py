@@ -23,6 +23,19 @@ def _typed(name, kind, strict):
     return value.alias(name)
 
 
+def text_options(sep, strict):
+    """How delimited text is read, from files or from a column."""
+    return {"sep": sep, "quote": '"', "escape": '"', "mode": "FAILFAST" if strict else "PERMISSIVE"}
+
+
+def parse_delimited(lines, columns, types=None, sep=";", strict=True):
+    """The same from the text column `value`, one row each, without header."""
+    types = types or {}
+    schema = ", ".join(f"`{c}` string" for c in columns)
+    rows = lines.select(F.from_csv("value", schema, text_options(sep, strict)).alias("_row")).select("_row.*")
+    return rows.select(*[_typed(c, types.get(c, T.StringType()), strict) for c in columns])
+
+
 def read_delimited(
     spark, path, columns, types=None, sep=";", header=True, multiline=False, strict=True, order=None
 ):
@@ -41,11 +54,8 @@ def read_delimited(
         spark.read.schema(schema)
         .option("header", header)
         .option("enforceSchema", True)
-        .option("sep", sep)
-        .option("quote", '"')
-        .option("escape", '"')
         .option("multiLine", multiline)
-        .option("mode", "FAILFAST" if strict else "PERMISSIVE")
+        .options(**text_options(sep, strict))
         .csv(path)
     )
     extra = [file_order().alias(order)] if order else []

@@ -30,6 +30,11 @@ def slice_fields(lines, layout):
     return lines.select(*others, *cut)
 
 
+def parse_people(lines, layout, required):
+    """Fields of all lines whose `required` field is not blank."""
+    return slice_fields(lines, layout).filter(F.col(required) != "")
+
+
 def file_order():
     """Orders the rows of one file: offset of their block, then their number in it.
 
@@ -50,7 +55,7 @@ def read_fixed_width(spark, path, layout, required, encoding=V.PEOPLE_ENCODING,
     lines = read_lines(spark, path, encoding).select(
         "value", F.col("_metadata.file_name").alias("fichier"), file_order().alias("id")
     )
-    rows = slice_fields(lines, layout).filter(F.col(required) != "")
+    rows = parse_people(lines, layout, required)
     return rows.repartition(partitions) if partitions else rows
 
 

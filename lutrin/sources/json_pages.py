@@ -29,12 +29,15 @@ def read_pages(spark, path, record, wrapper=None):
         .json(path)
         .select("*", F.col("_metadata.file_name").alias("fichier"), _folder(F.col("_metadata.file_path")).alias("dossier"))
     )
-    if not wrapper:
-        return pages
+    return unwrap(pages, record, wrapper, ["fichier", "dossier"]) if wrapper else pages
+
+
+def unwrap(pages, record, wrapper, keep=()):
+    """One row per record of pages that hold an array under `wrapper`, or are a record themselves."""
     # An object without the array is no record either.
     is_record = reduce(or_, [F.col(f.name).isNotNull() for f in record.fields])
     bare = F.when(is_record, F.array(F.struct(*[F.col(f.name) for f in record.fields])))
-    return pages.select("fichier", "dossier", F.inline(F.coalesce(F.col(wrapper), bare)))
+    return pages.select(*keep, F.inline(F.coalesce(F.col(wrapper), bare)))
 
 
 def _folder(path):
