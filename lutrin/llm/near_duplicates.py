@@ -339,6 +339,11 @@ def near_duplicates(docs, doc_id="doc_id", text="text", words=5, percent=80):
     )
 
 
+def _parts(spark):
+    """Partitions of comparisons, which cost time rather than bytes: not to be merged by their size."""
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def _edges(scratch, docs, classes, members, words, percent):
     """Confirmed links between classes: enough of them to join every component."""
     needed = members.select("node").distinct().join(classes.select("node", "rep"), "node")
@@ -352,7 +357,7 @@ def _edges(scratch, docs, classes, members, words, percent):
 
     def proposals(rows, star):
         rows = split_large(scratch.save(rows, "open")).join(sketched, "node")
-        rows = rows.repartition("bucket", "block").sortWithinPartitions("bucket", "block", "node")
+        rows = rows.repartition(_parts(scratch.spark), "bucket", "block").sortWithinPartitions("bucket", "block", "node")
         rows = rows.select("bucket", "block", "node", "component", "weight", "n_shingles", "sketch")
         return scratch.save(rows.mapInArrow(propose(percent / 100, star), "c binary, x binary").distinct(), "relations")
 
@@ -395,5 +400,5 @@ def _confirmed(scratch, relations, groups, classes, texts, words, percent):
     members = members.select("c", "block", "salt", "node", F.lit(True).alias("member"))
     related = related.select("c", "block", "salt", F.col("x").alias("node"), F.lit(False).alias("member"))
     rows = scratch.save(members.union(related), "placed").join(texts, "node").select("c", "block", "salt", "member", "node", "text")
-    rows = rows.repartition("c", "block", "salt").sortWithinPartitions("c", "block", "salt", F.desc("member"))
+    rows = rows.repartition(_parts(scratch.spark), "c", "block", "salt").sortWithinPartitions("c", "block", "salt", F.desc("member"))
     return scratch.save(rows.mapInArrow(confirm(words, percent), "a binary, b binary"), "links")
