@@ -120,7 +120,7 @@ def outcomes_of(spark, sf_dir):
 
 
 def op10_url_filter(spark, sf_dir):
-    return judge(table(spark, sf_dir, "pages"), outcomes_of(spark, sf_dir), RULES)
+    return judge(table(spark, sf_dir, "pages"), outcomes_of(spark, sf_dir), RULES, inherit=True)
 
 
 QUERIES = {

@@ -25,6 +25,14 @@ def split_url(url):
     return F.coalesce(host, F.lit("")), F.coalesce(path, F.lit(""))
 
 
+def domain_of(host):
+    return F.substring_index(host, ".", -2)
+
+
+def suffix_of(host):
+    return F.substring_index(host, ".", -1)
+
+
 def rule_column(rules, host, path):
     """The longest rule (host, path) that fits, and its verdict; null where none does. Ties go to the first."""
     found = F.lit(None).cast("struct<rule:string,verdict:string>")
@@ -52,49 +60,87 @@ def strength_of(rates, mean):
     return rates.agg(F.coalesce(F.when(room > 0, bounded), F.lit(STRONGEST)).alias("strength"))
 
 
-def reputations(scratch, outcomes):
-    """Posterior of every host with outcomes: host, n, good, rate, upper.
+def posteriors(scratch, outcomes):
+    """Rates of every level from its outcomes: (tables by level, strengths by level, mean of all).
 
     `outcomes` has host and good (0 or 1); rows with a null in either are no outcomes.
     """
     hosts = outcomes.where("host IS NOT NULL AND good IS NOT NULL").groupBy("host").agg(F.sum("good").alias("good"), F.count("*").alias("n"))
-    hosts = hosts.withColumn("domain", F.substring_index("host", ".", -2)).withColumn("suffix", F.substring_index("host", ".", -1))
+    hosts = hosts.withColumn("domain", domain_of("host")).withColumn("suffix", suffix_of("host"))
     hosts = scratch.save(hosts, "hosts")
     whole = hosts.agg(((F.sum("good") + 1) / (F.sum("n") + 2)).alias("mean")).first()["mean"]
     whole = 0.5 if whole is None else whole
     above = F.lit(whole)
-    levels = {}
-    strength = 0.0
+    levels, strengths = {}, {}
     for level, parent in (("suffix", None), ("domain", "suffix"), ("host", "domain")):
         counts = hosts.groupBy(*dict.fromkeys([level, parent or level, "suffix"])).agg(F.sum("good").alias("good"), F.sum("n").alias("n"))
         if parent:
             counts = counts.join(levels[parent].select(parent, F.col(f"{parent}_rate").alias("mean")), parent)
         else:
             counts = counts.withColumn("mean", above)
-        strength = strength_of(counts, "mean").first()["strength"]
-        rated = counts.withColumn("strength", F.lit(float(strength))).withColumn(f"{level}_rate", shrink("x", "mean", "strength"))
+        strengths[level] = float(strength_of(counts, "mean").first()["strength"])
+        rated = counts.withColumn("strength", F.lit(strengths[level])).withColumn(f"{level}_rate", shrink("x", "mean", "strength"))
         levels[level] = scratch.save(rated, level)
+    return levels, strengths, whole
+
+
+def upper_bound(rate, spread):
+    """Z deviations above a rate whose variance is the share `spread` of that of a single page."""
+    return F.least(rate + Z * F.sqrt(rate * (1 - rate) * spread), F.lit(1.0))
+
+
+def reputations(scratch, outcomes):
+    """Posterior of every host with outcomes: host, n, good, rate, upper."""
+    return rated_hosts(posteriors(scratch, outcomes)[0]["host"])
+
+
+def rated_hosts(host):
     rate = F.col("host_rate")
-    deviation = F.sqrt(rate * (1 - rate) / (F.col("n") + F.col("strength") + 1))
-    rated = levels["host"].select("host", "n", "good", rate.alias("rate"), F.least(rate + Z * deviation, F.lit(1.0)).alias("upper"))
-    return rated
+    upper = upper_bound(rate, 1 / (F.col("n") + F.col("strength") + 1))
+    return host.select("host", "n", "good", rate.alias("rate"), upper.alias("upper"))
+
 
+def inherited(hosts, levels, strengths, whole):
+    """Rate and upper bound of every host of `hosts` from its nearest level above that has outcomes: host, rate, upper.
 
-def judge(pages, outcomes, rules=(), page_id="page_id", url="url", limit=LIMIT):
+    The host itself has none (n = 0): its rate is that of the level, and its variance adds up
+    what is not known of that level and how far each level between differs from the one above.
+    """
+    rows = hosts.withColumn("domain", domain_of("host")).withColumn("suffix", suffix_of("host"))
+    unseen = 1 / (strengths["host"] + 1)  # of a host without outcomes, given its domain
+    found = []
+    for level in ("domain", "suffix"):
+        own = 1 / (F.col("n") + F.col("strength") + 1)
+        spread = own + (1 - own) * unseen
+        rate = F.col(f"{level}_rate")
+        rows = rows.join(levels[level].select(level, F.struct(rate.alias("rate"), upper_bound(rate, spread).alias("upper")).alias(f"of_{level}")), level, "left")
+        found.append(F.col(f"of_{level}"))
+        own = 1 / (strengths[level] + 1)
+        unseen = own + (1 - own) * unseen
+    corpus = F.struct(F.lit(float(whole)).alias("rate"), upper_bound(F.lit(float(whole)), F.lit(unseen)).alias("upper"))
+    return rows.select("host", F.coalesce(*found, corpus).alias("above")).select("host", "above.*")
+
+
+def judge(pages, outcomes, rules=(), page_id="page_id", url="url", limit=LIMIT, inherit=False):
     """A verdict for every row of `pages`.
 
     One row per row: page_id, host, path, rule, verdict, n_outcomes, rate and upper bound of
     the host's posterior. A rule decides where one fits. Otherwise a host whose upper bound is
-    below `limit` is blocked, and every other allowed: a host without outcomes, too, as no
-    bound of a prior alone says that it is bad. A null url or one without `://` has an empty
-    host and path, which no rule fits. Null and repeated page_ids are carried as they are,
+    below `limit` is blocked, and every other allowed. With `inherit`, a host without outcomes
+    is judged by the same bound of the nearest level that has some: its domain, its suffix,
+    the corpus; without, it has no rate and is allowed. A null url or one without `://` has an
+    empty host and path, which no rule fits, and of the levels only the corpus. Null and repeated page_ids are carried as they are,
     `outcomes` (host, good) may repeat rows, each an outcome; further columns are ignored; an
     empty table gives no rows. Of equally long rules the first counts.
     """
     scratch = Scratch(pages.sparkSession, "reputation")
     host, path = split_url(F.col(url).cast("string"))
     rows = pages.select(F.col(page_id).alias("page_id"), host.alias("host"), path.alias("path"))
-    known = reputations(scratch, outcomes.select("host", "good"))
+    levels, strengths, whole = posteriors(scratch, outcomes.select("host", "good"))
+    known = rated_hosts(levels["host"])
+    if inherit:
+        above = inherited(rows.select("host").distinct().join(known, "host", "left_anti"), levels, strengths, whole)
+        known = scratch.save(known.unionByName(above, allowMissingColumns=True), "known")
     fits = rule_column(list(rules), F.col("host"), F.col("path"))
     bad = F.coalesce(F.col("upper") < limit, F.lit(False))
     return (

@@ -50,6 +50,25 @@ def test_bad_hosts_are_blocked_and_thin_evidence_is_not(spark):
     assert rate["thin.example.com"] > 0.5 > rate["worse.spam.org"] and rate["never.seen.com"] is None
 
 
+def test_hosts_without_outcomes_are_judged_by_the_level_above(spark):
+    counts = {f"good{i}.example.com": (20, 1) for i in range(10)} | {f"h{i}.fine.org": (9, 1) for i in range(8)}
+    counts |= {f"h{i}.spam.org": (1, 60) for i in range(8)} | {f"h{i}.d{i}.zip": (0, 40) for i in range(8)}
+    hosts = [*counts, "new.spam.org", "spam.org", "new.fine.org", "new.example.com", "new.zip", "new.net"]
+    outcomes = outcomes_of(spark, counts)
+    urls = [*(f"http://{h}/" for h in hosts), None, "no address", "https://spam.org/fr/x"]
+    rows = judge(pages_of(spark, urls), outcomes, RULES, inherit=True).collect()
+    assert len(rows) == len(urls) and all(r.rate is not None and r.rate <= r.upper <= 1 for r in rows)
+    verdict = {r.host: r.verdict for r in rows if not r.rule}
+    bad = {h for h in counts if "spam" in h or "zip" in h} | {"new.spam.org", "spam.org", "new.zip"}
+    assert {h for h, v in verdict.items() if v == "block"} == bad
+    assert [r.verdict for r in rows if r.path == "/fr/x"] == ["allow"]  # rules come first
+    assert all(r.n_outcomes == (sum(counts[r.host]) if r.host in counts else 0) for r in rows)
+    seen = {r.host: (r.rate, r.upper) for r in judge(pages_of(spark, urls), outcomes, RULES).collect()}
+    assert all((r.rate, r.upper) == seen[r.host] for r in rows if r.host in counts)
+    all_bad = judge(pages_of(spark, ["http://new.net/x", "http://q/"]), outcomes_of(spark, {f"a.b{i}.c{i}": (0, 90) for i in range(9)}), inherit=True)
+    assert [r.verdict for r in all_bad.collect()] == ["block", "block"]  # by the corpus
+
+
 def test_levels_shrink_towards_the_one_above(spark):
     counts = {f"h{i}.spam.org": (1, 9) for i in range(8)} | {f"h{i}.fine.org": (9, 1) for i in range(8)}
     counts |= {"one.spam.org": (1, 0), "one.fine.org": (1, 0)}
