@@ -14,10 +14,8 @@ from lutrin.llm import byte_words as bw
 from lutrin.llm.common import Scratch
 
 BUCKETS = 1 << 15
-#: Bound on the labelled rows that the trigram model is fitted on.
-SAMPLE_ROWS = 20_000
-#: Languages with less than this share of the labelled rows are not modelled (so there are at most 1 / MIN_SHARE).
-MIN_SHARE = 0.001
+#: Labelled rows that the trigram model is fitted on, about; a language with fewer among them has LEAST_ROWS, or all it has.
+SAMPLE_ROWS, LEAST_ROWS = 20_000, 1000
 #: A text counts as at most so many independent trigrams.
 EFFECTIVE = 60.0
 #: Rows of its parent that a host, domain or suffix prior is smoothed with.
@@ -77,24 +75,29 @@ def count_trigrams(languages):
 
 
 def fit(rows, label="label", text="text", sample_rows=SAMPLE_ROWS):
-    """A trigram model from at most about `sample_rows` labelled rows, picked by a hash.
+    """A trigram model of every label that occurs, from a sample of its rows, picked by a hash.
 
-    Returns (languages, log-probabilities by bucket and language). The last column is the
-    unknown language, which finds every bucket alike.
+    About `sample_rows` rows are picked in all, and besides so many of each rare label that it
+    has LEAST_ROWS (at most `sample_rows`) or all its rows. Returns (languages, log-probabilities by bucket and
+    language). The last column is the unknown language, which finds every bucket alike.
     """
     rows = rows.where(F.col(label) != UNKNOWN)
-    sizes = rows.groupBy(label).agg(F.count("*").alias("n"))
-    total = sizes.agg(F.sum("n")).first()[0] or 0
-    sizes = sizes.where(F.col("n") >= max(1, MIN_SHARE * total)).collect()  # at most 1 / MIN_SHARE rows
+    sizes = rows.groupBy(label).agg(F.count("*").alias("n")).collect()  # as many rows as the model has languages
+    total = sum(r["n"] for r in sizes)
     languages = sorted(r[0] for r in sizes)
     counts = np.zeros((len(languages), BUCKETS))
     if languages:
-        share = min(1.0, sample_rows / total)
-        picked = rows.where((F.pmod(F.xxhash64(text, F.monotonically_increasing_id()), F.lit(1_000_000)) < share * 1_000_000))
-        picked = picked.select(label, text).mapInArrow(count_trigrams(languages), "language int, bucket int, n long")
+        shares = [(r[0], min(1.0, max(sample_rows / total, min(LEAST_ROWS, sample_rows) / r["n"]))) for r in sizes]
+        shares = rows.sparkSession.createDataFrame(shares, "label string, share double")
+        hashed = rows.select(F.col(label).alias("label"), text, F.xxhash64(text, F.monotonically_increasing_id()).alias("h"))
+        picked = hashed.join(F.broadcast(shares), "label").where(F.pmod("h", F.lit(1_000_000)) < F.col("share") * 1_000_000)
+        picked = picked.select("label", text).mapInArrow(count_trigrams(languages), "language int, bucket int, n long")
         for r in picked.groupBy("language", "bucket").agg(F.sum("n").alias("n")).toLocalIterator():  # languages * BUCKETS rows at most
             counts[r.language, r.bucket] = r.n
-    p = (counts + 0.5) / (counts.sum(1, keepdims=True) + 0.5 * BUCKETS)
+    # unseen buckets have half of the probability at most, or a language of few rows would be like the unknown one
+    seen = counts.sum(1, keepdims=True)
+    extra = np.minimum(0.5, seen / BUCKETS)
+    p = (counts + extra) / np.maximum(seen + extra * BUCKETS, 1)
     p = (1 - NOISE) * p + NOISE / BUCKETS
     table = np.concatenate([np.log(p), np.full((1, BUCKETS), -np.log(BUCKETS))])
     return [*languages, UNKNOWN], np.ascontiguousarray(table.T.astype(np.float32))
@@ -202,12 +205,13 @@ def identify(docs, doc_id="doc_id", text="text", declared="lang", address="sourc
     """The language of every row of `docs`.
 
     One row per row: id, language, posterior, text_language (by the text alone), declared,
-    trigrams, accepted. `label` (by default the declared language) trains the trigram model.
+    trigrams, accepted. `label` (by default the declared language) trains the trigram model;
+    every label that occurs is modelled, however rare.
     Rejected are rows without letters, and those that are in an unknown language with a
     posterior of `certain` or more; doubt between known languages rejects nothing. A null or
     empty text, or one without letters, has no evidence of its own: its language is that of
-    its other evidence. A null or
-    unmodelled declaration, and a null address, count as no evidence. Equal posteriors go to
+    its other evidence. A null
+    declaration, one that is no label, and a null address count as no evidence. Equal posteriors go to
     the language that sorts first; null and repeated ids are carried as they are; further
     columns are ignored; an empty table gives no rows. Texts are read whole.
     """

@@ -77,6 +77,26 @@ def test_ids_columns_and_empty_table(spark):
     assert identify(docs.where("false")).count() == 0
 
 
+def test_rare_languages_are_modelled_whatever_the_size_of_the_table(spark):
+    rare = {
+        "ru": "это было очень давно и никто уже не помнит как всё началось в этом городе",
+        "el": "αυτό ήταν πριν από πολύ καιρό και κανείς δεν θυμάται πια πώς άρχισαν όλα",
+        "fi": "kukaan ei enää muista miten kaikki alkoi tässä vanhassa kaupungissa silloin",
+    }
+    texts, langs = sample(9, 2400)
+    n = len(texts)
+    for x, words in rare.items():
+        texts += [" ".join(random.Random(k).sample(words.split(), 9)) for k in range(2)]  # under 0.1 % of the rows
+        langs += [x, x]
+    texts += ["これは日本語の文章です。とても長い文章です。" * 5, " ".join(rare["ru"].split()[::-1]), "ქართული ენა არის ძალიან ძველი " * 5]
+    langs += [None, None, None]
+    rows = by_id(identify(docs_of(spark, texts, langs), sample_rows=100))
+    assert all(rows[n + i].language == langs[n + i] and rows[n + i].accepted for i in range(6))
+    assert [rows[n + i].language for i in (6, 7, 8)] == ["und", "ru", "und"]
+    assert [rows[n + i].accepted for i in (6, 7, 8)] == [False, True, False]  # what no row declares is still rejected
+    assert sum(rows[i].language == langs[i] for i in range(n)) >= 0.98 * n
+
+
 def test_no_labels_at_all(spark):
     rows = identify(docs_of(spark, ["a b c", None], [None, None])).collect()
     assert sorted((r.language, r.accepted) for r in rows) == [("und", False)] * 2
