@@ -34,20 +34,12 @@ def byte_of_symbol():
     return {chr(b): b for b in printable} | {chr(256 + i): b for i, b in enumerate(others)}
 
 
-def encoder(path):
-    """A function from text to ids, equal to the tokenizer file's own ids without special tokens.
+def rank_encoder(path):
+    """A function from text to ids by the rank encoder, or None where the file is not of its kind.
 
     A byte-level BPE file whose ids are its merge ranks is run by the rank encoder, which is
-    several times faster and gives the same ids. Other files, and texts that contain the
-    spelling of an added token, go through the tokenizer itself.
+    several times faster than the tokenizer and gives the same ids. Added tokens are plain text.
     """
-    from tokenizers import Tokenizer
-
-    own = Tokenizer.from_file(path)
-
-    def plain(text):
-        return own.encode(text, add_special_tokens=False).ids
-
     with open(path, encoding="utf-8") as file:
         spec = json.load(file)
     model, pre = spec["model"], spec.get("pre_tokenizer") or {}
@@ -63,18 +55,46 @@ def encoder(path):
         and all(vocab.get(m.replace(" ", "", 1)) == 256 + i for i, m in enumerate(merges))
     )
     if not by_rank:
-        return plain
+        return None
     import tiktoken
 
     symbols = byte_of_symbol()
     ranks = {bytes(symbols[c] for c in token): i for token, i in vocab.items()}
-    fast = tiktoken.Encoding("ranks", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+    return tiktoken.Encoding("ranks", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+
+
+def added_tokens(path):
+    with open(path, encoding="utf-8") as file:
+        return [token["content"] for token in json.load(file).get("added_tokens", [])]
+
+
+_encoders = {}
+
+
+def encoder(path):
+    """A function from text to ids, equal to the tokenizer file's own ids without special tokens.
+
+    It is made once in a worker process, which serves many tasks. The tokenizer itself, which
+    takes another 30 MB, is only read for texts that contain the spelling of an added token, and
+    for files that the rank encoder can't run.
+    """
+    if path in _encoders:
+        return _encoders[path]
+    fast, added, own = rank_encoder(path), added_tokens(path), []
+
+    def plain(text):
+        if not own:
+            from tokenizers import Tokenizer
+
+            own.append(Tokenizer.from_file(path))
+        return own[0].encode(text, add_special_tokens=False).ids
 
     def encode(text):
-        if any(token in text for token in added):
+        if not fast or any(token in text for token in added):
             return plain(text)
-        return fast.encode_ordinary(text)
+        return fast(text)
 
+    _encoders[path] = encode
     return encode
 
 
