@@ -3,6 +3,7 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
+from lutrin.llm.alignment import align_tokens
 from lutrin.llm.boilerplate import main_text
 from lutrin.llm.common import Scratch
 from lutrin.llm.decontamination import decontaminate
@@ -11,11 +12,13 @@ from lutrin.llm.licences import find_licences
 from lutrin.llm.long_repeats import remove_repeats
 from lutrin.llm.near_duplicates import near_duplicates
 from lutrin.llm.packing import pack
+from lutrin.llm.quality import quality_scores
 from lutrin.llm.reputation import judge, split_url
 from lutrin.llm.secrets import BASE, spans
 from lutrin.llm.vector_graph import link_vectors
+from lutrin.llm.whitening import whiten
 
-TOKENIZER = "byte_bpe_50k.json"
+TOKENIZER, PIECES = "byte_bpe_50k.json", "piece_bpe_32k.model"
 
 
 def table(spark, sf_dir, name):
@@ -123,6 +126,18 @@ def op10_url_filter(spark, sf_dir):
     return judge(table(spark, sf_dir, "pages"), outcomes_of(spark, sf_dir), RULES, inherit=True)
 
 
+def op11_embedding_whitening(spark, sf_dir):
+    return whiten(table(spark, sf_dir, "embeddings"), components=32)
+
+
+def op12_cross_tokenizer_alignment(spark, sf_dir):
+    return align_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER), public_tokenizers.path(PIECES))
+
+
+def op13_quality_classifier(spark, sf_dir):
+    return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), threshold=0.3)
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -136,6 +151,9 @@ QUERIES = {
         op8_minhash_near_dedup,
         op9_license_scan,
         op10_url_filter,
+        op11_embedding_whitening,
+        op12_cross_tokenizer_alignment,
+        op13_quality_classifier,
     )
 }
 
