@@ -1,5 +1,6 @@
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from lutrin.llm import vector_graph as vg
 from lutrin.llm.vector_graph import link_vectors
@@ -53,6 +54,39 @@ def test_overlapping_shards_and_split_shards(spark, monkeypatch):
     check(spark, families(3))
 
 
+def test_small_families_beside_a_large_one(spark, monkeypatch):
+    """Pairs just within the range are found, and counted from both ends, beside a family of a third of the rows."""
+    monkeypatch.setattr(vg, "BLOCK", 1000)
+    rng = np.random.default_rng(5)
+    center = rng.normal(size=64)
+    large = center + 0.01 * rng.normal(size=(1500, 64))
+    first = rng.normal(size=(1500, 64))
+    first /= np.linalg.norm(first, axis=1, keepdims=True)
+    away = rng.normal(size=first.shape)
+    away -= (away * first).sum(1, keepdims=True) * first
+    away /= np.linalg.norm(away, axis=1, keepdims=True)
+    vectors = np.concatenate([large, first, 0.951 * first + np.sqrt(1 - 0.951**2) * away])
+    rows = {r.vec_id: r for r in link_vectors(frame(spark, vectors)).collect()}
+    links, least = brute(vectors)
+    assert [rows[i].n_links for i in rows] == [links[i] for i in rows]
+    assert [rows[i].component_id for i in rows] == [least[i] for i in rows]
+
+
+def test_a_missed_target_stops(spark, monkeypatch):
+    monkeypatch.setattr(vg, "PER_PIVOT", 20)
+    monkeypatch.setattr(vg, "OVERLAP", 1)
+    monkeypatch.setattr(vg, "ATTEMPTS", 1)
+    with pytest.raises(RuntimeError, match="of a vector's links"):
+        link_vectors(frame(spark, families(4, n=900, dim=4, group=300))).collect()
+
+
+def test_columns_that_clash(spark):
+    df = frame(spark, families(6, n=100, group=10))
+    for name in "vector node shard block part asked copies component neighbours id n row truth recall".split():
+        df = df.withColumn(name, F.lit("x"))
+    assert link_vectors(df).count() == 100
+
+
 def test_vectors_that_link_with_nothing(spark):
     good = [1.0, 2.0, 3.0]
     vectors = [good, None, [], [0.0] * 3, [1.0, None, 3.0], [1.0, float("nan"), 3.0], [float("inf"), 2.0, 3.0], good, [2.0, 4.0, 6.0], [1.0, 2.0], [1e-30] * 3]
@@ -81,7 +115,7 @@ def test_pruning_keeps_the_nearest_and_hides_what_lies_behind():
 def test_graph_of_few_vectors(n):
     x = np.random.default_rng(n).normal(size=(n, 8))
     x /= np.linalg.norm(x, axis=1, keepdims=True)
-    row, found = vg.search(x, vg.graph(x, 1), x, np.arange(n), 0.99, 8)
+    row, found = vg.search(x, vg.graph(x, 1, 0.99)[0], x, np.arange(n), 0.99, 8)
     assert sorted(zip(row.tolist(), found.tolist())) == [(i, i) for i in range(n)]
 
 
@@ -91,7 +125,7 @@ def test_chained_rows_are_reached():
     center = rng.normal(size=32)
     x = np.concatenate([center[None, :], center + 0.15 * rng.normal(size=(400, 32)), rng.normal(size=(300, 32))])
     x /= np.linalg.norm(x, axis=1, keepdims=True)
-    row, found = vg.search(x, vg.graph(x, 1), x, np.arange(len(x)), 0.95, 24)
+    row, found = vg.search(x, vg.graph(x, 1, 0.95)[0], x, np.arange(len(x)), 0.95, 24)
     assert len(row) >= 0.99 * (x @ x.T >= 0.95).sum()
 
 
