@@ -8,6 +8,7 @@ from lutrin.functions.dates import normalize_date
 from lutrin.functions.text import blank_to_null
 from lutrin.schemas import TABLES, conform
 from lutrin.sources.fixed_width import file_order
+from lutrin.sources.quoted import quoted_records
 
 
 def _typed(name, kind, strict):
@@ -28,12 +29,13 @@ def text_options(sep, strict):
     return {"sep": sep, "quote": '"', "escape": '"', "mode": "FAILFAST" if strict else "PERMISSIVE"}
 
 
-def parse_delimited(lines, columns, types=None, sep=";", strict=True):
-    """The same from the text column `value`, one row each, without header."""
+def parse_delimited(lines, columns, types=None, sep=";", strict=True, extra=()):
+    """The same from the text column `value`, one row each, without header. `extra` columns come first, as they are."""
     types = types or {}
     schema = ", ".join(f"`{c}` string" for c in columns)
-    rows = lines.select(F.from_csv("value", schema, text_options(sep, strict)).alias("_row")).select("_row.*")
-    return rows.select(*[_typed(c, types.get(c, T.StringType()), strict) for c in columns])
+    options = text_options(sep, strict) | {"multiLine": "true"}  # line breaks in quotes stay as they are
+    rows = lines.select(*extra, F.from_csv("value", schema, options).alias("_row")).select(*extra, "_row.*")
+    return rows.select(*extra, *[_typed(c, types.get(c, T.StringType()), strict) for c in columns])
 
 
 def read_delimited(
@@ -46,9 +48,16 @@ def read_delimited(
     become NULL, missing fields blank. Large files are split over tasks; a quoted
     line break then cuts a row and stops a strict read. `multiline` allows such
     breaks but makes every file one task. `order` names a column for the order of
-    the rows in their file.
+    the rows in their file. `multiline="split"` allows the breaks and splits the files
+    all the same (see `sources.quoted`).
     """
     types = types or {}
+    if multiline == "split":
+        records = quoted_records(spark, path, header, strict)
+        extra = [F.struct("bloc", "ligne").alias(order)] if order else []
+        if order:
+            records = records.select(*extra, "value")
+        return parse_delimited(records, columns, types, sep, strict, [order] if order else [])
     schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
     rows = (
         spark.read.schema(schema)
@@ -136,7 +145,7 @@ def read_loans(spark, path, multiline=False):
 
 
 def write_delimited(df, path, sep=","):
-    """Text with header, quotes doubled, missing values blank. One file per task."""
+    """Text with header, quotes doubled, missing values blank, all other text as it is. One file per task."""
     (
         df.write.mode("overwrite")
         .option("header", True)
@@ -144,5 +153,7 @@ def write_delimited(df, path, sep=","):
         .option("quote", '"')
         .option("escape", '"')
         .option("emptyValue", "")
+        .option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False)
         .csv(path)
     )
