@@ -20,6 +20,7 @@ from lutrin.plans.people import (
     discipline_stats,
     latest_people,
     merge_people,
+    write_people,
 )
 from lutrin.sources.daily_files import one_sided_days, read_staff_directory, read_student_directory
 
@@ -85,11 +86,12 @@ def backfill_people(warehouse, directory, lookups, salts, snapshot=False):
     listed = [tuple(r) for r in left_out.collect()]  # bounded by the calendar
     before = warehouse.read_state("_clientele_cumul")
     result = build_backfill(students, staff, lookups, salts, before, sorted({day for day, _ in listed}))
-    if snapshot:
-        warehouse.write_days("clientele", result.snapshots)
-        disciplines = with_missing_factors(lookups.disciplines)
-        stats = discipline_stats(warehouse.read("clientele"), disciplines)
-        warehouse.overwrite("disciplines_stats", stats)
-    warehouse.write_state("_clientele_cumul", result.people)
+    with warehouse.commit():
+        if snapshot:
+            warehouse.write_days("clientele", result.snapshots)
+            disciplines = with_missing_factors(lookups.disciplines)
+            stats = discipline_stats(warehouse.read("clientele"), disciplines)
+            warehouse.overwrite("disciplines_stats", stats)
+        write_people(warehouse, before, result.people)
     warehouse.clear_staging()
     return sorted(listed)

@@ -25,11 +25,12 @@ from lutrin.plans.people import (
     build_staff,
     build_students,
     discipline_stats,
+    write_people,
 )
 from lutrin.plans.lookup_tables import with_missing_factors
 from lutrin.plans.traffic import build_traffic
 from lutrin.plans.trainings import build_events, build_registrations
-from lutrin.schemas import TABLES, WAITING
+from lutrin.schemas import LINKS, PEOPLE, TABLES, WAITING
 from lutrin.sources.daily_files import stale_files
 from lutrin.sources.delimited import (
     load_staging,
@@ -41,9 +42,6 @@ from lutrin.sources.fixed_width import read_staff, read_students
 from lutrin.sources.json_pages import read_bookings, read_events, read_registrations
 from lutrin.warehouse import days_in
 
-PEOPLE = "_clientele_cumul"
-
-
 log = logging.getLogger(__name__)
 
 
@@ -65,7 +63,7 @@ class Run:
 
     `inputs` maps input names to paths or, for counters, computers and loans, to
     DataFrames. `multiline` allows line breaks in the text of delimited files, which
-    are then not split. People files not changed on the day `fresh_on` stop their domain.
+    costs two more scans of them. People files not changed on the day `fresh_on` stop their domain.
     """
 
     warehouse: object
@@ -82,8 +80,10 @@ class Run:
     def spark(self):
         return self.warehouse.spark
 
-    def persons(self):
-        return self.warehouse.read_state(PEOPLE)
+    def persons(self, key="usager"):
+        """The person table, bucketed by the key that facts are linked by."""
+        copies = {k: name for name, k in LINKS.items()}
+        return self.warehouse.read_state(copies.get(key, PEOPLE))
 
     def check(self, gates):
         return run_gates(gates, self.warehouse.reports_path())
@@ -95,7 +95,7 @@ def _load(run, name, source):
     if isinstance(given, DataFrame):
         rows = to_table_types(given.toDF(*TABLES[name].loaded), name)
     else:
-        rows = load_staging(run.spark, name, given, multiline=run.multiline)
+        rows = load_staging(run.spark, name, given, multiline="split" if run.multiline else False)
     if name == "_tmp_emprunts":
         rows = normalize_loan_dates(rows)
     return run.warehouse.stage(name, rows)
@@ -119,14 +119,21 @@ def run_people(run):
         + contract_gates(students, "_tmp_etudiants", key=False)
         + contract_gates(staff, "_tmp_personnel", key=False)
     )
-    before = run.warehouse.read_state(PEOPLE)
+    # Only buckets of delivered persons change. A snapshot needs the rows of the day of all others, too.
+    warehouse = run.warehouse
+    delivered = student_build.rows.select("usager").union(staff_build.rows.select("usager"))
+    touched = warehouse.buckets_of(PEOPLE, delivered)
+    before = warehouse.read_buckets(PEOPLE, touched)
     today, dim = add_day(before, student_build.rows, staff_build.rows, run.day)
-    if run.snapshot:
-        run.warehouse.write_day("clientele", build_snapshot(today, run.day), run.day)
-        disciplines = with_missing_factors(run.lookups.disciplines)
-        stats = discipline_stats(run.warehouse.read("clientele"), disciplines)
-        run.warehouse.overwrite("disciplines_stats", stats)
-    checks += run.warehouse.write_state(PEOPLE, dim)
+    with warehouse.commit():
+        if run.snapshot:
+            everyone = warehouse.read_state(PEOPLE)
+            today, _ = add_day(everyone, student_build.rows, staff_build.rows, run.day)
+            warehouse.write_day("clientele", build_snapshot(today, run.day), run.day)
+            disciplines = with_missing_factors(run.lookups.disciplines)
+            stats = discipline_stats(warehouse.read("clientele"), disciplines)
+            warehouse.overwrite("disciplines_stats", stats)
+        checks += write_people(warehouse, before, dim, touched)
     return checks
 
 
@@ -136,7 +143,7 @@ def run_bookings(run):
     staging = run.warehouse.stage(
         "_tmp_reservations", to_table_types(pages, "_tmp_reservations")
     )
-    build = build_bookings(staging, run.persons(), run.lookups, run.salts, keyed=True)
+    build = build_bookings(staging, run.persons("courriel"), run.lookups, run.salts, keyed=True)
     checks += run.check(build.gates + contract_gates(staging, "_tmp_reservations"))
     days = days_in(staging.select(day_of(F.col("fromDate")).alias("journee")))
     current = run.warehouse.read_days("reservations", days, SOURCE_KEY_DDL)
@@ -161,7 +168,7 @@ def run_registrations(run):
     rows, tagged = read_registrations(run.spark, run.inputs["registrations"])
     staging = run.warehouse.stage("_tmp_inscriptions", rows)
     before = run.warehouse.read_state("inscriptions")
-    build = build_registrations(staging, run.persons(), before, run.salts)
+    build = build_registrations(staging, run.persons("courriel"), before, run.salts)
     checks = run.check(
         [tagged] + build.gates + contract_gates(staging, "_tmp_inscriptions", key=False)
     )
@@ -204,17 +211,18 @@ def run_computers(run):
     days = sorted(days | set(days_in(days_to_refresh(waiting, changed, run.salts))))
     touched = warehouse.read_days("sessions_ordinateurs", days)
     build = build_computer_sessions(staging, persons, synonyms, touched, run.salts)
-    warehouse.write_days("sessions_ordinateurs", build.rows)
-    left = waiting.filter(~F.col("journee").isin(*days)) if days else waiting
-    now = waiting_pairs(warehouse.read_days("sessions_ordinateurs", days))
-    checks += warehouse.write_state(WAITING, left.union(now))
+    with warehouse.commit():
+        warehouse.write_days("sessions_ordinateurs", build.rows)
+        left = waiting.filter(~F.col("journee").isin(*days)) if days else waiting
+        now = waiting_pairs(warehouse.read_days("sessions_ordinateurs", days))
+        checks += warehouse.write_state(WAITING, left.union(now))
     warehouse.pin(PEOPLE, "computers")
     return checks
 
 
 def run_loans(run):
     staging = _load(run, "_tmp_emprunts", "loans")
-    persons, synonyms = run.persons(), run.lookups.synonymes
+    persons, synonyms = run.persons("codebarres"), run.lookups.synonymes
     checks = run.check(
         loan_gates(staging, synonyms, run.home) + contract_gates(staging, "_tmp_emprunts")
     )

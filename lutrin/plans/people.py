@@ -17,7 +17,7 @@ from lutrin.operators.aggregates import weighted_population
 from lutrin.operators.filters import drop_retired, without
 from lutrin.operators.lookups import lookup, lookup_chain
 from lutrin.operators.merge import combine, latest_by, upsert
-from lutrin.schemas import conform
+from lutrin.schemas import LINKS, PEOPLE, conform, spec
 
 # Columns only students, or only staff, bring; the other kind leaves them alone.
 OWN_COLUMNS = ("code_programme", "programme", "code_unite", "unite")
@@ -154,6 +154,38 @@ def add_day(current, students, staff, day):
     return today, latest_people(current.filter(~same_day).unionByName(today))
 
 
+def changed_links(before, after):
+    """Persons whose link columns differ between two states: usager, and of each side the columns (`_old_`, `_new_`)."""
+    names = spec(next(iter(LINKS))).schema.names
+    old = before.select(*[F.col(c).alias(f"_old_{c}") for c in names])
+    new = after.select(*[F.col(c).alias(f"_new_{c}") for c in names])
+    both = old.join(new, F.col("_old_usager") == F.col("_new_usager"), "full_outer")
+    same = F.lit(True)
+    for c in names:
+        same = same & F.col(f"_old_{c}").eqNullSafe(F.col(f"_new_{c}"))
+    return both.filter(~same).withColumn("usager", F.coalesce("_old_usager", "_new_usager"))
+
+
+def write_people(warehouse, before, after, numbers=None):
+    """Replace some buckets of the person table (all by default), and follow up in its copies by link key.
+
+    `before` and `after` are all rows of these buckets. In the copies only the buckets of keys
+    that a changed person had or has are rewritten.
+    """
+    with warehouse.commit():
+        changed = warehouse.stage("_clientele_modifiee", changed_links(before, after))
+        checks = warehouse.write_buckets(PEOPLE, after, numbers)
+        for name, key in LINKS.items():
+            new = changed.select(*[F.col(f"_new_{c}").alias(c) for c in spec(name).schema.names]).filter(F.col(key).isNotNull())
+            keys = changed.select(F.col(f"_old_{key}").alias(key)).union(new.select(key)).filter(F.col(key).isNotNull())
+            touched = warehouse.buckets_of(name, keys)
+            if not touched:
+                continue
+            kept = warehouse.read_buckets(name, touched).join(changed.select("usager"), "usager", "left_anti")
+            checks += warehouse.write_buckets(name, conform(kept, name).unionByName(conform(new, name)), touched)
+    return checks
+
+
 def build_snapshot(people, day=None):
     """The audience of a day, or of every day present."""
     rows = people.filter(F.col("clientele"))

@@ -214,11 +214,21 @@ _ALL = [
 
 TABLES = {t.name: t for t in _ALL}
 
-# Side tables of this library, beside the contract: days on which an account's sessions lack a person.
+# Side tables of this library, beside the contract: days on which an account's sessions lack a
+# person, and what links to a person needs, by mail address and by barcode.
+_LINKED = "journee:date usager:255 courriel:255 codebarres:255 discipline:255"
 SIDE_TABLES = {
-    t.name: t for t in [_table("_sessions_en_attente", "usager:255 journee:date", key="usager journee")]
+    t.name: t
+    for t in [
+        _table("_sessions_en_attente", "usager:255 journee:date", key="usager journee"),
+        _table("_clientele_par_courriel", _LINKED, key="courriel usager"),
+        _table("_clientele_par_codebarres", _LINKED, key="codebarres usager"),
+    ]
 }
 WAITING = "_sessions_en_attente"
+PEOPLE = "_clientele_cumul"
+# Copies of the person table by link key.
+LINKS = {"_clientele_par_courriel": "courriel", "_clientele_par_codebarres": "codebarres"}
 
 # Tables that belong to each domain, to create or check one domain at a time.
 DOMAINS = {

@@ -1,38 +1,40 @@
 """Parquet tables of the warehouse, written so that a repeated run gives the same result.
 
-Three kinds of tables:
-
-* facts, partitioned by `journee`: a run replaces whole days (dynamic partition
-  overwrite stages the new files and swaps them in when the job commits, so the
-  days being replaced may be read by that same job). The swap is a rename, which is
-  atomic on HDFS and local files but not on object stores: there, keep facts on a
-  file system or table format that commits atomically;
-* states without a stable day (people, events, registrations): each run merges into
-  the latest version and writes the next one beside it. A version counts once its
-  gates have passed and its marker is written; readers find it in the folder
-  listing, so that no earlier version is opened. All but the last two are removed,
-  and those that a domain has pinned to tell later what has changed since;
-* staging and reports: a folder per run. Staging is removed once the run has succeeded.
+Every write goes to a folder `version=N` of its table that nothing reads yet. A commit
+(`manifests`) then says, for each partition, which version is read, so whole days, states and
+several tables of a domain change at once or not at all, on any file system. Readers list only
+the folders that the commit names. Four kinds of tables:
+
+* facts, partitioned by `journee`: a run replaces whole days;
+* states without a stable day (events, registrations): each run merges into the latest
+  version and writes the next one. It counts once its gates have passed;
+* people, and their copies by link key: bucketed by a hash of their key, so that a
+  delivery rewrites the buckets of its persons alone, and joins on the key find them in place;
+* staging and reports: a folder per run, outside the commits. Staging is removed once the run
+  has succeeded.
 """
 
 import re
+import threading
 import uuid
+from contextlib import contextmanager
 from datetime import datetime, timezone
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lutrin.manifests import VERSION, WHOLE, Manifests
 from lutrin.operators.gates import contract_gates, run_gates
-from lutrin.schemas import TABLES, conform, empty_table, spec
+from lutrin.schemas import LINKS, PEOPLE, TABLES, conform, empty_table, spec
 
 DAY = "journee"
-VERSION = "version"
-# Written last into the folder of a version that may be read.
-MARKER = "_PUBLISHED"
-KEPT_VERSIONS = 2
-# A domain that has used a version leaves a file of this name and its own in it.
-PIN = "_PINNED-"
+BUCKET = "seau"
+# Entry of a manifest that holds the number of buckets.
+BUCKETS = "#seaux"
+# Buckets of a new warehouse, by the session's setting: choose it so that each holds some hundred MB of persons.
+BUCKETS_CONF, DEFAULT_BUCKETS = "spark.lutrin.buckets", "32"
+# Bucketed tables and their keys.
+BUCKETED = {PEOPLE: "usager", **LINKS}
 
 
 def latest_version(folders):
@@ -45,12 +47,20 @@ def latest_version(folders):
     return max(numbers, default=None)
 
 
+def bucket_of(column, buckets):
+    """The bucket of a key, as Spark's bucketed tables number them."""
+    return F.pmod(F.hash(column), F.lit(buckets))
+
+
 class Warehouse:
-    def __init__(self, spark, root, run_id=None):
+    def __init__(self, spark, root, run_id=None, buckets=None):
         self.spark = spark
         self.root = root.rstrip("/")
         now = datetime.now(timezone.utc)
         self.run_id = run_id or f"{now:%Y%m%dT%H%M%S}-{uuid.uuid4().hex[:8]}"
+        self.manifests = Manifests(spark, self.root)
+        self._buckets = buckets or int(spark.conf.get(BUCKETS_CONF, DEFAULT_BUCKETS))
+        self._open = threading.local()  # what the commit of a thread has written so far
 
     def path(self, name):
         return f"{self.root}/{name}"
@@ -62,28 +72,62 @@ class Warehouse:
         """Folder of this run's gate reports. They name people: restrict access to `_reports`."""
         return f"{self.root}/_reports/{self.run_id}"
 
-    def _files(self, path):
-        place = self.spark._jvm.org.apache.hadoop.fs.Path(path)
-        return place.getFileSystem(self.spark._jsc.hadoopConfiguration()), place
-
-    def _delete(self, path):
-        files, place = self._files(path)
-        files.delete(place, True)
+    # ---- commits
 
-    def _existing(self, path, schema):
+    @contextmanager
+    def commit(self):
+        """All tables written inside become readable together at the end, or none if it fails."""
+        if getattr(self._open, "changes", None) is not None:
+            yield  # part of the outer one
+            return
+        self._open.changes = {}
         try:
-            return self.spark.read.schema(schema).parquet(path)
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
-            return None
+            yield
+            if self._open.changes:
+                self.manifests.publish(self._open.changes)
+        finally:
+            self._open.changes = None
+
+    def _publish(self, name, changed):
+        pending = getattr(self._open, "changes", None)
+        if pending is None:
+            self.manifests.publish({name: changed})
+        else:
+            own = {} if WHOLE in changed else pending.get(name, {})
+            pending[name] = {**own, **changed}
+
+    def entries(self, name):
+        """{partition: version} of a table, with what the open commit of this thread has written."""
+        found = self.manifests.entries(name, self.manifests.latest()[1].get(name))
+        changed = (getattr(self._open, "changes", None) or {}).get(name)
+        if changed is None:
+            return found
+        if WHOLE in changed or WHOLE in found:
+            found = {}
+        return {p: v for p, v in {**found, **changed}.items() if v is not None}
+
+    def _next(self, name):
+        """A version that no folder has yet, published or left by a run that died."""
+        folders = [(folder, True) for folder in self.manifests.files.names(self.path(name))]
+        return (latest_version(folders) or 0) + 1
 
-    def read(self, name, extra=""):
-        """A table as in its contract. `extra` adds technical columns that its files hold, as DDL."""
+    def versions(self, name):
+        """(folder name, published) of every version of a table: a listing, no file is opened."""
+        used = set(self.entries(name).values())
+        names = self.manifests.files.names(self.path(name))
+        return [(n, int(n.removeprefix(f"{VERSION}=")) in used) for n in names if re.fullmatch(rf"{VERSION}=\d+", n)]
+
+    # ---- facts
+
+    def _load(self, name, schema, entries):
+        paths = [f"{self.path(name)}/{VERSION}={v}" + ("" if p == WHOLE else f"/{p}") for p, v in sorted(entries.items())]
+        return self.spark.read.option("basePath", self.path(name)).schema(schema).parquet(*paths)
+
+    def _read(self, name, extra, entries):
         more = T.StructType.fromDDL(extra).fields if extra else []
-        schema = T.StructType([*TABLES[name].schema.fields, *more])
-        found = self._existing(self.path(name), schema)
-        if found is None:
+        if entries:
+            found = self._load(name, T.StructType([*TABLES[name].schema.fields, *more]), entries)
+        else:
             found = empty_table(self.spark, name).select(
                 "*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in more]
             )
@@ -91,30 +135,37 @@ class Warehouse:
             return conform(found, name)
         return found.select(*TABLES[name].schema.names, *[f.name for f in more])
 
+    def read(self, name, extra=""):
+        """A table as in its contract. `extra` adds technical columns that its files hold, as DDL."""
+        return self._read(name, extra, self.entries(name))
+
     def read_days(self, name, days, extra=""):
-        """Only the partitions of some days; `days` is a list of dates."""
-        return self.read(name, extra).filter(F.col(DAY).isin(*days) if days else F.lit(False))
+        """Only some days, a list of dates: no other folder is listed or read."""
+        wanted = {f"{DAY}={day}" for day in days}
+        return self._read(name, extra, {p: v for p, v in self.entries(name).items() if p in wanted})
+
+    def _write_days(self, name, rows):
+        version = self._next(name)
+        path = f"{self.path(name)}/{VERSION}={version}"
+        rows.hint("rebalance", DAY).write.partitionBy(DAY).parquet(path)
+        return {folder: version for folder in self.manifests.files.names(path) if folder.startswith(f"{DAY}=")}
 
     def write_days(self, name, rows):
-        """Replace the days that occur in `rows`. Large days are split over several files."""
-        (
-            rows.hint("rebalance", DAY)
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(DAY)
-            .parquet(self.path(name))
-        )
+        """Replace the days that occur in `rows`, all at once. Large days are split over several files."""
+        self._publish(name, self._write_days(name, rows))
 
     def write_day(self, name, rows, day):
-        """Replace one day, also by nothing. `rows` must not read that day of the table."""
-        path = f"{self.path(name)}/{DAY}={day}"
-        rows.filter(F.col(DAY) == F.lit(str(day)).cast("date")).drop(DAY).write.mode(
-            "overwrite"
-        ).parquet(path)
+        """Replace one day, also by nothing."""
+        written = self._write_days(name, rows.filter(F.col(DAY) == F.lit(str(day)).cast("date")))
+        self._publish(name, written or {f"{DAY}={day}": None})
 
     def overwrite(self, name, rows):
-        """Replace a whole table that `rows` does not read."""
-        rows.write.mode("overwrite").parquet(self.path(name))
+        """Replace a whole table."""
+        version = self._next(name)
+        rows.write.parquet(f"{self.path(name)}/{VERSION}={version}")
+        self._publish(name, {WHOLE: version})
+
+    # ---- staging
 
     def stage(self, name, rows):
         """Write staging rows once, so that gates and plans do not parse the source again."""
@@ -125,69 +176,97 @@ class Warehouse:
     def clear_staging(self, *names):
         """Remove staging of this run, raw identifiers with it: some tables, or all."""
         for path in [self.staging_path(n) for n in names] or [f"{self.root}/_staging/{self.run_id}"]:
-            self._delete(path)
+            self.manifests.files.delete(path)
 
-    def versions(self, name):
-        """(folder name, published) of every version of a state: a listing, no file is opened."""
-        files, place = self._files(self.path(name))
-        if not files.exists(place):
-            return []
-        marker = self.spark._jvm.org.apache.hadoop.fs.Path
-        return [
-            (s.getPath().getName(), files.exists(marker(s.getPath(), MARKER)))
-            for s in files.listStatus(place)
-            if s.isDirectory()
-        ]
-
-    def _version(self, name, number):
-        path = f"{self.path(name)}/{VERSION}={number}"
-        return conform(self.spark.read.schema(spec(name).schema).parquet(path), name)
+    # ---- states
+
+    def _state(self, name, entries):
+        if not entries:
+            return empty_table(self.spark, name)
+        if name in BUCKETED:
+            return self._bucketed(name, entries)
+        return conform(self._load(name, spec(name).schema, entries), name)
 
     def read_state(self, name):
-        """A state as the latest run left it."""
-        last = latest_version(self.versions(name))
-        return empty_table(self.spark, name) if last is None else self._version(name, last)
+        """A state as the latest commit has it."""
+        return self._state(name, self.entries(name))
 
     def has_state(self, name):
-        return latest_version(self.versions(name)) is not None
-
-    def _pins(self, name, domain):
-        numbers = [int(f.removeprefix(f"{VERSION}=")) for f, published in self.versions(name) if published]
-        marked = [(n, *self._files(f"{self.path(name)}/{VERSION}={n}/{PIN}{domain}")) for n in numbers]
-        return [n for n, files, place in marked if files.exists(place)]
+        return bool(self.entries(name))
 
     def read_pinned(self, name, domain):
-        """The version that a domain has used last, or None."""
-        pinned = self._pins(name, domain)
-        return self._version(name, max(pinned)) if pinned else None
+        """The state that a domain has used last, or None."""
+        pinned = self.manifests.pinned(name, domain)
+        return self._state(name, self.manifests.entries(name, max(pinned))) if pinned else None
 
     def pin(self, name, domain):
-        """Note that a domain has used the latest version, and keep that until the next pin."""
-        last = latest_version(self.versions(name))
-        if last is None:
-            return
-        for number in {last, *self._pins(name, domain)}:
-            files, place = self._files(f"{self.path(name)}/{VERSION}={number}/{PIN}{domain}")
-            if number != last:
-                files.delete(place, False)
-            elif not files.exists(place):
-                files.create(place).close()
+        """Note that a domain has used the latest state, and keep that until the next pin."""
+        self.manifests.pin(name, domain)
 
     def write_state(self, name, rows):
         """Write the next version; it is only published if the gates of its table pass."""
-        last = latest_version(self.versions(name)) or 0
-        path = f"{self.path(name)}/{VERSION}={last + 1}"
-        rows.write.mode("overwrite").parquet(path)
+        if name in BUCKETED:
+            return self.write_buckets(name, rows)
+        version = self._next(name)
+        path = f"{self.path(name)}/{VERSION}={version}"
+        rows.write.parquet(path)
         written = self.spark.read.schema(spec(name).schema).parquet(path)
         checks = run_gates(contract_gates(written, name), self.reports_path())
-        files, place = self._files(f"{path}/{MARKER}")
-        files.create(place).close()
-        for folder, _ in self.versions(name):
-            number = folder.removeprefix(f"{VERSION}=")
-            if number.isdigit() and int(number) <= last + 1 - KEPT_VERSIONS:
-                files, place = self._files(f"{self.path(name)}/{folder}")
-                if not any(s.getPath().getName().startswith(PIN) for s in files.listStatus(place)):
-                    files.delete(place, True)
+        self._publish(name, {WHOLE: version})
+        return checks
+
+    # ---- bucketed states
+
+    def buckets(self, name):
+        """Into how many buckets a table is cut: fixed by its first write."""
+        return self.entries(name).get(BUCKETS, self._buckets)
+
+    def _catalog_table(self, name, entries=None):
+        """A bucketed table of the session's catalog over the files of `entries`; nothing is read."""
+        view = f"lutrin_{name}_{uuid.uuid4().hex[:12]}"
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in spec(name).schema.fields)
+        count = (entries or {}).get(BUCKETS) or self.buckets(name)
+        place = self.path(name).replace("'", "\\'")
+        self.spark.sql(
+            f"CREATE TABLE {view} ({columns}, {VERSION} INT, {BUCKET} INT) USING parquet PARTITIONED BY ({VERSION}, {BUCKET})"
+            f" CLUSTERED BY ({BUCKETED[name]}) INTO {count} BUCKETS LOCATION '{place}'"
+        )
+        parts = [f"PARTITION ({VERSION}={v}, {p})" for p, v in sorted((entries or {}).items()) if p != BUCKETS]
+        if parts:
+            self.spark.sql(f"ALTER TABLE {view} ADD {' '.join(parts)}")
+        return view
+
+    def _bucketed(self, name, entries):
+        return conform(self.spark.table(self._catalog_table(name, entries)), name)
+
+    def read_buckets(self, name, numbers):
+        """Only some buckets of a state, given by their numbers."""
+        wanted = {f"{BUCKET}={n}" for n in numbers} | {BUCKETS}
+        entries = {p: v for p, v in self.entries(name).items() if p in wanted}
+        return self._bucketed(name, entries) if set(entries) - {BUCKETS} else empty_table(self.spark, name)
+
+    def buckets_of(self, name, keys):
+        """Buckets of the keys in the first column of `keys`: as many numbers as buckets at most."""
+        number = bucket_of(F.col(keys.columns[0]), self.buckets(name))
+        return sorted(r[0] for r in keys.select(number.alias("n")).distinct().collect())
+
+    def write_buckets(self, name, rows, numbers=None):
+        """Replace some buckets of a state, or all, by `rows`, which hold all rows of these buckets.
+
+        Gates of the table are run on what was written before it is published: equal keys
+        share a bucket, so the other buckets need no look.
+        """
+        count, version, key = self.buckets(name), self._next(name), BUCKETED[name]
+        view = self._catalog_table(name)
+        placed = conform(rows, name).repartition(count, key)
+        placed = placed.select("*", F.lit(version).alias(VERSION), bucket_of(F.col(key), count).alias(BUCKET))
+        placed.sortWithinPartitions(BUCKET, key).write.insertInto(view)
+        path = f"{self.path(name)}/{VERSION}={version}"
+        written = {folder: version for folder in self.manifests.files.names(path) if folder.startswith(f"{BUCKET}=")}
+        fresh = self._bucketed(name, {**written, BUCKETS: count}) if written else empty_table(self.spark, name)
+        checks = run_gates(contract_gates(fresh, name), self.reports_path())
+        gone = [p for p in self.entries(name) if p != BUCKETS] if numbers is None else [f"{BUCKET}={n}" for n in numbers]
+        self._publish(name, {**dict.fromkeys(gone), **written, BUCKETS: count})
         return checks
 
 

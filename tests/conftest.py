@@ -16,6 +16,7 @@ def spark():
         "local[8]",
         **{
             "spark.sql.shuffle.partitions": "8",
+            "spark.lutrin.buckets": "4",
             "spark.driver.memory": "6g",
             "spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="lutrin-"),
         },
