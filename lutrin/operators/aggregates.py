@@ -54,21 +54,31 @@ def split_factor(disciplines):
     )
 
 
-def weighted_population(people, disciplines, except_function):
-    """People per discipline, librarian, function, level and term, times the librarian's share.
-
-    People are counted first; only the counts meet the librarians. `count` is cut
-    to decimal(12,0) so that the product keeps all 20 decimals of the share.
-    """
-    counts = (
+def population_counts(people, except_function, by=()):
+    """People per discipline, function, level and term, and per `by`. Counts of parts of the people add up."""
+    return (
         people.filter(F.col("fonction") != except_function)
-        .groupBy("discipline", "fonction", "niveau", "session")
-        .agg(F.count("usager").alias("_n"))
+        .groupBy(*by, "discipline", "fonction", "niveau", "session")
+        .agg(F.count("usager").alias("nb"))
     )
+
+
+def weigh(counts, disciplines):
+    """Counts, added up, times the librarians' shares.
+
+    Only the counts meet the librarians. A count is cut to decimal(12,0) so that the product
+    keeps all 20 decimals of the share.
+    """
+    added = counts.groupBy("discipline", "fonction", "niveau", "session").agg(F.sum("nb").alias("_n"))
     weighted = F.col("_n").cast("decimal(12,0)") * F.col("facteur").cast(SHARE)
-    joined = counts.join(
+    joined = added.join(
         disciplines.select("discipline", "bibliothecaire", "bibliotheque", "secteur", "facteur"),
         "discipline",
     )
     columns = TABLES["disciplines_stats"].schema.names
     return joined.withColumn("nb_personnes", weighted.cast("decimal(34,20)")).select(*columns)
+
+
+def weighted_population(people, disciplines, except_function):
+    """People per discipline, librarian, function, level and term, times the librarian's share."""
+    return weigh(population_counts(people, except_function), disciplines)

@@ -8,10 +8,10 @@ import re
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from lutrin.functions.dates import is_iso_instant
+from lutrin.functions.dates import is_iso_instant, parse_instant
 from lutrin.functions.people import cycle_of
 from lutrin.functions.text import report_line
 from lutrin.schemas import MAX_LENGTH
@@ -25,9 +25,12 @@ PREVIEW = 20
 
 @dataclass(frozen=True)
 class Gate:
+    """`seen` is what was counted while the rows were written: none means that nothing has to be looked up."""
+
     name: str
     violations: DataFrame
     severity: str = STOP
+    seen: int | None = None
 
 
 @dataclass(frozen=True)
@@ -77,15 +80,18 @@ def report_name(gate):
 def check_gates(gates, reports=None):
     """Count all violations in one job and return a result per gate.
 
-    With a folder for `reports` the whole report of each failing gate is written there.
+    Gates that were watched while their rows were written, and saw nothing, take no part in it;
+    where none is left there is no job. With a folder for `reports` the whole report of each
+    failing gate is written there.
     """
-    if not gates:
-        return []
+    open_ = [(i, g) for i, g in enumerate(gates) if g.seen is None or g.seen > 0]
+    if not open_:
+        return [GateResult(g.name, g.severity, 0) for g in gates]
     counts = reduce(
         DataFrame.unionAll,
         [
             g.violations.agg(F.count(F.lit(1)).alias("n")).select(F.lit(i).alias("gate"), "n")
-            for i, g in enumerate(gates)
+            for i, g in open_
         ],
     )
     found = {r.gate: r.n for r in counts.collect()}  # one row per gate
@@ -98,7 +104,7 @@ def check_gates(gates, reports=None):
             write_report(gate.violations, path)
         return GateResult(gate.name, gate.severity, count, preview(gate.violations), path)
 
-    return [result(g, found[i]) for i, g in enumerate(gates)]
+    return [result(g, found.get(i, 0)) for i, g in enumerate(gates)]
 
 
 def run_gates(gates, reports=None):
@@ -189,8 +195,7 @@ def missing_values(df, columns):
     return df.filter(reduce(lambda a, b: a | b, [F.col(c).isNull() for c in columns]))
 
 
-def too_long(df, lengths):
-    """One row per overlong value: column, its limit, its length, the value. One pass."""
+def _overlong(lengths):
     checks = F.array(
         *[
             F.struct(
@@ -202,9 +207,25 @@ def too_long(df, lengths):
             for c, n in lengths.items()
         ]
     )
-    over = F.filter(checks, lambda x: x["longueur"] > x["limite"])
-    any_over = reduce(lambda a, b: a | b, [F.length(c) > n for c, n in lengths.items()])
-    return df.filter(any_over).select(F.inline(over))
+    return F.filter(checks, lambda x: x["longueur"] > x["limite"])
+
+
+def any_overlong(lengths):
+    return reduce(lambda a, b: a | b, [F.length(c) > n for c, n in lengths.items()])
+
+
+def too_long(df, lengths):
+    """One row per overlong value: column, its limit, its length, the value. One pass."""
+    return df.filter(any_overlong(lengths)).select(F.inline(_overlong(lengths)))
+
+
+def text_lengths(name, columns):
+    """Limits of the text columns of a table that are among `columns`."""
+    return {
+        f.name: f.metadata[MAX_LENGTH]
+        for f in spec_of(name).schema.fields
+        if MAX_LENGTH in f.metadata and f.name in columns
+    }
 
 
 def contract_gates(df, name, key=True):
@@ -213,11 +234,52 @@ def contract_gates(df, name, key=True):
     gates = []
     if key and spec.key and set(spec.key) <= set(df.columns):
         gates.append(Gate(f"{name}: key", broken_keys(df, spec.key)))
-    lengths = {
-        f.name: f.metadata[MAX_LENGTH]
-        for f in spec.schema.fields
-        if MAX_LENGTH in f.metadata and f.name in df.columns
-    }
+    lengths = text_lengths(name, df.columns)
     if lengths:
-        gates.append(Gate(f"{name}: text length", too_long(df, lengths)))
+        gate = f"{name}: text length"
+        gates.append(Gate(gate, too_long(df, lengths), seen=seen_in(df, gate)))
     return gates
+
+
+# ---- gates of single rows, counted while the rows are written -------------------
+
+
+def seen_in(df, gate):
+    """What a gate saw while `df` was written, or None if it was not watched."""
+    return getattr(df, "seen", {}).get(gate)
+
+
+def row_conditions(name, columns):
+    """Gates of a staged table that look at one row at a time: name -> condition of a violation."""
+    found = {}
+    lengths = text_lengths(name, columns)
+    if lengths:
+        found[f"{name}: text length"] = any_overlong(lengths)
+    if name == "_tmp_emprunts" and "date" in columns:
+        dated = F.col("date").isNotNull() & (F.col("date") != "")
+        found["loans: impossible dates"] = dated & parse_instant(F.col("date")).isNull()
+        found["loans: odd dates"] = dated & ~is_iso_instant(F.col("date"))
+    return found
+
+
+class Watch:
+    """Counts violating rows of gates as a by-product of the job that writes the rows.
+
+    A task that is run again may count twice, so a count above zero only says that the gate
+    has to be looked at; zero is certain.
+    """
+
+    def __init__(self, rows, conditions):
+        self.names = list(conditions)
+        self.observation = Observation() if conditions else None
+        self.rows = rows
+        if conditions:
+            counted = [F.count_if(F.coalesce(c, F.lit(False))).alias(f"g{i}") for i, c in enumerate(conditions.values())]
+            self.rows = rows.observe(self.observation, *counted)
+
+    def seen(self):
+        """Gate -> violating rows, once the rows are written."""
+        if not self.names:
+            return {}
+        found = self.observation.get
+        return {gate: found[f"g{i}"] for i, gate in enumerate(self.names)}

@@ -1,9 +1,11 @@
 """The daily run: every domain for one day, each on its own."""
 
 import logging
+import threading
 from dataclasses import dataclass, field
 from datetime import date, timedelta
 
+from pyspark import InheritableThread
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -24,10 +26,9 @@ from lutrin.plans.people import (
     build_snapshot,
     build_staff,
     build_students,
-    discipline_stats,
+    refresh_stats,
     write_people,
 )
-from lutrin.plans.lookup_tables import with_missing_factors
 from lutrin.plans.traffic import build_traffic
 from lutrin.plans.trainings import build_events, build_registrations
 from lutrin.schemas import LINKS, PEOPLE, TABLES, WAITING
@@ -130,9 +131,7 @@ def run_people(run):
             everyone = warehouse.read_state(PEOPLE)
             today, _ = add_day(everyone, student_build.rows, staff_build.rows, run.day)
             warehouse.write_day("clientele", build_snapshot(today, run.day), run.day)
-            disciplines = with_missing_factors(run.lookups.disciplines)
-            stats = discipline_stats(warehouse.read("clientele"), disciplines)
-            warehouse.overwrite("disciplines_stats", stats)
+            refresh_stats(warehouse, run.lookups.disciplines, [run.day])
         checks += write_people(warehouse, before, dim, touched)
     return checks
 
@@ -246,8 +245,12 @@ DOMAINS = {
 }
 
 
+# Domains that read what another one of the same run writes.
+AFTER = {name: ("people",) for name in ("bookings", "registrations", "computers", "loans")}
+
+
 STAGED = {
-    "people": ("_tmp_etudiants", "_tmp_personnel"),
+    "people": ("_tmp_etudiants", "_tmp_personnel", "_clientele_modifiee"),
     "bookings": ("_tmp_reservations",),
     "events": ("_tmp_evenements",),
     "registrations": ("_tmp_inscriptions",),
@@ -257,24 +260,57 @@ STAGED = {
 }
 
 
-def run_daily(run, domains=None):
-    """Run the domains whose inputs are given. A domain that fails does not stop the others.
-
-    A domain merges into what earlier runs left, whatever their day, so deliveries of a day
-    add up, a repeated one changes nothing, and a late one does not undo later days. Staging
-    of a domain is removed once it has succeeded.
+def _run_domain(run, name, step):
+    try:
+        result = Result(name, True, step(run))
+        run.warehouse.clear_staging(*STAGED[name])
+        return result
+    except GateFailure as failure:  # names, counts and report paths; no violating row
+        log.error("%s stopped by its gates: %s", name, failure)
+        return Result(name, False, failure.results, str(failure))
+    except Exception as error:  # a broken source must not stop the other domains
+        log.error("%s failed: %s", name, error)
+        return Result(name, False, [], str(error))
+
+
+def run_daily(run, domains=None, at_once=4, stop_dependents=False):
+    """Run the domains whose inputs are given, up to `at_once` of them side by side.
+
+    A domain starts when those it reads from have ended; the others don't wait for each other,
+    and each has its own pool of the fair scheduler. A domain that fails does not stop the
+    others: those that link to persons then take the persons known before, or with
+    `stop_dependents` are left out. A domain merges into what earlier runs left, whatever their
+    day, so deliveries of a day add up, a repeated one changes nothing, and a late one does not
+    undo later days. Staging of a domain is removed once it has succeeded.
     """
+    chosen = {
+        name: step
+        for name, (needed, step) in DOMAINS.items()
+        if (not domains or name in domains) and set(needed) <= set(run.inputs)
+    }
+    ended = {name: threading.Event() for name in chosen}
+    room = threading.Semaphore(max(1, at_once))
     results = {}
-    for name, (needed, step) in DOMAINS.items():
-        if (domains and name not in domains) or not set(needed) <= set(run.inputs):
-            continue
+
+    def work(name):
         try:
-            results[name] = Result(name, True, step(run))
-            run.warehouse.clear_staging(*STAGED[name])
-        except GateFailure as failure:  # names, counts and report paths; no violating row
-            log.error("%s stopped by its gates: %s", name, failure)
-            results[name] = Result(name, False, failure.results, str(failure))
-        except Exception as error:  # a broken source must not stop the other domains
-            log.error("%s failed: %s", name, error)
-            results[name] = Result(name, False, [], str(error))
-    return results
+            before = [other for other in AFTER.get(name, ()) if other in chosen]
+            for other in before:
+                ended[other].wait()
+            failed = [other for other in before if not results[other].done]
+            if stop_dependents and failed:
+                results[name] = Result(name, False, [], f"not run: {', '.join(failed)} failed")
+                return
+            with room:
+                run.spark.sparkContext.setLocalProperty("spark.scheduler.pool", name)
+                results[name] = _run_domain(run, name, chosen[name])
+        finally:
+            results.setdefault(name, Result(name, False, [], "its thread ended early"))
+            ended[name].set()
+
+    threads = [InheritableThread(target=work, args=(name,), name=f"lutrin-{name}") for name in chosen]
+    for thread in threads:
+        thread.start()
+    for thread in threads:
+        thread.join()
+    return {name: results[name] for name in chosen}

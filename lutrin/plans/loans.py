@@ -45,8 +45,12 @@ def loan_gates(staging, synonyms, home):
     libraries = ["bibliotheque_pret", "bibliotheque_document"]
     return [
         G.Gate("loans: unknown libraries", G.unmapped_names(loans, libraries, synonyms, V.LOANS)),
-        G.Gate("loans: impossible dates", dated.filter(parse_instant(F.col("date")).isNull())),
-        G.Gate("loans: odd dates", G.malformed_dates(dated), G.WARN),
+        G.Gate(
+            "loans: impossible dates",
+            dated.filter(parse_instant(F.col("date")).isNull()),
+            seen=G.seen_in(staging, "loans: impossible dates"),
+        ),
+        G.Gate("loans: odd dates", G.malformed_dates(dated), G.WARN, G.seen_in(staging, "loans: odd dates")),
     ]
 
 

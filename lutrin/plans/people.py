@@ -13,11 +13,12 @@ from lutrin.functions.people import (
 )
 from lutrin.functions.privacy import pseudonymize
 from lutrin.operators import gates as G
-from lutrin.operators.aggregates import weighted_population
+from lutrin.operators.aggregates import population_counts, weigh, weighted_population
 from lutrin.operators.filters import drop_retired, without
 from lutrin.operators.lookups import lookup, lookup_chain
 from lutrin.operators.merge import combine, latest_by, upsert
-from lutrin.schemas import LINKS, PEOPLE, conform, spec
+from lutrin.plans.lookup_tables import with_missing_factors
+from lutrin.schemas import COUNTS, LINKS, PEOPLE, conform, spec
 
 # Columns only students, or only staff, bring; the other kind leaves them alone.
 OWN_COLUMNS = ("code_programme", "programme", "code_unite", "unite")
@@ -196,7 +197,31 @@ def build_snapshot(people, day=None):
 
 def discipline_stats(snapshots, disciplines):
     """Weighted population over all snapshots, sorted in each output file."""
-    stats = weighted_population(snapshots, disciplines, V.EMPLOYEE)
+    return sorted_stats(weighted_population(snapshots, disciplines, V.EMPLOYEE))
+
+
+def sorted_stats(stats):
     return conform(stats, "disciplines_stats").sortWithinPartitions(
         "discipline", "bibliothecaire", "fonction", "niveau", "bibliotheque", "secteur", "session"
     )
+
+
+def refresh_stats(warehouse, disciplines, days):
+    """The statistics table anew, from people counted per snapshot.
+
+    Only the snapshots of `days`, and of days that were never counted, are read; a day whose
+    snapshot is gone loses its counts. The others add up from their counts.
+    """
+    def folders(name):
+        return {p.removeprefix("journee=") for p in warehouse.entries(name)}
+
+    snapshots, counted = folders("clientele"), folders(COUNTS)
+    fresh = sorted((snapshots - counted) | ({str(d) for d in days} & snapshots))
+    with warehouse.commit():
+        for day in counted & ({*fresh} | (counted - snapshots)):
+            warehouse.drop_day(COUNTS, day)
+        if fresh:
+            people = warehouse.read_days("clientele", fresh)
+            warehouse.write_days(COUNTS, conform(population_counts(people, V.EMPLOYEE, ["journee"]), COUNTS))
+        stats = weigh(warehouse.read(COUNTS), with_missing_factors(disciplines))
+        warehouse.overwrite("disciplines_stats", sorted_stats(stats))

@@ -215,7 +215,8 @@ _ALL = [
 TABLES = {t.name: t for t in _ALL}
 
 # Side tables of this library, beside the contract: days on which an account's sessions lack a
-# person, and what links to a person needs, by mail address and by barcode.
+# person; what links to a person needs, by mail address and by barcode; people counted per
+# snapshot; files that a backfill has loaded.
 _LINKED = "journee:date usager:255 courriel:255 codebarres:255 discipline:255"
 SIDE_TABLES = {
     t.name: t
@@ -223,9 +224,20 @@ SIDE_TABLES = {
         _table("_sessions_en_attente", "usager:255 journee:date", key="usager journee"),
         _table("_clientele_par_courriel", _LINKED, key="courriel usager"),
         _table("_clientele_par_codebarres", _LINKED, key="codebarres usager"),
+        _table(
+            "_clientele_comptes",
+            "journee:date discipline:255 fonction:50 niveau:50 session:255 nb:bigint",
+        ),
+        _table(
+            "_fichiers_charges",
+            "chemin:4000 taille:bigint modifie:instant journee:date raison:255",
+            key="chemin",
+        ),
     ]
 }
 WAITING = "_sessions_en_attente"
+COUNTS = "_clientele_comptes"
+LEDGER = "_fichiers_charges"
 PEOPLE = "_clientele_cumul"
 # Copies of the person table by link key.
 LINKS = {"_clientele_par_courriel": "courriel", "_clientele_par_codebarres": "codebarres"}

@@ -16,6 +16,7 @@ SETTINGS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
+    "spark.scheduler.mode": "FAIR",  # domains of a daily run share the cluster
     "spark.ui.enabled": "false",
 }
 

@@ -15,17 +15,40 @@ def by_day(rows, start):
     )
 
 
-def read_student_directory(spark, path):
-    """All student files of a directory in one scan, each row with the day of its file."""
-    rows = read_students(spark, f"{path}/{V.STUDENT_FILE_START}*")
+def read_student_directory(spark, path, files=None):
+    """All student files of a directory, or those listed, in one scan, each row with the day of its file."""
+    rows = read_students(spark, f"{path}/{V.STUDENT_FILE_START}*" if files is None else files)
     return by_day(rows, V.STUDENT_FILE_START)
 
 
-def read_staff_directory(spark, path):
-    rows = read_staff(spark, f"{path}/{V.STAFF_FILE_START}*")
+def read_staff_directory(spark, path, files=None):
+    rows = read_staff(spark, f"{path}/{V.STAFF_FILE_START}*" if files is None else files)
     return by_day(rows, V.STAFF_FILE_START)
 
 
+def people_files(spark, path):
+    """The people files of a directory whose name holds a date: chemin, taille, modifie, journee, genre. A listing alone."""
+    name = F.element_at(F.split("path", "/"), -1)
+    kind = F.when(name.startswith(V.STUDENT_FILE_START), V.STUDENT_FILE_START).when(
+        name.startswith(V.STAFF_FILE_START), V.STAFF_FILE_START
+    )
+    files = spark.read.format("binaryFile").load(path).select(
+        F.col("path").alias("chemin"),
+        F.col("length").alias("taille"),
+        F.col("modificationTime").cast("timestamp_ntz").alias("modifie"),
+        day_in_name(name).alias("journee"),
+        kind.alias("genre"),
+    )
+    return files.filter(F.col("journee").isNotNull() & F.col("genre").isNotNull())
+
+
+def files_to_load(listed, ledger):
+    """Files of the days on which a file is new, or has another size or time than when it was loaded."""
+    known = ledger.select("chemin", "taille", "modifie")
+    fresh = listed.join(known, ["chemin", "taille", "modifie"], "left_anti").select("journee").distinct()
+    return listed.join(fresh, "journee", "left_semi")
+
+
 def unpaired_days(students, staff):
     """Days with student rows but no staff rows."""
     return students.select("journee").distinct().join(

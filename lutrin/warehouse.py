@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lutrin.manifests import VERSION, WHOLE, Manifests
-from lutrin.operators.gates import contract_gates, run_gates
+from lutrin.operators.gates import Watch, contract_gates, row_conditions, run_gates
 from lutrin.schemas import LINKS, PEOPLE, TABLES, conform, empty_table, spec
 
 DAY = "journee"
@@ -106,6 +106,16 @@ class Warehouse:
             found = {}
         return {p: v for p, v in {**found, **changed}.items() if v is not None}
 
+    def last_commit(self):
+        """The number of the commit that is read now; 0 before the first."""
+        return self.manifests.latest()[0]
+
+    def as_of(self, number):
+        """This warehouse as an earlier commit left it, for reading, as long as its files are kept."""
+        other = Warehouse(self.spark, self.root, self.run_id, self._buckets)
+        other.manifests = Manifests(self.spark, self.root, number)
+        return other
+
     def _next(self, name):
         """A version that no folder has yet, published or left by a run that died."""
         folders = [(folder, True) for folder in self.manifests.files.names(self.path(name))]
@@ -126,14 +136,14 @@ class Warehouse:
     def _read(self, name, extra, entries):
         more = T.StructType.fromDDL(extra).fields if extra else []
         if entries:
-            found = self._load(name, T.StructType([*TABLES[name].schema.fields, *more]), entries)
+            found = self._load(name, T.StructType([*spec(name).schema.fields, *more]), entries)
         else:
             found = empty_table(self.spark, name).select(
                 "*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in more]
             )
         if not more:
             return conform(found, name)
-        return found.select(*TABLES[name].schema.names, *[f.name for f in more])
+        return found.select(*spec(name).schema.names, *[f.name for f in more])
 
     def read(self, name, extra=""):
         """A table as in its contract. `extra` adds technical columns that its files hold, as DDL."""
@@ -159,6 +169,9 @@ class Warehouse:
         written = self._write_days(name, rows.filter(F.col(DAY) == F.lit(str(day)).cast("date")))
         self._publish(name, written or {f"{DAY}={day}": None})
 
+    def drop_day(self, name, day):
+        self._publish(name, {f"{DAY}={day}": None})
+
     def overwrite(self, name, rows):
         """Replace a whole table."""
         version = self._next(name)
@@ -168,10 +181,16 @@ class Warehouse:
     # ---- staging
 
     def stage(self, name, rows):
-        """Write staging rows once, so that gates and plans do not parse the source again."""
+        """Write staging rows once, so that gates and plans do not parse the source again.
+
+        Gates that look at single rows are counted on the way (`seen`).
+        """
         path = self.staging_path(name)
-        rows.write.mode("overwrite").parquet(path)
-        return self.spark.read.schema(rows.schema).parquet(path)
+        watch = Watch(rows, row_conditions(name, rows.columns) if name in TABLES else {})
+        watch.rows.write.mode("overwrite").parquet(path)
+        staged = self.spark.read.schema(rows.schema).parquet(path)
+        staged.seen = watch.seen()
+        return staged
 
     def clear_staging(self, *names):
         """Remove staging of this run, raw identifiers with it: some tables, or all."""
@@ -209,8 +228,10 @@ class Warehouse:
             return self.write_buckets(name, rows)
         version = self._next(name)
         path = f"{self.path(name)}/{VERSION}={version}"
-        rows.write.parquet(path)
+        watch = Watch(rows, row_conditions(name, rows.columns))
+        watch.rows.write.parquet(path)
         written = self.spark.read.schema(spec(name).schema).parquet(path)
+        written.seen = watch.seen()
         checks = run_gates(contract_gates(written, name), self.reports_path())
         self._publish(name, {WHOLE: version})
         return checks
@@ -260,10 +281,12 @@ class Warehouse:
         view = self._catalog_table(name)
         placed = conform(rows, name).repartition(count, key)
         placed = placed.select("*", F.lit(version).alias(VERSION), bucket_of(F.col(key), count).alias(BUCKET))
-        placed.sortWithinPartitions(BUCKET, key).write.insertInto(view)
+        watch = Watch(placed, row_conditions(name, spec(name).schema.names))
+        watch.rows.sortWithinPartitions(BUCKET, key).write.insertInto(view)
         path = f"{self.path(name)}/{VERSION}={version}"
         written = {folder: version for folder in self.manifests.files.names(path) if folder.startswith(f"{BUCKET}=")}
         fresh = self._bucketed(name, {**written, BUCKETS: count}) if written else empty_table(self.spark, name)
+        fresh.seen = watch.seen()
         checks = run_gates(contract_gates(fresh, name), self.reports_path())
         gone = [p for p in self.entries(name) if p != BUCKETS] if numbers is None else [f"{BUCKET}={n}" for n in numbers]
         self._publish(name, {**dict.fromkeys(gone), **written, BUCKETS: count})

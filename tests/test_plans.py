@@ -495,7 +495,7 @@ def test_only_touched_days_are_read_and_written(spark, tmp_path):
     )
     warehouse.write_days("frequentation", rows_)
     some = warehouse.read_days("frequentation", [date(2024, 1, 3), date(2024, 1, 4)])
-    assert "PartitionFilters: [journee" in some._jdf.queryExecution().executedPlan().toString()
+    assert {f.split("journee=")[1][:10] for f in some.inputFiles()} == {"2024-01-03", "2024-01-04"}
     # The days being replaced are read by the job that replaces them.
     warehouse.write_days("frequentation", some.withColumn("frequentation", F.lit(5).cast("bigint")))
     got = {r.journee.day: r.frequentation for r in warehouse.read("frequentation").collect()}
