@@ -297,12 +297,22 @@ def hashes(content, length, windows):
     return out[0], bw.mix(out[1] ^ np.uint64(0x5851F42D4C957F2D))
 
 
+#: Bytes of texts that a batch of results holds, about.
+RESULT_BYTES = 4 << 20
+
+
 def cut(length):
     """What is left of each text: (text, n_bytes, removed spans, kept bytes)."""
 
+    def result(keys, sizes, spans, kept):
+        spans = pa.array(spans, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])))
+        return pa.RecordBatch.from_arrays(
+            [pa.array(keys, pa.binary()), pa.array(sizes, pa.int64()), spans, pa.array(kept, pa.binary())], ["text", "n_bytes", "spans", "kept"]
+        )
+
     def run(batches):
         for batch in batches:
-            out = [], [], []
+            out, held = ([], [], [], []), 0
             for i in range(batch.num_rows):
                 data = unpack(batch.column(1)[i].as_py())
                 found = batch.column(2)[i]
@@ -319,13 +329,14 @@ def cut(length):
                     kept.append(data[at:x])
                     at = y
                 kept.append(data[at:])
-                out[0].append(len(data))
-                out[1].append([{"start": x, "end": y} for x, y in spans])
-                out[2].append(b"".join(kept))
-            spans = pa.array(out[1], pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(out[0], pa.int64()), spans, pa.array(out[2], pa.binary())], ["text", "n_bytes", "spans", "kept"]
-            )
+                row = batch.column(0)[i].as_py(), len(data), [{"start": x, "end": y} for x, y in spans], b"".join(kept)
+                for column, value in zip(out, row):
+                    column.append(value)
+                held += len(data)
+                if held > RESULT_BYTES:
+                    yield result(*out)
+                    out, held = ([], [], [], []), 0
+            yield result(*out)
 
     return run
 

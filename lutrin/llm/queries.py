@@ -42,7 +42,7 @@ def op2_benchmark_decontamination(spark, sf_dir):
 
 
 def op3_embedding_near_dedup(spark, sf_dir):
-    return link_vectors(table(spark, sf_dir, "embeddings"), threshold=0.95).drop("recall")
+    return link_vectors(table(spark, sf_dir, "embeddings"), threshold=0.95).drop("recall")  # the SQL knows no recall
 
 
 def op4_language_id(spark, sf_dir):
@@ -57,6 +57,9 @@ def op5_suffix_array_dedup(spark, sf_dir):
         removed.alias("n_removed"),
         F.size("spans").cast("long").alias("n_spans"),
         F.sha2("kept", 256).alias("kept_sha256"),
+        F.octet_length("kept").cast("long").alias("n_kept"),
+        F.col("spans").alias("removed"),
+        F.make_valid_utf8(F.col("kept").cast("string")).alias("text"),  # a character that is cut becomes U+FFFD
     ]
     return remove_repeats(table(spark, sf_dir, "documents"), columns=columns)
 
