@@ -142,25 +142,23 @@ def redact(docs, doc_id="doc_id", text="text", mark="[secret]", scope=SCOPE):
     """`docs` with every reported span replaced by `mark`; overlapping spans become one.
 
     Spans depend on the text alone, so each text that has any is joined once by its hash;
-    other texts, null ones among them, stay as they are, and so do all other columns, save
-    any of the names _text_md5 and _spans.
+    other texts, null ones among them, stay as they are, and so do all other columns: rows are
+    carried in one struct, so that no name of theirs can clash.
     """
     found = spans(docs, doc_id, text, scope).where(F.size("spans") > 0)
-    found = found.groupBy(F.col("text_md5").alias("_text_md5")).agg(F.first("spans").alias("_spans"))
+    found = found.groupBy("text_md5").agg(F.first("spans").alias("spans"))
+    whole = F.col(f"row.`{text}`")
     empty = F.expr("named_struct('text', '', 'done', 0)")
 
     def step(state, span):
-        ahead = F.substring(F.col(text), state["done"] + 1, F.greatest(span["start"] - state["done"], F.lit(0)))
+        ahead = F.substring(whole, state["done"] + 1, F.greatest(span["start"] - state["done"], F.lit(0)))
         ahead = F.concat(state["text"], ahead, F.when(span["start"] >= state["done"], F.lit(mark)).otherwise(F.lit("")))
         return F.struct(ahead.alias("text"), F.greatest(span["end"], state["done"]).alias("done"))
 
     def finish(state):
-        return F.concat(state["text"], F.substring(F.col(text), state["done"] + 1, F.length(text)))
-
-    cleaned = F.aggregate("_spans", empty, step, finish)
-    return (
-        docs.withColumn("_text_md5", F.md5(F.encode(F.coalesce(F.col(text), F.lit("")), "UTF-8")))
-        .join(found, "_text_md5", "left")
-        .withColumn(text, F.when(F.col("_spans").isNotNull(), cleaned).otherwise(F.col(text)))
-        .select(*docs.columns)
-    )
+        return F.concat(state["text"], F.substring(whole, state["done"] + 1, F.length(whole)))
+
+    cleaned = F.when(F.col("spans").isNotNull(), F.aggregate("spans", empty, step, finish)).otherwise(whole)
+    packed = docs.select(F.struct("*").alias("row"), F.md5(F.encode(F.coalesce(F.col(f"`{text}`"), F.lit("")), "UTF-8")).alias("text_md5"))
+    joined = packed.join(found, "text_md5", "left")
+    return joined.select(*((cleaned if c == text else F.col(f"row.`{c}`")).alias(c) for c in docs.columns))

@@ -2,6 +2,7 @@ import random
 
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
@@ -74,16 +75,29 @@ def test_odd_rows(spark, sf_dir):
 def test_registered(spark):
     assert sorted(queries.QUERIES) == sorted(
         name for name in queries.QUERIES if name.startswith("op")
-    ) and {n.split("_")[0] for n in queries.QUERIES} == {f"op{i}" for i in range(1, 11)}
+    ) and {n.split("_")[0] for n in queries.QUERIES} == {f"op{i}" for i in range(1, 14)}
     assert [name for name, _ in corpus_pipeline.STAGES] == ["language", "near_dedup", "decontamination", "secret_scan", "packing"]
 
 
 @pytest.mark.parametrize("rows", [0, 1_000_000])
 def test_dropping_by_broadcast_or_shuffle_is_the_same(spark, monkeypatch, rows):
-    from pyspark.sql import functions as F
-
     monkeypatch.setattr(corpus_pipeline, "BROADCAST_ROWS", rows)
     docs = docs_of(spark, [(None, "a"), (1, "b"), (2, None), (3, "c")])
     dropped = spark.createDataFrame([(None,), (3,)], "doc_id long")
     left = corpus_pipeline.without(docs, dropped, {"doc_id": F.col("doc_id")})
     assert sorted(r.doc_id for r in left.collect()) == [1, 2] and left.columns == docs.columns
+
+
+def test_no_column_is_lost_or_changed(spark, sf_dir):
+    """Whatever they are called."""
+    names = "_k _key _l _doc_id _text_md5 _spans row key id k l s spans text_md5 key0 drop0 _rank node bucket a.b".split()
+    texts = [(1, "the and of that with this from have they which there were"), (1, "the and of that with this from have they which there were"), (2, "password = hunter22 the and of that with this"), (3, None)]
+    docs = docs_of(spark, texts)
+    for name in names:
+        docs = docs.withColumn(name, F.lit(f"own {name}"))
+    for stage_name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, sf_dir)
+        assert out.columns == docs.columns, stage_name
+        rows = out.collect()
+        assert rows and all(r[n] == f"own {n}" for r in rows for n in names), stage_name
+    assert corpus_pipeline.packing(spark, docs, sf_dir).count() == 4
