@@ -25,29 +25,43 @@ def text_key():
 
 
 def without(docs, dropped, keys):
-    """`docs` without the rows that match one of `dropped`, null-safe; `keys`: name of a column of `dropped` -> column of `docs`."""
+    """`docs` without the rows that match one of `dropped`, null-safe; `keys`: name of a column of `dropped` -> column of `docs`.
+
+    Rows are carried in one struct, so that no name of theirs can clash.
+    """
     if dropped.count() <= BROADCAST_ROWS:
         dropped = F.broadcast(dropped)
-    for name, column in keys.items():
-        docs = docs.withColumn(f"_{name}", column)
+    names = list(keys)
+    packed = docs.select(F.struct("*").alias("row"), *(keys[n].alias(f"key{i}") for i, n in enumerate(names)))
+    dropped = dropped.select(*(F.col(n).alias(f"drop{i}") for i, n in enumerate(names)))
     same = None
-    for name in keys:
-        term = F.col(f"_{name}").eqNullSafe(dropped[name])
+    for i in range(len(names)):
+        term = F.col(f"key{i}").eqNullSafe(F.col(f"drop{i}"))
         same = term if same is None else same & term
-    return docs.join(dropped, same, "left_anti").drop(*(f"_{name}" for name in keys))
+    return packed.join(dropped, same, "left_anti").select("row.*")
 
 
 def language(spark, docs, sf_dir):
-    """Drop documents in no known language, or without letters."""
-    keyed = docs.withColumn("_key", F.struct(text_key().alias("k"), F.col("lang").alias("l"), F.col("source").alias("s")))
-    found = identify(keyed, "_key")
+    """Drop documents in no known language, or without letters.
+
+    What is dropped is told by text, declared language and source, null ones included, so
+    repeated rows share their fate. A null or empty text has no letters. All columns of other
+    names are kept as they are, whatever they are called; an empty table stays empty.
+    """
+    keyed = docs.select(F.struct(text_key().alias("k"), F.col("lang").alias("l"), F.col("source").alias("s")).alias("key"), "text", "lang", "source")
+    found = identify(keyed, "key")
     rejected = found.where("NOT accepted").select("id.k", "id.l", "id.s").distinct()
     rejected = Scratch(spark, "pipeline").save(rejected, "rejected")
     return without(docs, rejected, {"k": text_key(), "l": F.col("lang"), "s": F.col("source")})
 
 
 def near_dedup(spark, docs, sf_dir):
-    """Keep the document with the smallest id of each group of near copies (five words, 0.8)."""
+    """Keep the document with the smallest id of each group of near copies (five words, 0.8).
+
+    Of rows that repeat an identifier and its text one stays; rows that share an identifier
+    alone are told by their text. Rows with a null identifier, a null text or an empty one are
+    no copies and stay. All other columns are kept as they are; an empty table stays empty.
+    """
     scratch = Scratch(spark, "pipeline")
     found = near_duplicates(docs, words=5, percent=80)
     dropped = found.where("NOT kept").select("doc_id", F.lower(F.hex("text_md5")).alias("k")).distinct()
@@ -55,27 +69,36 @@ def near_dedup(spark, docs, sf_dir):
     repeated = kept.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select("doc_id")
     repeated = scratch.save(repeated, "repeated")
     if repeated.take(1):  # rows that are repeated as a whole
-        once = kept.join(repeated, "doc_id", "left_semi").withColumn("_k", text_key()).dropDuplicates(["doc_id", "_k"]).drop("_k")
+        once = kept.join(repeated, "doc_id", "left_semi").select(F.struct("*").alias("row"), text_key().alias("key"), F.col("doc_id").alias("id"))
+        once = once.dropDuplicates(["id", "key"]).select("row.*")
         kept = without(kept, repeated, {"doc_id": F.col("doc_id")}).unionByName(once)
     return kept
 
 
 def decontamination(spark, docs, sf_dir):
-    """Drop documents that hold ten words in a row of a benchmark item."""
+    """Drop documents that hold ten words in a row of a benchmark item.
+
+    Documents are told by their text, so equal ones go together; null and empty texts hold
+    nothing and stay. All other columns are kept as they are; an empty table stays empty.
+    """
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    found = decontaminate(docs.withColumn("_k", text_key()), items, doc_id="_k")
+    found = decontaminate(docs.select(text_key().alias("key"), "text"), items, doc_id="key")
     dropped = found.where(F.size("hit_words") > 0).select(F.col("doc_id").alias("k")).distinct()
     dropped = Scratch(spark, "pipeline").save(dropped, "contaminated")
     return without(docs, dropped, {"k": text_key()})
 
 
 def secret_scan(spark, docs, sf_dir):
-    """Replace secrets in the texts; no document goes."""
+    """Replace secrets in the texts; no document goes.
+
+    n_chars follows the text; null texts stay null. All other columns are kept as they are;
+    an empty table stays empty.
+    """
     return redact(docs).withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
 
 
 def packing(spark, docs, sf_dir):
-    """Pack what is left into sequences of at most 2048 tokens."""
+    """Pack what is left into sequences of at most 2048 tokens; a row for each piece, null texts as empty ones."""
     return pack(docs, public_tokenizers.path(TOKENIZER))
 
 
