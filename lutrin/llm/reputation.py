@@ -25,12 +25,53 @@ def split_url(url):
     return F.coalesce(host, F.lit("")), F.coalesce(path, F.lit(""))
 
 
-def domain_of(host):
-    return F.substring_index(host, ".", -2)
-
-
-def suffix_of(host):
-    return F.substring_index(host, ".", -1)
+#: Address suffixes of two labels below which strangers register. A bounded parameter; all other suffixes are the last label. Fixed values.
+SUFFIXES = tuple(
+    f"{second}.{country}"
+    for country, seconds in {
+        "uk": "ac co gov ltd me net org plc sch",
+        "au": "asn com edu gov id net org",
+        "nz": "ac co geek gen govt net org school",
+        "za": "ac co gov net org web",
+        "jp": "ac ad co ed go gr lg ne or",
+        "kr": "ac co go ne or re",
+        "cn": "ac com edu gov net org",
+        "tw": "com edu gov idv net org",
+        "hk": "com edu gov idv net org",
+        "sg": "com edu gov net org per",
+        "in": "ac co edu firm gen gov ind net org res",
+        "br": "adv blog com edu gov net org",
+        "ar": "com edu gob net org",
+        "mx": "com edu gob net org",
+        "tr": "com edu gen gov net org web",
+        "il": "ac co gov net org",
+        "th": "ac co go in or",
+        "id": "ac co go or sch web",
+        "my": "com edu gov net org",
+        "pl": "com edu gov net org",
+        "ua": "com edu gov net org",
+    }.items()
+    for second in seconds.split()
+)
+_ADDRESS = r"^(\d+(\.\d+){3}|\[.*\])$"
+
+
+def site_of(host):
+    """The name that has a reputation: a host without user and port, and without a last dot."""
+    bare = F.regexp_replace(F.regexp_replace(host, r"^.*@", ""), r":\d*$", "")
+    return F.regexp_replace(bare, r"\.+$", "")
+
+
+def suffix_of(host, suffixes=SUFFIXES):
+    """The part of a name under which strangers register; a numeric address is its own."""
+    last = F.substring_index(host, ".", -2)
+    return F.when(host.rlike(_ADDRESS) | last.isin(*suffixes), F.when(host.rlike(_ADDRESS), host).otherwise(last)).otherwise(F.substring_index(host, ".", -1))
+
+
+def domain_of(host, suffixes=SUFFIXES):
+    """The registered domain: the suffix and one label more, if there is one."""
+    two, three = F.substring_index(host, ".", -2), F.substring_index(host, ".", -3)
+    return F.when(host.rlike(_ADDRESS), host).when(two.isin(*suffixes), three).otherwise(two)
 
 
 def rule_column(rules, host, path):
@@ -65,8 +106,9 @@ def posteriors(scratch, outcomes):
 
     `outcomes` has host and good (0 or 1); rows with a null in either are no outcomes.
     """
-    hosts = outcomes.where("host IS NOT NULL AND good IS NOT NULL").groupBy("host").agg(F.sum("good").alias("good"), F.count("*").alias("n"))
-    hosts = hosts.withColumn("domain", domain_of("host")).withColumn("suffix", suffix_of("host"))
+    known = outcomes.where("host IS NOT NULL AND good IS NOT NULL").select(site_of(F.col("host")).alias("host"), "good")
+    hosts = known.groupBy("host").agg(F.sum("good").alias("good"), F.count("*").alias("n"))
+    hosts = hosts.withColumn("domain", domain_of(F.col("host"))).withColumn("suffix", suffix_of(F.col("host")))
     hosts = scratch.save(hosts, "hosts")
     whole = hosts.agg(((F.sum("good") + 1) / (F.sum("n") + 2)).alias("mean")).first()["mean"]
     whole = 0.5 if whole is None else whole
@@ -106,7 +148,7 @@ def inherited(hosts, levels, strengths, whole):
     The host itself has none (n = 0): its rate is that of the level, and its variance adds up
     what is not known of that level and how far each level between differs from the one above.
     """
-    rows = hosts.withColumn("domain", domain_of("host")).withColumn("suffix", suffix_of("host"))
+    rows = hosts.withColumn("domain", domain_of(F.col("host"))).withColumn("suffix", suffix_of(F.col("host")))
     unseen = 1 / (strengths["host"] + 1)  # of a host without outcomes, given its domain
     found = []
     for level in ("domain", "suffix"):
@@ -128,7 +170,8 @@ def judge(pages, outcomes, rules=(), page_id="page_id", url="url", limit=LIMIT,
     the host's posterior. A rule decides where one fits. Otherwise a host whose upper bound is
     below `limit` is blocked, and every other allowed. With `inherit`, a host without outcomes
     is judged by the same bound of the nearest level that has some: its domain, its suffix,
-    the corpus; without, it has no rate and is allowed. A null url or one without `://` has an
+    the corpus; without, it has no rate and is allowed. Reputation is that of the host without
+    user and port, its domain the name registered below a suffix of SUFFIXES or one label. A null url or one without `://` has an
     empty host and path, which no rule fits, and of the levels only the corpus. Null and repeated page_ids are carried as they are,
     `outcomes` (host, good) may repeat rows, each an outcome; further columns are ignored; an
     empty table gives no rows. Of equally long rules the first counts.
@@ -138,13 +181,14 @@ def judge(pages, outcomes, rules=(), page_id="page_id", url="url", limit=LIMIT,
     rows = pages.select(F.col(page_id).alias("page_id"), host.alias("host"), path.alias("path"))
     levels, strengths, whole = posteriors(scratch, outcomes.select("host", "good"))
     known = rated_hosts(levels["host"])
+    rows = rows.withColumn("site", site_of(F.col("host")))
     if inherit:
-        above = inherited(rows.select("host").distinct().join(known, "host", "left_anti"), levels, strengths, whole)
+        above = inherited(rows.select(F.col("site").alias("host")).distinct().join(known, "host", "left_anti"), levels, strengths, whole)
         known = scratch.save(known.unionByName(above, allowMissingColumns=True), "known")
     fits = rule_column(list(rules), F.col("host"), F.col("path"))
     bad = F.coalesce(F.col("upper") < limit, F.lit(False))
     return (
-        rows.join(known, "host", "left")
+        rows.join(known.withColumnRenamed("host", "site"), "site", "left")
         .withColumn("fits", fits)
         .select(
             "page_id",

@@ -1,7 +1,8 @@
 import pytest
+from pyspark.sql import functions as F
 
 from lutrin.llm.queries import RULES, op10_url_filter
-from lutrin.llm.reputation import judge, reputations
+from lutrin.llm.reputation import domain_of, judge, reputations, suffix_of
 from lutrin.llm.common import Scratch
 
 
@@ -93,3 +94,57 @@ def test_all_outcomes_alike(spark):
 def test_query_columns(spark, sf_dir, column):
     df = op10_url_filter(spark, sf_dir)
     assert column in df.columns and df.count() == spark.read.parquet(f"{sf_dir}/pages.parquet").count()
+
+
+def test_strangers_below_a_suffix_share_no_domain(spark):
+    counts = {"a.bad.co.uk": (0, 60)} | {f"h{i}.fine{i}.co.uk": (9, 1) for i in range(8)}
+    hosts = ["a.bad.co.uk", "b.bad.co.uk", "new.other.co.uk", "bad.co.uk:8080", "user@a.bad.co.uk:80", "bad.co.uk."]
+    rows = {r.host: r for r in judge(pages_of(spark, [f"http://{h}/" for h in hosts]), outcomes_of(spark, counts), inherit=True).collect()}
+    assert set(rows) == set(hosts)  # the host that is returned keeps port and user
+    assert {h for h, r in rows.items() if r.verdict == "block"} == set(hosts) - {"new.other.co.uk"}
+    assert rows["user@a.bad.co.uk:80"].n_outcomes == 60
+
+
+def test_names(spark):
+    names = ["www.example.com", "example.com", "com", "", "a.b.c.co.uk", "c.co.uk", "co.uk", "10.0.0.1", "x.co.fr", "localhost"]
+    table = spark.createDataFrame([(n,) for n in names], "host string")
+    got = [(r[0], r[1]) for r in table.select(domain_of(F.col("host")), suffix_of(F.col("host"))).collect()]
+    assert got == [
+        ("example.com", "com"), ("example.com", "com"), ("com", "com"), ("", ""), ("c.co.uk", "co.uk"), ("c.co.uk", "co.uk"),
+        ("co.uk", "co.uk"), ("10.0.0.1", "10.0.0.1"), ("co.fr", "fr"), ("localhost", "localhost"),
+    ]
+
+
+def test_posteriors_by_the_long_way(spark):
+    counts = {"a.x.com": (3, 9), "b.x.com": (8, 1), "c.y.com": (0, 4), "d.z.org": (5, 5), "e.z.org": (9, 0)}
+
+    def strength(groups):  # of (good, n, mean of the level above)
+        noise = sum(p * (1 - p) for _, _, p in groups)
+        spread = sum(n * (g / n - p) ** 2 for g, n, p in groups)
+        room = sum(n * p * (1 - p) for _, n, p in groups) - noise
+        return min(max(1 / max((spread - noise) / room, 1 / 1001) - 1, 2.0), 1000.0) if room > 0 else 1000.0
+
+    def level(key, above):
+        sums = {}
+        for host, (good, bad) in counts.items():
+            g, n, _ = sums.get(key(host), (0, 0, 0))
+            sums[key(host)] = g + good, n + good + bad, above(host)
+        k = strength(list(sums.values()))
+        return {name: (g + p * k) / (n + k) for name, (g, n, p) in sums.items()}
+
+    total = sum(g for g, _ in counts.values()), sum(g + b for g, b in counts.values())
+    whole = (total[0] + 1) / (total[1] + 2)
+    suffix = level(lambda h: h.rsplit(".", 1)[1], lambda h: whole)
+    domain = level(lambda h: h.split(".", 1)[1], lambda h: suffix[h.rsplit(".", 1)[1]])
+    host = level(lambda h: h, lambda h: domain[h.split(".", 1)[1]])
+    got = {r.host: r.rate for r in reputations(Scratch(spark, "test"), outcomes_of(spark, counts)).collect()}
+    assert got == pytest.approx(host)
+
+
+def test_columns_that_clash_and_ties_between_rules(spark):
+    pages = pages_of(spark, ["http://a.com/x"])
+    for name in "site path suffix domain n good upper known fits above verdict mean strength".split():
+        pages = pages.withColumn(name, F.lit("x"))
+    assert judge(pages, outcomes_of(spark, {"a.com": (0, 90), "b.com": (90, 0)}), inherit=True).first().verdict == "block"
+    ties = [("block", "a.com", "/x"), ("allow", "a.com", "/x")]
+    assert judge(pages, outcomes_of(spark, {}), ties).first().verdict == "block"
