@@ -6,10 +6,12 @@ sets form a class, and only classes are compared. Classes that agree on a band o
 meet in a bucket. Within buckets a joint likelihood of the registers drops pairs that are far
 below the threshold; the others are confirmed on the full sets.
 
-Buckets do not list all their pairs. A first round compares every class with one leader of its
-bucket. What is then still in different components is related, class by class, to the larger
-components of its buckets in which a partner is plausible, and each class is confirmed
-against all members of these at once, so that no link between components is left untested.
+Buckets do not list all their pairs. A first round compares every class with one leader, in the
+largest of its buckets; a second one, in every bucket, the leader of the heaviest component with
+one class of each other component. What is then still in different components is related, class
+by class, to the larger components of its buckets in which a partner is plausible, and each class
+is confirmed against all members of these at once, so that no link between components is left
+untested.
 """
 
 import hashlib
@@ -102,16 +104,20 @@ def describe(words):
     return run
 
 
+def band_keys(registers):
+    """The bucket of every band of each row."""
+    values = np.ascontiguousarray(registers).view(np.uint64 if BAND == 4 else f"V{2 * BAND}")
+    with np.errstate(over="ignore"):
+        salt = bw.mix(np.arange(1, values.shape[1] + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+        return bw.mix(bw.mix(values) ^ salt[None, :]).view(np.int64)
+
+
 def bands(batches):
     """(bucket, node) for every band of a sketch."""
     for batch in batches:
-        registers = fixed_binary(batch.column(1), np.int16, REGISTERS)
-        values = np.ascontiguousarray(registers).view(np.uint64 if BAND == 4 else f"V{2 * BAND}")
-        with np.errstate(over="ignore"):
-            salt = bw.mix(np.arange(1, values.shape[1] + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-            keys = bw.mix(bw.mix(values) ^ salt[None, :])
+        keys = band_keys(fixed_binary(batch.column(1), np.int16, REGISTERS))
         yield pa.RecordBatch.from_arrays(
-            [pa.array(keys.ravel().view(np.int64)), batch.column(0).take(pa.array(np.repeat(np.arange(len(keys)), keys.shape[1])))],
+            [pa.array(keys.ravel()), batch.column(0).take(pa.array(np.repeat(np.arange(len(keys)), keys.shape[1])))],
             ["bucket", "node"],
         )
 
@@ -175,35 +181,61 @@ def leaders(sketch, first, last):
     return first + int(np.argmax((sketch[first:last] == middle).sum(1)))
 
 
-def propose(threshold, star):
+def delegates(sketch, size, component, weight, a, b, threshold):
+    """Pairs (leader, row) of the rows a..b: the leader of the heaviest component with the most similar row of each other."""
+    heaviest = np.lexsort((component[a:b], weight[a:b]))[-1] + a
+    own = component[a:b] == component[heaviest]
+    if own.all():
+        return []
+    inside = np.flatnonzero(own) + a
+    lead = inside[leaders(sketch[inside], 0, len(inside))] if len(inside) > 2 else inside[0]
+    others = np.flatnonzero(~own) + a
+    ok, equal = plausible(sketch, size, np.full(len(others), lead), others, threshold)
+    others, equal = others[ok], equal[ok]
+    order = np.lexsort((-equal, component[others]))
+    others = others[order]
+    others = others[np.unique(component[others], return_index=True)[1]] if len(others) else others
+    return [(np.full(len(others), lead), others)]
+
+
+STAR, DELEGATES, ALL = "star", "delegates", "all"
+
+
+def propose(threshold, round_):
     """Relations (c, x): texts x that may be linked to the group c. Input sorted by bucket and block.
 
-    With `star` the group is the leader of the bucket, otherwise a component: each row is
-    related to the larger components of which its bucket has a plausible partner.
+    In the rounds STAR and DELEGATES the group is the leader of the bucket, in the round ALL a
+    component: each row is related to the larger components of which its bucket has a plausible
+    partner.
     """
 
     def run(batches):
         for batch in whole_runs(batches, ["bucket", "block"]):
             node = batch.column("node")
             sketch = fixed_binary(batch.column("sketch"), np.int16, REGISTERS)
-            size = batch.column("n_shingles").to_numpy()
+            size, bucket = batch.column("n_shingles").to_numpy(), batch.column("bucket").to_numpy()
             labels = batch.column("component").dictionary_encode()
             component, weight = labels.indices.to_numpy(), batch.column("weight").to_numpy()
             first = changes(batch, ["bucket", "block"])
             last = np.append(first[1:], batch.num_rows)
             pairs = []
             for a, b in zip(first, last):
-                if star:
+                if round_ == DELEGATES:
+                    pairs += delegates(sketch, size, component, weight, a, b, threshold)
+                elif round_ == STAR:
+                    if b - a < 2:
+                        continue
                     lead = a if b - a == 2 else leaders(sketch, a, b)
                     rest = np.delete(np.arange(a, b), lead - a)
                     pairs.append((np.full(len(rest), lead), rest))
                 else:
-                    pairs += between(sketch, size, component, weight, a, b, threshold)
+                    pairs += between(sketch, size, component, weight, a, b, threshold, bucket[a])
             c, x = (np.concatenate([p[k] for p in pairs]) if pairs else np.zeros(0, np.int64) for k in (0, 1))
-            if star:
+            if round_ == STAR:
                 ok, _ = plausible(sketch, size, c, x, threshold)
-                group = node.take(pa.array(c[ok]))
-                x = x[ok]
+                c, x = c[ok], x[ok]
+            if round_ != ALL:
+                group = node.take(pa.array(c))
             else:
                 c, x = np.unique(np.stack([component[c], x]), axis=1) if len(c) else (c, x)
                 group = labels.dictionary.take(pa.array(c))
@@ -212,8 +244,17 @@ def propose(threshold, star):
     return run
 
 
-def between(sketch, size, component, weight, a, b, threshold):
-    """Pairs (row of a larger component, row) of the rows a..b, one for each row and plausible component."""
+def first_band(sketch, i, j):
+    """The first band in which the rows of each pair agree."""
+    same = (sketch[i] == sketch[j]).reshape(len(i), REGISTERS // BAND, BAND).all(2)
+    return same.argmax(1)
+
+
+def between(sketch, size, component, weight, a, b, threshold, bucket):
+    """Pairs (row of a larger component, row) of the rows a..b, one for each row and plausible component.
+
+    Rows that agree in several bands meet in as many buckets; the first of these tells of them.
+    """
     labels, own = np.unique(component[a:b], return_inverse=True)
     if len(labels) == 1:
         return []
@@ -224,6 +265,7 @@ def between(sketch, size, component, weight, a, b, threshold):
     rank = rank[own]
     order = np.argsort(rank, kind="stable")  # lighter components first
     rank = rank[order]
+    band = int(np.flatnonzero(band_keys(sketch[a : a + 1])[0] == bucket)[0])
     out = []
     for at in range(len(order)):
         begin = int(np.searchsorted(rank, rank[at], side="right"))
@@ -232,6 +274,7 @@ def between(sketch, size, component, weight, a, b, threshold):
         others = order[begin:] + a
         me = np.full(len(others), order[at] + a)
         ok, _ = plausible(sketch, size, me, others, threshold)
+        ok[ok] = first_band(sketch, me[ok], others[ok]) == band
         _, one = np.unique(rank[begin:][ok], return_index=True)
         found = others[ok][one]
         out.append((found, me[: len(found)]))
@@ -300,6 +343,13 @@ def split_large(members):
     )
 
 
+def largest_buckets(members):
+    """Every class in the largest of its buckets alone; of equally large ones in that with the highest number."""
+    sizes = members.groupBy("bucket").agg(F.count("*").alias("n"))
+    best = members.join(sizes, "bucket").groupBy("node").agg(F.max(F.struct("n", "bucket")).alias("best"))
+    return best.select(F.col("best.bucket").alias("bucket"), "node")
+
+
 def near_duplicates(docs, doc_id="doc_id", text="text", words=5, percent=80):
     """Link documents whose shingle sets have 100 * intersection >= percent * union.
 
@@ -355,28 +405,36 @@ def _edges(scratch, docs, classes, members, words, percent):
         texts = scratch.save(texts.dropDuplicates(["node"]), "texts", compression="zstd")
     sketched = classes.select("node", "n_shingles", "sketch")
 
-    def proposals(rows, star):
-        rows = split_large(scratch.save(rows, "open")).join(sketched, "node")
+    def proposals(rows, round_):
+        kept = scratch.save(rows, "open")
+        rows = split_large(kept).join(sketched, "node")
         rows = rows.repartition(_parts(scratch.spark), "bucket", "block").sortWithinPartitions("bucket", "block", "node")
         rows = rows.select("bucket", "block", "node", "component", "weight", "n_shingles", "sketch")
-        return scratch.save(rows.mapInArrow(propose(percent / 100, star), "c binary, x binary").distinct(), "relations")
-
-    single = members.withColumn("component", F.col("node")).withColumn("weight", F.lit(1).cast("long"))
-    stars = proposals(single, True)
-    groups = stars.select("c").distinct().withColumn("node", F.col("c"))
-    links = _confirmed(scratch, stars, groups, classes, texts, words, percent)
-
+        found = scratch.save(rows.mapInArrow(propose(percent / 100, round_), "c binary, x binary").distinct(), "relations")
+        scratch.drop(kept)
+        return found
+
+    def still_open(found):
+        """Members of buckets that hold several components, with theirs and how heavy it is."""
+        weights = scratch.save(found.groupBy("component").agg(F.count("*").alias("weight")), "weights")
+        rows = members.join(found.join(weights, "component"), "node", "left").withColumn("component", F.coalesce("component", "node"))
+        rows = rows.withColumn("weight", F.coalesce("weight", F.lit(1).cast("long")))
+        several = rows.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+        return rows.join(several.where("low <> high").select("bucket"), "bucket")
+
+    def confirmed(relations, found=None):
+        groups = relations.select("c").distinct()
+        if found is None:
+            groups = groups.withColumn("node", F.col("c"))
+        else:
+            groups = groups.join(found.select(F.col("component").alias("c"), "node"), "c", "left").withColumn("node", F.coalesce("node", "c"))
+        return _confirmed(scratch, relations, groups, classes, texts, words, percent)
+
+    single = largest_buckets(members).withColumn("component", F.col("node")).withColumn("weight", F.lit(1).cast("long"))
+    links = confirmed(proposals(single, STAR))
+    links = links.union(confirmed(proposals(still_open(components(scratch, links)), DELEGATES)))
     found = components(scratch, links)
-    weights = scratch.save(found.groupBy("component").agg(F.count("*").alias("weight")), "weights")
-    found = found.join(weights, "component")
-    rows = members.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    rows = rows.withColumn("weight", F.coalesce("weight", F.lit(1).cast("long")))
-    several = rows.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-    rows = rows.join(several.where("low <> high").select("bucket"), "bucket")
-    relations = proposals(rows, False)
-    groups = relations.select("c").distinct().join(found.select(F.col("component").alias("c"), "node"), "c", "left")
-    groups = groups.withColumn("node", F.coalesce("node", "c"))
-    return links.union(_confirmed(scratch, relations, groups, classes, texts, words, percent))
+    return links.union(confirmed(proposals(still_open(found), ALL), found))
 
 
 def _confirmed(scratch, relations, groups, classes, texts, words, percent):
@@ -399,6 +457,9 @@ def _confirmed(scratch, relations, groups, classes, texts, words, percent):
     related = relations.join(shape, "c").withColumn("salt", F.pmod(F.xxhash64("x"), F.col("salts"))).withColumn("block", numbers("blocks"))
     members = members.select("c", "block", "salt", "node", F.lit(True).alias("member"))
     related = related.select("c", "block", "salt", F.col("x").alias("node"), F.lit(False).alias("member"))
-    rows = scratch.save(members.union(related), "placed").join(texts, "node").select("c", "block", "salt", "member", "node", "text")
+    placed = scratch.save(members.union(related), "placed")
+    rows = placed.join(texts, "node").select("c", "block", "salt", "member", "node", "text")
     rows = rows.repartition(_parts(scratch.spark), "c", "block", "salt").sortWithinPartitions("c", "block", "salt", F.desc("member"))
-    return scratch.save(rows.mapInArrow(confirm(words, percent), "a binary, b binary"), "links")
+    links = scratch.save(rows.mapInArrow(confirm(words, percent), "a binary, b binary"), "links")
+    scratch.drop(placed, shape, relations)  # superseded
+    return links
