@@ -17,6 +17,7 @@ from checks.plans import DOORS, synonyms
 from checks.registry import SALTS, check, term_sql, values_sql
 from checks.sources import lines_of
 from lutrin import values as V
+from lutrin.operators.gates import GateFailure
 from lutrin.plans.daily import Run, run_daily
 from lutrin.plans.lookup_tables import Lookups
 from lutrin.plans.people import refresh_stats, write_people
@@ -280,3 +281,47 @@ def daily_traffic(spark, t):
 
 #: Queries whose way runs through Python tasks, and why: lines of text become records by a state that runs through a file.
 PYTHON = {"quoted_files"}
+
+
+YEAR_OF_LOAN = "make_timestamp(year(o_orderdate), 1, 1, 12, 0, 0)"
+
+
+@check(
+    """
+    SELECT o_orderpriority AS cb_document, CAST(o_custkey AS VARCHAR) AS cb_usager, CAST(year(o_orderdate) AS INTEGER) AS annee,
+           count(*) AS nb, 0 AS publies
+    FROM orders GROUP BY ALL HAVING count(*) > 1
+    """
+)
+def fact_key_report(spark, t):
+    """Loans with repeated keys are written, found by the gate and not published; its report is read back."""
+    warehouse = Warehouse(spark, folder(spark))
+    rows = t("orders").selectExpr(
+        "o_orderpriority AS cb_document", "CAST(o_custkey AS STRING) AS cb_usager",
+        f"{YEAR_OF_LOAN} AS dateheure", f"CAST({YEAR_OF_LOAN} AS DATE) AS journee",
+    )
+    report = None
+    try:
+        warehouse.write_days("emprunts", conform(rows, "emprunts"))
+    except GateFailure as failure:
+        (report,) = [r.report for r in failure.results if r.name == "emprunts: key"]
+    schema = "cb_document string, cb_usager string, dateheure string, nb long"
+    found = spark.read.option("sep", "\t").option("header", True).schema(schema).csv(report) if report else spark.createDataFrame([], schema)
+    return found.select("cb_document", "cb_usager", F.substring("dateheure", 1, 4).cast("int").alias("annee"), "nb", F.lit(len(warehouse.entries("emprunts"))).alias("publies"))
+
+
+@check(
+    f"""
+    SELECT o_orderpriority AS cb_document, CAST(o_custkey AS VARCHAR) AS cb_usager, min(CAST({YEAR_OF_LOAN} AS DATE)) AS journee
+    FROM orders GROUP BY o_orderpriority, o_custkey, year(o_orderdate)
+    """
+)
+def fact_days_published(spark, t):
+    """The same loans with one row a key pass the gates and are published by day."""
+    warehouse = Warehouse(spark, folder(spark))
+    rows = t("orders").selectExpr(
+        "o_orderpriority AS cb_document", "CAST(o_custkey AS STRING) AS cb_usager",
+        f"{YEAR_OF_LOAN} AS dateheure", f"CAST({YEAR_OF_LOAN} AS DATE) AS journee",
+    )
+    warehouse.write_days("emprunts", conform(rows.distinct(), "emprunts"))
+    return warehouse.read("emprunts").select("cb_document", "cb_usager", "journee")

@@ -11,7 +11,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from lutrin.functions.dates import is_iso_instant, parse_instant
+from lutrin.functions.dates import day_of, is_iso_instant, parse_instant
 from lutrin.functions.people import cycle_of
 from lutrin.functions.text import report_line
 from lutrin.schemas import MAX_LENGTH
@@ -228,10 +228,28 @@ def text_lengths(name, columns):
     }
 
 
+def other_day(moment="dateheure", day="journee"):
+    """Whether a row lies in another day than its own moment; a missing day or moment does, too."""
+    return ~F.coalesce(F.col(day) == day_of(F.col(moment)), F.lit(False))
+
+
+def keyed_by_moment(name, columns):
+    """Whether the key of a table holds a moment, of which its day is a part: then equal keys share a day."""
+    key = spec_of(name).key
+    return "dateheure" in key and "journee" not in key and {"dateheure", "journee"} <= set(columns)
+
+
 def contract_gates(df, name, key=True):
-    """Key and length gates of a table, for the columns that `df` has."""
+    """Key and length gates of a table, for the columns that `df` has.
+
+    A table that is kept by day and keyed by a moment must have each row in the day of its
+    moment. So gates over some days also answer for the keys of all others.
+    """
     spec = spec_of(name)
     gates = []
+    if key and keyed_by_moment(name, df.columns):
+        gate = f"{name}: day"
+        gates.append(Gate(gate, df.filter(other_day()).select(*spec.key, "journee"), seen=seen_in(df, gate)))
     if key and spec.key and set(spec.key) <= set(df.columns):
         gates.append(Gate(f"{name}: key", broken_keys(df, spec.key)))
     lengths = text_lengths(name, df.columns)
@@ -255,6 +273,8 @@ def row_conditions(name, columns):
     lengths = text_lengths(name, columns)
     if lengths:
         found[f"{name}: text length"] = any_overlong(lengths)
+    if keyed_by_moment(name, columns):
+        found[f"{name}: day"] = other_day()
     if name == "_tmp_emprunts" and "date" in columns:
         dated = F.col("date").isNotNull() & (F.col("date") != "")
         found["loans: impossible dates"] = dated & parse_instant(F.col("date")).isNull()

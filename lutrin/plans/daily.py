@@ -130,7 +130,7 @@ def run_people(run):
         if run.snapshot:
             everyone = warehouse.read_state(PEOPLE)
             today, _ = add_day(everyone, student_build.rows, staff_build.rows, run.day)
-            warehouse.write_day("clientele", build_snapshot(today, run.day), run.day)
+            checks += warehouse.write_day("clientele", build_snapshot(today, run.day), run.day)
             refresh_stats(warehouse, run.lookups.disciplines, [run.day])
         checks += write_people(warehouse, before, dim, touched)
     return checks
@@ -146,7 +146,7 @@ def run_bookings(run):
     checks += run.check(build.gates + contract_gates(staging, "_tmp_reservations"))
     days = days_in(staging.select(day_of(F.col("fromDate")).alias("journee")))
     current = run.warehouse.read_days("reservations", days, SOURCE_KEY_DDL)
-    run.warehouse.write_days("reservations", merge_bookings(current, build.rows))
+    checks += run.warehouse.write_days("reservations", merge_bookings(current, build.rows))
     return checks
 
 
@@ -186,7 +186,7 @@ def run_traffic(run):
         + contract_gates(entries, "_tmp_frequentation")
         + contract_gates(occupancy, "_tmp_occupation")
     )
-    run.warehouse.write_days("frequentation", build.rows)
+    checks += run.warehouse.write_days("frequentation", build.rows)
     return checks
 
 
@@ -211,7 +211,7 @@ def run_computers(run):
     touched = warehouse.read_days("sessions_ordinateurs", days)
     build = build_computer_sessions(staging, persons, synonyms, touched, run.salts)
     with warehouse.commit():
-        warehouse.write_days("sessions_ordinateurs", build.rows)
+        checks += warehouse.write_days("sessions_ordinateurs", build.rows)
         left = waiting.filter(~F.col("journee").isin(*days)) if days else waiting
         now = waiting_pairs(warehouse.read_days("sessions_ordinateurs", days))
         checks += warehouse.write_state(WAITING, left.union(now))
@@ -228,7 +228,7 @@ def run_loans(run):
     days = days_in(staging.select(day_of(parse_instant(F.col("date"))).alias("journee")))
     touched = run.warehouse.read_days("emprunts", days)
     build = build_loans(staging, persons, synonyms, touched, run.home, run.salts)
-    run.warehouse.write_days("emprunts", build.rows)
+    checks += run.warehouse.write_days("emprunts", build.rows)
     return checks
 
 

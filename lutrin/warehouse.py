@@ -5,7 +5,8 @@ Every write goes to a folder `version=N` of its table that nothing reads yet. A
 several tables of a domain change at once or not at all, on any file system. Readers list only
 the folders that the commit names. Four kinds of tables:
 
-* facts, partitioned by `journee`: a run replaces whole days;
+* facts, partitioned by `journee`: a run replaces whole days, once the gates of their table
+  have passed on what was written. The key of every fact names its day, so no other day is read;
 * states without a stable day (events, registrations): each run merges into the latest
   version and writes the next one. It counts once its gates have passed;
 * people, and their copies by link key: bucketed by a hash of their key, so that a
@@ -155,19 +156,33 @@ class Warehouse:
         return self._read(name, extra, {p: v for p, v in self.entries(name).items() if p in wanted})
 
     def _write_days(self, name, rows):
+        """({partition: version}, results of gates) of days that are written and found right, not published yet."""
         version = self._next(name)
         path = f"{self.path(name)}/{VERSION}={version}"
-        rows.hint("rebalance", DAY).write.partitionBy(DAY).parquet(path)
-        return {folder: version for folder in self.manifests.files.names(path) if folder.startswith(f"{DAY}=")}
+        watch = Watch(rows, row_conditions(name, rows.columns))
+        watch.rows.hint("rebalance", DAY).write.partitionBy(DAY).parquet(path)
+        written = {folder: version for folder in self.manifests.files.names(path) if folder.startswith(f"{DAY}=")}
+        if not written:
+            return {}, []
+        fresh = self._read(name, "", written)
+        fresh.seen = watch.seen()
+        return written, run_gates(contract_gates(fresh, name), self.reports_path())
 
     def write_days(self, name, rows):
-        """Replace the days that occur in `rows`, all at once. Large days are split over several files."""
-        self._publish(name, self._write_days(name, rows))
+        """Replace the days that occur in `rows`, all at once. Large days are split over several files.
+
+        Nothing is published if a key is missing or occurs twice, a text is too long, or a row
+        lies in another day than its moment. Returns the results of these gates.
+        """
+        written, checks = self._write_days(name, rows)
+        self._publish(name, written)
+        return checks
 
     def write_day(self, name, rows, day):
-        """Replace one day, also by nothing."""
-        written = self._write_days(name, rows.filter(F.col(DAY) == F.lit(str(day)).cast("date")))
+        """Replace one day, also by nothing; gates as in `write_days`."""
+        written, checks = self._write_days(name, rows.filter(F.col(DAY) == F.lit(str(day)).cast("date")))
         self._publish(name, written or {f"{DAY}={day}": None})
+        return checks
 
     def drop_day(self, name, day):
         self._publish(name, {f"{DAY}={day}": None})

@@ -53,6 +53,48 @@ def test_a_job_that_fails_between_days_leaves_the_old_state(spark, tmp_path):
     assert counts(warehouse) == dict.fromkeys(DAYS, 3)
 
 
+def loans(spark, *rows_):
+    table = spark.createDataFrame(rows_, "cb_document string, cb_usager string, dateheure string, journee string, cote string")
+    return conform(table.withColumn("dateheure", F.col("dateheure").cast("timestamp")), "emprunts")
+
+
+GOOD = ("d1", "u1", "2024-01-01 10:00:00", "2024-01-01", "c")
+
+
+@pytest.mark.parametrize(
+    "gate, bad",
+    [
+        ("emprunts: key", [("d2", "u1", "2024-01-02 10:00:00", "2024-01-02", "c")] * 2),
+        ("emprunts: key", [("d2", None, "2024-01-02 10:00:00", "2024-01-02", "c")]),
+        ("emprunts: day", [("d1", "u1", "2024-01-01 10:00:00", "2024-01-02", "c")]),  # the key of another day
+        ("emprunts: day", [("d1", "u1", None, "2024-01-02", "c")]),
+        ("emprunts: text length", [("d2", "u1", "2024-01-02 10:00:00", "2024-01-02", "c" * 256)]),
+    ],
+)
+def test_days_that_break_the_contract_are_not_published(spark, tmp_path, gate, bad):
+    warehouse = Warehouse(spark, str(tmp_path))
+    assert all(not r.count for r in warehouse.write_days("emprunts", loans(spark, GOOD)))
+    before = warehouse.last_commit()
+    with pytest.raises(GateFailure, match=gate) as failure:
+        warehouse.write_days("emprunts", loans(spark, GOOD[:4] + ("new",), *bad))
+    failed = {r.name: r.report for r in failure.value.results if r.count}
+    assert gate in failed and os.path.isdir(failed[gate])
+    assert warehouse.last_commit() == before and [r.cote for r in warehouse.read("emprunts").collect()] == ["c"]
+
+
+def test_the_gates_of_a_day_read_no_other_day(spark, tmp_path):
+    """The files of the first day are spoiled: who reads them fails."""
+    warehouse = Warehouse(spark, str(tmp_path))
+    warehouse.write_days("emprunts", loans(spark, GOOD))
+    (spoiled,) = warehouse.read("emprunts").inputFiles()
+    with open(spoiled.removeprefix("file://"), "wb") as file:
+        file.write(b"spoiled")
+    warehouse.write_days("emprunts", loans(spark, ("d1", "u1", "2024-01-02 10:00:00", "2024-01-02", "c")))
+    assert len(warehouse.read_days("emprunts", ["2024-01-02"]).collect()) == 1
+    with pytest.raises(Exception):
+        warehouse.read("emprunts").collect()
+
+
 KILLED = """
 import os, sys
 sys.path[:0] = [{repo!r}, {repo!r} + "/tests"]
