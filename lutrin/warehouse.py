@@ -6,7 +6,7 @@ several tables of a domain change at once or not at all, on any file system. Rea
 the folders that the commit names. Four kinds of tables:
 
 * facts, partitioned by `journee`: a run replaces whole days, once the gates of their table
-  have passed on what was written. The key of every fact names its day, so no other day is read;
+  have passed on what was written. Keys hold the day or a moment of it, so no other day is read;
 * states without a stable day (events, registrations): each run merges into the latest
   version and writes the next one. It counts once its gates have passed;
 * people, and their copies by link key: bucketed by a hash of their key, so that a
