@@ -10,6 +10,7 @@ import shutil
 import tempfile
 import uuid
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -24,8 +25,9 @@ from lutrin.plans.people import refresh_stats, write_people
 from lutrin.schemas import PEOPLE, conform
 from lutrin.sources.daily_files import stale_files
 from lutrin.sources.delimited import load_lookup, load_staging, read_delimited, write_delimited
-from lutrin.sources.fixed_width import read_students
+from lutrin.sources.fixed_width import file_order, read_students
 from lutrin.sources.json_pages import read_pages
+from lutrin.sources.page_source import load_pages
 from lutrin.warehouse import Warehouse
 
 _folders = []
@@ -149,6 +151,40 @@ def page_files(spark, t):
     return read_pages(spark, f"{path}/*.txt", "id string, title string, conv_id long", "events").select("conv_id", "id", "title")
 
 
+@check("SELECT conv_id, CAST(turn AS VARCHAR) AS id, role AS title FROM conversations")
+def page_source_files(spark, t):
+    """The same records through the data source of landed pages."""
+    path = folder(spark)
+    one = F.struct("turn", F.col("role").alias("title"), "conv_id")
+    pages = t("conversations").groupBy("conv_id").agg(F.to_json(F.struct(F.collect_list(one).alias("events"))).alias("value"))
+    pages.select("value").write.option("maxRecordsPerFile", 1).text(path)
+    found = load_pages(spark, path, "turn string, title string, conv_id long", "events", page_pattern=r"part-(\d+)")
+    return found.select("conv_id", F.col("turn").alias("id"), "title")
+
+
+@check(
+    """
+    SELECT o_custkey AS client, o_orderkey AS cle, CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS jour, true AS suit
+    FROM orders
+    """
+)
+def ordered_files(spark, t):
+    """An output that replaces one it was made from, sorted over its files: every row follows the one before it."""
+    path = folder(spark)
+    names = ["client", "cle", "jour"]
+    kinds = {"client": T.LongType(), "cle": T.LongType()}
+    write_delimited(t("orders").selectExpr("o_custkey AS client", "o_orderkey AS cle", "date_format(o_orderdate, 'yyyy-MM-dd') AS jour"), path, sep="\t")
+    write_delimited(read_delimited(spark, path, names, kinds, sep="\t"), path, sep="\t", order=["client", "cle"])
+    lines = spark.read.schema("client long, cle long, jour string").options(sep="\t", header=True).csv(path)
+    part = F.regexp_extract("_metadata.file_name", r"part-(\d+)", 1).cast("int").alias("part")
+    rows = lines.select(*names, part, file_order().alias("rang"), F.struct("client", "cle").alias("k"))
+    # rows follow the one before them in their file, the first of a file the largest of the file before
+    ends = rows.groupBy("part").agg(F.max("k").alias("fin"))  # one row for each file
+    ends = ends.select(F.lead("part").over(Window.orderBy("part")).alias("part"), "fin").where("part IS NOT NULL")
+    rows = rows.withColumn("avant", F.lag("k").over(Window.partitionBy("part").orderBy("rang"))).join(ends, "part", "left")
+    return rows.select(*names, F.coalesce(F.col("k") > F.coalesce("avant", "fin"), F.lit(True)).alias("suit"))
+
+
 # ---- the warehouse
 
 DAYS_SQL = "SELECT CAST(ts AS DATE) AS journee, event_type AS bibliotheque, count(*) AS n FROM events GROUP BY 1, 2"

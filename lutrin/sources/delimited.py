@@ -1,11 +1,14 @@
 """Delimited files: lookups, staging files, loans; and the delimited sinks."""
 
+import uuid
+
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lutrin import values as V
 from lutrin.functions.dates import normalize_date
 from lutrin.functions.text import blank_to_null
+from lutrin.manifests import Files
 from lutrin.schemas import TABLES, conform
 from lutrin.sources.fixed_width import file_order
 from lutrin.sources.quoted import quoted_records
@@ -144,10 +147,40 @@ def read_loans(spark, path, multiline=False):
     return normalize_loan_dates(rows)
 
 
-def write_delimited(df, path, sep=","):
-    """Text with header, quotes doubled, missing values blank, all other text as it is. One file per task."""
+def write_delimited(df, path, sep=",", order=()):
+    """Text with header, quotes doubled, missing values blank, all other text as it is. One file per task.
+
+    The files are written to a hidden folder beside `path` and moved there when all tasks are
+    done, so `path` never holds a part of an output: a write that fails leaves what was there,
+    and `df` may be read from it. A driver that dies while the folders change places leaves no
+    `path`, but the old files in a folder `_<name>.before-…` and the new ones beside it. With `order`
+    the rows are sorted over all files, in the order of the file names.
+    """
+    files = Files(df.sparkSession)
+    parent, _, name = path.rstrip("/").rpartition("/")
+    run = uuid.uuid4().hex
+    fresh, before = (f"{parent}/_{name}.{step}-{run}" if parent else f"_{name}.{step}-{run}" for step in ("writing", "before"))
+    try:
+        _write_text(df.sort(*order) if order else df, fresh, sep)
+        replaced = files.exists(path)
+        if replaced:
+            files.move(path, before)
+        try:
+            files.move(fresh, path)
+        except Exception:
+            if replaced:
+                files.move(before, path)
+            raise
+    except Exception:
+        files.delete(fresh)
+        raise
+    if replaced:
+        files.delete(before)
+
+
+def _write_text(df, path, sep):
     (
-        df.write.mode("overwrite")
+        df.write.mode("errorifexists")
         .option("header", True)
         .option("sep", sep)
         .option("quote", '"')

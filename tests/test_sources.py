@@ -3,6 +3,7 @@ import json
 from datetime import date, datetime, timezone
 
 import pytest
+from pyspark.sql import types as T
 
 from conftest import rows
 from lutrin.operators.gates import GateFailure, run_gates
@@ -133,6 +134,50 @@ def test_written_text_reads_back(spark, tmp_path, sep):
     assert rows(delimited.read_delimited(spark, out, ["x", "y", "z"], sep=sep, multiline=True)) == sorted(data)
 
 
+def test_a_write_that_fails_leaves_what_was_there(spark, tmp_path):
+    out = str(tmp_path / "out")
+    delimited.write_delimited(spark.range(5).selectExpr("id", "'old' AS x"), out)
+    broken = spark.range(0, 1000, 1, 8).selectExpr("id", "IF(id = 999, raise_error('broken'), 'new') AS x")
+    for target in (out, str(tmp_path / "other")):
+        with pytest.raises(Exception, match="broken"):
+            delimited.write_delimited(broken, target)
+    assert [p.name for p in tmp_path.iterdir()] == ["out"]
+    assert {r.x for r in delimited.read_delimited(spark, out, ["id", "x"], sep=",").collect()} == {"old"}
+
+
+def test_a_write_that_cannot_be_published_leaves_what_was_there(spark, tmp_path, monkeypatch):
+    out = str(tmp_path / "out")
+    delimited.write_delimited(spark.range(5).selectExpr("id", "'old' AS x"), out)
+    move = delimited.Files.move
+
+    def fail(self, path, target):
+        if ".writing-" in path:
+            raise OSError("no move")
+        move(self, path, target)
+
+    monkeypatch.setattr(delimited.Files, "move", fail)
+    with pytest.raises(OSError, match="no move"):
+        delimited.write_delimited(spark.range(3).selectExpr("id", "'new' AS x"), out)
+    assert [p.name for p in tmp_path.iterdir()] == ["out"]
+    assert delimited.read_delimited(spark, out, ["id", "x"], sep=",").count() == 5
+
+
+def test_files_replace_those_they_are_made_from_in_order(spark, tmp_path):
+    out = tmp_path / "out"
+    numbers = spark.range(0, 5000, 1, 8).selectExpr("xxhash64(id) AS h", "id").repartition(7)
+    delimited.write_delimited(numbers, str(out))
+    again = delimited.read_delimited(spark, str(out), ["h", "id"], {"id": T.LongType()}, sep=",")
+    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        delimited.write_delimited(again, str(out), order=["id"])
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
+    files = sorted(out.glob("part-*.csv"))
+    lines = [line.split(",")[1] for f in files for line in f.read_text().splitlines()[1:]]
+    assert len(files) > 1 and lines == [str(i) for i in range(5000)]
+
+
 # ---- JSON
 
 
