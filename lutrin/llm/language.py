@@ -25,6 +25,8 @@ UNKNOWN = "und"
 NOISE = 0.25
 #: A row is rejected as unknown only from this posterior on.
 CERTAIN = 0.99
+#: Counts or terms that a task holds in one array, about.
+HELD = 1 << 21
 
 # Letters, blanks as one class, everything else dropped from the trigrams.
 _CLASS = np.zeros(256, np.uint32)
@@ -55,30 +57,53 @@ def trigrams(data, offsets):
     return (code >> np.uint32(17)).astype(np.int64), text[:-2][inside]
 
 
+def tag(declared):
+    """Primary language of a declaration, in lower case, without script, region or variant; other text as it is, but for case and blanks."""
+    plain = F.lower(F.trim(declared.cast("string")))
+    return F.when(plain != "", F.regexp_replace(plain, r"^([a-z]{2,8})[-_].*$", "$1"))
+
+
 def count_trigrams(languages):
-    """(language, bucket, n) of labelled rows, added up in the task."""
+    """(language, bucket, n) of labelled rows, added up in the task; only what occurs is held."""
 
     def run(batches):
         number = {language: i for i, language in enumerate(languages)}
-        counts = np.zeros((len(languages), BUCKETS), np.int64)
+        keys, counts, held = [], [], 0
+
+        def added():
+            key, place = np.unique(np.concatenate(keys), return_inverse=True)
+            return [key], [np.bincount(place, np.concatenate(counts)).astype(np.int64)]
+
         for batch in batches:
             labels = np.array([number.get(x, -1) for x in batch.column(0).to_pylist()])
             for row, data, offsets in bw.chunks(batch.column(1)):
                 code, text = trigrams(data, offsets)
                 label = labels[row + text]
                 known = label >= 0
-                counts += np.bincount(label[known] * BUCKETS + code[known], minlength=counts.size).reshape(counts.shape)
-        i, j = np.nonzero(counts)
-        yield pa.RecordBatch.from_arrays([pa.array(i, pa.int32()), pa.array(j, pa.int32()), pa.array(counts[i, j])], ["language", "bucket", "n"])
+                key, n = np.unique(label[known] * BUCKETS + code[known], return_counts=True)
+                keys.append(key)
+                counts.append(n)
+                held += len(key)
+                if held > HELD:
+                    keys, counts = added()
+                    held = 0
+        if keys:
+            (key,), (n,) = added()
+            for at in range(0, len(key), HELD):
+                k = key[at : at + HELD]
+                columns = [pa.array(k // BUCKETS, pa.int32()), pa.array(k % BUCKETS, pa.int32()), pa.array(n[at : at + HELD], pa.int64())]
+                yield pa.RecordBatch.from_arrays(columns, ["language", "bucket", "n"])
 
     return run
 
 
-def fit(rows, label="label", text="text", sample_rows=SAMPLE_ROWS):
+def fit(rows, label="label", text="text", sample_rows=SAMPLE_ROWS, spread=()):
     """A trigram model of every label that occurs, from a sample of its rows, picked by a hash.
 
     About `sample_rows` rows are picked in all, and besides so many of each rare label that it
-    has LEAST_ROWS (at most `sample_rows`) or all its rows. Returns (languages, log-probabilities by bucket and
+    has LEAST_ROWS (at most `sample_rows`) or all its rows. The hash is that of the text and the columns
+    `spread`, so it does not depend on how files are split; rows that agree in all of these are picked
+    together. Returns (languages, log-probabilities by bucket and
     language). The last column is the unknown language, which finds every bucket alike.
     """
     rows = rows.where(F.col(label) != UNKNOWN)
@@ -89,11 +114,11 @@ def fit(rows, label="label", text="text", sample_rows=SAMPLE_ROWS):
     if languages:
         shares = [(r[0], min(1.0, max(sample_rows / total, min(LEAST_ROWS, sample_rows) / r["n"]))) for r in sizes]
         shares = rows.sparkSession.createDataFrame(shares, "label string, share double")
-        hashed = rows.select(F.col(label).alias("label"), text, F.xxhash64(text, F.monotonically_increasing_id()).alias("h"))
+        hashed = rows.select(F.col(label).alias("label"), text, F.xxhash64(text, *spread).alias("h"))
         picked = hashed.join(F.broadcast(shares), "label").where(F.pmod("h", F.lit(1_000_000)) < F.col("share") * 1_000_000)
         picked = picked.select("label", text).mapInArrow(count_trigrams(languages), "language int, bucket int, n long")
-        for r in picked.groupBy("language", "bucket").agg(F.sum("n").alias("n")).toLocalIterator():  # languages * BUCKETS rows at most
-            counts[r.language, r.bucket] = r.n
+        found = picked.groupBy("language", "bucket").agg(F.sum("n").alias("n")).toArrow()  # languages * BUCKETS rows at most
+        counts[found["language"].to_numpy(), found["bucket"].to_numpy()] = found["n"].to_numpy()
     # unseen buckets have half of the probability at most, or a language of few rows would be like the unknown one
     seen = counts.sum(1, keepdims=True)
     extra = np.minimum(0.5, seen / BUCKETS)
@@ -103,6 +128,17 @@ def fit(rows, label="label", text="text", sample_rows=SAMPLE_ROWS):
     return [*languages, UNKNOWN], np.ascontiguousarray(table.T.astype(np.float32))
 
 
+def log_likelihoods(table, code, text, n):
+    """Sum over the trigrams of each of `n` texts, for all languages at once; `text` ascends."""
+    sums = np.zeros((n, table.shape[1]))
+    step = max(1, HELD // table.shape[1])
+    for at in range(0, len(code), step):
+        part = text[at : at + step]
+        first = np.flatnonzero(np.diff(part, prepend=-1))
+        sums[part[first]] += np.add.reduceat(table[code[at : at + step]], first, axis=0, dtype=np.float64)
+    return sums
+
+
 def score(model):
     """(id, declared, host, likelihoods, trigrams) of each row; the log-likelihoods are tempered."""
 
@@ -113,7 +149,7 @@ def score(model):
             for row, data, offsets in bw.chunks(texts):
                 n = len(offsets) - 1
                 code, text = trigrams(data, offsets)
-                sums = np.stack([np.bincount(text, table[code, k], n) for k in range(len(languages))], 1).astype(np.float64)
+                sums = log_likelihoods(table, code, text, n)
                 count = np.bincount(text, minlength=n)
                 weight = np.minimum(1.0, EFFECTIVE / np.maximum(count, 1))
                 sums = (sums - sums.max(1, keepdims=True)) * weight[:, None]
@@ -201,12 +237,14 @@ def fuse(model, corpus, declared, certain):
     return run
 
 
-def identify(docs, doc_id="doc_id", text="text", declared="lang", address="source", label=None, certain=CERTAIN, sample_rows=SAMPLE_ROWS):
+def identify(docs, doc_id="doc_id", text="text", declared="lang", address="source", label=None, certain=CERTAIN, sample_rows=SAMPLE_ROWS, spread=None):
     """The language of every row of `docs`.
 
     One row per row: id, language, posterior, text_language (by the text alone), declared,
     trigrams, accepted. `label` (by default the declared language) trains the trigram model;
-    every label that occurs is modelled, however rare.
+    every label that occurs is modelled, however rare. Labels are taken by their primary language (`en-CA`,
+    `EN` and `en` are one), and so are `language`, `text_language` and `declared`. The sample depends on the
+    contents of the rows alone, by text and the columns `spread` (by default `doc_id`).
     Rejected are rows without letters, and those that are in an unknown language with a
     posterior of `certain` or more; doubt between known languages rejects nothing. A null or
     empty text, or one without letters, has no evidence of its own: its language is that of
@@ -218,10 +256,12 @@ def identify(docs, doc_id="doc_id", text="text", declared="lang", address="sourc
     spark = docs.sparkSession
     scratch = Scratch(spark, "language")
     whole = F.coalesce(F.col(text), F.lit(""))
-    said = F.col(declared).cast("string") if declared else F.lit(None).cast("string")
+    said = tag(F.col(declared)) if declared else F.lit(None).cast("string")
     host = host_of(F.col(address).cast("string")) if address else F.lit(None).cast("string")
     rows = docs.select(F.col(doc_id).alias("id"), said.alias("declared"), host.alias("host"), whole.alias("text"))
-    model = fit(docs.select(F.col(label or declared).cast("string").alias("label"), whole.alias("text")), sample_rows=sample_rows)
+    spread = [doc_id] if spread is None else spread
+    labelled = docs.select(tag(F.col(label or declared)).alias("label"), whole.alias("text"), *(F.col(c).alias(f"spread{i}") for i, c in enumerate(spread)))
+    model = fit(labelled, sample_rows=sample_rows, spread=[f"spread{i}" for i in range(len(spread))])
     languages = model[0]
     key = rows.schema["id"].dataType.simpleString()
     schema = f"id {key}, declared string, host string, likelihoods array<double>, trigrams long, letters long"

@@ -1,5 +1,8 @@
 import random
 
+import numpy as np
+import pyarrow as pa
+
 from lutrin.llm import language
 from lutrin.llm.language import identify, page_evidence
 
@@ -111,6 +114,56 @@ def test_sample_bound_is_a_parameter(spark):
     assert sum(rows[i].text_language == langs[i] for i in rows) >= 0.95 * len(langs)
 
 
+def test_labels_are_taken_by_their_primary_language(spark):
+    texts, langs = sample(10, 120)
+    ways = ("{}", "{}-CA", "{}_xx.UTF-8", " {} ", "{}-Latn-XX")
+    said = [ways[i % 5].format(x.upper() if i % 2 else x) for i, x in enumerate(langs)]
+    rows = by_id(identify(docs_of(spark, texts, said)))
+    assert [rows[i].language for i in rows] == [langs[i] for i in rows] and {r.declared for r in rows.values()} == set(PROSE)
+    blank = by_id(identify(docs_of(spark, texts + ["the and of that"], said + ["  "])))
+    assert blank[len(texts)].declared is None and blank[len(texts)].language == "en"
+
+
+def test_the_sample_does_not_depend_on_the_splits(spark):
+    texts, langs = sample(11, 400)
+    docs = docs_of(spark, texts, langs).selectExpr("doc_id", "lang AS label", "text")
+    models = [language.fit(docs.repartition(n), sample_rows=80, spread=["doc_id"])[1] for n in (1, 7)]
+    assert (models[0] == models[1]).all()
+    assert (models[0] != language.fit(docs, sample_rows=400, spread=["doc_id"])[1]).any()  # it is a sample
+
+
+def test_counts_and_likelihoods_equal_brute_force(spark, monkeypatch):
+    """Small arrays in the tasks, so that everything is added up in many pieces."""
+    texts, langs = sample(12, 60)
+    texts += ["", "x", "été " * 3]
+    counts = {}
+    for t, x in zip(texts, [*langs, "fr", "fr", None]):
+        raw = [0 if c == 32 else c for c in t.encode()]  # words with one blank between them
+        for i in range(len(raw) - 2):
+            if raw[i + 1] and x:
+                bucket = (((raw[i] << 16 | raw[i + 1] << 8 | raw[i + 2]) * 0x9E3779B1) % 2**32) >> 17
+                counts[x, bucket] = counts.get((x, bucket), 0) + 1
+    batch = pa.RecordBatch.from_arrays([pa.array([*langs, "fr", "fr", None]), pa.array(texts)], ["label", "text"])
+    monkeypatch.setattr(language, "HELD", 10)
+    names = sorted(PROSE)
+    got = {}
+    for part in language.count_trigrams(names)([batch.slice(0, 30), batch.slice(30)]):
+        for x, bucket, n in zip(*(part.column(i).to_pylist() for i in range(3))):
+            got[names[x], bucket] = got.get((names[x], bucket), 0) + n
+    assert got == counts
+    table = np.random.default_rng(1).normal(size=(language.BUCKETS, 4)).astype(np.float32)
+    code, text = language.trigrams(*packed(texts))
+    want = np.zeros((len(texts), 4))
+    for c, t in zip(code, text):
+        want[t] += table[c]
+    assert np.allclose(language.log_likelihoods(table, code, text, len(texts)), want, atol=1e-9)
+
+
+def packed(texts):
+    raw = [t.encode() for t in texts]
+    return np.frombuffer(b"".join(raw), np.uint8), np.concatenate([[0], np.cumsum([len(r) for r in raw])])
+
+
 def test_pages(spark):
     texts, langs = sample(7, 90)
     rows = [
