@@ -48,8 +48,8 @@ def language(spark, docs, sf_dir):
     repeated rows share their fate. A null or empty text has no letters. All columns of other
     names are kept as they are, whatever they are called; an empty table stays empty.
     """
-    keyed = docs.select(F.struct(text_key().alias("k"), F.col("lang").alias("l"), F.col("source").alias("s")).alias("key"), "text", "lang", "source")
-    found = identify(keyed, "key")
+    keyed = docs.select(F.struct(text_key().alias("k"), F.col("lang").alias("l"), F.col("source").alias("s")).alias("key"), "doc_id", "text", "lang", "source")
+    found = identify(keyed, "key", spread=["doc_id"])
     rejected = found.where("NOT accepted").select("id.k", "id.l", "id.s").distinct()
     rejected = Scratch(spark, "pipeline").save(rejected, "rejected")
     return without(docs, rejected, {"k": text_key(), "l": F.col("lang"), "s": F.col("source")})
