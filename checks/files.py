@@ -141,23 +141,35 @@ def stale_files_found(spark, t):
     return found.select(F.url_decode(F.regexp_extract("path", "nom=([^/]*)/", 1)).alias("nom")).distinct()
 
 
+#: Pages of a landed file: a file takes longer to open than its pages to read. A power of two, see below.
+PAGES = 256
+
+
+def landed_pages(spark, rows, one):
+    """The folder of landed files with a page for each conversation, records `one` under `events`; a file is an array of pages."""
+    path = folder(spark)
+    pages = rows.groupBy("conv_id").agg(F.to_json(F.struct(F.collect_list(one).alias("events"))).alias("value"))
+    # neighbours in a task; its first number is a multiple of PAGES
+    near = F.floor(F.monotonically_increasing_id() / PAGES)
+    files = pages.select("value", near.alias("file")).groupBy("file").agg(F.collect_list("value").alias("pages"))
+    files = files.select(F.concat(F.lit("["), F.array_join("pages", ","), F.lit("]")).alias("value"))
+    files.write.option("maxRecordsPerFile", 1).text(path)  # a file for each array
+    return path
+
+
 @check("SELECT conv_id, CAST(turn AS VARCHAR) AS id, role AS title FROM conversations")
 def page_files(spark, t):
     """Records over many landed pages, each an array under a name."""
-    path = folder(spark)
     one = F.struct(F.col("turn").cast("string").alias("id"), F.col("role").alias("title"), "conv_id")
-    pages = t("conversations").groupBy("conv_id").agg(F.to_json(F.struct(F.collect_list(one).alias("events"))).alias("value"))
-    pages.select("value").write.option("maxRecordsPerFile", 1).text(path)  # a file for each page
+    path = landed_pages(spark, t("conversations"), one)
     return read_pages(spark, f"{path}/*.txt", "id string, title string, conv_id long", "events").select("conv_id", "id", "title")
 
 
 @check("SELECT conv_id, CAST(turn AS VARCHAR) AS id, role AS title FROM conversations")
 def page_source_files(spark, t):
     """The same records through the data source of landed pages."""
-    path = folder(spark)
     one = F.struct("turn", F.col("role").alias("title"), "conv_id")
-    pages = t("conversations").groupBy("conv_id").agg(F.to_json(F.struct(F.collect_list(one).alias("events"))).alias("value"))
-    pages.select("value").write.option("maxRecordsPerFile", 1).text(path)
+    path = landed_pages(spark, t("conversations"), one)
     found = load_pages(spark, path, "turn string, title string, conv_id long", "events", page_pattern=r"part-(\d+)")
     return found.select("conv_id", F.col("turn").alias("id"), "title")
 
@@ -315,8 +327,9 @@ def daily_traffic(spark, t):
     return rows.select(F.col("journee").cast("string"), F.col("session").cast("string"), "bibliotheque", "frequentation", "occupation")
 
 
-#: Queries whose way runs through Python tasks, and why: lines of text become records by a state that runs through a file.
-PYTHON = {"quoted_files"}
+#: Queries whose way runs through Python tasks, and why: lines of text become records by a state that runs through a file;
+#: a data source of pages is read by Python.
+PYTHON = {"quoted_files", "page_source_files"}
 
 
 YEAR_OF_LOAN = "make_timestamp(year(o_orderdate), 1, 1, 12, 0, 0)"

@@ -2,10 +2,13 @@
 
 import gzip
 import json
+from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from checks.files import PAGES, landed_pages
 from conftest import rows
 from lutrin.sources import json_pages
 from lutrin.sources.page_source import Number, load_pages, shaped, text_of
@@ -131,3 +134,18 @@ def test_values():
     assert shaped(Number("7"), T.LongType()) == 7 and shaped(Number("7"), T.StringType()) == "7"
     with pytest.raises(ValueError):
         shaped(Number("7.5"), T.LongType())
+
+
+def test_landed_pages_share_files(spark):
+    """Files grow with the pages they hold, not one for each page, and every record is read back."""
+    turns = spark.range(0, 6 * PAGES, 1, 3).selectExpr("id div 2 AS conv_id", "id AS turn")
+    path = landed_pages(spark, turns, F.struct(F.col("turn").cast("string").alias("id"), "conv_id"))
+    files = list(Path(path).glob("part-*.txt"))
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert 3 <= len(files) <= 3 + tasks
+    assert sum(len(json.loads(f.read_text())) for f in files) == 3 * PAGES
+    for found in (
+        json_pages.read_pages(spark, f"{path}/*.txt", "id string, conv_id long", "events"),
+        load_pages(spark, path, "id string, conv_id long", "events", page_pattern=r"part-(\d+)"),
+    ):
+        assert rows(found.select("conv_id", "id")) == rows(turns.selectExpr("conv_id", "CAST(turn AS STRING)"))
