@@ -9,12 +9,20 @@ from lutrin.operators import gates as G
 from lutrin.operators.filters import drop_blank
 from lutrin.operators.links import hot_keys, link, unique_persons
 from lutrin.operators.lookups import normalize
-from lutrin.operators.merge import insert_absent, latest_by
+from lutrin.operators.merge import latest_by
 from lutrin.schemas import conform
 
 KEY = ["cb_document", "cb_usager", "dateheure"]
 
 
+# The key with the borrower's pseudonym as 16 bytes.
+DIGEST_KEY = ["cb_document", "dateheure", "_digest"]
+
+
+def _digest(pseudonym):
+    return F.unhex(F.md5(pseudonym)).alias("_digest")
+
+
 def collapse_outside(loans, home):
     """Both libraries of a document from another institution become the outside library.
 
@@ -54,12 +62,17 @@ def loan_gates(staging, synonyms, home):
     ]
 
 
-def loan_source(staging, persons, synonyms, home, salts):
-    """Loans of known persons in the shape of the table, one per key.
+def loan_source(staging, persons, synonyms, home, salts, current):
+    """Loans of known persons that `current` lacks in the shape of the table, one per key.
 
-    Of equal loans the first by content stays. They are ranked by the short raw barcode,
-    before it becomes a pseudonym; hot borrowers are counted on the bare staging column.
+    Of equal loans the first by content stays. Rows are ranked and then met with the current
+    loans by one shuffle, on a digest of the pseudonym, which only becomes a column of those
+    that stay; hot borrowers are counted on the bare staging column.
     """
+
+    def encode(barcode):
+        return pseudonymize(barcode, salts)
+
     dated = drop_blank(staging, "date")
     named = normalize(
         dated_loans(dated, synonyms, home),
@@ -67,16 +80,20 @@ def loan_source(staging, persons, synonyms, home, salts):
         synonyms,
         V.LOANS,
     ).withColumn("dateheure", parse_instant(F.col("date")))
-    single = latest_by(named, KEY, [F.asc_nulls_first(c) for c in OWN_COLUMNS])
+    # rows are sorted and shuffled from here on: no more columns than the table takes
+    named = named.select(*KEY, *OWN_COLUMNS, _digest(encode(F.col("cb_usager"))))
+    single = latest_by(named, DIGEST_KEY, [F.asc_nulls_first(c) for c in OWN_COLUMNS])
+    known_loans = current.select(*KEY, _digest(F.col("cb_usager"))).select(*DIGEST_KEY)
+    new = single.join(known_loans, DIGEST_KEY, "left_anti").drop("_digest")
     known = dated.filter(F.col("cb_usager").isNotNull() & (F.col("cb_usager") != ""))
     linked = link(
-        single,
+        new,
         unique_persons(persons, "codebarres", salts),
         "cb_usager",
         "codebarres",
         {"usager": "usager", "courriel": "courriel", "discipline": "discipline", "codebarres": "_cb"},
         how="inner",
-        encode=lambda c: pseudonymize(c, salts),
+        encode=encode,
         hot=hot_keys(known.select("cb_usager"), "cb_usager"),
     )
     day = day_of(F.col("dateheure"))
@@ -98,7 +115,7 @@ OWN_COLUMNS = (
 
 def build_loans(staging, persons, synonyms, current, home, salts):
     """Current loans plus the new ones; of equal loans in a batch the first by content stays."""
-    source = loan_source(staging, persons, synonyms, home, salts)
+    source = loan_source(staging, persons, synonyms, home, salts, current)
     filled = current.withColumn("session", F.coalesce("session", term_start(F.col("journee"))))
-    rows = insert_absent(filled, source, KEY)
-    return G.Build(conform(rows, "emprunts"), loan_gates(staging, synonyms, home))
+    rows = conform(filled, "emprunts").unionByName(source)
+    return G.Build(rows, loan_gates(staging, synonyms, home))

@@ -640,3 +640,34 @@ def test_backfill_equals_days_one_after_the_other(spark, tmp_path, lookups, salt
         current = spark.createDataFrame(people.latest_people(merged).collect(), current.schema)
     assert rows(warehouse.read_state("_clientele_cumul")) == rows(current)
     assert rows(warehouse.read("clientele")) == sorted(snapshots, key=lambda r: tuple(str(v) for v in r))
+
+
+def test_loans_are_shuffled_once_to_be_ranked_and_met(spark, salts):
+    """One shuffle of the staged rows and one of the current keys, and the same rows as one by one."""
+    columns = "cb_document cote bibliotheque_pret cb_usager date bibliotheque_document institution_doc institution_usager"
+    staged = [
+        (doc, cote, "Droit", user, f"2024-01-0{day} 10:00:00", "Droit", "exemple", "exemple")
+        for doc in ("d1", None) for cote in ("b", "a", None) for user in ("u1", "u2", "", None, "nobody") for day in (1, 2)
+    ]
+    staging = spark.createDataFrame(staged, ", ".join(f"{c} string" for c in columns.split()))
+    persons = spark.createDataFrame([(date(2024, 1, 1), u) for u in ("u1", "u2")], "journee date, usager string")
+    hidden = pseudonymize(F.col("usager"), salts)
+    persons = persons.withColumn("codebarres", hidden).withColumn("courriel", hidden).withColumn("discipline", F.lit("D"))
+    old = [(d, "u1", "ancien", "2024-01-01 10:00:00") for d in ("d1", "d1", "d2", None)]
+    old = spark.createDataFrame(old, "cb_document string, usager string, cote string, dateheure string")
+    old = old.withColumn("cb_usager", hidden).withColumn("journee", F.to_date("dateheure"))
+    none = spark.createDataFrame([], "domaine string, rejeter string, accepter string")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        built = loans.build_loans(staging, persons, none, conform(old, "emprunts"), "exemple", salts)
+        plan = built.rows._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange hashpartitioning(cb_document") == 2
+        got = rows(built.rows.select("cb_document", "cb_usager", F.dayofmonth("dateheure"), "cote"))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    code = {u: spark.range(1).select(pseudonymize(F.lit(u), salts)).first()[0] for u in ("u1", "u2")}
+    new = [("d1", "u1", 2), ("d1", "u2", 1), ("d1", "u2", 2), (None, "u1", 1), (None, "u1", 2), (None, "u2", 1), (None, "u2", 2)]
+    expected = [("d1", code["u1"], 1, "ancien")] * 2 + [("d2", code["u1"], 1, "ancien"), (None, code["u1"], 1, "ancien")]
+    expected += [(d, code[u], day, None) for d, u, day in new]
+    assert got == sorted(expected, key=lambda r: tuple(str(v) for v in r))
