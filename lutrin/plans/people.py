@@ -140,7 +140,13 @@ def latest_people(people):
 
 
 def update_person_dim(current, students, staff):
-    return latest_people(merge_people(current, students, staff))
+    """The person table with people of any days merged in: the latest row of each person.
+
+    A row only meets one of the same person and day, so nothing but the latest day of a
+    person on either side can be in the result. Older rows go first, while rows are narrow.
+    """
+    students, staff = latest_people(students), latest_people(staff)
+    return latest_people(merge_people(latest_people(current), students, staff))
 
 
 def add_day(current, students, staff, day):

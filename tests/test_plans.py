@@ -671,3 +671,22 @@ def test_loans_are_shuffled_once_to_be_ranked_and_met(spark, salts):
     expected = [("d1", code["u1"], 1, "ancien")] * 2 + [("d2", code["u1"], 1, "ancien"), (None, code["u1"], 1, "ancien")]
     expected += [(d, code[u], day, None) for d, u, day in new]
     assert got == sorted(expected, key=lambda r: tuple(str(v) for v in r))
+
+
+def test_persons_are_reduced_before_they_are_merged(spark):
+    """Only the latest row of a person goes through the merge; the result is that of the whole merge."""
+    def people_of(seed, days, **values):
+        df = spark.range(400).select(
+            F.expr(f"date_add(date'2024-01-01', CAST(pmod(xxhash64(id, {seed}), {days}) AS INT))").alias("journee"),
+            F.concat(F.lit("u"), F.expr(f"pmod(xxhash64(id, {seed} + 1), 60)").cast("string")).alias("usager"),
+        ).distinct()
+        return df.select("*", *[F.concat(F.lit(v), F.col("journee").cast("string")).alias(k) for k, v in values.items()])
+
+    current = conform(people_of(1, 12, code_unite="z", fonction="old", session="kept"), "_clientele_cumul")
+    students = people_of(3, 9, code_programme="x", fonction="new")
+    staff = people_of(5, 9, code_unite="y").withColumn("usager", F.concat(F.lit("s"), "usager"))
+    dim = people.update_person_dim(current, students, staff)
+    assert rows(dim) == rows(people.latest_people(people.merge_people(current, students, staff)))
+    # each of the three inputs is ranked, in part before its shuffle, and the merged rows once more
+    again = people.update_person_dim(current, students, staff)  # a plan that has not run
+    assert again._jdf.queryExecution().executedPlan().toString().count("WindowGroupLimit") == 8
