@@ -1,16 +1,21 @@
 """Licence scans with a trained paragraph classifier, in DataFrame functions only.
 
 A logistic regression over word n-grams tells licence families from other paragraphs. It is
-trained on notices built from templates and on a bounded sample of the corpus' own
-paragraphs as the unknown class. Coefficients that do not matter are dropped, so the model is
+trained on notices built from templates and on all of the corpus' own paragraphs as the
+unknown class; paragraphs that have the same n-grams of the known ones are one weighted row.
+Coefficients that do not matter are dropped, so the model is
 a short table. A paragraph without any positive n-gram cannot reach a family and is passed
 over; the others are scored by a join with that table. The unknown class is calibrated on
-held-out rows, with the sampled paragraphs that speak of licences without being a notice among
+held-out rows, with all paragraphs that speak of licences without being a notice among
 them, and a prediction counts as confirmed if the words of a template of its family are there.
 """
 
+import re
+from functools import reduce
+from operator import or_
+
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import CountVectorizer
+from pyspark.ml.feature import CountVectorizerModel
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -91,8 +96,12 @@ OTHERS = [
 UNKNOWN = "unknown"
 CUE = r"licen[sc]e|copyright|spdx|\bl?gpl|creative commons|\bcc by|\bcc0|permission is hereby|redistribution and use|source code form"
 
-#: Bound on the corpus paragraphs that are learned from, and on the n-grams of the model.
-SAMPLE_PARAGRAPHS, VOCABULARY = 4000, 20_000
+#: Every match of CUE has one of these.
+CUE_PARTS = ["licen", "copyright", "spdx", "gpl", "creative commons", "cc by", "cc0", "permission is hereby", "redistribution and use", "source code form"]
+WORD = r"[\p{L}\p{N}]+"
+
+#: Weight of the corpus' paragraphs together, where there are more of them; one in so many is held out.
+CORPUS_WEIGHT, FOLDS = 4000, 5
 #: Coefficients below this are dropped; share of a template's words that confirms a prediction.
 LEAST, CONFIRMED = 0.05, 0.8
 #: Bounds of the calibrated threshold. A prediction that a template confirms only has to beat the lower one.
@@ -104,7 +113,7 @@ NEVER = "(?!)"
 
 def words_of(paragraph):
     """Lower-case words; those of an identifier such as CC BY-NC are apart."""
-    return F.regexp_extract_all(F.lower(paragraph), F.lit(r"[\p{L}\p{N}]+"), F.lit(0))
+    return F.regexp_extract_all(F.lower(paragraph), F.lit(WORD), F.lit(0))
 
 
 def grams_of(words):
@@ -135,49 +144,80 @@ def around(lists, place):
     return F.array_join(lines, " ")
 
 
-def training_rows(spark, docs, text, sample_paragraphs):
-    """(label, words, held): notices in frames, other sentences, and sampled paragraphs of the corpus as unknown.
+def known_paragraphs():
+    """(label, paragraph): notices in frames, and sentences that are none."""
+    notices = [(family, frame.replace("{}", notice)) for family, list_ in NOTICES.items() for notice in list_ for frame in FRAMES]
+    return notices + [(UNKNOWN, sentence) for sentence in OTHERS for _ in range(3)]
+
+
+def vocabulary():
+    """Words and pairs of neighbours in the known paragraphs: fixed, whatever the corpus."""
+    found = set()
+    for _, paragraph in known_paragraphs():
+        words = re.findall(r"[a-z0-9]+", paragraph.lower())
+        found |= {*words, *(f"{a} {b}" for a, b in zip(words, words[1:]))}
+    return sorted(found)
+
+
+def known_grams_of(words):
+    """Distinct words and pairs of neighbours that are in the vocabulary, sorted."""
+    grams = vocabulary()
+    single = [g for g in grams if " " not in g]
+    n = F.greatest(F.size(words) - 1, F.lit(0))
+    both = F.arrays_zip(F.slice(words, 1, n).alias("a"), F.slice(words, 2, n).alias("b"))
+    both = F.filter(both, lambda x: x["a"].isin(single) & x["b"].isin(single))
+    both = F.filter(F.transform(both, lambda x: F.concat_ws(" ", x["a"], x["b"])), lambda g: g.isin(grams))
+    return F.array_sort(F.array_distinct(F.concat(F.filter(words, lambda w: w.isin(single)), both)))
 
-    Of each sampled row one paragraph without cue words is learned from or held out, and the
-    first one with cue words, unless it is part of a template's text, is held out.
+
+def training_rows(spark, docs, text, folds=FOLDS):
+    """(label, words, sampled, held, n): notices in frames, other sentences, and all paragraphs of the corpus as unknown.
+
+    Paragraphs with the same words and pairs of the vocabulary are one row, n of them. Of the
+    corpus' paragraphs without cue words one in `folds`, told by a hash, is held out and the
+    others are learned from; those with cue words, unless part of a template's text, are held out.
     """
-    notices = [(family, frame.replace("{}", notice)) for family, list_ in NOTICES.items() for notice in list_ for frame in FRAMES]
-    notices += [(UNKNOWN, sentence) for sentence in OTHERS for _ in range(3)]
 
     def quoted(value):
         return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
-    body = ", ".join(f"({quoted(a)}, {quoted(b)}, false)" for a, b in notices)
-    known = spark.sql(f"SELECT * FROM VALUES {body} AS t(label, paragraph, sampled)")
-    # of a bounded number of rows, picked by a hash of their text, however files are split, one paragraph each
-    rows = docs.where(F.length(text) > 0).select(F.col(text).alias("text")).withColumn("h", F.xxhash64("text"))
-    share = min(1.0, sample_paragraphs / max(1, docs.count()))
-    picked = rows.where(F.pmod("h", F.lit(1_000_000)) < share * 1_000_000)
-    picked = picked.withColumn("list", paragraphs_of(F.col("text")))
-    picked = picked.orderBy("h").limit(2 * sample_paragraphs).select("h", "list")
-    one = F.get("list", F.pmod(F.col("h"), F.size("list")).cast("int"))
+    body = ", ".join(f"({quoted(a)}, {quoted(b)})" for a, b in known_paragraphs())
+    known = spark.sql(f"SELECT * FROM VALUES {body} AS t(label, paragraph)")
+    known = known.select("label", known_grams_of(words_of(F.col("paragraph"))).alias("words"), F.lit(False).alias("sampled"), F.lit(False).alias("held"))
+
+    def cue(paragraph):
+        # plain searches go before the pattern, which is slow
+        paragraph = F.lower(paragraph)
+        return reduce(or_, [paragraph.contains(part) for part in CUE_PARTS]) & paragraph.rlike(CUE)
+
+    lists = docs.where(F.length(text) > 0).select(text, paragraphs_of(F.col(text)).alias("list"))
     # paragraphs that may be notices are no examples to learn the unknown class from
-    cue = F.lower("paragraph").rlike(CUE)
-    corpus = picked.select(one.alias("paragraph")).where(~cue).select("paragraph", F.lit(False).alias("hard"))
-    place = F.array_position(F.transform("list", lambda p: F.lower(p).rlike(CUE)), True).cast("int") - 1
-    hard = picked.select("list", place.alias("place")).where("place >= 0")
-    hard = hard.select(F.get("list", F.col("place")).alias("paragraph"), grams_of(words_of(around(F.col("list"), F.col("place")))).alias("near"))
-    hard = hard.where(likeness(templates(), F.col("near")) < CONFIRMED).select("paragraph", F.lit(True).alias("hard"))
-    corpus = corpus.unionByName(hard).select(F.lit(UNKNOWN).alias("label"), "paragraph", F.lit(True).alias("sampled"), "hard")
-    rows = known.withColumn("hard", F.lit(False)).unionByName(corpus)
-    rows = rows.withColumn("words", grams_of(words_of(F.col("paragraph")))).where(F.size("words") > 0)
-    return rows.withColumn("held", F.col("hard") | (F.col("sampled") & (F.pmod(F.xxhash64("paragraph"), F.lit(5)) == 0))).drop("hard")
-
-
-def train(spark, scratch, docs, text="text", sample_paragraphs=SAMPLE_PARAGRAPHS):
+    plain = lists.select(F.explode("list").alias("paragraph")).where(F.col("paragraph").rlike(WORD) & ~cue(F.col("paragraph")))
+    plain = plain.select(words_of(F.col("paragraph")).alias("all"), (F.pmod(F.xxhash64("paragraph"), F.lit(folds)) == 0).alias("held"))
+    plain = plain.select(known_grams_of(F.col("all")).alias("words"), "held")
+    places = F.filter(F.transform("list", lambda p, i: F.when(cue(p), i)), lambda i: i.isNotNull())
+    hard = lists.where(cue(F.col(text))).select("list", F.explode(places).alias("place"))
+    hard = hard.select(
+        known_grams_of(words_of(F.get("list", F.col("place")))).alias("words"),
+        known_grams_of(words_of(around(F.col("list"), F.col("place")))).alias("near"),
+    )
+    hard = hard.where(likeness(templates(), F.col("near")) < CONFIRMED).select("words", F.lit(True).alias("held"))
+    corpus = plain.unionByName(hard).select(F.lit(UNKNOWN).alias("label"), "words", F.lit(True).alias("sampled"), "held")
+    return known.unionByName(corpus).groupBy("label", "words", "sampled", "held").agg(F.count(F.lit(1)).alias("n"))
+
+
+def train(spark, scratch, docs, text="text", corpus_weight=CORPUS_WEIGHT):
     """Fit the classifier: (families, intercepts, rows of (gram, weights), training rows)."""
-    rows = scratch.save(training_rows(spark, docs, text, sample_paragraphs).coalesce(1), "training")  # bounded
+    rows = scratch.save(training_rows(spark, docs, text), "training")
+    learned = rows.where("sampled AND NOT held").agg(F.sum("n")).first()[0] or 1
     families = [*NOTICES, UNKNOWN]
     number = F.array_position(F.array(*map(F.lit, families)), F.col("label")) - 1
-    rows = rows.withColumn("y", number.cast("double")).withColumn("weight", F.when(F.col("label") == UNKNOWN, 1.0).otherwise(3.0))
-    counted = CountVectorizer(inputCol="words", outputCol="features", vocabSize=VOCABULARY, binary=True).fit(rows)
+    # every paragraph of the corpus counts, together no more than corpus_weight: the families are rare
+    share = F.when(F.col("sampled"), min(1.0, corpus_weight / learned)).when(F.col("label") == UNKNOWN, 1.0).otherwise(3.0)
+    weighted = rows.where("NOT held").withColumn("y", number.cast("double")).withColumn("weight", F.col("n") * share)
+    counted = CountVectorizerModel.from_vocabulary(vocabulary(), inputCol="words", outputCol="features")
     logistic = LogisticRegression(labelCol="y", weightCol="weight", regParam=1e-3, elasticNetParam=0.5, maxIter=30, family="multinomial", standardization=False)
-    fitted = logistic.fit(counted.transform(rows.where("NOT held")))
+    fitted = logistic.fit(counted.transform(weighted))
     table, intercepts = fitted.coefficientMatrix.toArray(), fitted.interceptVector.toArray()
     # relative to the unknown class, which then scores zero
     table, intercepts = table[:-1] - table[-1], intercepts[:-1] - intercepts[-1]
@@ -218,8 +258,9 @@ def scored(spark, rows, families, intercepts, weights, keys):
 
     body = ", ".join(f"({quoted(g)}, array({', '.join(f'{x}D' for x in v)}))" for g, v in weights)
     table = spark.sql(f"SELECT * FROM VALUES {body} AS t(gram, weights)") if weights else spark.createDataFrame([], "gram string, weights array<double>")
-    parts = rows.select(*keys, F.explode("words").alias("gram")).join(F.broadcast(table), "gram")  # at most VOCABULARY rows
-    sums = parts.groupBy(*keys).agg(*(F.sum(F.col("weights")[i]).alias(f"s{i}") for i in range(n)))
+    parts = rows.select(*keys, F.explode("words").alias("gram")).join(F.broadcast(table), "gram")  # no more than the vocabulary
+    # rounded, so that equal paragraphs score the same in whatever order their n-grams meet
+    sums = parts.groupBy(*keys).agg(*(F.round(F.sum(F.col("weights")[i]), 9).alias(f"s{i}") for i in range(n)))
     scores = F.array(*(F.col(f"s{i}") + intercepts[i] for i in range(n)))
     sums = sums.select(*keys, scores.alias("scores")).withColumn("top", F.array_max("scores"))
     total = F.aggregate(F.transform("scores", lambda s: F.exp(s - F.greatest("top", F.lit(0.0)))), F.exp(-F.greatest("top", F.lit(0.0))), lambda a, x: a + x)
@@ -227,7 +268,7 @@ def scored(spark, rows, families, intercepts, weights, keys):
     return sums.select(*keys, best.alias("family"), (F.exp(F.col("top") - F.greatest("top", F.lit(0.0))) / total).alias("probability"))
 
 
-def find_licences(docs, doc_id="doc_id", text="text", sample_paragraphs=SAMPLE_PARAGRAPHS):
+def find_licences(docs, doc_id="doc_id", text="text", corpus_weight=CORPUS_WEIGHT):
     """Licence notices of every document.
 
     One row per row of `docs`: doc_id, n_paragraphs, licences (ordered by paragraph: number
@@ -239,19 +280,18 @@ def find_licences(docs, doc_id="doc_id", text="text", sample_paragraphs=SAMPLE_P
     is reported for lines that near each other. Null and empty texts have one empty paragraph
     and no licence; equally likely families go to the one listed first; null and repeated
     doc_ids are carried as they are; further columns are ignored; an empty table gives no
-    rows. Texts of any length are read whole. Only the training sample is bounded.
+    rows. Texts of any length are read whole, by training and calibration too.
     """
     spark = docs.sparkSession
     scratch = Scratch(spark, "licences")
     docs = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
-    families, intercepts, weights, training = train(spark, scratch, docs, "text", sample_paragraphs)
+    families, intercepts, weights, training = train(spark, scratch, docs, "text", corpus_weight)
     held = training.where("held").withColumn("row", F.monotonically_increasing_id())
     worst = scored(spark, held, families, intercepts, weights, ["row"]).agg(F.max("probability")).first()[0]
     threshold = max(LIKELY, min(SURE, worst or 0.0))
 
-    vocabulary = sorted({word for gram, _ in weights for word in gram.split(" ")})
-    common = training.where("sampled").select(F.explode("words").alias("word")).where(F.col("word").isin(vocabulary))
-    frequency = {r.word: r["count"] for r in common.groupBy("word").count().collect()}  # at most VOCABULARY rows
+    words = training.where("sampled").select(F.explode("words").alias("word"), "n").where(~F.col("word").contains(" "))
+    frequency = {r.word: r.n for r in words.groupBy("word").agg(F.sum("n").alias("n")).collect()}  # no more than the vocabulary
     pattern = cues(weights, intercepts, frequency)
     rows = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", F.coalesce("text", F.lit("")).alias("text"))
     lists = paragraphs_of(F.col("text"))

@@ -4,7 +4,7 @@ import textwrap
 
 import pytest
 
-from lutrin.llm.licences import FRAMES, LIKELY, NOTICES, cues, find_licences
+from lutrin.llm.licences import FRAMES, LIKELY, NOTICES, cues, find_licences, training_rows
 from lutrin.llm.queries import op9_license_scan
 
 from helpers import docs_of
@@ -120,3 +120,27 @@ def test_prose_about_licences_calibrates_the_unknown_class(spark):
         assert not any(rows[i].licences for i in range(150))
     for i, (family, _) in enumerate(notices):  # confirmed notices do not depend on the threshold
         assert [x.family for x in rows[150 + i].licences if x.confirmed] == [family]
+
+
+def test_every_paragraph_is_learned_from_or_held_out(spark):
+    """Counts of all paragraphs with words, however many a row has; those of a template's text are left out."""
+    rng = random.Random(7)
+    prose = lambda: " ".join(rng.choice(WORDS) + str(rng.randrange(3)) for _ in range(6))
+    texts = ["\n".join([prose(), "the license of a house", prose(), "", "about copyright", prose()]) for _ in range(40)]
+    texts += ["\n".join(["...", NOTICES["MIT"][0]]), "", None]
+    rows = training_rows(spark, docs_of(spark, texts, clashes=True), "text").where("sampled").collect()
+    assert {r.label for r in rows} == {"unknown"}
+    assert sum(r.n for r in rows) == 40 * 5
+    assert sum(r.n for r in rows if {"license", "copyright"} & set(r.words)) == 80
+    assert all(r.held for r in rows if {"license", "copyright"} & set(r.words))
+    assert 0 < sum(r.n for r in rows if r.held) - 80 < 60
+
+
+def test_the_threshold_knows_all_paragraphs(spark):
+    """Misleading lines behind another one with cue words, all in one row of many, lift the threshold."""
+    rng = random.Random(5)
+    parts = ["the general public license", "licensed under the terms", "version 3 of the gnu", "free software license", "creative commons", "copyright of the authors"]
+    talk = [" ".join(f"{rng.choice(parts)} {rng.choice(WORDS)}" for _ in range(4)) for _ in range(40)]
+    lines = ["a license is no notice", *(line for t in talk for line in ["", "", "", "", "", "", "", "", t])]
+    texts = [*(f"plain words {i}" for i in range(100)), "\n".join(lines)]
+    assert find_licences(docs_of(spark, texts)).first().threshold > LIKELY
