@@ -187,16 +187,15 @@ def training_rows(spark, docs, text, folds=FOLDS):
 
     def cue(paragraph):
         # plain searches go before the pattern, which is slow
-        paragraph = F.lower(paragraph)
         return reduce(or_, [paragraph.contains(part) for part in CUE_PARTS]) & paragraph.rlike(CUE)
 
-    lists = docs.where(F.length(text) > 0).select(text, paragraphs_of(F.col(text)).alias("list"))
+    lists = docs.where(F.length(text) > 0).select(paragraphs_of(F.lower(text)).alias("list"))
     # paragraphs that may be notices are no examples to learn the unknown class from
     plain = lists.select(F.explode("list").alias("paragraph")).where(F.col("paragraph").rlike(WORD) & ~cue(F.col("paragraph")))
     plain = plain.select(words_of(F.col("paragraph")).alias("all"), (F.pmod(F.xxhash64("paragraph"), F.lit(folds)) == 0).alias("held"))
     plain = plain.select(known_grams_of(F.col("all")).alias("words"), "held")
     places = F.filter(F.transform("list", lambda p, i: F.when(cue(p), i)), lambda i: i.isNotNull())
-    hard = lists.where(cue(F.col(text))).select("list", F.explode(places).alias("place"))
+    hard = lists.select("list", F.explode(places).alias("place"))
     hard = hard.select(
         known_grams_of(words_of(F.get("list", F.col("place")))).alias("words"),
         known_grams_of(words_of(around(F.col("list"), F.col("place")))).alias("near"),
